@@ -25,7 +25,8 @@ ENGINE_CONF = {
 
 def build_session(master: str | None = None, app_name: str = "lintel", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     for key, value in ENGINE_CONF.items():
