@@ -1,0 +1,67 @@
+"""Rule packs: named rule lists stored as JSON next to this module.
+
+A pack is configuration; running it over a table is the rule engine's job.
+Packs are looked up by id (clinical, financial, inventory, web_analytics,
+generic), not by their ``domain`` label.
+"""
+
+from __future__ import annotations
+
+import copy
+import json
+from functools import lru_cache
+from pathlib import Path
+
+PACK_DIR = Path(__file__).resolve().parent
+PACK_IDS = ("clinical", "financial", "inventory", "web_analytics", "generic")
+
+
+@lru_cache(maxsize=None)
+def _load(pack_id: str) -> dict:
+    return json.loads((PACK_DIR / f"{pack_id}.json").read_text(encoding="utf-8"))
+
+
+def all_packs() -> dict[str, dict]:
+    return {k: copy.deepcopy(_load(k)) for k in PACK_IDS}
+
+
+def get_pack(pack_id: str, fallback: bool = False) -> dict:
+    """Pack by id. Unknown ids raise, unless ``fallback`` (auto-detection) asks for the generic pack."""
+    key = (pack_id or "").lower()
+    if key in PACK_IDS:
+        return copy.deepcopy(_load(key))
+    if fallback:
+        return copy.deepcopy(_load("generic"))
+    raise KeyError(f"unknown rule pack {pack_id!r}; known: {', '.join(PACK_IDS)}")
+
+
+def list_packs() -> list[dict]:
+    return [{"id": k, "name": v["name"], "description": v["description"], "domain": v["domain"],
+             "rule_count": len(v["rules"])} for k, v in all_packs().items()]
+
+
+def customize_pack(base: str, enabled_rules=None, disabled_rules=None, rule_overrides=None) -> dict:
+    """Copy of a pack with rules switched on/off (disable wins) and per-rule overrides applied."""
+    pack = get_pack(base)
+    enabled, disabled = set(enabled_rules or []), set(disabled_rules or [])
+    for rule in pack["rules"]:
+        rid = rule.get("id")
+        if rid in disabled:
+            rule["enabled"] = False
+        elif rid in enabled:
+            rule["enabled"] = True
+        if rule_overrides and rid in rule_overrides:
+            rule.update(copy.deepcopy(rule_overrides[rid]))
+    pack["name"] = f"Custom ({base})"
+    pack["custom"] = True
+    return pack
+
+
+def load_rules(path: str | Path) -> list[dict]:
+    """Rules from a JSON file holding either a pack object (with ``rules``) or a bare list."""
+    data = json.loads(Path(path).read_text(encoding="utf-8"))
+    if isinstance(data, list):
+        return data
+    if isinstance(data, dict):
+        return list(data.get("rules", []))
+    raise ValueError(f"{path}: expected a JSON list of rules or an object with 'rules'")

@@ -398,3 +398,7 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# Registration of the remaining query groups (modules import helpers from here).
+from lintel.plans import catalog_reports  # noqa: E402,F401
