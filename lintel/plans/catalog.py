@@ -403,3 +403,4 @@ def oracle_sql() -> dict[str, str]:
 # Registration of the remaining query groups (modules import helpers from here).
 from lintel.plans import catalog_reports  # noqa: E402,F401
 from lintel.plans import catalog_profile  # noqa: E402,F401
+from lintel.plans import catalog_packs  # noqa: E402,F401

@@ -99,6 +99,22 @@ class Review:
     def queue(self, top: int | None = None) -> DataFrame:
         return reports.review_queue(self.scored(), top)
 
+    def metadata(self) -> DataFrame:
+        """Lazy one-row run summary (counts come from scalar subqueries; nothing is collected)."""
+        spark = self.df.sparkSession
+        total = self.df.agg(F.count(F.lit(1))).scalar()
+        if self.clinical_mode:
+            flagged = self.flagged().agg(F.count(F.lit(1))).scalar()
+            issues = flagged
+        else:
+            ann = self.annotated()
+            flagged = ann.agg(F.count_if(F.size(ISSUES) > 0)).scalar()
+            issues = ann.agg(F.sum(F.size(ISSUES)).cast("long")).scalar()
+        return spark.range(1).select(
+            F.lit(self.clinical_mode).alias("clinical_mode"), F.lit(self.pack_id).cast("string").alias("rule_pack"),
+            total.alias("total_records"), issues.alias("issues"), flagged.alias("flagged_records"),
+            (total - flagged).alias("clear_records"))
+
     # ------------------------------------------------------------- execution
     def write(self, out_dir: str, fmt: str = "csv") -> dict:
         """Run the review once and write flagged rows, summary and metadata under ``out_dir``."""
