@@ -53,9 +53,11 @@ def run_checks_long(records: DataFrame, review_date: str = config.REVIEW_DATE,
     """Every clinical issue of every record (the priority pick shows only the first)."""
     checked = with_duplicate_count(records, **kw)
     conds = clinical_conditions(review_date, stale_days)
-    issues = F.filter(F.array(*[F.when(conds[n], F.lit(n)) for n in ISSUE_ORDER]), lambda x: x.isNotNull())
+    empty = F.array().cast("array<string>")
+    issues = F.concat(*[F.when(conds[n], F.array(F.lit(n))).otherwise(empty) for n in ISSUE_ORDER])
     return (checked.withColumn("__issues", issues)
-            .select(*records.columns, F.explode("__issues").alias("issue_type")))
+            .select(*records.columns, F.explode_outer("__issues").alias("issue_type"))
+            .where(F.col("issue_type").isNotNull()))
 
 
 def run_checks_sql(spark: SparkSession, records: DataFrame, review_date: str = config.REVIEW_DATE,

@@ -9,9 +9,9 @@ Plan shape for ``RuleEngine(rules).issues(df)``:
   scalar subqueries;
 * duplicate counts per duplicate-rule column: partial aggregate + hot/cold
   join-back (``operators.groups``);
-* one row pass: an ``array`` with one ``CASE WHEN violated THEN struct(issue)``
-  entry per (rule, column) check, nulls filtered out, then ``inline`` to one
-  output row per violation.  Row-local rules therefore cost one scan and no
+* one row pass: ``concat`` of one ``CASE WHEN violated THEN array(struct(issue))
+  ELSE empty`` per (rule, column) check, then ``inline`` to one output row per
+  violation.  Row-local rules therefore cost one scan and no
   exchange.
 """
 
@@ -55,6 +55,14 @@ class EngineOptions:
     min_hot_rows: int = DEFAULT_MIN_HOT_ROWS
 
 
+def explode_issues(annotated: DataFrame) -> DataFrame:
+    """One row per issue.  ``inline_outer`` + a null test on the (never-null) issue type, because
+    plain ``inline`` makes the optimizer infer ``size(issues) > 0`` and push that whole array
+    expression below the generator - into a join condition, where it is evaluated again per pair."""
+    cols = [colref(c) for c in annotated.columns if c != ISSUES]
+    return annotated.select(*cols, F.inline_outer(ISSUES)).where(F.col("issue_type").isNotNull())
+
+
 class RuleEngine:
     def __init__(self, rules: Sequence[dict] | None, **options):
         self.rules = list(rules or [])
@@ -130,27 +138,25 @@ class RuleEngine:
         df = protect_reserved(df)
         checks, comp = self.compile(df)
         bound, helper = self._bind_stats(df, comp)
-        entries = [
-            F.when(ch.cond, F.struct(
+        empty = F.array().cast(f"array<{ISSUE_STRUCT.simpleString()}>")
+        # One single-element array per violated check, concatenated: plain CASE/array/concat
+        # code generates inside the scan's whole-stage stage (a higher-order filter would not).
+        parts = [
+            F.when(ch.cond, F.array(F.struct(
                 F.lit(ch.issue_type).alias("issue_type"),
                 F.lit(ch.issue_column).alias("issue_column"),
                 F.lit(ch.rule_id).alias("rule_id"),
                 ch.severity.alias("rule_severity"),
                 (ch.metric.cast("double") if ch.metric is not None else F.lit(None).cast("double")).alias("metric_value"),
-            ))
+            ))).otherwise(empty)
             for ch in checks
         ]
-        if entries:
-            issues = F.filter(F.array(*entries), lambda e: e.isNotNull())
-        else:
-            issues = F.array().cast(f"array<{ISSUE_STRUCT.simpleString()}>")
+        issues = F.concat(*parts) if len(parts) > 1 else (parts[0] if parts else empty)
         return bound.withColumn(ISSUES, issues).drop(*helper)
 
     def issues(self, df: DataFrame) -> DataFrame:
         """Long form: every input column plus the five issue columns, one row per violation."""
-        annotated = self.annotate(df)
-        cols = [colref(c) for c in annotated.columns if c != ISSUES]
-        return annotated.select(*cols, F.inline(ISSUES))
+        return explode_issues(self.annotate(df))
 
     def run(self, df: DataFrame) -> DataFrame:
         return self.issues(df)

@@ -21,7 +21,7 @@ from lintel import config, packs
 from lintel.functions.messages import add_drafted_messages
 from lintel.functions.severity import add_severity
 from lintel.operators import clinical, reports
-from lintel.plans.engine import ISSUES, RuleEngine
+from lintel.plans.engine import ISSUES, RuleEngine, explode_issues
 from lintel.schemas import RECORD_COLUMNS
 
 logger = logging.getLogger("lintel")
@@ -128,7 +128,7 @@ class Review:
         else:
             self.annotated().where(F.size(ISSUES) > 0).write.mode("overwrite").parquet(stage)
             flagged_rows = spark.read.parquet(stage)
-            issue_rows = flagged_rows.select(*[c for c in flagged_rows.columns if c != ISSUES], F.inline(ISSUES))
+            issue_rows = explode_issues(flagged_rows)
         scored = self.scored(issue_rows)
         export = export_projection(scored, self.clinical_mode)
         writer = export.write.mode("overwrite")
