@@ -63,17 +63,30 @@ def column_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(position, v, cnt, is_num, has_shape, parses) per distinct value of every column."""
+    """(position, v, cnt, is_num, has_shape, parses) per distinct value of every column.
+
+    Value probes run once per distinct value and only for text columns; for
+    numeric and date/timestamp columns the storage type already answers them.
+    """
     cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     pairs = F.array(*[F.struct(F.lit(i).alias("position"), value_text(colref(c), types[c]).alias("v"))
                       for i, c in enumerate(cols)])
     per_value = df.select(F.inline(pairs)).groupBy("position", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    numeric = [i for i, c in enumerate(cols) if isinstance(types[c], NUMERIC_TYPES + (T.BooleanType,))]
+    dated = [i for i, c in enumerate(cols) if isinstance(types[c], DATE_TYPES)]
+    pos, v = F.col("position"), F.col("v")
+
+    def probe(test, typed_true):
+        known = pos.isin(numeric + dated) if (numeric or dated) else F.lit(False)
+        truth = pos.isin(typed_true) if typed_true else F.lit(False)
+        return F.when(known, truth).otherwise(test)
+
     return per_value.select(
         "position", "v", "cnt",
-        looks_numeric(F.col("v")).alias("is_num"),
-        F.col("v").rlike(DATE_SHAPE).alias("has_shape"),
-        probe_date(F.col("v")).isNotNull().alias("parses"),
+        probe(looks_numeric(v), numeric).alias("is_num"),
+        probe(v.rlike(DATE_SHAPE), dated).alias("has_shape"),
+        probe(probe_date(v).isNotNull(), dated).alias("parses"),
     )
 
 
@@ -140,6 +153,13 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, max_unique_rati
     )
 
 
+def profile_path(spark, path: str, fmt: str | None = None, preview_rows: int | None = None) -> DataFrame:
+    """Profile a stored table; ``preview_rows`` bounds the rows read (whole table by default)."""
+    from lintel.sources.io import read_table
+    df = read_table(spark, path, fmt)
+    return profile(df.limit(preview_rows) if preview_rows else df)
+
+
 def profile_table(prof: DataFrame) -> DataFrame:
     """Display form: rounded confidence and null percentage, first three samples joined."""
     return prof.select(

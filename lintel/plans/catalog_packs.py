@@ -105,7 +105,7 @@ ENC_REVIEW = "1998-06-01"
 ENC_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 
-@register("pack_clinical_encounters", f"WITH {_cte('enc', ENC_SQL)}\n" + "\nUNION ALL ".join([
+ENC_UNION = "\nUNION ALL ".join([
     _missing_sql(ENC_KEYS, "enc", "encounter_id", "missing_id", "critical"),
     _dup_sql(ENC_KEYS, "enc", "encounter_id", "duplicate_patient_or_record", "critical"),
     _future_sql(ENC_KEYS, "enc", "admission_date", ENC_REVIEW, "future_clinical_date", "critical"),
@@ -129,7 +129,10 @@ ENC_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
     _range_sql(ENC_KEYS, "enc", "heart_rate", "heart_rate < 20.0e0 OR heart_rate > 250.0e0", "invalid_heart_rate", "warning"),
     _range_sql(ENC_KEYS, "enc", "systolic", "systolic < 30.0e0 OR systolic > 300.0e0", "invalid_blood_pressure", "warning"),
     _range_sql(ENC_KEYS, "enc", "paid_amount", "paid_amount < 0", "negative_healthcare_amount", "warning"),
-]))
+])
+
+
+@register("pack_clinical_encounters", f"WITH {_cte('enc', ENC_SQL)}\n" + ENC_UNION)
 def q_pack_clinical_encounters(spark, sf_dir):
     return _pack_issues(tables.clinical_encounters(spark, sf_dir), "clinical", ENC_KEYS.split(", "), ENC_REVIEW)
 
@@ -258,3 +261,21 @@ FROM flagged""", RUN_FLAGGED))
 def q_run_metadata(spark, sf_dir):
     review = Review(tables.records(spark, sf_dir), review_date=RD, stale_days=tables.RECORDS_STALE_DAYS)
     return review.metadata()
+
+
+# Reviewer messages over encounter issues: every message case, and the fallbacks for tables
+# without record_id / id / patient_id / field_name.
+def _enc_msg_sql() -> str:
+    from lintel.plans.catalog_reports import message_sql
+    msg = message_sql("issue_type", "coalesce(issue_column, 'the flagged field')",
+                      "coalesce(issue_column, 'the flagged field')", "'this row'", "'unknown'")
+    return (f"WITH {_cte('enc', ENC_SQL)}, issues AS (\n{ENC_UNION}\n)\n"
+            f"SELECT {ENC_KEYS}, issue_type, {msg} AS drafted_query FROM issues")
+
+
+@register("draft_messages_encounters", _enc_msg_sql())
+def q_draft_messages_encounters(spark, sf_dir):
+    from lintel.functions.messages import add_drafted_messages
+    rules = packs.get_pack("clinical")["rules"]
+    issues = RuleEngine(rules, review_date=ENC_REVIEW).issues(tables.clinical_encounters(spark, sf_dir))
+    return add_drafted_messages(issues).select(*ENC_KEYS.split(", "), "issue_type", "drafted_query")
