@@ -91,20 +91,19 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def smallest_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = SAMPLE_SIZE) -> DataFrame:
-    """(position, sample_values) without a full distinct-value aggregation.
+    """(position, sample_values): the ``k`` smallest distinct non-null values per column.
 
-    ``dense_rank() <= k`` per column over the unpivoted values: Spark keeps at
-    most ``k`` distinct values per column in each task before the shuffle
-    (``WindowGroupLimit``), so the shuffle is bounded by tasks x columns x k.
+    Values are first deduplicated per (column, value) with map-side partial
+    aggregation - a value repeated in a third of the rows becomes one row per
+    task - and then ``row_number() <= k`` keeps at most ``k`` rows per column
+    and task before the final shuffle (``WindowGroupLimit``).
     """
     cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     pairs = F.array(*[F.struct(F.lit(i).alias("position"), value_text(colref(c), types[c]).alias("v"))
                       for i, c in enumerate(cols)])
-    long = df.select(F.inline(pairs)).where(F.col("v").isNotNull())
-    w = Window.partitionBy("position").orderBy("v")
-    top = long.withColumn("rk", F.dense_rank().over(w)).where(F.col("rk") <= k)
-    return top.groupBy("position").agg(F.array_sort(F.collect_set("v")).alias("sample_values"))
+    distinct = df.select(F.inline(pairs)).where(F.col("v").isNotNull()).groupBy("position", "v").count()
+    return samples(distinct, k)
 
 
 def samples(per_value: DataFrame, k: int = SAMPLE_SIZE) -> DataFrame:
