@@ -26,8 +26,10 @@ def is_complex(dtype: T.DataType) -> bool:
     return isinstance(dtype, COMPLEX_TYPES)
 
 
-def blank(col: Column) -> Column:
-    """Null, or empty after trimming spaces (Spark ``trim`` strips spaces only)."""
+def blank(col: Column, dtype: T.DataType | None = None) -> Column:
+    """Null, or (text only) empty after trimming spaces (Spark ``trim`` strips spaces only)."""
+    if dtype is not None and not isinstance(dtype, (T.StringType, T.BinaryType) + COMPLEX_TYPES):
+        return col.isNull()
     return col.isNull() | (F.trim(col.cast("string")) == F.lit(""))
 
 

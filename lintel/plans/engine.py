@@ -28,6 +28,7 @@ from lintel.operators.groups import DEFAULT_HOT_FRACTION, DEFAULT_MIN_HOT_ROWS,
 from lintel.operators.quantiles import approx_quantiles, exact_quantiles
 from lintel.operators.rules import SUPPORTED_RULES, Bindings, Check, RuleCompiler
 from lintel.operators.stats import colref, distinct_counts
+from lintel.functions import sqltext as S
 from lintel.functions.values import as_double, blank
 from lintel.schemas import ISSUE_STRUCT
 
@@ -103,12 +104,12 @@ class RuleEngine:
         out = df
         base = df
         for i, c in enumerate(req.group_counts):
-            out = attach_group_count(out, [c], f"__lintel_dup{i}", hot_fraction=opts.hot_fraction,
-                                     min_hot_rows=opts.min_hot_rows)
-            helper.append(f"__lintel_dup{i}")
+            name = Bindings.group_count_name(i)
+            out = attach_group_count(out, [c], name, hot_fraction=opts.hot_fraction, min_hot_rows=opts.min_hot_rows)
+            helper.append(name)
         if req.blank:
             stats = base.agg(F.count(F.lit(1)).alias("total"),
-                             *[F.count_if(blank(colref(c))).alias(f"b{i}") for i, c in enumerate(req.blank)])
+                             *[F.count_if(blank(colref(c), types[c])).alias(f"b{i}") for i, c in enumerate(req.blank)])
             out = out.withColumn(Bindings.STATS, stats.select(F.struct(*stats.columns)).scalar())
             helper.append(Bindings.STATS)
         if req.distinct:
@@ -138,20 +139,25 @@ class RuleEngine:
         df = protect_reserved(df)
         checks, comp = self.compile(df)
         bound, helper = self._bind_stats(df, comp)
-        empty = F.array().cast(f"array<{ISSUE_STRUCT.simpleString()}>")
         # One single-element array per violated check, concatenated: plain CASE/array/concat
         # code generates inside the scan's whole-stage stage (a higher-order filter would not).
+        # The expression is built as SQL text and parsed once by Spark.
+        issue_type = f"array<{ISSUE_STRUCT.simpleString()}>"
+        empty = f"CAST(array() AS {issue_type})"
         parts = [
-            F.when(ch.cond, F.array(F.struct(
-                F.lit(ch.issue_type).alias("issue_type"),
-                F.lit(ch.issue_column).alias("issue_column"),
-                F.lit(ch.rule_id).alias("rule_id"),
-                ch.severity.alias("rule_severity"),
-                (ch.metric.cast("double") if ch.metric is not None else F.lit(None).cast("double")).alias("metric_value"),
-            ))).otherwise(empty)
+            f"CASE WHEN {ch.cond} THEN array(named_struct("
+            f"'issue_type', {S.string(ch.issue_type)}, 'issue_column', {S.string(ch.issue_column)}, "
+            f"'rule_id', {S.string(ch.rule_id)}, 'rule_severity', CAST({ch.severity} AS STRING), "
+            f"'metric_value', CAST({ch.metric if ch.metric is not None else 'NULL'} AS DOUBLE))) ELSE {empty} END"
             for ch in checks
         ]
-        issues = F.concat(*parts) if len(parts) > 1 else (parts[0] if parts else empty)
+        if not parts:
+            text = empty
+        elif len(parts) == 1:
+            text = parts[0]
+        else:
+            text = "concat(" + ",\n".join(parts) + ")"
+        issues = F.expr(text)
         return bound.withColumn(ISSUES, issues).drop(*helper)
 
     def issues(self, df: DataFrame) -> DataFrame:

@@ -20,6 +20,13 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Call-site capture costs a JVM round trip per DataFrame function call; rule compilation
+    # makes thousands of them for wide tables.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a rule pack over a wide
+    # table makes one whole-stage method that large and it would run interpreted.  With this
+    # limit Spark falls back to split, JIT-able expression code for such stages only.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
