@@ -68,8 +68,7 @@ def read_records(spark: SparkSession, path: str, fmt: str | None = None,
                  schema: T.StructType = RECORD_SCHEMA, check_empty: bool = True) -> DataFrame:
     """Typed record read: text columns matched by header name, converted safely."""
     fmt = fmt or path.rstrip("/").rsplit(".", 1)[-1].lower()
-    raw = (spark.read.option("header", True).option("enforceSchema", False).csv(path) if fmt == "csv"
-           else read_table(spark, path, fmt))
+    raw = spark.read.option("header", True).csv(path) if fmt == "csv" else read_table(spark, path, fmt)
     df = conform(raw, schema)
     return ensure_not_empty(df, path) if check_empty else df
 
