@@ -29,7 +29,7 @@ from lintel.operators.quantiles import approx_quantiles, exact_quantiles
 from lintel.operators.rules import SUPPORTED_RULES, Bindings, Check, RuleCompiler
 from lintel.operators.stats import colref, distinct_counts
 from lintel.functions import sqltext as S
-from lintel.functions.values import as_double, blank
+from lintel.functions.values import as_double, as_text, blank
 from lintel.schemas import ISSUE_STRUCT
 
 logger = logging.getLogger("lintel")
@@ -103,6 +103,13 @@ class RuleEngine:
         helper: list[str] = []
         out = df
         base = df
+        for i, (c, values) in enumerate(req.membership):
+            name = Bindings.member_name(i)
+            allowed = out.sparkSession.createDataFrame([(v,) for v in values], "__lintel_v string")
+            key = F.lower(as_text(colref(c), types[c]))
+            out = (out.join(F.broadcast(allowed), key == F.col("__lintel_v"), "left")
+                   .withColumn(name, F.col("__lintel_v").isNotNull()).drop("__lintel_v"))
+            helper.append(name)
         for i, c in enumerate(req.group_counts):
             name = Bindings.group_count_name(i)
             out = attach_group_count(out, [c], name, hot_fraction=opts.hot_fraction, min_hot_rows=opts.min_hot_rows)
