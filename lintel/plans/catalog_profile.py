@@ -120,9 +120,10 @@ def q_profile_roles(spark, sf_dir):
     return _rec_profile(spark, sf_dir).select("column", "semantic_role")
 
 
-@register("profile_samples", REC_PROFILE + 'SELECT "column", sample_values FROM prof')
+@register("profile_samples", REC_PROFILE + """SELECT "column", array_to_string(sample_values, ' | ') AS sample_values FROM prof""")
 def q_profile_samples(spark, sf_dir):
-    return _rec_profile(spark, sf_dir).select("column", "sample_values")
+    # Arrays are rendered as text so both engines hash the same value.
+    return _rec_profile(spark, sf_dir).select("column", F.array_join("sample_values", " | ").alias("sample_values"))
 
 
 PROFILE_TABLE_SQL = ('SELECT "column", inferred_type AS type, semantic_role AS role, round(confidence, 2) AS confidence, '
@@ -183,9 +184,10 @@ scores AS (
 
 
 @register("domain_scores", domain_sql(REC_PROFILE.rstrip(), REC_COLS) +
-          "SELECT domain, score, matched FROM scores")
+          "SELECT domain, score, array_to_string(matched, ' | ') AS matched FROM scores")
 def q_domain_scores(spark, sf_dir):
-    return D.domain_scores(tables.records(spark, sf_dir)).select("domain", "score", "matched")
+    sc = D.domain_scores(tables.records(spark, sf_dir))
+    return sc.select("domain", "score", F.array_join("matched", " | ").alias("matched"))
 
 
 @register("domain_score_table", domain_sql(REC_PROFILE.rstrip(), REC_COLS) +
@@ -197,18 +199,20 @@ def q_domain_score_table(spark, sf_dir):
 EVENTS_PROFILE = profile_sql("", "events", EVENTS_COLS)
 BEST_SQL = """SELECT CASE WHEN score = 0 THEN 'generic' ELSE domain END AS domain,
        CASE WHEN score = 0 THEN 0.25 ELSE round(score / (SELECT sum(score) FROM scores), 2) END AS confidence,
-       CASE WHEN score = 0 THEN [] ELSE matched[1:8] END AS reason
+       CASE WHEN score = 0 THEN '' ELSE array_to_string(matched[1:8], ' | ') END AS reason
 FROM scores ORDER BY score DESC, domain_order LIMIT 1"""
 
 
 @register("domain_best", domain_sql(EVENTS_PROFILE.rstrip(), EVENTS_COLS) + BEST_SQL)
 def q_domain_best(spark, sf_dir):
-    return D.best_domain_frame(D.domain_scores(tables.table(spark, sf_dir, "events")))
+    best = D.best_domain_frame(D.domain_scores(tables.table(spark, sf_dir, "events")))
+    return best.withColumn("reason", F.array_join("reason", " | "))
 
 
 @register("domain_best_records", domain_sql(REC_PROFILE.rstrip(), REC_COLS) + BEST_SQL)
 def q_domain_best_records(spark, sf_dir):
-    return D.best_domain_frame(D.domain_scores(tables.records(spark, sf_dir)))
+    best = D.best_domain_frame(D.domain_scores(tables.records(spark, sf_dir)))
+    return best.withColumn("reason", F.array_join("reason", " | "))
 
 
 # ---------------------------------------------------------------- recommendations
