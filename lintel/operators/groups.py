@@ -12,10 +12,13 @@ task.  Instead:
    their count map-side, without moving.
 3. Remaining keys with a count above one are joined back with a shuffle join.
    Hot rows still pass through that shuffle (the plan reads the input once),
-   but with a null key and a spreading salt, so they are scattered evenly and
-   match nothing.  AQE's skew-join split covers moderately skewed cold keys,
-   and AQE turns the join into a broadcast at run time when the duplicate set
-   turns out small.
+   but with a null key and a salt, so they are scattered and match nothing.
+   The salt is a hash of the row's content - the same on every task retry,
+   whatever the input order - so a recomputed map task sends each row to the
+   same reducer.  Exact copies share a salt; AQE's skew-join split (which
+   splits a large reducer partition by map output, deterministically) covers
+   them and moderately skewed cold keys.  AQE also turns the join into a
+   broadcast at run time when the duplicate set turns out small.
 
 Null keys form one group (null-safe matching), like ``GROUP BY``.  Unique keys
 get a null count: callers test ``count > 1``.
@@ -26,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 DEFAULT_HOT_FRACTION = 1e-4      # at most 10,000 hot keys can exist
 DEFAULT_MIN_HOT_ROWS = 1_000_000  # below this a key is never worth splitting
@@ -74,8 +78,10 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
     for i, k in enumerate(keys):
         left_keys.append(F.when(hot_n.isNull(), F.col(k).isNull()).alias(f"__l{tag}n{i}"))
         left_keys.append(F.when(hot_n.isNull(), F.col(k)).alias(f"__l{tag}v{i}"))
+    hashable = [F.col("`" + f.name.replace("`", "``") + "`") for f in df.schema.fields
+                if not isinstance(f.dataType, T.MapType)]
     salt = F.when(hot_n.isNull(), F.lit(0)).otherwise(
-        F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")).alias(f"__l{tag}s")
+        F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")).alias(f"__l{tag}s")
     left = tagged.select("*", *left_keys, salt)
     cond = left[f"__l{tag}s"] == cold[f"__cs{tag}"]
     for i in range(len(keys)):

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lintel import config
 from lintel.operators.groups import DEFAULT_HOT_FRACTION, DEFAULT_MIN_HOT_ROWS, attach_group_count
-from lintel.operators.quantiles import approx_quantiles, exact_quantiles
+from lintel.operators.quantiles import approx_quantiles, exact_quantiles_grouped
 from lintel.operators.rules import SUPPORTED_RULES, Bindings, Check, RuleCompiler
 from lintel.operators.stats import colref, distinct_counts
 from lintel.functions import sqltext as S
@@ -128,16 +128,22 @@ class RuleEngine:
                 d = distinct_counts(base, req.distinct)
             out = out.withColumn(Bindings.DISTINCT, d.select(F.struct(*d.columns)).scalar())
             helper.append(Bindings.DISTINCT)
-        for i, c in enumerate(req.quantiles):
-            x = as_double(colref(c), types[c])
+        if req.quantiles:
+            # All IQR columns share one statistics job: a grouped exact selection over the
+            # unpivoted values, or one aggregate of approximate sketches.
+            xs = [as_double(colref(c), types[c]) for c in req.quantiles]
             if opts.quantiles == "exact":
-                q = exact_quantiles(base, x, [0.25, 0.75])
-                qcol = q.select(F.struct("q0", "q1")).scalar()
+                pairs = F.array(*[F.struct(F.lit(i).alias("g"), x.alias("x")) for i, x in enumerate(xs)])
+                per = exact_quantiles_grouped(base.select(F.inline(pairs)), "g", "x", [0.25, 0.75])
+                q = per.agg(*[F.max(F.when(F.col("g") == i, F.col(f"q{k}"))).alias(f"{name}_{i}")
+                              for i in range(len(xs)) for k, name in ((0, "q1"), (1, "q3"))])
             else:
-                arr = base.agg(approx_quantiles(x, [0.25, 0.75], opts.quantile_error).alias("a"))
-                qcol = arr.select(F.struct(F.col("a")[0].alias("q0"), F.col("a")[1].alias("q1"))).scalar()
-            out = out.withColumn(f"__lintel_q{i}", qcol)
-            helper.append(f"__lintel_q{i}")
+                arr = base.agg(*[approx_quantiles(x, [0.25, 0.75], opts.quantile_error).alias(f"a{i}")
+                                 for i, x in enumerate(xs)])
+                q = arr.select(*[F.col(f"a{i}")[k].alias(f"{name}_{i}")
+                                 for i in range(len(xs)) for k, name in ((0, "q1"), (1, "q3"))])
+            out = out.withColumn(Bindings.QUARTILES, q.select(F.struct(*q.columns)).scalar())
+            helper.append(Bindings.QUARTILES)
         return out, helper
 
     # ------------------------------------------------------------------ outputs

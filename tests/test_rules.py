@@ -174,3 +174,12 @@ def test_long_allowed_list_uses_broadcast_join(spark):
     q = RuleEngine([{"type": "allowed_values", "column": "status", "allowed_values": values}]).issues(df)
     assert [r["id"] for r in q.collect()] == [2]
     assert "BroadcastHashJoin" in q._jdf.queryExecution().executedPlan().toString()
+
+
+def test_iqr_over_two_columns_shares_one_job(spark):
+    df = spark.range(0, 101).select("id", F.col("id").cast("double").alias("a_value"),
+                                    (F.col("id") * -2).cast("double").alias("b_value"))
+    df = df.union(spark.createDataFrame([(1000, 1000.0, 5.0), (1001, 50.0, -5000.0)], "id long, a_value double, b_value double"))
+    for mode in ("exact", "approx"):
+        got = issues(df, [{"type": "outlier", "column_pattern": "_value$"}], quantiles=mode)
+        assert [(g[0], g[1]) for g in got] == [(1000, "outlier_a_value"), (1001, "outlier_b_value")], mode
