@@ -51,8 +51,16 @@ def group_counts(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> Da
 def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
                        hot_fraction: float = DEFAULT_HOT_FRACTION,
                        min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
-                       salts: int | None = None) -> DataFrame:
+                       salts: int | None = None, strategy: str = "join") -> DataFrame:
+    """``strategy="window"`` is one scan and one exchange, for keys known not to be skewed
+    (a hot key then lands in one task); the default ``"join"`` is skew-safe."""
     keys = list(keys)
+    if strategy == "window":
+        from pyspark.sql import Window
+        n = F.count(F.lit(1)).over(Window.partitionBy(*[F.col(k) for k in keys]))
+        return df.withColumn(out_col, F.when(n > 1, n))
+    if strategy != "join":
+        raise ValueError(f"unknown duplicate strategy {strategy!r}")
     spark = df.sparkSession
     if salts is None:
         salts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

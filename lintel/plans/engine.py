@@ -54,6 +54,7 @@ class EngineOptions:
     distinct_error: float = 0.05
     hot_fraction: float = DEFAULT_HOT_FRACTION
     min_hot_rows: int = DEFAULT_MIN_HOT_ROWS
+    duplicate_strategy: str = "join"    # "join" (skew-safe) or "window" (one exchange, unskewed keys)
 
 
 def explode_issues(annotated: DataFrame) -> DataFrame:
@@ -112,7 +113,8 @@ class RuleEngine:
             helper.append(name)
         for i, c in enumerate(req.group_counts):
             name = Bindings.group_count_name(i)
-            out = attach_group_count(out, [c], name, hot_fraction=opts.hot_fraction, min_hot_rows=opts.min_hot_rows)
+            out = attach_group_count(out, [c], name, hot_fraction=opts.hot_fraction, min_hot_rows=opts.min_hot_rows,
+                                     strategy=opts.duplicate_strategy)
             helper.append(name)
         if req.blank:
             stats = base.agg(F.count(F.lit(1)).alias("total"),

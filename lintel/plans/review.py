@@ -86,6 +86,10 @@ class Review:
         f = flagged if flagged is not None else self.flagged()
         return add_drafted_messages(add_severity(f, self.high_threshold))
 
+    def issues(self) -> DataFrame:
+        """Issue rows with severity and reviewer message (lazy)."""
+        return self.scored()
+
     def summary(self, scored: DataFrame | None = None) -> DataFrame:
         s = scored if scored is not None else self.scored()
         return reports.summary_ranked(s) if self.clinical_mode else reports.summary_generic(s)
@@ -166,3 +170,8 @@ def metadata_frame(spark, meta: dict) -> DataFrame:
     return spark.createDataFrame([tuple(row.get(k) for k in
                                         ["detected_domain", "rule_pack", "clinical_mode", "total_records",
                                          "issues", "flagged_records", "clear_records"])], schema)
+
+
+def review(df: DataFrame, rules: list[dict] | None = None, review_date: str = config.REVIEW_DATE, **kw) -> Review:
+    """Build a lazy review: ``.issues() .summary() .totals() .queue()``; ``.write(dir)`` runs it."""
+    return Review(df, rules=rules, review_date=review_date, **kw)

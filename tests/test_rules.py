@@ -183,3 +183,9 @@ def test_iqr_over_two_columns_shares_one_job(spark):
     for mode in ("exact", "approx"):
         got = issues(df, [{"type": "outlier", "column_pattern": "_value$"}], quantiles=mode)
         assert [(g[0], g[1]) for g in got] == [(1000, "outlier_a_value"), (1001, "outlier_b_value")], mode
+
+
+def test_duplicate_window_strategy_matches_join(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None), (5, "b")], "id long, k string")
+    rule = [{"type": "duplicate", "column": "k"}]
+    assert issues(df, rule, duplicate_strategy="window") == issues(df, rule)
