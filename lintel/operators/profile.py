@@ -196,7 +196,7 @@ def profile_summary(prof: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("double").alias("total_columns"),
         F.count_if(F.col("null_count") > 0).cast("double").alias("columns_with_nulls"),
         F.count_if(F.col("null_ratio") > 0.5).cast("double").alias("columns_with_high_null"),
-        F.coalesce(F.avg("null_ratio"), F.lit(0.0)).alias("avg_null_ratio"),
+        F.round(F.coalesce(F.avg("null_ratio"), F.lit(0.0)), 6).alias("avg_null_ratio"),
     )
     scalars = one.select(F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.lit(None).cast("string").alias("key"), F.col(m).alias("value"))

@@ -150,7 +150,7 @@ def q_profile_type_counts(spark, sf_dir):
 SELECT 'total_columns' AS metric, CAST(NULL AS VARCHAR) AS key, CAST(COUNT(*) AS DOUBLE) AS value FROM prof
 UNION ALL SELECT 'columns_with_nulls', NULL, CAST(count_if(null_count > 0) AS DOUBLE) FROM prof
 UNION ALL SELECT 'columns_with_high_null', NULL, CAST(count_if(null_ratio > 0.5) AS DOUBLE) FROM prof
-UNION ALL SELECT 'avg_null_ratio', NULL, coalesce(avg(null_ratio), 0.0) FROM prof
+UNION ALL SELECT 'avg_null_ratio', NULL, round(coalesce(avg(null_ratio), 0.0), 6) FROM prof
 UNION ALL SELECT 'by_type', inferred_type, CAST(COUNT(*) AS DOUBLE) FROM prof GROUP BY inferred_type
 UNION ALL SELECT 'by_role', semantic_role, CAST(COUNT(*) AS DOUBLE) FROM prof GROUP BY semantic_role""")
 def q_profile_summary(spark, sf_dir):
