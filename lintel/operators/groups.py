@@ -35,17 +35,21 @@ DEFAULT_HOT_FRACTION = 1e-4      # at most 10,000 hot keys can exist
 DEFAULT_MIN_HOT_ROWS = 1_000_000  # below this a key is never worth splitting
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _key_columns(keys: Sequence[str], prefix: str) -> list:
     """Null-safe join keys: (is null, value) per key column."""
     out = []
     for i, k in enumerate(keys):
-        out.append(F.col(k).isNull().alias(f"{prefix}n{i}"))
-        out.append(F.col(k).alias(f"{prefix}v{i}"))
+        out.append(F.col(_q(k)).isNull().alias(f"{prefix}n{i}"))
+        out.append(F.col(_q(k)).alias(f"{prefix}v{i}"))
     return out
 
 
 def group_counts(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    return df.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias(count_col))
 
 
 def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
@@ -57,7 +61,7 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
     keys = list(keys)
     if strategy == "window":
         from pyspark.sql import Window
-        n = F.count(F.lit(1)).over(Window.partitionBy(*[F.col(k) for k in keys]))
+        n = F.count(F.lit(1)).over(Window.partitionBy(*[F.col(_q(k)) for k in keys]))
         return df.withColumn(out_col, F.when(n > 1, n))
     if strategy != "join":
         raise ValueError(f"unknown duplicate strategy {strategy!r}")
@@ -71,10 +75,10 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
 
     # Hot keys: <= 1/hot_fraction rows by construction -> broadcast.
     hot = counts.where(F.col("__n") > threshold).select(
-        *[F.col(k).alias(f"__h{tag}_{i}") for i, k in enumerate(keys)], F.col("__n").alias(f"__hn{tag}"))
+        *[F.col(_q(k)).alias(f"__h{tag}_{i}") for i, k in enumerate(keys)], F.col("__n").alias(f"__hn{tag}"))
     hot_cond = None
     for i, k in enumerate(keys):
-        c = df[k].eqNullSafe(hot[f"__h{tag}_{i}"])
+        c = df[_q(k)].eqNullSafe(hot[f"__h{tag}_{i}"])
         hot_cond = c if hot_cond is None else hot_cond & c
     tagged = df.join(F.broadcast(hot), hot_cond, "left").drop(*[f"__h{tag}_{i}" for i in range(len(keys))])
 
@@ -84,9 +88,9 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
         *_key_columns(keys, f"__c{tag}"), F.lit(0).cast("int").alias(f"__cs{tag}"), F.col("__n").alias(f"__cn{tag}"))
     left_keys = []
     for i, k in enumerate(keys):
-        left_keys.append(F.when(hot_n.isNull(), F.col(k).isNull()).alias(f"__l{tag}n{i}"))
-        left_keys.append(F.when(hot_n.isNull(), F.col(k)).alias(f"__l{tag}v{i}"))
-    hashable = [F.col("`" + f.name.replace("`", "``") + "`") for f in df.schema.fields
+        left_keys.append(F.when(hot_n.isNull(), F.col(_q(k)).isNull()).alias(f"__l{tag}n{i}"))
+        left_keys.append(F.when(hot_n.isNull(), F.col(_q(k))).alias(f"__l{tag}v{i}"))
+    hashable = [F.col(_q(f.name)) for f in df.schema.fields
                 if not isinstance(f.dataType, T.MapType)]
     salt = F.when(hot_n.isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")).alias(f"__l{tag}s")

@@ -189,3 +189,12 @@ def test_duplicate_window_strategy_matches_join(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None), (5, "b")], "id long, k string")
     rule = [{"type": "duplicate", "column": "k"}]
     assert issues(df, rule, duplicate_strategy="window") == issues(df, rule)
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", 5.0)], "`id` long, `key.with dot` string, `val ue` double")
+    rules = [{"type": "duplicate", "column": "key.with dot"}, {"type": "missing_value", "column": "val ue"},
+             {"type": "numeric_range", "column": "val ue", "min_value": 10}]
+    got = issues(df, rules)
+    assert [(g[0], g[1]) for g in got] == [(1, "duplicate_key.with dot"), (1, "missing_val ue"),
+                                           (2, "duplicate_key.with dot"), (2, "range_check_val ue")]
