@@ -50,6 +50,7 @@ class Review:
     high_threshold: float = config.HIGH_SEVERITY_THRESHOLD
     engine_options: dict = field(default_factory=dict)
     domain: dict | None = None
+    cross_check: bool = True                 # clinical path: compare with the SQL form on write
 
     def __post_init__(self):
         if self.mode not in ("auto", "clinical", "configurable"):
@@ -124,10 +125,14 @@ class Review:
         spark = self.df.sparkSession
         base = out_dir.rstrip("/")
         stage = f"{base}/_flagged_rows"
+        validated = None
         if self.clinical_mode:
             self.flagged().write.mode("overwrite").parquet(stage)
             flagged = spark.read.parquet(stage)
             issue_rows = flagged
+            if self.cross_check:
+                sql = clinical.run_checks_sql(spark, self.df, self.review_date, self.stale_days)
+                validated = clinical.cross_validate(flagged, sql)
         else:
             self.annotated().where(F.size(ISSUES) > 0).write.mode("overwrite").parquet(stage)
             flagged_rows = spark.read.parquet(stage)
@@ -153,6 +158,7 @@ class Review:
             "detected_domain": self.domain,
             "rule_pack": self.pack_id,
             "clinical_mode": self.clinical_mode,
+            "clinical_sql_validated": validated,
             "total_records": int(total),
             "issues": int(n_issues),
             "flagged_records": int(n_flagged),
@@ -165,11 +171,11 @@ class Review:
 def metadata_frame(spark, meta: dict) -> DataFrame:
     """Run metadata as a one-row DataFrame (the domain profile travels as JSON text)."""
     row = {k: (json.dumps(v) if isinstance(v, (dict, list)) else v) for k, v in meta.items()}
-    schema = ("detected_domain string, rule_pack string, clinical_mode boolean, total_records long, "
-              "issues long, flagged_records long, clear_records long")
-    return spark.createDataFrame([tuple(row.get(k) for k in
-                                        ["detected_domain", "rule_pack", "clinical_mode", "total_records",
-                                         "issues", "flagged_records", "clear_records"])], schema)
+    names = ["detected_domain", "rule_pack", "clinical_mode", "clinical_sql_validated", "total_records",
+             "issues", "flagged_records", "clear_records"]
+    schema = ("detected_domain string, rule_pack string, clinical_mode boolean, clinical_sql_validated boolean, "
+              "total_records long, issues long, flagged_records long, clear_records long")
+    return spark.createDataFrame([tuple(row.get(k) for k in names)], schema)
 
 
 def review(df: DataFrame, rules: list[dict] | None = None, review_date: str = config.REVIEW_DATE, **kw) -> Review:

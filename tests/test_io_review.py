@@ -57,7 +57,7 @@ def test_clinical_review_run(spark, sample_records, tmp_path):
     assert back.count() == 14 and back.columns[-1] == "drafted_query"
     assert io.read_back(spark, str(tmp_path / "out" / "summary_report"), "csv").count() == 5
     saved = spark.read.json(str(tmp_path / "out" / "run_metadata")).first()
-    assert saved["flagged_records"] == 14
+    assert saved["flagged_records"] == 14 and saved["clinical_sql_validated"] is True
 
 
 def test_forced_clinical_mode_needs_columns(spark):
