@@ -102,13 +102,21 @@ def smallest_values(df: DataFrame, columns: Sequence[str] | None = None, k: int
     types = {f.name: f.dataType for f in df.schema.fields}
     pairs = F.array(*[F.struct(F.lit(i).alias("position"), value_text(colref(c), types[c]).alias("v"))
                       for i, c in enumerate(cols)])
-    distinct = df.select(F.inline(pairs)).where(F.col("v").isNotNull()).groupBy("position", "v").count()
+    distinct = df.select(F.inline(pairs)).groupBy("position", "v").agg(F.count(F.lit(1)).alias("cnt"))
     return samples(distinct, k)
 
 
 def samples(per_value: DataFrame, k: int = SAMPLE_SIZE) -> DataFrame:
-    w = Window.partitionBy("position").orderBy("v")
-    top = per_value.where(F.col("v").isNotNull()).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
+    """Five smallest distinct non-null values per column from the per-value counts.
+
+    Nulls sort last and are dropped after the window, so the per-value
+    aggregate below stays identical to the one the statistics read and Spark
+    reuses its exchange instead of scanning the table again.
+    """
+    w = Window.partitionBy("position").orderBy(F.col("v").asc_nulls_last())
+    # ``cnt > 0`` is always true; referencing it keeps the count in the aggregate below.
+    top = per_value.withColumn("rn", F.row_number().over(w)).where(
+        (F.col("rn") <= k) & F.col("v").isNotNull() & (F.col("cnt") > 0))
     return top.groupBy("position").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rn", "v"))), lambda s: s["v"]).alias("sample_values"))
 

@@ -25,12 +25,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def exact_quantiles_grouped(long: DataFrame, group: str, x: str, probs: Sequence[float], prefix: str = "q",
-                            partitions: int | None = None) -> DataFrame:
-    """Per ``group``: columns ``{prefix}0..`` with the exact quantiles of ``x`` (non-null values)."""
+                            partitions: int | None = None, weight: str | None = None) -> DataFrame:
+    """Per ``group``: columns ``{prefix}0..`` with the exact quantiles of ``x`` (non-null values).
+
+    ``weight`` names a column of row multiplicities when the input is already counted.
+    """
     spark = long.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    values = long.select(F.col(group).alias("g"), F.col(x).cast("double").alias("x")).where(F.col("x").isNotNull())
-    distinct = values.groupBy("g", "x").agg(F.count(F.lit(1)).alias("c"))
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    values = (long.select(F.col(group).alias("g"), F.col(x).cast("double").alias("x"), w.alias("w"))
+              .where(F.col("x").isNotNull()))
+    distinct = values.groupBy("g", "x").agg(F.sum("w").alias("c"))
     ranged = distinct.repartitionByRange(parts, "g", "x").withColumn("pid", F.spark_partition_id())
     totals = ranged.groupBy("pid", "g").agg(F.sum("c").alias("pc"))
     before = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
