@@ -116,35 +116,43 @@ class RuleEngine:
             out = attach_group_count(out, [c], name, hot_fraction=opts.hot_fraction, min_hot_rows=opts.min_hot_rows,
                                      strategy=opts.duplicate_strategy)
             helper.append(name)
+        # Global aggregates (row total, blank counts, approximate distinct counts and quartile
+        # sketches) share ONE aggregate over the input - one scan, one scalar subquery.
+        glob = []
         if req.blank:
-            stats = base.agg(F.count(F.lit(1)).alias("total"),
-                             *[F.count_if(blank(colref(c), types[c])).alias(f"b{i}") for i, c in enumerate(req.blank)])
-            out = out.withColumn(Bindings.STATS, stats.select(F.struct(*stats.columns)).scalar())
+            glob.append(F.count(F.lit(1)).alias("total"))
+            glob += [F.count_if(blank(colref(c), types[c])).alias(f"b{i}") for i, c in enumerate(req.blank)]
+        if req.distinct and opts.distinct == "approx":
+            glob += [(F.approx_count_distinct(colref(c), opts.distinct_error)
+                      + F.max(colref(c).isNull()).cast("long")).alias(f"d{i}") for i, c in enumerate(req.distinct)]
+        xs = [as_double(colref(c), types[c]) for c in req.quantiles]
+        if xs and opts.quantiles != "exact":
+            glob += [approx_quantiles(x, [0.25, 0.75], opts.quantile_error).alias(f"__a{i}") for i, x in enumerate(xs)]
+        if glob:
+            g = base.agg(*glob)
+            fields = [F.col(c) for c in g.columns if not c.startswith("__a")]
+            if xs and opts.quantiles != "exact":
+                fields += [F.col(f"__a{i}")[k].alias(f"{name}_{i}") for i in range(len(xs))
+                           for k, name in ((0, "q1"), (1, "q3"))]
+            out = out.withColumn(Bindings.STATS, g.select(F.struct(*fields)).scalar())
             helper.append(Bindings.STATS)
         if req.distinct:
             if opts.distinct == "approx":
-                d = base.agg(*[(F.approx_count_distinct(colref(c), opts.distinct_error)
-                                + F.max(colref(c).isNull()).cast("long")).alias(f"d{i}")
-                               for i, c in enumerate(req.distinct)])
+                out = out.withColumn(Bindings.DISTINCT, F.col(Bindings.STATS))
             else:
                 d = distinct_counts(base, req.distinct)
-            out = out.withColumn(Bindings.DISTINCT, d.select(F.struct(*d.columns)).scalar())
+                out = out.withColumn(Bindings.DISTINCT, d.select(F.struct(*d.columns)).scalar())
             helper.append(Bindings.DISTINCT)
-        if req.quantiles:
-            # All IQR columns share one statistics job: a grouped exact selection over the
-            # unpivoted values, or one aggregate of approximate sketches.
-            xs = [as_double(colref(c), types[c]) for c in req.quantiles]
+        if xs:
             if opts.quantiles == "exact":
+                # All IQR columns share one grouped, distributed exact selection.
                 pairs = F.array(*[F.struct(F.lit(i).alias("g"), x.alias("x")) for i, x in enumerate(xs)])
                 per = exact_quantiles_grouped(base.select(F.inline(pairs)), "g", "x", [0.25, 0.75])
                 q = per.agg(*[F.max(F.when(F.col("g") == i, F.col(f"q{k}"))).alias(f"{name}_{i}")
                               for i in range(len(xs)) for k, name in ((0, "q1"), (1, "q3"))])
+                out = out.withColumn(Bindings.QUARTILES, q.select(F.struct(*q.columns)).scalar())
             else:
-                arr = base.agg(*[approx_quantiles(x, [0.25, 0.75], opts.quantile_error).alias(f"a{i}")
-                                 for i, x in enumerate(xs)])
-                q = arr.select(*[F.col(f"a{i}")[k].alias(f"{name}_{i}")
-                                 for i in range(len(xs)) for k, name in ((0, "q1"), (1, "q3"))])
-            out = out.withColumn(Bindings.QUARTILES, q.select(F.struct(*q.columns)).scalar())
+                out = out.withColumn(Bindings.QUARTILES, F.col(Bindings.STATS))
             helper.append(Bindings.QUARTILES)
         return out, helper
 
