@@ -67,3 +67,16 @@ def test_wide_table_plan_builds_quickly(spark):
     q.count()
     assert time.time() - t0 < 120
     assert q.count() == sum(1 for i in range(200) for r in range(100) if r + i > 250)
+
+
+def test_clinical_pack_on_wrong_types_is_ansi_safe(spark):  # FIXTURES F5 wrong types (T1, T2, K6)
+    df = spark.createDataFrame([(1, "abc", "x"), (2, "3", "2026-01-02"), (3, None, None), (4, "-4", "2027-01-01")],
+                               "visit_id long, amount string, start_date string")
+    rules = packs.get_pack("clinical")["rules"]
+    got = sorted((r["visit_id"], r["issue_type"]) for r in
+                 RuleEngine(rules, review_date="2026-08-23").issues(df).collect())
+    # visit_id (bigint) matches the date patterns but never parses as a date; 'abc' is not a number.
+    assert (4, "range_check_amount") in got                  # negative amount
+    assert (4, "future_start_date") in got                   # text date parses; "x" does not
+    assert (3, "missing_visit_id") not in got                # no null ids
+    assert all(not t.startswith(("future_visit_id", "stale_visit_id")) for _, t in got)
