@@ -57,12 +57,23 @@ class EngineOptions:
     duplicate_strategy: str = "join"    # "join" (skew-safe) or "window" (one exchange, unskewed keys)
 
 
-def explode_issues(annotated: DataFrame) -> DataFrame:
-    """One row per issue.  ``inline_outer`` + a null test on the (never-null) issue type, because
+ISSUE_POSITION = "issue_position"
+
+
+def explode_issues(annotated: DataFrame, with_position: bool = False) -> DataFrame:
+    """One row per issue.  An outer generator + a null test on the (never-null) issue type, because
     plain ``inline`` makes the optimizer infer ``size(issues) > 0`` and push that whole array
-    expression below the generator - into a join condition, where it is evaluated again per pair."""
+    expression below the generator - into a join condition, where it is evaluated again per pair.
+
+    ``with_position`` adds the issue's index in its row: rows with index 0 are the flagged rows,
+    so flagged-row counts need no row id.
+    """
     cols = [colref(c) for c in annotated.columns if c != ISSUES]
-    return annotated.select(*cols, F.inline_outer(ISSUES)).where(F.col("issue_type").isNotNull())
+    if not with_position:
+        return annotated.select(*cols, F.inline_outer(ISSUES)).where(F.col("issue_type").isNotNull())
+    exploded = annotated.select(*cols, F.posexplode_outer(ISSUES).alias(ISSUE_POSITION, "__issue"))
+    fields = [F.col("__issue")[f.name].alias(f.name) for f in ISSUE_STRUCT.fields]
+    return exploded.select(*cols, *fields, ISSUE_POSITION).where(F.col("issue_type").isNotNull())
 
 
 class RuleEngine:

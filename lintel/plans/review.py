@@ -20,7 +20,7 @@ from lintel import config, packs
 from lintel.functions.messages import add_drafted_messages
 from lintel.functions.severity import add_severity
 from lintel.operators import clinical, reports
-from lintel.plans.engine import ISSUES, RuleEngine, explode_issues
+from lintel.plans.engine import ISSUE_POSITION, ISSUES, RuleEngine, explode_issues
 from lintel.schemas import RECORD_COLUMNS
 
 logger = logging.getLogger("lintel")
@@ -134,9 +134,10 @@ class Review:
                 sql = clinical.run_checks_sql(spark, self.df, self.review_date, self.stale_days)
                 validated = clinical.cross_validate(flagged, sql)
         else:
-            self.annotated().where(F.size(ISSUES) > 0).write.mode("overwrite").parquet(stage)
-            flagged_rows = spark.read.parquet(stage)
-            issue_rows = explode_issues(flagged_rows)
+            # Long form with each issue's index in its row: index 0 marks a flagged row.
+            explode_issues(self.annotated(), with_position=True).write.mode("overwrite").parquet(stage)
+            staged = spark.read.parquet(stage)
+            issue_rows = staged.drop(ISSUE_POSITION)
         scored = self.scored(issue_rows)
         export = export_projection(scored, self.clinical_mode)
         writer = export.write.mode("overwrite")
@@ -152,8 +153,8 @@ class Review:
             n_flagged = flagged.count()
             n_issues = n_flagged
         else:
-            row = flagged_rows.agg(F.count(F.lit(1)).alias("r"), F.sum(F.size(ISSUES)).alias("i")).first()
-            n_flagged, n_issues = int(row["r"]), int(row["i"] or 0)
+            row = staged.agg(F.count_if(F.col(ISSUE_POSITION) == 0).alias("r"), F.count(F.lit(1)).alias("i")).first()
+            n_flagged, n_issues = int(row["r"]), int(row["i"])
         meta = {
             "detected_domain": self.domain,
             "rule_pack": self.pack_id,

@@ -93,3 +93,14 @@ def test_auto_mode_picks_pack_from_domain(spark):
 def test_metadata_json(spark, sample_records):
     meta = Review(sample_records).metadata().first()
     assert json.loads(json.dumps(meta.asDict()))["clear_records"] == 7
+
+
+def test_configurable_metadata_and_write_agree(spark, tmp_path):
+    df = spark.createDataFrame([(1, -5.0, None), (2, 5.0, "x"), (3, -1.0, "y")], "id long, amount double, note string")
+    rules = [{"type": "numeric_range", "column": "amount", "min_value": 0},
+             {"type": "missing_value", "column": "note"}]
+    review = Review(df, rules=rules)
+    lazy = review.metadata().first()
+    meta = review.write(str(tmp_path / "o3"))
+    assert (lazy["issues"], lazy["flagged_records"], lazy["clear_records"]) == (3, 2, 1)
+    assert (meta["issues"], meta["flagged_records"], meta["clear_records"]) == (3, 2, 1)
