@@ -55,6 +55,9 @@ class EngineOptions:
     hot_fraction: float = DEFAULT_HOT_FRACTION
     min_hot_rows: int = DEFAULT_MIN_HOT_ROWS
     duplicate_strategy: str = "join"    # "join" (skew-safe) or "window" (one exchange, unskewed keys)
+    # Write an expensive input (e.g. a join) once to spark.checkpoint.dir when the rules need more
+    # than one pass over it (statistics, duplicate counts), instead of recomputing it per pass.
+    materialize_input: bool = False
 
 
 ISSUE_POSITION = "issue_position"
@@ -172,6 +175,11 @@ class RuleEngine:
         """Input rows (reserved names protected) plus an ``issues`` array column."""
         df = protect_reserved(df)
         checks, comp = self.compile(df)
+        req = comp.stats
+        if self.options.materialize_input and (req.blank or req.distinct or req.quantiles or req.group_counts):
+            from lintel.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(df.sparkSession)
+            df = df.checkpoint(eager=True)  # reliable checkpoint: survives executor loss
         bound, helper = self._bind_stats(df, comp)
         # One single-element array per violated check, concatenated: plain CASE/array/concat
         # code generates inside the scan's whole-stage stage (a higher-order filter would not).

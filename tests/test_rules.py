@@ -198,3 +198,10 @@ def test_odd_column_names(spark):
     got = issues(df, rules)
     assert [(g[0], g[1]) for g in got] == [(1, "duplicate_key.with dot"), (1, "missing_val ue"),
                                            (2, "duplicate_key.with dot"), (2, "range_check_val ue")]
+
+
+def test_materialized_input_gives_same_issues(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", 5.0), (3, "b", 7.0)], "id long, k string, v double")
+    rules = [{"type": "duplicate", "column": "k"}, {"type": "missing_value", "column": "v"},
+             {"type": "outlier", "column": "v"}]
+    assert issues(df, rules, materialize_input=True) == issues(df, rules)
