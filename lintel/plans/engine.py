@@ -2,17 +2,17 @@
 
 Plan shape for ``RuleEngine(rules).issues(df)``:
 
-* statistics pass, only for rules that need one (missing-value ratios,
-  quartiles, distinct counts): one aggregate over the table (plus one
-  unpivot aggregate for distinct counts and one distributed quantile
-  selection per outlier column in exact mode), read back into the row pass as
-  scalar subqueries;
+* global statistics, only for rules that need them (row total and blank
+  counts, approximate distinct counts and quartile sketches): ONE aggregate
+  over the table, read into the row pass as a scalar subquery.  Exact distinct
+  counts add one unpivot aggregate; exact quartiles add one grouped,
+  range-partitioned selection shared by all IQR columns;
 * duplicate counts per duplicate-rule column: partial aggregate + hot/cold
   join-back (``operators.groups``);
 * one row pass: ``concat`` of one ``CASE WHEN violated THEN array(struct(issue))
-  ELSE empty`` per (rule, column) check, then ``inline`` to one output row per
-  violation.  Row-local rules therefore cost one scan and no
-  exchange.
+  ELSE empty END`` per (rule, column) check - compiled as SQL text and parsed
+  once - then an outer generator and a null filter, one output row per
+  violation.  Row-local rules therefore cost one scan and no exchange.
 """
 
 from __future__ import annotations
