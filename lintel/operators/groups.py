@@ -13,11 +13,14 @@ task.  Instead:
 3. Remaining keys with a count above one are joined back with a shuffle join.
    Hot rows still pass through that shuffle (the plan reads the input once),
    but with a null key and a salt, so they are scattered and match nothing.
-   The salt is a hash of the row's content - the same on every task retry,
-   whatever the input order - so a recomputed map task sends each row to the
-   same reducer.  Exact copies share a salt; AQE's skew-join split (which
-   splits a large reducer partition by map output, deterministically) covers
-   them and moderately skewed cold keys.  AQE also turns the join into a
+   The salt is a hash of the row's fixed-width columns (numbers, booleans,
+   dates) - cheap to read, so long text columns are not pulled into a scan
+   that does not otherwise need them, and the same on every task retry
+   whatever the input order, so a recomputed map task sends each row to the
+   same reducer.  Rows that share those values (exact copies, or a table with
+   no fixed-width column) share a salt; AQE's skew-join split (which splits a
+   large reducer partition by map output, deterministically) covers them and
+   moderately skewed cold keys.  AQE also turns the join into a
    broadcast at run time when the duplicate set turns out small.
 
 Null keys form one group (null-safe matching), like ``GROUP BY``.  Unique keys
@@ -90,10 +93,11 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
     for i, k in enumerate(keys):
         left_keys.append(F.when(hot_n.isNull(), F.col(_q(k)).isNull()).alias(f"__l{tag}n{i}"))
         left_keys.append(F.when(hot_n.isNull(), F.col(_q(k))).alias(f"__l{tag}v{i}"))
-    hashable = [F.col(_q(f.name)) for f in df.schema.fields
-                if not isinstance(f.dataType, T.MapType)]
-    salt = F.when(hot_n.isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")).alias(f"__l{tag}s")
+    fixed = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
+             T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    hashable = [F.col(_q(f.name)) for f in df.schema.fields if isinstance(f.dataType, fixed)]
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int") if hashable else F.lit(0)
+    salt = F.when(hot_n.isNull(), F.lit(0)).otherwise(spread).alias(f"__l{tag}s")
     left = tagged.select("*", *left_keys, salt)
     cond = left[f"__l{tag}s"] == cold[f"__cs{tag}"]
     for i in range(len(keys)):
