@@ -104,3 +104,20 @@ def test_configurable_metadata_and_write_agree(spark, tmp_path):
     meta = review.write(str(tmp_path / "o3"))
     assert (lazy["issues"], lazy["flagged_records"], lazy["clear_records"]) == (3, 2, 1)
     assert (meta["issues"], meta["flagged_records"], meta["clear_records"]) == (3, 2, 1)
+
+
+def test_list_packs_and_profile_path(spark, tmp_path):
+    from lintel import packs
+    from lintel.operators.profile import profile_path
+    listed = {p["id"]: p["rule_count"] for p in packs.list_packs()}
+    assert listed == {"clinical": 18, "financial": 6, "inventory": 6, "web_analytics": 6, "generic": 3}
+    prof = profile_path(spark, os.path.join(FIXTURES, "clinical_records.csv"), "csv", preview_rows=10)
+    assert prof.where("column = 'record_id'").first()["unique_count"] == 10
+
+
+def test_json_read_back_and_queue(spark, sample_records, tmp_path):
+    review = Review(sample_records)
+    io.write_table(review.summary(), str(tmp_path / "s"), "json")
+    assert io.read_back(spark, str(tmp_path / "s"), "json").count() == 5
+    top = review.queue(top=3).collect()
+    assert len(top) == 3 and all(r["severity"] == "high" for r in top)
