@@ -43,17 +43,29 @@ def build_session(master: str | None = None, app_name: str = "lintel", shuffle_p
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
+    if is_local(spark):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the session's checkpoint folder, setting one only if none is configured."""
+    """Return the session's checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a local-mode session (tests) gets a folder of its own when none is
+    configured; on a cluster a machine-local folder would be wrong, so an
+    unset setting is an error for the features that need it.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if fallback is None and not is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage (e.g. HDFS or object store)")
     path = fallback or tempfile.mkdtemp(prefix="lintel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
