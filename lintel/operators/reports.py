@@ -13,7 +13,8 @@ def summary_ranked(flagged: DataFrame) -> DataFrame:
     """Count by (source, severity); rank sources inside each severity by count."""
     counts = flagged.groupBy("source", "severity").agg(F.count(F.lit(1)).alias("flagged_count"))
     w = Window.partitionBy("severity").orderBy(F.col("flagged_count").desc())
-    return counts.withColumn("rank_within_severity", F.rank().over(w))
+    return (counts.withColumn("rank_within_severity", F.rank().over(w))
+            .orderBy("severity", F.col("flagged_count").desc()))
 
 
 def summary_ranked_sql(spark: SparkSession, flagged: DataFrame) -> DataFrame:
@@ -50,7 +51,8 @@ def clinical_totals(records: DataFrame, flagged: DataFrame) -> DataFrame:
 
 def flags_by(summary: DataFrame, key: str) -> DataFrame:
     """Sum of flagged_count by ``key`` (severity or source)."""
-    return summary.groupBy(key).agg(F.sum("flagged_count").cast("long").alias("flagged_count"))
+    return (summary.groupBy(key).agg(F.sum("flagged_count").cast("long").alias("flagged_count"))
+            .orderBy(F.col("flagged_count").desc()))
 
 
 def severity_kpis(summary: DataFrame) -> DataFrame:
