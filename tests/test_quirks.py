@@ -80,3 +80,12 @@ def test_clinical_pack_on_wrong_types_is_ansi_safe(spark):  # FIXTURES F5 wrong
     assert (4, "future_start_date") in got                   # text date parses; "x" does not
     assert (3, "missing_visit_id") not in got                # no null ids
     assert all(not t.startswith(("future_visit_id", "stale_visit_id")) for _, t in got)
+
+
+def test_message_drafting_plan_has_no_python(spark, sample_records):
+    from lintel.functions.severity import add_severity
+    from lintel.operators import clinical
+    scored = add_drafted_messages(add_severity(clinical.run_checks_dataframe(sample_records)))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
+    assert scored.where("drafted_query IS NULL").count() == 0
