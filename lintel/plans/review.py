@@ -51,6 +51,9 @@ class Review:
     engine_options: dict = field(default_factory=dict)
     domain: dict | None = None
     cross_check: bool = True                 # clinical path: compare with the SQL form on write
+    # Auto mode: classify the domain from the first N rows (the original used 1,000);
+    # None classifies from the whole table.
+    classify_preview_rows: int | None = None
 
     def __post_init__(self):
         if self.mode not in ("auto", "clinical", "configurable"):
@@ -62,7 +65,8 @@ class Review:
                                                           and looks_clinical(self.df.columns)))
         if not self.clinical_mode and not self.rules:
             from lintel.operators.domain import best_domain
-            self.domain = self.domain or best_domain(self.df)
+            sample = self.df.limit(self.classify_preview_rows) if self.classify_preview_rows else self.df
+            self.domain = self.domain or best_domain(sample)
             self.pack_id = self.domain["domain"] if self.domain["domain"] in packs.PACK_IDS else "generic"
             self.rules = packs.get_pack(self.pack_id, fallback=True)["rules"]
         else:

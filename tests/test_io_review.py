@@ -121,3 +121,8 @@ def test_json_read_back_and_queue(spark, sample_records, tmp_path):
     assert io.read_back(spark, str(tmp_path / "s"), "json").count() == 5
     top = review.queue(top=3).collect()
     assert len(top) == 3 and all(r["severity"] == "high" for r in top)
+
+
+def test_auto_mode_preview_classification(spark):
+    df = spark.createDataFrame([("T1", 10.0), ("T2", -3.0)], "transaction_id string, amount double")
+    assert Review(df, classify_preview_rows=1).pack_id == "financial"
