@@ -151,6 +151,10 @@ class Review:
             writer.parquet(f"{base}/flagged_records")
         summary = self.summary(scored)
         summary.write.mode("overwrite").option("header", True).csv(f"{base}/summary_report")
+        if not self.clinical_mode:
+            # Which columns each rule checked, and what was skipped and why (plan-time metadata).
+            (self.engine.resolution(self.df).coalesce(1).write.mode("overwrite")
+             .option("header", True).csv(f"{base}/rule_resolution"))
 
         total = self.df.count()
         if self.clinical_mode:

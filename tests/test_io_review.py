@@ -72,6 +72,8 @@ def test_configurable_review_with_no_flags_still_writes_header(spark, tmp_path):
     assert (meta["issues"], meta["flagged_records"], meta["clear_records"]) == (0, 0, 1)
     back = spark.read.option("header", True).csv(str(tmp_path / "o2" / "flagged_records"))
     assert "issue_type" in back.columns and back.count() == 0
+    res = spark.read.option("header", True).csv(str(tmp_path / "o2" / "rule_resolution")).collect()
+    assert [(r["column"], r["status"]) for r in res] == [("amount", "checked")]
 
 
 def test_configurable_totals_count_rows_not_issues(spark):
