@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lintel.llm import minhash, mixing, packing, quality, toxicity
+from lintel.llm import embeddings, html_text, lm, minhash, mixing, packing, quality, sharding, toxicity, url_lists
 from lintel.llm.common import read, remainder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -17,6 +17,53 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures: the fetch day follows from the page id."""
+    pages = read(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 7919, F.lit(365)).cast("int")).alias("fetched_at"))
+
+
+def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated list entries that the captures themselves give rise to.
+
+    Every month a host is seen its entry is renewed, every quarter its domain's, and
+    a URL with a tracking parameter is listed from its first capture on; the action
+    follows from a hash of what is listed and when.
+    """
+    seen = captures(spark, sf_dir).where("url is not null").withColumn("host", url_lists.host_of(F.col("url"))).where("host <> ''")
+    month, quarter = F.trunc("fetched_at", "month"), F.trunc("fetched_at", "quarter")
+    domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
+    block = lambda *c: F.when(F.substring(F.md5(F.concat_ws("|", *[x.cast("string") for x in c]).cast("binary")), 1, 1) < "5", "block").otherwise("allow")
+    hosts = seen.select(F.lit("host").alias("kind"), F.col("host").alias("pattern"), month.alias("effective_at")).distinct()
+    domains = seen.select(F.lit("domain").alias("kind"), domain.alias("pattern"), quarter.alias("effective_at")).where("pattern <> ''").distinct()
+    urls = seen.where(F.col("url").contains("utm_")).groupBy(F.lit("url").alias("kind"), url_lists.plain_url(F.col("url")).alias("pattern")).agg(F.min("fetched_at").alias("effective_at"))
+    every = hosts.unionByName(domains).unionByName(urls)
+    return every.select("kind", "pattern", block(F.col("pattern"), F.col("effective_at")).alias("action"), "effective_at")
+
+
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_lists.filter_urls(captures(spark, sf_dir), list_entries(spark, sf_dir))
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, name = html_text.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col(name).alias("text"), F.length(name).cast("long").alias("n_chars"))
+
+
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.score_texts(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", (remainder(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -46,7 +93,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
-    named = [op3_pack_sequences, op5_minhash_groups, op6_toxicity, op8_quality_rules, op10_mix_sources]
+    named = [op1_embedding_groups, op2_url_lists, op3_pack_sequences, op4_main_text, op5_minhash_groups, op6_toxicity, op7_shards, op8_quality_rules,
+             op9_context_mixing, op10_mix_sources]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
