@@ -8,6 +8,8 @@ unless the ids themselves are asked for.
 
 from __future__ import annotations
 
+import functools
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -19,6 +21,7 @@ CAPACITY = 2048
 GROUP_DOCUMENTS = 8192     # documents dealt to a group, on average
 CHUNK_PIECES = 65536       # a group packs in chunks of at most so many pieces
 END = 1
+MARKS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
 
 class Tokens:
@@ -29,11 +32,16 @@ class Tokens:
     ``<|`` may name special tokens and are encoded whole.
     """
 
-    CACHE = 300_000
+    CACHE = 800_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
-        self.model, self.known = Tokenizer.from_file(path), {}
+        self.model, self.known, self.parts = Tokenizer.from_file(path), {}, {}
+
+    def _encode(self, found: list[str]) -> list[bytes]:
+        """Ids of each string, as bytes."""
+        encode = getattr(self.model, "encode_batch_fast", self.model.encode_batch)
+        return [np.array(e.ids, "<u4").tobytes() for e in encode(found, add_special_tokens=False)]
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
@@ -43,16 +51,36 @@ class Tokens:
         found, known = text.encode("utf-8", "surrogatepass").split(), self.known
         if len(known) > self.CACHE:
             known.clear()
-        fresh = [w for w in set(found) if w not in known]
-        if fresh:
-            for w, e in zip(fresh, self.model.encode_batch([w.decode() for w in fresh], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, np.uint32).tobytes()
+        # A run of marks after a letter or digit is a token run of its own, so stems are shared; letter case is dropped.
+        new: dict[bytes, tuple[bytes, bytes]] = {}
+        for w in found:
+            if w not in known and w not in new:
+                stem = w.rstrip(MARKS)
+                new[w] = (stem.lower(), w[len(stem):]) if stem and stem[-1:].isalnum() and stem.isascii() else (w, b"")
+        if new:
+            parts = [p for p in {p for pair in new.values() for p in pair if p} if p not in self.parts]
+            if len(self.parts) > self.CACHE:
+                self.parts.clear()
+                parts = list({p for pair in new.values() for p in pair if p})
+            self.parts.update(zip(parts, self._encode([p.decode() for p in parts]), strict=True))
+            for w, (stem, tail) in new.items():
+                known[w] = self.parts[stem] + (self.parts[tail] if tail else b"")
         return np.frombuffer(b"".join([known[w] for w in found]) + END.to_bytes(4, "little"), "<u4")
 
 
+@functools.lru_cache(2)
+def tokens_of(path: str) -> Tokens:
+    """One encoder per worker process: its cache serves all tasks that the worker runs.
+
+    Tasks are parallel already, so the library's own threads stay off.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Tokens(path)
+
+
 def _pieces(path: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(path)
+        tokens = tokens_of(path)
         for whole in batches:
             for at in range(0, len(whole), 512):
                 b = whole.slice(at, 512)
