@@ -197,39 +197,56 @@ def _sets(width: int):
     return run
 
 
-def overlap(x: np.ndarray, y: np.ndarray) -> int:
-    """Common items of two sorted arrays of distinct items."""
-    if len(x) > len(y):
-        x, y = y, x
-    at = np.searchsorted(y, x)
-    at[at == len(y)] = 0
-    return int((y[at] == x).sum())
+def links_of(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links among sets: pairs that lie in one linked part already are not compared.
+
+    The sets that agree most with the group's commonest tokens go first: they are
+    linked with most others, so few comparisons are left.
+    """
+    size = np.array([len(x) for x in sets])
+    sig = np.stack([signature(x) for x in sets])
+    common = np.empty(TOKENS, np.uint32)
+    for t in range(TOKENS):
+        values, times = np.unique(sig[:, t], return_counts=True)
+        common[t] = values[times.argmax()]
+    order = np.argsort(-(sig == common).sum(axis=1), kind="stable")
+    sig, size = sig[order], size[order]
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    flat = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)[1].astype(np.int32)
+    held = np.zeros(int(flat.max()) + 1, bool)
+    label, found = np.arange(len(order)), []
+    least = (percent / 100 - SLACK) * TOKENS
+    for i in range(len(order) - 1):
+        rest = np.nonzero(label[i + 1:] != label[i])[0] + i + 1
+        rest = rest[(100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i]))]
+        if len(rest):
+            rest = rest[(sig[rest] == sig[i]).sum(axis=1) >= least]
+        if not len(rest):
+            continue
+        own = flat[first[i]:first[i] + size[i]]
+        held[own] = True
+        if len(rest) * 4 > len(order):
+            shared = np.add.reduceat(held[flat], first, dtype=np.int64)[rest]
+        else:
+            shared = np.array([int(held[flat[first[j]:first[j] + size[j]]].sum()) for j in rest])
+        held[own] = False
+        near = rest[100 * shared >= percent * (size[rest] + size[i] - shared)]
+        for j in near.tolist():
+            if label[j] != label[i]:
+                found.append((int(order[i]), int(order[j])))
+                label[label == label[j]] = label[i]
+    return found
 
 
 def _verify(percent: int):
-    """Links of each candidate group on full sets: a spanning forest of every linked part."""
+    """Links of each candidate group on full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in _groups(batches, "grp"):
             cls = t.column("cls").to_numpy()
-            sets = [np.frombuffer(x, np.uint64) for x in t.column("items").to_pylist()]
-            size = np.array([len(s) for s in sets])
-            order = np.argsort(size, kind="stable")
-            cls, size, sets = cls[order], size[order], [sets[i] for i in order]
-            label = np.arange(len(cls))
-            a, b = [], []
-            for i in range(len(cls) - 1):
-                j = i + 1
-                end = j + int(np.searchsorted(size[j:] * percent, 100 * size[i], "right"))
-                for j in np.nonzero(label[j:end] != label[i])[0] + i + 1:
-                    if label[j] == label[i]:
-                        continue
-                    common = overlap(sets[i], sets[j])
-                    if 100 * common >= percent * (size[i] + size[j] - common):
-                        a.append(cls[i])
-                        b.append(cls[j])
-                        label[label == label[j]] = label[i]
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            found = links_of([np.frombuffer(x, np.uint64) for x in t.column("items").to_pylist()], percent)
+            if found:
+                at = np.array(found)
+                yield pa.RecordBatch.from_arrays([pa.array(cls[at[:, 0]]), pa.array(cls[at[:, 1]])], ["a", "b"])
     return run
 
 
