@@ -10,11 +10,11 @@ from lintel.llm.common import checkpointed
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, root)`` for every node that ``edges`` name; nodes are longs.
 
-    Each round every node points at the neighbour (or itself) with the least
-    value of a hash that changes with the round, edges move to the nodes pointed
-    at, and loops and repeats go.  The number of nodes shrinks by a constant
-    factor a round, whatever the shape (long chains and large stars included),
-    and a large star only meets map-side aggregates and joins that can be split.
+    Each round every node points at the neighbour (or itself) with the most links,
+    ties by a hash that changes with the round; edges move to the nodes pointed at,
+    and loops and repeats go.  Stars end in one round, chains shrink by a constant
+    factor a round, and a large star only meets map-side aggregates and joins that
+    can be split.
     Null ends are ignored; an empty edge table gives an empty result.
     """
     pairs = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).dropna()
@@ -24,10 +24,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     steps: list[DataFrame] = []
     while not left.isEmpty():
         seed = len(steps)
-        rank = lambda c: F.struct(F.xxhash64(F.lit(seed), F.col(c)).alias("h"), F.col(c).alias("v"))
+        rank = lambda d, c: F.struct((-F.col(d)).alias("d"), F.xxhash64(F.lit(seed), F.col(c)).alias("h"), F.col(c).alias("v"))
+        degree = left.groupBy("a").agg(F.count("*").alias("d"))
         step = checkpointed(
-            left.groupBy("a").agg(F.min(rank("b")).alias("m"))
-            .select(F.col("a").alias("node"), F.least("m", F.struct(F.xxhash64(F.lit(seed), F.col("a")).alias("h"), F.col("a").alias("v")))["v"].alias("to")))
+            left.join(degree.withColumnsRenamed({"a": "b", "d": "db"}), "b").groupBy("a").agg(F.count("*").alias("d"), F.min(rank("db", "b")).alias("m"))
+            .select(F.col("a").alias("node"), F.least("m", rank("d", "a"))["v"].alias("to")))
         steps.append(step)
         ends = step.select(F.col("node").alias("b"), F.col("to").alias("tb"))
         left = checkpointed(
@@ -40,6 +41,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     for step in reversed(steps[:-1]):
         onward = root.select(F.col("node").alias("to"), "root")
         root = step.join(onward, "to", "left").select("node", F.coalesce("root", "to").alias("root"))
+    root = checkpointed(root)
     lone = loops.distinct().join(root, F.col("a") == F.col("node"), "left_anti")
     return root.unionByName(lone.select(F.col("a").alias("node"), F.col("a").alias("root")))
 

@@ -299,7 +299,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     sets = fetched.dropDuplicates(["cls"]).mapInArrow(_sets(shingle), "cls long, items binary")
     links = groups.join(sets, "cls").repartition("grp").sortWithinPartitions("grp").mapInArrow(_verify(percent), "a long, b long")
     roots = components(links)
-    part = classes.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "id", F.coalesce("root", "cls").alias("root"))
+    part = checkpointed(classes.select("cls", "id").join(roots, F.col("cls") == F.col("node"), "left").select("cls", "id", F.coalesce("root", "cls").alias("root")))
     names = part.groupBy("root").agg(F.min("id").alias("component_id"))
     where = part.select("cls", "root").join(names, "root").select(F.col("cls").alias("of"), "component_id")
     out = rows.join(where, F.col("cls") == F.col("of"), "left")
