@@ -77,7 +77,11 @@ def add_features(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[s
         col["shout_rate"]: per(c("shout_rate"), c("n_words")),
         col["word_length"]: per(c("word_chars"), c("n_words")),
         col["base_failed"]: (c("n_words") < MIN_WORDS) | (100 * c("n_repeat_words") > REPEAT_PERCENT * c("n_words")),
-    }).drop(*[col[n] for n in ("lines", "grams", "sorted", "spots")])
+    })
+    # The generator keeps later filters above it: pushed below, they would repeat the array work inside its own loops.
+    names, row = [col[n] for n in (*BASE, *RATES, "base_failed")], fresh("row", out)
+    out = out.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(F.struct(*names))).alias(row))
+    out = out.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(row)[n].alias(n) for n in names])
     return out, {n: col[n] for n in (*BASE, *RATES, "base_failed")}
 
 
