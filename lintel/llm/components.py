@@ -57,7 +57,9 @@ class Forest:
         while (y := up.get(top, top)) != top:
             top = y
         while x != top:
-            x, up[x] = up.get(x, x), top
+            after = up.get(x, x)
+            up[x] = top
+            x = after
         return top
 
     def union(self, x: int, y: int) -> bool:

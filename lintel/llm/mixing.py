@@ -87,6 +87,11 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         i = fits[np.argmax(lengths[fits])]
         take[i] += 1
         left -= int(lengths[i])
+    # A few documents are given back, so that the program has lengths to choose from.
+    for i in np.argsort(lengths, kind="stable").tolist() * 8:
+        if left < DP_WORDS // 8 and take[i] > 0:
+            take[i] -= 1
+            left += int(lengths[i])
     reached = np.zeros(left + 1, bool)
     reached[0] = True
     by = np.full(left + 1, -1, np.int64)     # the item that first reached a sum
@@ -120,7 +125,7 @@ def _plan(rows: pd.DataFrame) -> pd.DataFrame:
     whole, target = int((lengths * counts).sum()), float(rows["target"].iloc[0])
     passes = min(int(target // whole), MOST) if whole else 0
     real = lengths > 0
-    rows["passes"], rows["extra"] = passes, 0
+    rows["passes"], rows["extra"] = np.where(real := lengths > 0, passes, 0), 0
     if passes < MOST:
         rows.loc[real, "extra"] = fit(lengths[real], counts[real], int(round(target - passes * whole)))
     return rows[["source", "size", "n", "source_size", "target", "passes", "extra"]]
