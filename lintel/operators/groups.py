@@ -58,9 +58,12 @@ def group_counts(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> Da
 def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
                        hot_fraction: float = DEFAULT_HOT_FRACTION,
                        min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
-                       salts: int | None = None, strategy: str = "join") -> DataFrame:
+                       salts: int | None = None, strategy: str = "join",
+                       counts_from: DataFrame | None = None) -> DataFrame:
     """``strategy="window"`` is one scan and one exchange, for keys known not to be skewed
-    (a hot key then lands in one task); the default ``"join"`` is skew-safe."""
+    (a hot key then lands in one task); the default ``"join"`` is skew-safe.  ``counts_from`` is the
+    frame to count when ``df`` already carries joined helper columns, so that several counts add up
+    their plans instead of multiplying them."""
     keys = list(keys)
     if strategy == "window":
         from pyspark.sql import Window
@@ -70,9 +73,10 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
         raise ValueError(f"unknown duplicate strategy {strategy!r}")
     spark = df.sparkSession
     if salts is None:
-        salts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        # Hot rows match nothing, so many salts cost nothing and spread evenly.
+        salts = 64 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     tag = out_col.replace(".", "_")
-    counts = group_counts(df, keys, "__n")
+    counts = group_counts(df if counts_from is None else counts_from, keys, "__n")
     total = counts.agg(F.sum("__n").alias("t")).scalar()
     threshold = F.greatest(F.lit(float(min_hot_rows)), total * F.lit(float(hot_fraction)))
 
@@ -88,7 +92,10 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
     # Cold duplicate keys, joined on (null flag, value, salt); hot rows get a null key and a spread salt.
     hot_n = F.col(f"__hn{tag}")
     cold = counts.where((F.col("__n") > 1) & (F.col("__n") <= threshold)).select(
-        *_key_columns(keys, f"__c{tag}"), F.lit(0).cast("int").alias(f"__cs{tag}"), F.col("__n").alias(f"__cn{tag}"))
+        # The salt is always 0 but comes from the count: a literal would be folded into a one-sided
+        # condition and the exchange would lose it, which sends all hot rows to one task.
+        *_key_columns(keys, f"__c{tag}"), F.pmod(F.col("__n"), F.lit(1)).cast("int").alias(f"__cs{tag}"),
+        F.col("__n").alias(f"__cn{tag}"))
     left_keys = []
     for i, k in enumerate(keys):
         left_keys.append(F.when(hot_n.isNull(), F.col(_q(k)).isNull()).alias(f"__l{tag}n{i}"))
@@ -96,6 +103,8 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
     fixed = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
              T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
     hashable = [F.col(_q(f.name)) for f in df.schema.fields if isinstance(f.dataType, fixed)]
+    if not hashable:  # text-only tables: spread by whatever can be hashed
+        hashable = [F.col(_q(f.name)) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     spread = F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int") if hashable else F.lit(0)
     salt = F.when(hot_n.isNull(), F.lit(0)).otherwise(spread).alias(f"__l{tag}s")
     left = tagged.select("*", *left_keys, salt)

@@ -34,7 +34,7 @@ def run_totals(annotated: DataFrame, issues_col: str = "issues") -> DataFrame:
     n = F.size(F.col(issues_col))
     return annotated.agg(
         F.count(F.lit(1)).alias("total_records"),
-        F.sum(n).cast("long").alias("issues"),
+        F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("issues"),
         F.count_if(n > 0).alias("flagged_rows"),
         F.count_if(n == 0).alias("clear_rows"),
     )
@@ -57,7 +57,7 @@ def flags_by(summary: DataFrame, key: str) -> DataFrame:
 
 def severity_kpis(summary: DataFrame) -> DataFrame:
     return summary.agg(
-        F.sum("flagged_count").cast("long").alias("flagged"),
+        F.coalesce(F.sum("flagged_count"), F.lit(0)).cast("long").alias("flagged"),
         F.coalesce(F.sum(F.when(F.col("severity") == "high", F.col("flagged_count"))), F.lit(0)).cast("long").alias("high"),
         F.coalesce(F.sum(F.when(F.col("severity") == "medium", F.col("flagged_count"))), F.lit(0)).cast("long").alias("medium"),
     )

@@ -21,7 +21,7 @@ def distinct_text(col: Column, dtype: T.DataType) -> Column:
     """A string key with the same equality as Spark's grouping (-0.0 equals 0.0)."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         col = F.when(col == 0, F.lit(0.0)).otherwise(col.cast("double"))
-    if isinstance(dtype, (T.MapType,)):
+    if isinstance(dtype, (T.MapType, T.ArrayType, T.StructType)):  # plain text would merge ["a, b"] and ["a", "b"]
         col = F.to_json(col)
     return col.cast("string")
 

@@ -128,7 +128,7 @@ class RuleEngine:
         for i, c in enumerate(req.group_counts):
             name = Bindings.group_count_name(i)
             out = attach_group_count(out, [c], name, hot_fraction=opts.hot_fraction, min_hot_rows=opts.min_hot_rows,
-                                     strategy=opts.duplicate_strategy)
+                                     strategy=opts.duplicate_strategy, counts_from=base)
             helper.append(name)
         # Global aggregates (row total, blank counts, approximate distinct counts and quartile
         # sketches) share ONE aggregate over the input - one scan, one scalar subquery.

@@ -3,7 +3,7 @@
 The engine never creates scratch space on a machine-local folder: anything
 that needs durable intermediate storage uses ``spark.checkpoint.dir`` from the
 session (the shared folder the cluster names).  Only when that setting is
-unset (local tests) do we set one ourselves.
+unset (local tests) do we set one ourselves, when the first feature asks for it.
 """
 
 from __future__ import annotations
@@ -42,14 +42,12 @@ def build_session(master: str | None = None, app_name: str = "lintel", shuffle_p
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    if is_local(spark):
-        ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One machine: executors and driver share its folders (a local-cluster does not count)."""
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
