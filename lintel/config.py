@@ -24,5 +24,5 @@ APPROX_QUANTILE_ERROR = 0.05
 # Output columns the engine reserves; clashing input columns are renamed with
 # this prefix so an input column can never masquerade as a result (K10).
 ISSUE_COLUMNS = ("issue_type", "issue_column", "rule_id", "rule_severity", "metric_value")
-RESERVED_COLUMNS = ISSUE_COLUMNS + ("severity", "pct_outside", "range_width", "drafted_query")
+RESERVED_COLUMNS = ISSUE_COLUMNS + ("severity", "pct_outside", "range_width", "drafted_query", "issues")
 RENAMED_INPUT_PREFIX = "input_"

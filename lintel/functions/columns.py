@@ -6,6 +6,10 @@ import logging
 import re
 from collections.abc import Iterable, Sequence
 
+from pyspark.sql import DataFrame
+
+from lintel import config
+
 logger = logging.getLogger("lintel")
 
 
@@ -35,3 +39,17 @@ def target_columns(rule: dict, columns: Sequence[str], default_pattern: str = ".
     if name:
         return [name] if name in columns else []
     return match_columns(rule.get("column_pattern", default_pattern), columns)
+
+
+def protect_reserved(df: DataFrame) -> DataFrame:
+    """Rename input columns that clash with outputs, in any letter case (``severity`` -> ``input_severity``)."""
+    used = {c.lower() for c in df.columns}
+    renamed = {}
+    for c in df.columns:
+        if c.lower() in config.RESERVED_COLUMNS:
+            new = config.RENAMED_INPUT_PREFIX + c
+            while new.lower() in used:
+                new = config.RENAMED_INPUT_PREFIX + new
+            used.add(new.lower())
+            renamed[c] = new
+    return df.withColumnsRenamed(renamed) if renamed else df

@@ -11,15 +11,17 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lintel import config
+from lintel.functions.columns import protect_reserved
 from lintel.operators.groups import attach_group_count
 
 SQL_DIR = Path(__file__).resolve().parent.parent / "plans" / "sql"
+COPIES = "__lintel_copies"
 DUPLICATE_KEYS = ("patient_id", "source", "field_name")
 ISSUE_ORDER = ("missing_value", "unit_mismatch", "duplicate_measurement", "stale_data", "out_of_range")
 
 
 def clinical_conditions(review_date: str = config.REVIEW_DATE, stale_days: int = config.STALE_DATA_DAYS,
-                        dup_col: str = "duplicate_count") -> dict[str, Column]:
+                        dup_col: str = COPIES) -> dict[str, Column]:
     value, low, high = F.col("value"), F.col("ref_low"), F.col("ref_high")
     return {
         "missing_value": value.isNull(),
@@ -31,13 +33,14 @@ def clinical_conditions(review_date: str = config.REVIEW_DATE, stale_days: int =
     }
 
 
-def with_duplicate_count(records: DataFrame, out_col: str = "duplicate_count", **kw) -> DataFrame:
+def with_duplicate_count(records: DataFrame, out_col: str = COPIES, **kw) -> DataFrame:
     return attach_group_count(records, DUPLICATE_KEYS, out_col, **kw)
 
 
 def run_checks_dataframe(records: DataFrame, review_date: str = config.REVIEW_DATE,
                          stale_days: int = config.STALE_DATA_DAYS, **kw) -> DataFrame:
     """Flagged records with one ``issue_type`` each (priority pick)."""
+    records = protect_reserved(records)
     checked = with_duplicate_count(records, **kw)
     conds = clinical_conditions(review_date, stale_days)
     pick = None
@@ -45,12 +48,13 @@ def run_checks_dataframe(records: DataFrame, review_date: str = config.REVIEW_DA
         pick = F.when(conds[name], F.lit(name)) if pick is None else pick.when(conds[name], F.lit(name))
     return (checked.withColumn("issue_type", pick)
             .where(F.col("issue_type").isNotNull())
-            .drop("duplicate_count"))
+            .drop(COPIES))
 
 
 def run_checks_long(records: DataFrame, review_date: str = config.REVIEW_DATE,
                     stale_days: int = config.STALE_DATA_DAYS, **kw) -> DataFrame:
     """Every clinical issue of every record (the priority pick shows only the first)."""
+    records = protect_reserved(records)
     checked = with_duplicate_count(records, **kw)
     conds = clinical_conditions(review_date, stale_days)
     empty = F.array().cast("array<string>")
@@ -69,18 +73,13 @@ def run_checks_sql(spark: SparkSession, records: DataFrame, review_date: str = c
 def cross_validate_frame(df_result: DataFrame, sql_result: DataFrame) -> DataFrame:
     """One row: pairs only in the DataFrame result, only in the SQL result, and in both.
 
-    A full outer join on the distinct (record_id, issue_type) pairs; nothing is
-    collected except this one row.
+    Both sides are stacked with a mark and grouped by (record_id, issue_type): one
+    exchange.  Nothing is collected except this one row.
     """
-    a = df_result.select("record_id", "issue_type").distinct().withColumn("__a", F.lit(True))
-    b = sql_result.select("record_id", "issue_type").distinct().withColumn("__b", F.lit(True))
-    cond = a["record_id"].eqNullSafe(b["record_id"]) & a["issue_type"].eqNullSafe(b["issue_type"])
-    j = a.join(b, cond, "full")
-    return j.agg(
-        F.count_if(F.col("__b").isNull()).alias("only_dataframe"),
-        F.count_if(F.col("__a").isNull()).alias("only_sql"),
-        F.count_if(F.col("__a").isNotNull() & F.col("__b").isNotNull()).alias("in_both"),
-    )
+    pairs = [side.select("record_id", "issue_type", F.lit(mark).alias("mark")) for side, mark in ((df_result, 1), (sql_result, 2))]
+    met = pairs[0].unionAll(pairs[1]).groupBy("record_id", "issue_type").agg(F.bit_or("mark").alias("mark"))
+    return met.agg(*[F.count_if(F.col("mark") == mark).alias(name)
+                     for mark, name in ((1, "only_dataframe"), (2, "only_sql"), (3, "in_both"))])
 
 
 def cross_validate(df_result: DataFrame, sql_result: DataFrame, show: int = 20) -> bool:

@@ -6,8 +6,8 @@ task.  Instead:
 
 1. ``groupBy(key).count()`` - partial aggregation on the map side, so a hot
    key costs one row per map task in the shuffle.
-2. Hot keys are those holding more than ``hot_fraction`` of all rows (and at
-   least ``min_hot_rows``).  There can be at most ``1 / hot_fraction`` of
+2. Hot keys are those holding more than ``hot_fraction`` of all rows,
+   at every table size.  There can be at most ``1 / hot_fraction`` of
    them, so that table has a proven size bound and is broadcast: hot rows get
    their count map-side, without moving.
 3. Remaining keys with a count above one are joined back with a shuffle join.
@@ -34,8 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-DEFAULT_HOT_FRACTION = 1e-4      # at most 10,000 hot keys can exist
-DEFAULT_MIN_HOT_ROWS = 1_000_000  # below this a key is never worth splitting
+DEFAULT_HOT_FRACTION = 1e-3      # fewer than 1,000 hot keys can exist
 
 
 def _q(name: str) -> str:
@@ -57,7 +56,6 @@ def group_counts(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> Da
 
 def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
                        hot_fraction: float = DEFAULT_HOT_FRACTION,
-                       min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
                        salts: int | None = None, strategy: str = "join",
                        counts_from: DataFrame | None = None) -> DataFrame:
     """``strategy="window"`` is one scan and one exchange, for keys known not to be skewed
@@ -78,7 +76,7 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], out_col: str, *,
     tag = out_col.replace(".", "_")
     counts = group_counts(df if counts_from is None else counts_from, keys, "__n")
     total = counts.agg(F.sum("__n").alias("t")).scalar()
-    threshold = F.greatest(F.lit(float(min_hot_rows)), total * F.lit(float(hot_fraction)))
+    threshold = total * F.lit(float(hot_fraction))
 
     # Hot keys: <= 1/hot_fraction rows by construction -> broadcast.
     hot = counts.where(F.col("__n") > threshold).select(

@@ -90,22 +90,6 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
-def smallest_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = SAMPLE_SIZE) -> DataFrame:
-    """(position, sample_values): the ``k`` smallest distinct non-null values per column.
-
-    Values are first deduplicated per (column, value) with map-side partial
-    aggregation - a value repeated in a third of the rows becomes one row per
-    task - and then ``row_number() <= k`` keeps at most ``k`` rows per column
-    and task before the final shuffle (``WindowGroupLimit``).
-    """
-    cols = list(columns or df.columns)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    pairs = F.array(*[F.struct(F.lit(i).alias("position"), value_text(colref(c), types[c]).alias("v"))
-                      for i, c in enumerate(cols)])
-    distinct = df.select(F.inline(pairs)).groupBy("position", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    return samples(distinct, k)
-
-
 def samples(per_value: DataFrame, k: int = SAMPLE_SIZE) -> DataFrame:
     """Five smallest distinct non-null values per column from the per-value counts.
 
@@ -177,11 +161,10 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, max_unique_rati
     )
 
 
-def profile_path(spark, path: str, fmt: str | None = None, preview_rows: int | None = None) -> DataFrame:
-    """Profile a stored table; ``preview_rows`` bounds the rows read (whole table by default)."""
+def profile_path(spark, path: str, fmt: str | None = None) -> DataFrame:
+    """Profile a stored table, all rows of it."""
     from lintel.sources.io import read_table
-    df = read_table(spark, path, fmt)
-    return profile(df.limit(preview_rows) if preview_rows else df)
+    return profile(read_table(spark, path, fmt))
 
 
 def profile_table(prof: DataFrame) -> DataFrame:

@@ -1,17 +1,21 @@
 """Quartiles for IQR outlier bounds: exact (distributed) or approximate.
 
 Exact mode computes linear-interpolated quantiles (position ``p * (n - 1)``,
-as ``percentile``/``quantile_cont``) without gathering values in one task:
+as ``percentile``/``quantile_cont``) by narrowing value ranges, so no task ever
+holds a column:
 
 1. ``groupBy(g, x).count()`` collapses repeated values map-side, so a value
    that fills a third of a column is a single row after the shuffle.
-2. The distinct (group, value) pairs are range-partitioned; per
-   (partition, group) totals - at most partitions + groups rows, a bound set
-   by configuration and schema, not data - give each partition's starting
-   rank inside its group and are broadcast back.
-3. A running sum inside each (partition, group) gives every distinct value its
-   rank interval; the values covering the target ranks are picked by a final
-   aggregate of a few conditional maxima per group.
+2. Each rank that is asked for keeps one value range.  A first histogram has a
+   bin per sign and 1/32 of a binary order of magnitude (at most about 135,000
+   per group, however many rows); a running sum over its bins finds the bin that
+   holds the rank.  The next histograms cut that bin evenly into 65,536; three of
+   them use up the 53 bits of a double, so the last bin is one value.
+
+Bins are monotone functions of the value alone, never of where a row lies, so
+every pass and every rerun agrees, whether or not Spark reuses an exchange.  Only
+the kept ranges (groups x ranks, bounded by schema and configuration) are
+broadcast.
 
 Approximate mode is ``percentile_approx`` with accuracy ``1 / relative error``
 (0.05 -> 20, the sketch error of the reviewed application).
@@ -23,52 +27,66 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+FINE = 65_536   # bins of one narrowing step
+STEPS = 3       # 32 bins a binade and three 16-bit steps: all 53 bits
+
+
+def _coarse_bin(x: Column) -> Column:
+    """Monotone in ``x``: sign times a 1/32 binade; zero between, infinities and NaN (the greatest) outside."""
+    binade = (F.floor(F.log2(F.least(F.abs(x), F.lit(1e308))) * 32) + 40_000).cast("long")
+    return (F.when(F.isnan(x), 90_001).when(x == float("inf"), 90_000).when(x == float("-inf"), -90_000)
+            .when(x == 0, 0).when(x > 0, binade).otherwise(-binade).cast("long"))
+
+
+def _holding(bins: DataFrame) -> DataFrame:
+    """Of the bins ``(g, k, rank, bin, c, lo, hi)`` of every asked rank, the one that holds it; ``rank`` counts from its start."""
+    before = Window.partitionBy("g", "k").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("c").over(before), F.lit(0))
+    return (bins.withColumn("start", start).where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("c")))
+            .select("g", "k", (F.col("rank") - F.col("start")).alias("rank"), "part", "lo", "hi", "n"))
+
 
 def exact_quantiles_grouped(long: DataFrame, group: str, x: str, probs: Sequence[float], prefix: str = "q",
-                            partitions: int | None = None, weight: str | None = None) -> DataFrame:
+                            weight: str | None = None) -> DataFrame:
     """Per ``group``: columns ``{prefix}0..`` with the exact quantiles of ``x`` (non-null values).
 
     ``weight`` names a column of row multiplicities when the input is already counted.
     """
-    spark = long.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     values = (long.select(F.col(group).alias("g"), F.col(x).cast("double").alias("x"), w.alias("w"))
               .where(F.col("x").isNotNull()))
-    distinct = values.groupBy("g", "x").agg(F.sum("w").alias("c"))
-    ranged = distinct.repartitionByRange(parts, "g", "x").withColumn("pid", F.spark_partition_id())
-    totals = ranged.groupBy("pid", "g").agg(F.sum("c").alias("pc"))
-    before = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "pid", "g",
-        F.coalesce(F.sum("pc").over(before), F.lit(0)).alias("off"),
-        F.sum("pc").over(Window.partitionBy("g")).alias("n"),
-    )
-    running = Window.partitionBy("pid", "g").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (ranged.join(F.broadcast(offsets), ["pid", "g"])
-              .withColumn("end", F.col("off") + F.sum("c").over(running))
-              .withColumn("start", F.col("end") - F.col("c")))
-    aggs = [F.max("n").alias("__n")]
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        aggs.append(F.max(F.when((F.col("start") <= lo) & (lo < F.col("end")), F.col("x"))).alias(f"__lo{i}"))
-        aggs.append(F.max(F.when((F.col("start") <= hi) & (hi < F.col("end")), F.col("x"))).alias(f"__hi{i}"))
-    picked = ranked.groupBy("g").agg(*aggs)
+    distinct = values.groupBy("g", "x").agg(F.sum("w").alias("c")).withColumn("part", _coarse_bin(F.col("x")))
+
+    # The first histogram serves all ranks; each prob asks for two of them (they are often the same).
+    fold = [F.sum("c").alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi")]
+    first = distinct.groupBy("g", "part").agg(*fold).withColumn("n", F.sum("c").over(Window.partitionBy("g")))
+    at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    asked = F.array(*[F.struct(F.lit(2 * i + up).alias("k"), (F.ceil(pos) if up else F.floor(pos)).cast("long").alias("rank"))
+                      for i, pos in enumerate(at) for up in (0, 1)])
+    kept = _holding(first.select("g", "part", F.col("part").alias("bin"), "c", "lo", "hi", "n", F.inline(asked)))
+
+    for _ in range(STEPS):
+        ranges = kept.select(F.col("g").alias("rg"), "k", "rank", F.col("part").alias("rpart"),
+                             F.col("lo").alias("rlo"), F.col("hi").alias("rhi"), "n")
+        inside = distinct.join(F.broadcast(ranges), F.col("g").eqNullSafe(F.col("rg")) & (F.col("part") == F.col("rpart")))
+        inside = inside.where((F.col("x") >= F.col("rlo")) & (F.col("x") <= F.col("rhi")))
+        share = F.try_divide(F.col("x") - F.col("rlo"), F.col("rhi") - F.col("rlo"))
+        fine = F.when(F.col("rhi") > F.col("rlo"), F.floor(share * FINE)).otherwise(0).cast("long")
+        kept = _holding(inside.groupBy("g", "part", "k", "rank", "n", fine.alias("bin")).agg(*fold))
+
+    got = kept.groupBy("g").agg(F.max("n").alias("n"), *[F.max(F.when(F.col("k") == k, F.col("lo"))).alias(f"__r{k}")
+                                                         for k in range(2 * len(probs))])
     out = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("__n") - 1)
-        frac = pos - F.floor(pos)
-        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+    for i, pos in enumerate(at):
+        frac, lo, hi = pos - F.floor(pos), F.col(f"__r{2 * i}"), F.col(f"__r{2 * i + 1}")
         out.append(F.when(frac == 0, lo).otherwise(lo + (hi - lo) * frac).alias(f"{prefix}{i}"))
-    return picked.select(F.col("g").alias(group), *out)
+    return got.select(F.col("g").alias(group), *out)
 
 
-def exact_quantiles(df: DataFrame, x: Column, probs: Sequence[float], prefix: str = "q",
-                    partitions: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, x: Column, probs: Sequence[float], prefix: str = "q") -> DataFrame:
     """One-row DataFrame with the exact quantiles of ``x`` (nulls when ``x`` has no values)."""
     long = df.select(F.lit(0).alias("__g"), x.cast("double").alias("__x"))
-    per = exact_quantiles_grouped(long, "__g", "__x", probs, prefix, partitions)
+    per = exact_quantiles_grouped(long, "__g", "__x", probs, prefix)
     # Aggregate to exactly one row even when the column has no values.
     return per.agg(*[F.max(f"{prefix}{i}").alias(f"{prefix}{i}") for i in range(len(probs))])
 

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-
-SQL_DIR = Path(__file__).resolve().parent.parent / "plans" / "sql"
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def summary_ranked(flagged: DataFrame) -> DataFrame:
@@ -17,11 +13,6 @@ def summary_ranked(flagged: DataFrame) -> DataFrame:
             .orderBy("severity", F.col("flagged_count").desc()))
 
 
-def summary_ranked_sql(spark: SparkSession, flagged: DataFrame) -> DataFrame:
-    text = (SQL_DIR / "summary_report.sql").read_text(encoding="utf-8")
-    return spark.sql(text, flagged=flagged)
-
-
 def summary_generic(flagged: DataFrame) -> DataFrame:
     """Count by (source, else issue_column), issue_type, severity."""
     source = F.col("source") if "source" in flagged.columns else F.col("issue_column")

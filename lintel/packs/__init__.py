@@ -3,12 +3,16 @@
 A pack is configuration; running it over a table is the rule engine's job.
 Packs are looked up by id (clinical, financial, inventory, web_analytics,
 generic), not by their ``domain`` label.
+
+Fixed values: the rule ids, column patterns, bounds and value lists in the JSON
+files; they decide which rows are flagged.
 """
 
 from __future__ import annotations
 
 import copy
 import json
+from collections.abc import Iterable, Mapping
 from functools import lru_cache
 from pathlib import Path
 
@@ -35,26 +39,19 @@ def get_pack(pack_id: str, fallback: bool = False) -> dict:
     raise KeyError(f"unknown rule pack {pack_id!r}; known: {', '.join(PACK_IDS)}")
 
 
-def list_packs() -> list[dict]:
-    return [{"id": k, "name": v["name"], "description": v["description"], "domain": v["domain"],
-             "rule_count": len(v["rules"])} for k, v in all_packs().items()]
-
-
-def customize_pack(base: str, enabled_rules=None, disabled_rules=None, rule_overrides=None) -> dict:
-    """Copy of a pack with rules switched on/off (disable wins) and per-rule overrides applied."""
-    pack = get_pack(base)
-    enabled, disabled = set(enabled_rules or []), set(disabled_rules or [])
-    for rule in pack["rules"]:
-        rid = rule.get("id")
-        if rid in disabled:
-            rule["enabled"] = False
-        elif rid in enabled:
-            rule["enabled"] = True
-        if rule_overrides and rid in rule_overrides:
-            rule.update(copy.deepcopy(rule_overrides[rid]))
-    pack["name"] = f"Custom ({base})"
-    pack["custom"] = True
-    return pack
+def rule_counts() -> dict[str, int]:
+    """Pack id -> number of rules."""
+    return {pack_id: len(_load(pack_id)["rules"]) for pack_id in PACK_IDS}
+
+
+def adapted(base: str, on: Iterable[str] = (), off: Iterable[str] = (),
+            changes: Mapping[str, Mapping] | None = None) -> list[dict]:
+    """The rules of pack ``base`` with some switched on or ``off`` (which wins) and settings changed by rule id."""
+    switch = dict.fromkeys(on, True) | dict.fromkeys(off, False)
+    changes = changes or {}
+    return [rule | ({"enabled": switch[rule["id"]]} if rule["id"] in switch else {})
+            | copy.deepcopy(dict(changes.get(rule["id"], {})))
+            for rule in get_pack(base)["rules"]]
 
 
 def load_rules(path: str | Path) -> list[dict]:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lintel.functions.severity import add_severity
+from lintel.functions.severity import score_clinical
 from lintel.operators import clinical, reports
 from lintel.plans import tables
 from lintel.plans.engine import RuleEngine
@@ -82,7 +82,7 @@ def _flagged(spark, sf_dir):
 
 
 def _scored(spark, sf_dir):
-    return add_severity(_flagged(spark, sf_dir))
+    return score_clinical(_flagged(spark, sf_dir))
 
 
 @register("clinical_checks", with_rec(f"SELECT {RECORD_COLS}, issue_type FROM flagged", CLINICAL_ORACLE_CTE))
@@ -139,7 +139,7 @@ SELECT source, severity, COUNT(*) AS flagged_count,
        CAST(RANK() OVER (PARTITION BY severity ORDER BY COUNT(*) DESC) AS BIGINT) AS rank_within_severity
 FROM sev GROUP BY source, severity""", CLINICAL_ORACLE_CTE))
 def q_summary_ranked(spark, sf_dir):
-    s = reports.summary_ranked_sql(spark, _scored(spark, sf_dir))
+    s = reports.summary_ranked(_scored(spark, sf_dir))
     return s.withColumn("rank_within_severity", F.col("rank_within_severity").cast("long"))
 
 

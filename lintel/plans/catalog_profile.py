@@ -18,9 +18,11 @@ CUSTOMER_COLS = [("c_custkey", True), ("c_name", False), ("c_nationkey", True),
 EVENTS_COLS = [("event_id", True), ("ts", False), ("user_id", True), ("event_type", False), ("value", True),
                ("props", False)]
 
-ID_RE = P.anchored(P.ID_PATTERNS)
-DATE_RE = P.anchored(P.DATE_PATTERNS)
-MEAS_RE = P.anchored(P.MEASUREMENT_PATTERNS)
+# The name patterns of roles, written out apart from the engine's.
+ID_RE = r"^(?:.*id$|^id_.*|.*_id$|.*record.*id|.*patient.*id|.*user.*id|.*customer.*id|.*account.*id|.*code$)"
+DATE_RE = r"^(?:.*date$|^date_.*|.*_date$|.*timestamp|.*time$|.*created|.*modified|.*received)"
+MEAS_RE = (r"^(?:.*amount$|.*price$|.*value$|.*count$|.*rate$|.*percentage$|.*score$|.*ref_.*|.*_low$|.*_high$"
+           r"|.*reference)")
 NUM_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 SHAPE_RE = r"\d{4}[-/]\d{1,2}[-/]\d{1,2}|\d{1,2}[-/]\d{1,2}[-/]\d{2,4}"
 
@@ -158,17 +160,26 @@ def q_profile_summary(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- domain
-def keywords_sql() -> str:
-    vals = ", ".join(f"('{d}', {i}, '{k}')" for i, (d, kws) in enumerate(D.DOMAIN_KEYWORDS.items()) for k in kws)
-    return f"kw(domain, domain_order, keyword) AS (VALUES {vals})"
+# Fixed values, written out here so that a wrong keyword in the engine shows.
+KEYWORDS_SQL = """lists(domain, domain_order, keywords) AS (VALUES
+  ('clinical', 0, ['patient', 'record', 'encounter', 'visit', 'diagnosis', 'icd', 'procedure', 'medication', 'rx', 'lab',
+    'result', 'value', 'unit', 'ref_low', 'ref_high', 'vital', 'blood_pressure', 'heart_rate', 'glucose', 'hemoglobin',
+    'admission', 'discharge', 'provider', 'claim', 'member']),
+  ('financial', 1, ['transaction', 'amount', 'balance', 'invoice', 'payment', 'account', 'debit', 'credit', 'price',
+    'currency', 'ledger', 'refund']),
+  ('inventory', 2, ['sku', 'product', 'item', 'warehouse', 'stock', 'quantity', 'reorder', 'supplier', 'location',
+    'shipment']),
+  ('web_analytics', 3, ['event', 'session', 'user', 'page', 'click', 'timestamp', 'duration', 'browser', 'device',
+    'campaign', 'utm'])),
+kw AS (SELECT domain, domain_order, unnest(keywords) AS keyword FROM lists)"""
 
 
 def domain_sql(profile_text: str, cols: list[tuple[str, bool]]) -> str:
     names = ", ".join(f"('{c.lower().replace('-', '_')}')" for c, _ in cols)
     return profile_text + f""",
-{keywords_sql()},
+{KEYWORDS_SQL},
 names(n) AS (VALUES {names}),
-samples AS (SELECT lower(s) AS s FROM (SELECT unnest(sample_values) AS s FROM prof WHERE position < 25)),
+samples AS (SELECT DISTINCT lower(v) AS s FROM pv WHERE v IS NOT NULL),
 hits AS (
   SELECT domain, domain_order, keyword,
     CASE WHEN EXISTS (SELECT 1 FROM names WHERE contains(n, keyword)) THEN 2
@@ -191,7 +202,7 @@ def q_domain_scores(spark, sf_dir):
 
 
 @register("domain_score_table", domain_sql(REC_PROFILE.rstrip(), REC_COLS) +
-          "SELECT domain, score, array_to_string(matched[1:8], ', ') AS matched_signals FROM scores")
+          "SELECT domain, score, array_to_string(matched, ', ') AS matched_signals FROM scores")
 def q_domain_score_table(spark, sf_dir):
     return D.domain_score_table(D.domain_scores(tables.records(spark, sf_dir)))
 
@@ -199,7 +210,7 @@ def q_domain_score_table(spark, sf_dir):
 EVENTS_PROFILE = profile_sql("", "events", EVENTS_COLS)
 BEST_SQL = """SELECT CASE WHEN score = 0 THEN 'generic' ELSE domain END AS domain,
        CASE WHEN score = 0 THEN 0.25 ELSE round(score / (SELECT sum(score) FROM scores), 2) END AS confidence,
-       CASE WHEN score = 0 THEN '' ELSE array_to_string(matched[1:8], ' | ') END AS reason
+       CASE WHEN score = 0 THEN '' ELSE array_to_string(matched, ' | ') END AS reason
 FROM scores ORDER BY score DESC, domain_order LIMIT 1"""
 
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from lintel.functions.messages import add_drafted_messages
-from lintel.functions.severity import add_severity
+from lintel.functions.severity import score_rules
 from lintel.operators import clinical, reports
-from lintel.operators.rules import SUPPORTED_RULES
 from lintel.plans import tables
 from lintel.plans.catalog import (CLINICAL_ORACLE_CTE, ISSUE_COLS, RD, RECORD_COLS, _issue_sql, _missing_sql,
                                   _scored, register, with_rec)
@@ -27,8 +26,8 @@ def message_sql(issue: str, field: str, subject: str, record: str, patient: str)
   WHEN starts_with({issue}, 'invalid_allowed_value_') THEN concat('Record ', {record}, ' holds a value in {q}', {field}, '{q} that is not on the allowed list. Please confirm the code.')
   WHEN starts_with({issue}, 'invalid_format_') THEN concat('Record ', {record}, ' has a badly formatted {q}', {field}, '{q}. Please check the identifier or code at the source.')
   WHEN starts_with({issue}, 'invalid_date_order_') THEN concat('Record ', {record}, ' ends before it starts. Please check the dates of the timeline.')
-  WHEN starts_with({issue}, 'outlier_') THEN concat('Record ', {record}, ' has an unusual value in {q}', {field}, '{q}. Please review the source value.')
-  ELSE concat('Please review record ', {record}, ' for issue {q}', {issue}, '{q}.')
+  WHEN starts_with({issue}, 'outlier_') THEN concat('Record ', {record}, ' differs widely from the rest in {q}', {field}, '{q}. Please compare it with where it came from.')
+  ELSE concat('Record ', {record}, ' needs a look: {q}', {issue}, '{q} was found.')
 END"""
 
 
@@ -161,7 +160,7 @@ SEV_SQL = ("CASE WHEN lower(rule_severity) IN ('critical', 'high') THEN 'high' "
 @register("severity_normalised", with_rec(
     f"SELECT record_id, rule_id, issue_type, rule_severity, {SEV_SQL} AS severity FROM issues", MIX_CTE))
 def q_severity_normalised(spark, sf_dir):
-    return add_severity(mix_issues(spark, sf_dir)).select("record_id", "rule_id", "issue_type", "rule_severity",
+    return score_rules(mix_issues(spark, sf_dir)).select("record_id", "rule_id", "issue_type", "rule_severity",
                                                          "severity")
 
 
@@ -173,14 +172,14 @@ RULE_MSG = message_sql("issue_type", "coalesce(issue_column, field_name, 'the fl
 @register("draft_messages_rules", with_rec(
     f"SELECT record_id, rule_id, issue_type, {RULE_MSG} AS drafted_query FROM issues", MIX_CTE))
 def q_draft_messages_rules(spark, sf_dir):
-    scored = add_drafted_messages(add_severity(mix_issues(spark, sf_dir)))
+    scored = add_drafted_messages(score_rules(mix_issues(spark, sf_dir)))
     return scored.select("record_id", "rule_id", "issue_type", "drafted_query")
 
 
 @register("summary_generic", with_rec(
     f"SELECT source, issue_type, {SEV_SQL} AS severity, COUNT(*) AS flagged_count FROM issues GROUP BY ALL", MIX_CTE))
 def q_summary_generic(spark, sf_dir):
-    return reports.summary_generic(add_severity(mix_issues(spark, sf_dir)))
+    return reports.summary_generic(score_rules(mix_issues(spark, sf_dir)))
 
 
 @register("run_totals", with_rec(
@@ -191,15 +190,20 @@ def q_run_totals(spark, sf_dir):
     return reports.run_totals(RuleEngine(MIX_RULES, review_date=RD).annotate(tables.records(spark, sf_dir)))
 
 
+# The ten rule types, written out so that the oracle does not follow the engine's list.
+RULE_TYPES = ("missing_value", "duplicate", "numeric_range", "date_range", "cardinality", "unit_mismatch", "outlier",
+              "allowed_values", "format_check", "date_order")
+
+
 def rules_frame(spark, rules: list[dict]) -> DataFrame:
-    rows = [(r.get("id", r.get("type")), r.get("type"), r.get("type") in SUPPORTED_RULES, bool(r.get("enabled", True)))
+    rows = [(r.get("id", r.get("type")), r.get("type"), r.get("type") in RULE_TYPES, bool(r.get("enabled", True)))
             for r in rules]
     return spark.createDataFrame(rows, "id string, type string, implemented boolean, enabled boolean")
 
 
 def rules_values_sql(rules: list[dict]) -> str:
     vals = ", ".join(
-        f"('{r.get('id', r.get('type'))}', '{r.get('type')}', {str(r.get('type') in SUPPORTED_RULES).upper()}, "
+        f"('{r.get('id', r.get('type'))}', '{r.get('type')}', {str(r.get('type') in RULE_TYPES).upper()}, "
         f"{str(bool(r.get('enabled', True))).upper()})" for r in rules)
     return f"rules(id, type, implemented, enabled) AS (VALUES {vals})"
 

@@ -24,12 +24,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from lintel import config
-from lintel.operators.groups import DEFAULT_HOT_FRACTION, DEFAULT_MIN_HOT_ROWS, attach_group_count
+from lintel.functions.columns import protect_reserved
+from lintel.operators.groups import DEFAULT_HOT_FRACTION, attach_group_count
 from lintel.operators.quantiles import approx_quantiles, exact_quantiles_grouped
 from lintel.operators.rules import SUPPORTED_RULES, Bindings, Check, RuleCompiler
 from lintel.operators.stats import colref, distinct_counts
 from lintel.functions import sqltext as S
-from lintel.functions.values import as_double, as_text, blank
+from lintel.functions.values import as_double, blank
 from lintel.schemas import ISSUE_STRUCT
 
 logger = logging.getLogger("lintel")
@@ -37,14 +38,6 @@ logger = logging.getLogger("lintel")
 ISSUES = "issues"
 
 
-def protect_reserved(df: DataFrame) -> DataFrame:
-    """Rename input columns that clash with engine outputs (``severity`` -> ``input_severity``)."""
-    clash = [c for c in df.columns if c in config.RESERVED_COLUMNS or c == ISSUES]
-    if not clash:
-        return df
-    return df.withColumnsRenamed({c: config.RENAMED_INPUT_PREFIX + c for c in clash})
-
-
 @dataclass
 class EngineOptions:
     review_date: str = config.REVIEW_DATE
@@ -53,7 +46,6 @@ class EngineOptions:
     distinct: str = "exact"             # "exact" (unpivot aggregate) or "approx" (HLL++)
     distinct_error: float = 0.05
     hot_fraction: float = DEFAULT_HOT_FRACTION
-    min_hot_rows: int = DEFAULT_MIN_HOT_ROWS
     duplicate_strategy: str = "join"    # "join" (skew-safe) or "window" (one exchange, unskewed keys)
     # Write an expensive input (e.g. a join) once to spark.checkpoint.dir when the rules need more
     # than one pass over it (statistics, duplicate counts), instead of recomputing it per pass.
@@ -118,16 +110,9 @@ class RuleEngine:
         helper: list[str] = []
         out = df
         base = df
-        for i, (c, values) in enumerate(req.membership):
-            name = Bindings.member_name(i)
-            allowed = out.sparkSession.createDataFrame([(v,) for v in values], "__lintel_v string")
-            key = F.lower(as_text(colref(c), types[c]))
-            out = (out.join(F.broadcast(allowed), key == F.col("__lintel_v"), "left")
-                   .withColumn(name, F.col("__lintel_v").isNotNull()).drop("__lintel_v"))
-            helper.append(name)
         for i, c in enumerate(req.group_counts):
             name = Bindings.group_count_name(i)
-            out = attach_group_count(out, [c], name, hot_fraction=opts.hot_fraction, min_hot_rows=opts.min_hot_rows,
+            out = attach_group_count(out, [c], name, hot_fraction=opts.hot_fraction,
                                      strategy=opts.duplicate_strategy, counts_from=base)
             helper.append(name)
         # Global aggregates (row total, blank counts, approximate distinct counts and quartile

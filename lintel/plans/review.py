@@ -1,6 +1,7 @@
 """A review run: pick the check path, build lazy outputs, materialise once, export.
 
-``Review(df, ...)`` builds plans only.  ``write(out_dir)`` runs them: the
+``Review(df, ...)`` builds plans only, but for auto mode, which first reads the table once to
+choose its domain.  ``write(out_dir)`` runs them: the
 flagged rows (with their issue arrays) are written once as Parquet, and every
 other output - the long issue export, the summary, totals, metadata - is
 computed from that written table plus a row count of the input, so the
@@ -14,12 +15,13 @@ import json
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lintel import config, packs
 from lintel.functions.messages import add_drafted_messages
-from lintel.functions.severity import add_severity
+from lintel.functions.severity import score_clinical, score_rules
 from lintel.operators import clinical, reports
+from lintel.operators.stats import colref
 from lintel.plans.engine import ISSUE_POSITION, ISSUES, RuleEngine, explode_issues
 from lintel.schemas import RECORD_COLUMNS
 
@@ -37,7 +39,16 @@ def export_projection(flagged: DataFrame, clinical_mode: bool) -> DataFrame:
     if clinical_mode:
         return flagged.select(*[c for c in CLINICAL_EXPORT if c in flagged.columns])
     front = [c for c in RULE_EXPORT_FRONT if c in flagged.columns]
-    return flagged.select(*front, *[c for c in flagged.columns if c not in front])
+    return flagged.select(*front, *[colref(c) for c in flagged.columns if c not in front])
+
+
+def flat_text(df: DataFrame) -> DataFrame:
+    """Nested columns as JSON text and binary as base64, for formats that hold plain values only."""
+    def plain(f):
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.to_json(colref(f.name)).alias(f.name)
+        return F.base64(colref(f.name)).alias(f.name) if isinstance(f.dataType, T.BinaryType) else colref(f.name)
+    return df.select(*[plain(f) for f in df.schema.fields])
 
 
 @dataclass
@@ -51,9 +62,6 @@ class Review:
     engine_options: dict = field(default_factory=dict)
     domain: dict | None = None
     cross_check: bool = True                 # clinical path: compare with the SQL form on write
-    # Auto mode: classify the domain from the first N rows (the original used 1,000);
-    # None classifies from the whole table.
-    classify_preview_rows: int | None = None
 
     def __post_init__(self):
         if self.mode not in ("auto", "clinical", "configurable"):
@@ -65,8 +73,7 @@ class Review:
                                                           and looks_clinical(self.df.columns)))
         if not self.clinical_mode and not self.rules:
             from lintel.operators.domain import best_domain
-            sample = self.df.limit(self.classify_preview_rows) if self.classify_preview_rows else self.df
-            self.domain = self.domain or best_domain(sample)
+            self.domain = self.domain or best_domain(self.df)
             self.pack_id = self.domain["domain"] if self.domain["domain"] in packs.PACK_IDS else "generic"
             self.rules = packs.get_pack(self.pack_id, fallback=True)["rules"]
         else:
@@ -89,7 +96,7 @@ class Review:
 
     def scored(self, flagged: DataFrame | None = None) -> DataFrame:
         f = flagged if flagged is not None else self.flagged()
-        return add_drafted_messages(add_severity(f, self.high_threshold))
+        return add_drafted_messages(score_clinical(f, self.high_threshold) if self.clinical_mode else score_rules(f))
 
     def issues(self) -> DataFrame:
         """Issue rows with severity and reviewer message (lazy)."""
@@ -117,7 +124,7 @@ class Review:
         else:
             ann = self.annotated()
             flagged = ann.agg(F.count_if(F.size(ISSUES) > 0)).scalar()
-            issues = ann.agg(F.sum(F.size(ISSUES)).cast("long")).scalar()
+            issues = ann.agg(F.coalesce(F.sum(F.size(ISSUES)), F.lit(0)).cast("long")).scalar()
         return spark.range(1).select(
             F.lit(self.clinical_mode).alias("clinical_mode"), F.lit(self.pack_id).cast("string").alias("rule_pack"),
             total.alias("total_records"), issues.alias("issues"), flagged.alias("flagged_records"),
@@ -144,7 +151,7 @@ class Review:
             issue_rows = staged.drop(ISSUE_POSITION)
         scored = self.scored(issue_rows)
         export = export_projection(scored, self.clinical_mode)
-        writer = export.write.mode("overwrite")
+        writer = (flat_text(export) if fmt == "csv" else export).write.mode("overwrite")
         if fmt == "csv":
             writer.option("header", True).csv(f"{base}/flagged_records")
         else:

@@ -83,9 +83,9 @@ def test_clinical_pack_on_wrong_types_is_ansi_safe(spark):  # FIXTURES F5 wrong
 
 
 def test_message_drafting_plan_has_no_python(spark, sample_records):
-    from lintel.functions.severity import add_severity
+    from lintel.functions.severity import score_clinical
     from lintel.operators import clinical
-    scored = add_drafted_messages(add_severity(clinical.run_checks_dataframe(sample_records)))
+    scored = add_drafted_messages(score_clinical(clinical.run_checks_dataframe(sample_records)))
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
     assert scored.where("drafted_query IS NULL").count() == 0

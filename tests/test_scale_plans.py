@@ -24,13 +24,13 @@ def test_duplicate_rules_add_up(spark):
 def test_hot_rows_spread_over_partitions(spark):
     for make in (lambda i: i, lambda i: F.concat(F.lit("row"), i.cast("string"))):
         df = spark.range(60000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 9000).cast("string"))).alias("k"), make(F.col("id")).alias("v"))
-        out = attach_group_count(df, ["k"], "n", hot_fraction=0.1, min_hot_rows=100)
+        out = attach_group_count(df, ["k"], "n", hot_fraction=0.1)
         assert out.where("k = 'hot'").select("n").distinct().collect()[0][0] == 20000
         assert out.where("n is null").count() == 0
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         try:
-            parted = attach_group_count(df, ["k"], "n", hot_fraction=0.1, min_hot_rows=100)
+            parted = attach_group_count(df, ["k"], "n", hot_fraction=0.1)
             plan = parted._jdf.queryExecution().executedPlan().toString()
             assert re.search(r"hashpartitioning\([^)]*__lns", plan)
             per = parted.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
@@ -48,3 +48,23 @@ def test_nested_values_stay_distinct(spark):
 def test_totals_of_an_empty_table_are_zero(spark):
     row = run_totals(spark.createDataFrame([], "issues array<int>")).first()
     assert (row["total_records"], row["issues"], row["flagged_rows"], row["clear_rows"]) == (0, 0, 0, 0)
+
+
+def test_exact_quartiles_do_not_depend_on_exchange_reuse(spark):
+    from lintel.operators.quantiles import exact_quantiles_grouped
+    x = F.when(F.col("id") % 3 == 0, 7.25).when(F.col("id") % 50 == 0, None).otherwise(F.sin("id") * F.exp(F.col("id") % 40) - 5)
+    df = spark.range(20000).select((F.col("id") % 3 * F.col("id") % 2).alias("g"), x.alias("x"))
+    want = {r["g"]: (r["a"], r["b"], r["c"]) for r in df.groupBy("g").agg(*[F.percentile("x", p).alias(n) for p, n in ((0.25, "a"), (0.5, "b"), (0.75, "c"))]).collect()}
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        got = {r["g"]: (r["q0"], r["q1"], r["q2"]) for r in exact_quantiles_grouped(df, "g", "x", [0.25, 0.5, 0.75]).collect()}
+        assert got.keys() == want.keys() and all(abs(a - b) <= 1e-9 * max(1, abs(b)) for g in want for a, b in zip(got[g], want[g], strict=True))
+    spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_domain_reads_every_column_and_value(spark):
+    from lintel.operators.domain import best_domain
+    wide = spark.range(300).select(*[F.lit("zz").alias(f"a{i}") for i in range(30)],
+                                   F.when(F.col("id") == 299, "WAREHOUSE stock").otherwise("aa").alias("a30"))
+    best = best_domain(wide)
+    assert best["domain"] == "inventory" and best["reason"] == ["stock", "warehouse"]
