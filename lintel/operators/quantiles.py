@@ -68,7 +68,9 @@ def exact_quantiles_grouped(long: DataFrame, group: str, x: str, probs: Sequence
     for _ in range(STEPS):
         ranges = kept.select(F.col("g").alias("rg"), "k", "rank", F.col("part").alias("rpart"),
                              F.col("lo").alias("rlo"), F.col("hi").alias("rhi"), "n")
-        inside = distinct.join(F.broadcast(ranges), F.col("g").eqNullSafe(F.col("rg")) & (F.col("part") == F.col("rpart")))
+        # Null-safe on both keys: a plain equality would push a null test below the aggregate in this
+        # branch alone, and the scan would be repeated instead of its exchange reused.
+        inside = distinct.join(F.broadcast(ranges), F.col("g").eqNullSafe(F.col("rg")) & F.col("part").eqNullSafe(F.col("rpart")))
         inside = inside.where((F.col("x") >= F.col("rlo")) & (F.col("x") <= F.col("rhi")))
         share = F.try_divide(F.col("x") - F.col("rlo"), F.col("rhi") - F.col("rlo"))
         fine = F.when(F.col("rhi") > F.col("rlo"), F.floor(share * FINE)).otherwise(0).cast("long")
