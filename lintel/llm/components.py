@@ -17,7 +17,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     can be split.
     Null ends are ignored; an empty edge table gives an empty result.
     """
-    pairs = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).dropna()
+    # Written first: making the edges may be costly, and they are read three times.
+    pairs = checkpointed(edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).dropna())
     loops = pairs.where("a = b").select("a")
     pairs = pairs.where("a <> b")
     left = checkpointed(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
