@@ -9,6 +9,7 @@ unless the ids themselves are asked for.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import zlib
 from collections.abc import Iterator
@@ -39,9 +40,15 @@ class Tokens:
         self.model, self.known, self.parts = Tokenizer.from_file(path), {}, {}
 
     def _encode(self, found: list[str]) -> list[bytes]:
-        """Ids of each string, as bytes."""
-        encode = getattr(self.model, "encode_batch_fast", self.model.encode_batch)
-        return [np.array(e.ids, "<u4").tobytes() for e in encode(found, add_special_tokens=False)]
+        """Ids of each string, as bytes: the strings are encoded as the lines of one text, whose offsets tell the lines apart."""
+        if not found:
+            return []
+        whole = self.model.encode("\n".join(found), add_special_tokens=False)
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
+        line = np.searchsorted(ends, np.fromiter((o[0] for o in whole.offsets), np.int64, len(whole.offsets)), "right")
+        cuts = [0, *(4 * np.cumsum(np.bincount(line, minlength=len(found)))).tolist()]
+        ids = np.array(whole.ids, "<u4").tobytes()
+        return [ids[a:b] for a, b in itertools.pairwise(cuts)]
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
@@ -51,21 +58,22 @@ class Tokens:
         found, known = text.encode("utf-8", "surrogatepass").split(), self.known
         if len(known) > self.CACHE:
             known.clear()
-        # A run of marks after a letter or digit is a token run of its own, so stems are shared; letter case is dropped.
-        new: dict[bytes, tuple[bytes, bytes]] = {}
-        for w in found:
-            if w not in known and w not in new:
-                stem = w.rstrip(MARKS)
-                new[w] = (stem.lower(), w[len(stem):]) if stem and stem[-1:].isalnum() and stem.isascii() else (w, b"")
-        if new:
-            parts = [p for p in {p for pair in new.values() for p in pair if p} if p not in self.parts]
+        got = list(map(known.get, found))
+        if None in got:
+            # A run of marks after a letter or digit is a token run of its own, so stems are shared; letter case is dropped.
+            new: dict[bytes, tuple[bytes, bytes]] = {}
+            for w, ids in zip(found, got, strict=True):
+                if ids is None and w not in new:
+                    stem = w.rstrip(MARKS)
+                    new[w] = (stem.lower(), w[len(stem):]) if stem and stem[-1:].isalnum() and stem.isascii() else (w, b"")
             if len(self.parts) > self.CACHE:
                 self.parts.clear()
-                parts = list({p for pair in new.values() for p in pair if p})
+            parts = [p for p in {p for pair in new.values() for p in pair if p} if p not in self.parts]
             self.parts.update(zip(parts, self._encode([p.decode() for p in parts]), strict=True))
             for w, (stem, tail) in new.items():
                 known[w] = self.parts[stem] + (self.parts[tail] if tail else b"")
-        return np.frombuffer(b"".join([known[w] for w in found]) + END.to_bytes(4, "little"), "<u4")
+            got = [known[w] for w in found]
+        return np.frombuffer(b"".join(got) + END.to_bytes(4, "little"), "<u4")
 
 
 @functools.lru_cache(2)
