@@ -147,6 +147,13 @@ def test_packing(docs, empty):
     assert packing.pack(empty, tokenizer_path()).count() == 0
 
 
+def test_words_encoded_as_lines_equal_whole_texts():
+    tokens = packing.Tokens(tokenizer_path())
+    texts = ["", "  ", "a\u0085b\u2028c d\u3000e", "e\u0301 \u00c9 \u0130 \ufb01", "\u200bx", "a\x00b \x1c z", "\u65e5\u672c\u8a9e !!", "x" * 3000 + "!?", "na\u00efve, it's; a-b.", "it's it's"]
+    for text in texts:
+        assert tokens(text).tolist() == [*tokens.model.encode(text, add_special_tokens=False).ids, packing.END]
+
+
 def test_first_fit_decreasing_like_a_plain_scan():
     r = np.random.default_rng(1)
     lengths = r.integers(1, 101, 500)
