@@ -232,6 +232,34 @@ def test_context_mixture_is_a_distribution():
     assert sum(10 ** m.score([np.array([s])])[0] for s in range(5)) == pytest.approx(1, abs=1e-5)
 
 
+def test_context_counts_are_exact(spark):
+    """Every context has counts of its own, however many there are."""
+    r = np.random.default_rng(4)
+    texts = [r.integers(1, 4000, 3000).astype(np.int64) for _ in range(4)]
+    code = lm.Code.build([(b"%d" % i, 1 + 4000 // i) for i in range(1, 4000)], 1, 12000)
+    rows = [(i // 2, zlib.compress(s.astype(np.int32).tobytes()), i != 3) for i, s in enumerate(texts)]
+    coded = spark.createDataFrame(rows, "chunk long, symbols binary, train boolean").repartition("chunk").sortWithinPartitions("chunk")
+    asks = coded.mapInArrow(lm._counted(0), lm.ASKS).repartition(3, "context").sortWithinPartitions("context", "chunk")
+    told = asks.mapInArrow(lm._answered(code), "context long, chunk long, counts binary").collect()
+    want = collections.defaultdict(collections.Counter)
+    for s in texts[:3]:
+        for c, x in zip(*lm.contexts([s], 0), strict=True):
+            _, _, node, bit = code.paths(np.array([x]))
+            want[c].update(zip(node.tolist(), bit.tolist(), strict=True))
+    seen = 0
+    for chunk in (0, 1):
+        got = sorted((r["context"], bytes(r["counts"])) for r in told if r["chunk"] == chunk)
+        m = lm.Mixer(code, *np.zeros((2, code.size()), np.uint16)).meet(np.array([c for c, _ in got]), np.frombuffer(b"".join(x for _, x in got), np.uint32))
+        both = texts[2 * chunk:2 * chunk + 2]
+        at = np.concatenate(m.places(both))
+        for k, (c, x) in enumerate(zip(*lm.contexts(both, 0), strict=True)):
+            _, _, node, _ = code.paths(np.array([x]))
+            for j, n in enumerate(node.tolist()):
+                assert (m.zeros[at[k] + j], m.ones[at[k] + j]) == (want[c][n, 0], want[c][n, 1])
+                seen += 1
+    assert seen > 100_000
+
+
 def test_toxicity_learns_a_word(spark, empty):
     r = np.random.default_rng(3)
     rows, labels = [], []
