@@ -1,7 +1,9 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling.
 
 A word's input is the sum of its word vector and of hashed character n-gram vectors
-(with word-boundary marks), so unseen words that share parts with toxic ones count.  The network reads windows of ``WINDOW`` words that overlap; the
+(with word-boundary marks), so unseen words that share parts with toxic ones count.
+Words of more than ``LONG`` bytes (texts without spaces, joined words) are read as
+several inputs that overlap, so that every character n-gram is read.  The network reads windows of ``WINDOW`` words that overlap; the
 states of both directions are pooled by attention to one logit per window.  All
 windows of a text are scored, and a document's score is a logistic function of the
 greatest and the mean window logit.  Training is plain numpy on a bounded sample.
@@ -23,6 +25,8 @@ WINDOW, STRIDE = 64, 48
 SIZE = 16                   # of the word and character vectors
 HIDDEN = 12                 # of each direction
 SLOTS = 1 << 15             # hashed character vectors
+LONG = 160                  # longer words, in bytes, are several inputs
+PIECE, OVERLAP = 48, 5      # characters of such an input, and those it shares with the next: all n-grams of 6 stay whole
 TRAIN_TOXIC, TRAIN_CLEAN = 1200, 2000   # bound on the labelled documents that training reads
 TRAIN_WINDOWS = 2           # windows per document that training reads
 SEEN = 4                    # places a word or character slot must be found in to have a vector
@@ -38,9 +42,24 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def inputs_of(text: str | None) -> list[bytes]:
+    """The words of a text, long ones in overlapping pieces."""
+    found = word_list(text)
+    if all(len(w) <= LONG for w in found):
+        return found
+    out = []
+    for w in found:
+        if len(w) <= LONG:
+            out.append(w)
+            continue
+        letters = w.decode("utf-8", "surrogatepass")
+        out += [letters[at:at + PIECE].encode("utf-8", "surrogatepass") for at in range(0, max(1, len(letters) - OVERLAP), PIECE - OVERLAP)]
+    return out
+
+
 def grams(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Slots of the character 3- to 6-grams of every ``<word>``, word by word, and where each word's slots begin (one more at the end)."""
-    marked = [f"<{w[:160].decode('utf-8', 'replace')}>" for w in found]
+    marked = [f"<{w.decode('utf-8', 'replace')}>" for w in found]
     flat = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.array([len(m) for m in marked], np.int64)
     owner = np.repeat(np.arange(len(marked)), sizes)
@@ -266,7 +285,7 @@ class Scorer:
         while lo < len(texts):  # as many texts at once as make about 200,000 words
             hi, held, some = lo, 0, []
             while hi < len(texts) and held < 200_000:
-                some.append(word_list(texts[hi]))
+                some.append(inputs_of(texts[hi]))
                 held += len(some[-1])
                 hi += 1
             numbers = self._numbers(some)
@@ -335,7 +354,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for b in batches:
             parts, y, who = [], [], []
             for i, t, c in zip(b.column("__id").to_pylist(), b.column("text").to_pylist(), b.column("__toxic").to_pylist(), strict=True):
-                found = word_list(t)
+                found = inputs_of(t)
                 first = starts(len(found))
                 few = np.random.default_rng([SEED, i & 0x7FFFFFFF]).permutation(len(first))[:TRAIN_WINDOWS]
                 for s in first[np.sort(few)]:

@@ -260,6 +260,20 @@ def test_context_counts_are_exact(spark):
     assert seen > 100_000
 
 
+def test_toxicity_reads_words_without_spaces_whole():
+    plain = "一二三四五六七八九十" * 20
+    r = np.random.default_rng(5)
+    mixed = "".join(chr(0x4E00 + int(c)) for c in r.integers(0, 2000, 500))
+    for text in (mixed, "under_scored_words_" * 30 + "vile", "a" * 161, "\ud800" * 90):
+        pieces = toxicity.inputs_of(text)
+        read = {p.decode("utf-8", "surrogatepass")[i:i + n] for p in pieces for n in range(3, 7) for i in range(len(p) - n + 1)}
+        assert all(text[i:i + n] in read for n in range(3, 7) for i in range(len(text) - n + 1))
+    assert toxicity.inputs_of("A b " + "c" * 160) == [b"a", b"b", b"c" * 160]
+    net = toxicity.Network([toxicity.inputs_of(plain + "劣悪劣悪劣悪"), toxicity.inputs_of(plain)] * toxicity.SEEN)
+    _, top, _ = toxicity.Scorer(net)([plain, plain + "劣悪劣悪劣悪", "y " + plain, "y " + plain + "劣悪劣悪劣悪"])
+    assert top[0] != top[1] and top[2] != top[3]
+
+
 def test_toxicity_learns_a_word(spark, empty):
     r = np.random.default_rng(3)
     rows, labels = [], []
