@@ -200,12 +200,18 @@ def main_text(page: str | None, low: set[int]) -> str:
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: how many pages show a node (host, path) with some presentation and some content."""
+    """Per page: how often it shows a node (host, path) with some presentation and some content; ``lead`` is 1 in one row of each page and path.  Equal pages give equal rows."""
     for b in batches:
-        counts: dict[tuple[str, int, int, int], int] = {}
+        counts: dict[tuple[str, int, int, int, int], int] = {}
+        leads: list[int] = []
+        done: set[tuple[str, int]] = set()
         for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
             if not page:
                 continue
+            name = xxhash.xxh3_64_intdigest(page.encode("utf-8", "surrogatepass")) - 2**63
+            if (host, name) in done:
+                continue
+            done.add((host, name))
             blocks, children = parse(page)
             text: dict[int, list[str]] = {}
             known: dict[int, Element] = {}
@@ -214,37 +220,44 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if not e.plain:
                         text.setdefault(e.number, []).append(t)
                         known[e.number] = e
+            paths: set[int] = set()
             for number, parts in text.items():
                 kids = children[number]
+                path = known[number].path
                 look = xxhash.xxh3_64_intdigest(repr([k for i, k in enumerate(kids) if not i or kids[i - 1] != k])) >> 1
-                k = (host, known[number].path, look, xxhash.xxh3_64_intdigest("\n".join(parts)) >> 1)
+                k = (host, name, path, look, xxhash.xxh3_64_intdigest("\n".join(parts)) >> 1)
+                if k not in counts:
+                    leads.append(int(path not in paths))
+                    paths.add(path)
                 counts[k] = counts.get(k, 0) + 1
-        cols = list(zip(*counts, strict=True)) or [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]], pa.array(list(counts.values()), pa.int64())],
-                                         ["host", "path", "look", "content", "n"])
+        cols = list(zip(*counts, strict=True)) or [(), (), (), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]], pa.array(list(counts.values()), pa.int64()), pa.array(leads, pa.int64())],
+                                         ["host", "page", "path", "look", "content", "n", "lead"])
 
 
 def style_tree(pages: DataFrame, least_pages: int = LEAST_PAGES, content_weight: float = CONTENT_WEIGHT) -> DataFrame:
     """``(host, path, seen, importance)`` of every node of the hosts' style trees, from ``(host, html)`` rows.
 
-    With ``seen`` showings of a node, of which n_i show variant i, the entropy is
-    log(seen) - sum(n_i log n_i) / seen; divided by log(seen) it lies in 0 to 1.
+    Equal pages of a host count once, and a node must be on ``least_pages`` different
+    pages.  With ``seen`` showings of a node, of which n_i show variant i, the entropy
+    is log(seen) - sum(n_i log n_i) / seen; divided by log(seen) it lies in 0 to 1.
     """
-    nodes = pages.mapInArrow(_nodes, "host string, path long, look long, content long, n long")
-    both = nodes.select("host", "path", "n", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("look").alias("v")), F.struct(F.lit(1).alias("k"), F.col("content").alias("v")))).alias("x"))
-    variants = both.groupBy("host", "path", "x.k", "x.v").agg(F.sum("n").alias("n"))
+    nodes = pages.mapInArrow(_nodes, "host string, page long, path long, look long, content long, n long, lead long").dropDuplicates(["host", "page", "path", "look", "content"])
+    both = nodes.select("host", "path", "n", "lead", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("look").alias("v")), F.struct(F.lit(1).alias("k"), F.col("content").alias("v")))).alias("x"))
+    variants = both.groupBy("host", "path", "x.k", "x.v").agg(F.sum("n").alias("n"), F.sum("lead").alias("lead"))
     weight = F.when(F.col("k") == 1, content_weight).otherwise(1 - content_weight)
     sums = variants.groupBy("host", "path").agg(
-        F.sum(F.when(F.col("k") == 1, F.col("n"))).alias("seen"), F.sum(weight * F.col("n") * F.log(F.col("n").cast("double"))).alias("s"))
-    return sums.where(F.col("seen") >= least_pages).select("host", "path", "seen", (1 - F.col("s") / F.col("seen") / F.log(F.col("seen").cast("double"))).alias("importance"))
+        F.sum(F.when(F.col("k") == 1, F.col("n"))).alias("seen"), F.sum(F.when(F.col("k") == 1, F.col("lead"))).alias("on"),
+        F.sum(weight * F.col("n") * F.log(F.col("n").cast("double"))).alias("s"))
+    return sums.where((F.col("on") >= least_pages) & (F.col("seen") > 1)).select("host", "path", "seen", (1 - F.col("s") / F.col("seen") / F.log(F.col("seen").cast("double"))).alias("importance"))
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", low: float = LOW, least_pages: int = LEAST_PAGES) -> tuple[DataFrame, str]:
     """``pages`` plus a column with the main text; returns the frame and the column's name.
 
     Null, empty or text-free pages give the empty string.  Pages without a host
-    share one tree.  Repeated pages give equal texts; a page's own copies count as
-    showings of its nodes.  No page is cut, whatever its length.
+    share one tree.  Repeated pages of a host give equal texts and count once in its
+    tree, so copies change no text.  No page is cut, whatever its length.
     """
     host, bad, name = fresh("host", pages), fresh("low", pages), fresh("main_text", pages)
     tree = style_tree(pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")), least_pages)

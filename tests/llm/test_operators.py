@@ -212,6 +212,16 @@ def test_main_text(spark):
     assert got[100] == "A & B\none two\nthree" and got[101] == got[102] == "" and got[3] == "text 3 of its own" and len(got) == 15
 
 
+def test_copies_of_a_page_change_no_text(spark):
+    page = lambda i: f"<body><div class='k'>always the same</div><div class='post-body'><p>text {i} of its own</p></div></body>"
+    rows = [(i, f"http://h.org/{i}", page(max(0, i - 290))) for i in range(320)]
+    rows += [(1000 + i, f"http://few.org/{i}", page(i % 7)) for i in range(70)]  # seven different pages are too few to judge by
+    out, name = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5))
+    got = {r["page_id"]: r[name] for r in out.collect()}
+    assert all(got[i] == f"text {max(0, i - 290)} of its own" for i in range(320))
+    assert all(got[1000 + i] == f"always the same\ntext {i % 7} of its own" for i in range(70))
+
+
 def test_language_model(docs, empty):
     out = lm.score_texts(docs).toPandas()
     rows = corpus()
