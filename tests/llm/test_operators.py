@@ -175,6 +175,17 @@ def test_sharding(docs, empty):
     assert sharding.shard(empty).count() == 0
 
 
+@pytest.mark.parametrize("giant", [0, 3000])
+def test_copies_stay_together_where_nearly_all_are_copies(spark, giant):
+    rows = [(i, f"text {i // 3} " + "x" * (i // 3 % 50)) for i in range(6000)] + [(10_000 + i, f"lone {i}" * 5) for i in range(60)]
+    rows += [(20_000 + i, "the one that is everywhere") for i in range(giant)]
+    out = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), shards=8)
+    linked, apart, small = sharding.cut(out, 8)
+    load = out.groupBy("shard").agg(F.sum("size").alias("b")).toPandas().b
+    assert out.count() == len(rows) and linked > 0 and small == 0 and (giant or not apart)
+    assert len(load) == 8 and load.max() < 1.03 * load.mean() and load.min() > 0.97 * load.mean()
+
+
 def test_vectors(spark):
     r = np.random.default_rng(2)
     base = r.standard_normal((150, 16))
