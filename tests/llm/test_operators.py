@@ -245,6 +245,14 @@ def test_language_model(docs, empty):
     assert lm.score_texts(empty).count() == 0
 
 
+def test_words_beyond_the_commonest_have_contexts(spark):
+    """Words at ranks above 32,768 are predicted by the words before them."""
+    line = [f"w{i}" for i in range(40_000)]
+    rows = [(i, " ".join(line)) for i in (1, 2, 3)] + [(4, " ".join(line[:35_000]))] * 2 + [(9, " ".join(line[39_000:]))]
+    out = lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), training=F.col("doc_id") < 9).where("doc_id = 9").first()
+    assert out["score"] > 0.7 * out["base_score"]
+
+
 def test_context_mixture_is_a_distribution():
     words = [(b"", 5), (b"a", 9), (b"b", 4), (b"c", 1)]
     code = lm.Code.build(words, 3, 22)
