@@ -253,6 +253,18 @@ def test_words_beyond_the_commonest_have_contexts(spark):
     assert out["score"] > 0.7 * out["base_score"]
 
 
+def test_first_weights_come_from_texts_of_any_length(spark, monkeypatch):
+    fitted = []
+    fit = lm._fit
+    monkeypatch.setattr(lm, "_fit", lambda mixer, both: (fit(mixer, both), fitted.append(mixer)))
+    r = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{x}" for x in r.integers(0, 900, 6000))) for i in range(4)]
+    out = lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), training=F.lit(True)).toPandas()
+    assert all(len(t) > 20_000 for _, t in rows) and len(out) == 4 and (out.score < 0).all()
+    plain = lm.Mixer(fitted[0].code, fitted[0].zeros, fitted[0].ones)
+    assert not np.allclose(fitted[0].weights, plain.weights, atol=1e-3)
+
+
 def test_context_mixture_is_a_distribution():
     words = [(b"", 5), (b"a", 9), (b"b", 4), (b"c", 1)]
     code = lm.Code.build(words, 3, 22)
@@ -278,8 +290,8 @@ def test_context_counts_are_exact(spark):
     seen = 0
     for chunk in (0, 1):
         got = sorted((r["context"], bytes(r["counts"])) for r in told if r["chunk"] == chunk)
-        m = lm.Mixer(code, *np.zeros((2, code.size()), np.uint16)).meet(np.array([c for c, _ in got]), np.frombuffer(b"".join(x for _, x in got), np.uint32))
         both = texts[2 * chunk:2 * chunk + 2]
+        m = lm.Mixer(code, *np.zeros((2, code.size()), np.uint16)).meet(np.array([c for c, _ in got]), np.frombuffer(b"".join(x for _, x in got), np.uint32), both)
         at = np.concatenate(m.places(both))
         for k, (c, x) in enumerate(zip(*lm.contexts(both, 0), strict=True)):
             _, _, node, _ = code.paths(np.array([x]))
