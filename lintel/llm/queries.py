@@ -4,17 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lintel.llm import embeddings, html_text, lm, minhash, mixing, packing, quality, sharding, toxicity, url_lists
-from lintel.llm.common import read, remainder
-
-TOKENIZER = "word_bpe_49k.json"
-
-
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-    return public_tokenizers.path(name)
+import corpus_pipeline
+from lintel.llm import bpe, embeddings, html_text, lm, merkle, minhash, mixing, packing, periodic, quality, sharding, toxicity, url_lists
+from lintel.llm.common import read, remainder, tokenizer_path, words
 
 
 def op1_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,12 +85,102 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def crc(key: Column) -> Column:
+    """crc32 of a key's decimal text; null for a null key."""
+    return F.crc32(key.cast("string").cast("binary"))
+
+
+def op11_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, folded from the leaves of a copy in which every third document (by crc32 of its id) is lower-cased."""
+    docs = read(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", UPPER, UPPER.lower())
+    seen = F.when(crc(F.col("doc_id")) % 3 == 0, merkle.leaf(*[F.col(c) for c in fields[:-1]], lowered))
+    proofs = merkle.build(docs, fields, carry={"seen": seen}).proofs()
+    folded = proofs.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+                           merkle.fold(F.coalesce("seen", "leaf"), F.col("path")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in one of ten documents all words from a place on repeat a period; both follow from the id (a null id's crc32 counts as 0)."""
+    h = F.coalesce(crc(F.col("doc_id")), F.lit(0))
+    g = F.floor(h / 10)
+    w = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words(F.col("text"))).alias("w"))
+    a = F.col("g") % F.size("w")
+    w = w.withColumn("a", F.when(F.size("w") > 0, a).cast("int"))
+    w = w.withColumn("p", (1 + F.floor((F.size("w") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    planted = F.array_join(F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", F.col("a") + (i - F.col("a")) % F.col("p")))), " ")
+    return w.select("doc_id", F.when(F.col("p").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, name = periodic.periodic_runs(with_planted_runs(read(spark, sf_dir, "documents")))
+    runs = F.col(name["runs"])
+    best = periodic.strongest(runs)
+    listed = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("doc_id", F.size(runs).cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+                        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"),
+                        F.sha2(name["collapsed"], 256).alias("collapsed_sha256"))
+
+
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, name = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), decoded=True)
+    ids = F.col(name["ids"])
+    return found.select("doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(F.array_join(ids.cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2(name["decoded"], 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import corpus_pipeline
     named = [op1_embedding_groups, op2_url_lists, op3_pack_sequences, op4_main_text, op5_minhash_groups, op6_toxicity, op7_shards, op8_quality_rules,
-             op9_context_mixing, op10_mix_sources]
+             op9_context_mixing, op10_mix_sources, op11_merkle_proofs, op12_periodic_runs, op13_bpe_round_trip]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
+# crc32 of a decimal text (at most 20 characters), bit by bit; h(x) stands for an input of a leaf.
+_CRC = """(xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, length({0}::varchar) + 1), lambda i: ascii(({0}::varchar)[i])::bigint)),
+    lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda v, b: xor(v >> 1, 3988292384 * (v & 1)))))::bigint)"""
+
+
+def _leaf_sql(text: str) -> str:
+    enter = "case when {0} is null then '-' else strlen({0}::varchar) || ':' || {0}::varchar end"
+    return "sha256(" + " || ".join(enter.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# The trees level by level: of the documents of each lang first, then of the subroots.  A path is kept as one list of left and right siblings per leaf.
+MERKLE_SQL = f"""
+with recursive
+docs as (select row_number() over () as k, doc_id, lang, {_leaf_sql('text')} as leaf,
+    case when {_CRC.format('doc_id')} % 3 = 0 then {_leaf_sql(f"translate(text, '{UPPER}', '{UPPER.lower()}')")} end as seen from documents),
+nodes as (
+    select lang as grp, 0 as lvl, row_number() over (partition by lang order by doc_id nulls first, leaf, k) - 1 as pos, leaf as digest, count(*) over (partition by lang) as n from docs
+    union all
+    select grp, lvl + 1, pos // 8, sha256(string_agg(digest, '' order by pos)), (max(n) + 7) // 8 from nodes where n > 1 group by grp, lvl, pos // 8),
+subroots as (select grp, digest as subroot, row_number() over (order by grp nulls first) - 1 as pos, count(*) over () as n from nodes where n = 1),
+tops as (
+    select 0 as lvl, pos, subroot as digest, n from subroots
+    union all
+    select lvl + 1, pos // 8, sha256(string_agg(digest, '' order by pos)), (max(n) + 7) // 8 from tops where n > 1 group by lvl, pos // 8),
+whole as (select digest as root from tops where n = 1),
+runs as (select grp, lvl, pos // 8 as run, list(digest order by pos) as d from nodes where n > 1 group by all),
+top_runs as (select lvl, pos // 8 as run, list(digest order by pos) as d from tops where n > 1 group by all),
+placed as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf, k) - 1 as pos from docs),
+steps as (
+    select p.k, 0 as tree, r.lvl, (p.pos // pow(8, r.lvl)::bigint) % 8 as w, r.d from placed p
+        join runs r on r.grp is not distinct from p.lang and r.run = p.pos // pow(8, r.lvl + 1)::bigint
+    union all
+    select p.k, 1, r.lvl, (s.pos // pow(8, r.lvl)::bigint) % 8, r.d from placed p join subroots s on s.grp is not distinct from p.lang
+        join top_runs r on r.run = s.pos // pow(8, r.lvl + 1)::bigint),
+paths as (select k, list({{'l': array_to_string(list_slice(d, 1, w), ''), 'r': array_to_string(list_slice(d, w + 2, 8), '')}} order by tree, lvl) as path from steps group by k),
+folded as (select p.*, s.subroot, (select root from whole) as root, coalesce(h.path, []) as path from placed p join subroots s on s.grp is not distinct from p.lang left join paths h using (k))
+select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda x: x.l || x.r), '')) as proof_sha256,
+    list_reduce(list_prepend({{'l': coalesce(seen, leaf), 'r': ''}}, path), lambda a, x: {{'l': sha256(x.l || a.l || x.r), 'r': ''}}).l as folded_root,
+    folded_root = root as verified
+from folded"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_merkle_proofs": MERKLE_SQL}
