@@ -7,8 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lintel.llm import minhash, mixing, packing, quality, toxicity
-from lintel.llm.common import read
-from lintel.llm.queries import tokenizer_path
+from lintel.llm.common import read, tokenizer_path
 from lintel.session import ensure_checkpoint_dir
 
 
