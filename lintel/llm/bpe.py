@@ -17,9 +17,9 @@ those of the merge loop, whatever the word's length, in linear time.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +30,7 @@ from lintel.llm.common import fresh
 
 CACHE_BYTES = 96 << 20     # estimated size at which a worker forgets the words it has encoded
 ENTRY_BYTES = 200          # dictionary slot and object headers of one remembered word
+PAIRS = 1 << 20            # pair tests remembered
 ROWS = 512                 # rows handled and passed on together
 
 # The vocabulary's rule for cutting words, and what it does to lower-case ASCII letters, digits and marks.
@@ -107,9 +108,10 @@ class SuffixAutomaton:
     """All substrings of the tokens; from a state, the tokens that end the string read.
 
     ``go[state * width + symbol]`` is the next state, ``link`` the state of the longest
-    suffix outside a state's class, ``longest`` the longest string of the class.
-    ``ending[state]`` lists all tokens that end a state's longest string as ``(length,
-    token)``, longest first: those of its class, then those along its links.
+    suffix outside a state's class, ``longest`` the longest string of the class.  From
+    ``first[state]`` on, ``token_length`` and ``token`` list all tokens that end a state's
+    longest string, longest first: those of its class, then those along its links,
+    down to a single symbol.
     """
 
     def __init__(self, tokens: dict[int, list[int]], width: int) -> None:
@@ -127,10 +129,18 @@ class SuffixAutomaton:
             for s in symbols:
                 state = self.go[state * width + s]
             own.setdefault(state, []).append((len(symbols), token))
-        self.ending: list[list[tuple[int, int]]] = [[]] * len(self.link)
+        ending: list[list[tuple[int, int]]] = [[]] * len(self.link)
         for state in np.argsort(self.longest, kind="stable").tolist()[1:]:
-            rest = self.ending[self.link[state]]
-            self.ending[state] = sorted(own[state], reverse=True) + rest if state in own else rest
+            rest = ending[self.link[state]]
+            ending[state] = sorted(own[state], reverse=True) + rest if state in own else rest
+        # As arrays: the steps sorted by key, and all lists of tokens one after the other.
+        self.steps = np.sort(np.fromiter(self.go, np.int64, len(self.go)))
+        self.targets = np.array([self.go[k] for k in self.steps.tolist()], np.int32)
+        self.links, self.lengths = np.array(self.link, np.int32), np.array(self.longest, np.int32)
+        self.first = np.cumsum([0, *map(len, ending)])[:-1]
+        self.token_length = np.array([n for found in ending for n, _ in found], np.int32)
+        self.token = np.array([t for found in ending for _, t in found], np.int32)
+        del self.go, self.link, self.longest
 
     def _split(self, out: list[list[int]], p: int, q: int, s: int) -> int:
         """A state for the strings of ``q`` that a step from ``p`` gives; longer strings stay in ``q``."""
@@ -166,7 +176,7 @@ class SuffixAutomaton:
 
 
 class Encoder:
-    """Ids of texts; words met before are kept up to a bound in bytes."""
+    """Ids of texts; words and pieces met before are kept up to a bound in bytes."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -178,86 +188,112 @@ class Encoder:
         self.plain = any(p.get("pattern", {}).get("Regex") == WORD_RULE for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", []))
         self.normalize = rules.normalizer.normalize_str if rules.normalizer else str
         self.cut = rules.pre_tokenizer.pre_tokenize_str
-        self.symbol = {t: i for t, i in v.ids.items() if i not in v.parts and not (v.end and t.endswith(v.end))}
-        self.last_symbol = {t: v.ids.get(t + v.end, i) for t, i in self.symbol.items()}
-        tokens = {t: v.symbols(t) for t in v.ids.values()}
-        self.automaton = SuffixAutomaton(tokens, len(v.ids))
-        self.meets: dict[int, bool] = {}
+        letters = {ord(t): i for t, i in v.ids.items() if i not in v.parts and len(t) == 1}
+        self.symbol, self.last_symbol = np.full((2, max(letters) + 1), -1, np.int64)
+        for c, i in letters.items():
+            self.symbol[c], self.last_symbol[c] = i, v.ids.get(chr(c) + v.end, i)
+        self.width = len(v.ids)
+        self.automaton = SuffixAutomaton({t: v.symbols(t) for t in v.ids.values()}, self.width)
+        # Results of pair tests by a hash of the pair; a newer pair takes an older one's place.
+        self.pair, self.fits = np.full(PAIRS, -1, np.int64), np.zeros(PAIRS, bool)
         self.known: dict[bytes, bytes] = {}     # words as written
         self.parts: dict[str, bytes] = {}       # the pieces that words are cut into
         self.held = 0
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(v.special, key=len, reverse=True))) + ")") if v.special else None
 
-    def piece(self, symbols: list[int]) -> list[int]:
-        """The ids of one word given as symbols."""
-        a, width = self.automaton, self.automaton.width
-        go, ending, meets = a.go, a.ending, self.meets
-        last = [-1] * (len(symbols) + 1)     # the last token of each prefix
-        size = [0] * (len(symbols) + 1)
-        state = held = 0
-        for i, s in enumerate(symbols, 1):
-            while (to := go.get(state * width + s)) is None:
-                state = a.link[state]
-                held = a.longest[state]
-            state, held = to, held + 1
-            for length, token in ending[to]:
-                if length <= held:
-                    if length < i:
-                        pair = last[i - length] * width + token
-                        if (fits := meets.get(pair)) is None:
-                            fits = meets[pair] = self.vocabulary.can_meet(last[i - length], token)
-                        if not fits:
-                            continue
-                    last[i], size[i] = token, length
-                    break
-        out, i = [], len(symbols)
-        while i:
-            out.append(last[i])
-            i -= size[i]
-        return out[::-1]
-
-    def word(self, word: str) -> bytes:
-        """The ids of a stretch without ASCII white space."""
-        pieces = ASCII_PIECES.findall(word.lower()) if self.plain and word.isascii() and word.isprintable() else [p for p, _ in self.cut(self.normalize(word))]
-        out = []
-        for p in pieces:
-            ids = self.parts.get(p)
-            if ids is None:
-                symbols = [self.symbol[c] for c in p[:-1]]
-                symbols.append(self.last_symbol[p[-1]])
-                found = self.piece(symbols)
-                ids = self.parts[p] = struct.pack(f"<{len(found)}I", *found)
-                self.held += ENTRY_BYTES + len(ids)
-            out.append(ids)
-        return b"".join(out)
-
-    def __call__(self, text: str | None) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        if self.marks and self.marks.search(text):
-            out = []
-            for k, part in enumerate(self.marks.split(text)):
-                out.append(self.vocabulary.special[part].to_bytes(4, "little") if k % 2 else self._plain(part))
-            return b"".join(out)
-        return self._plain(text)
-
-    def _plain(self, text: str) -> bytes:
-        words, known = text.encode().split(), self.known
-        got = list(map(known.get, words))
-        if None in got:
-            if self.held > CACHE_BYTES:
-                known.clear()
-                self.parts.clear()
-                self.meets.clear()
-                self.held = 0
-            for k, w in enumerate(words):
-                if got[k] is None:
-                    if (ids := known.get(w)) is None:
-                        ids = known[w] = self.word(w.decode())
-                        self.held += ENTRY_BYTES + len(ids)
-                    got[k] = ids
-        return b"".join(got)
+    def _can_meet(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left * np.int64(self.width) + right
+        slot = (pair * 0x9E3779B1 >> 12) % PAIRS
+        new = np.nonzero(self.pair[slot] != pair)[0]
+        if len(new):
+            for k, p in zip(*[x.tolist() for x in (slot[new], pair[new])], strict=True):
+                if self.pair[k] != p:
+                    self.pair[k], self.fits[k] = p, self.vocabulary.can_meet(*divmod(p, self.width))
+            # Pairs that share a slot are tested one by one.
+            out = self.fits[slot]
+            for j in np.nonzero(self.pair[slot] != pair)[0].tolist():
+                out[j] = self.vocabulary.can_meet(*divmod(int(pair[j]), self.width))
+            return out
+        return self.fits[slot]
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces in the vocabulary's letters for bytes; all are read in step, symbol by symbol."""
+        if not pieces:
+            return []
+        a, n = self.automaton, len(pieces)
+        sizes = np.fromiter(map(len, pieces), np.int64, n)
+        ends = np.cumsum(sizes)
+        letters = np.frombuffer("".join(pieces).encode("utf-32-le"), "<u4")
+        symbols = self.symbol[letters]
+        symbols[ends - 1] = self.last_symbol[letters[ends - 1]]
+        order = np.argsort(-sizes, kind="stable")
+        at, sizes = (ends - sizes)[order], sizes[order]     # where a piece starts among all symbols
+        last = np.full(len(symbols), -1, np.int64)      # the last token of each prefix, and its length
+        size = np.zeros(len(symbols), np.int64)
+        state, held = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for i in range(int(sizes[0])):
+            live = int(np.searchsorted(-sizes, -i, "left"))     # pieces longer than i
+            rows = np.arange(live)
+            while len(rows):
+                key = state[rows] * self.width + symbols[at[rows] + i]
+                step = np.minimum(np.searchsorted(a.steps, key), len(a.steps) - 1)
+                there = a.steps[step] == key
+                state[rows[there]] = a.targets[step[there]]
+                rows = rows[~there]
+                state[rows] = a.links[state[rows]]
+                held[rows] = a.lengths[state[rows]]
+            held[:live] += 1
+            rows, found = np.arange(live), a.first[state[:live]]
+            while len(rows):
+                length, token = a.token_length[found], a.token[found]
+                before = i - length                     # place of the prefix before the token; -1 is the empty one
+                ok = (length <= held[rows]) & (before >= -1)
+                test = np.nonzero(ok & (before >= 0))[0]
+                ok[test] = self._can_meet(last[at[rows[test]] + before[test]], token[test])
+                put = at[rows[ok]] + i
+                last[put], size[put] = token[ok], length[ok]
+                rows, found = rows[~ok], found[~ok] + 1
+        # Back from every piece's end; a token's id goes to the place of its last symbol.
+        taken = np.zeros(len(symbols), bool)
+        i = ends - 1
+        first = ends - sizes[np.argsort(order)]
+        while len(i):
+            taken[i] = True
+            i = i - size[i]
+            more = i >= first
+            i, first = i[more], first[more]
+        ids = last[taken].astype("<u4").tobytes()
+        cuts = [0, *(4 * np.cumsum(taken)[ends - 1]).tolist()]
+        return [ids[lo:hi] for lo, hi in itertools.pairwise(cuts)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words not met before."""
+        parts, cut, normalize, ascii_pieces = self.parts, self.cut, self.normalize, ASCII_PIECES.findall
+        cuts, new = [], {}
+        for w in words:
+            word = w.decode()
+            found = ascii_pieces(word.lower()) if self.plain and word.isascii() and word.isprintable() else [p for p, _ in cut(normalize(word))]
+            cuts.append(found)
+            for p in found:
+                if p not in parts:
+                    new[p] = None
+        parts.update(zip(new, self.encode_pieces(list(new)), strict=True))
+        self.known.update(zip(words, [parts[f[0]] if len(f) == 1 else b"".join([parts[p] for p in f]) for f in cuts], strict=True))
+        self.held += ENTRY_BYTES * (len(new) + len(words)) + 5 * (sum(map(len, new)) + sum(map(len, words)))
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        if self.held > CACHE_BYTES:
+            self.known.clear()
+            self.parts.clear()
+            self.held = 0
+        # A text as stretches of words; every second one is the special token that stands between two of them.
+        cut = [[] if not t else self.marks.split(t) if self.marks and self.marks.search(t) else [t] for t in texts]
+        words = [[part.encode().split() if k % 2 == 0 else part for k, part in enumerate(parts)] for parts in cut]
+        new = {w for parts in words for found in parts[::2] for w in found if w not in self.known}
+        self._learn(list(new))
+        known, special = self.known.__getitem__, {t: i.to_bytes(4, "little") for t, i in self.vocabulary.special.items()}
+        return [b"".join([b"".join(map(known, part)) if k % 2 == 0 else special[part] for k, part in enumerate(parts)]) for parts in words]
 
 
 @functools.lru_cache(2)
@@ -278,7 +314,7 @@ def _encode(path: str, text: str, outputs: tuple[str, str], decoded: bool):
         for whole in batches:
             for at in range(0, len(whole), ROWS):
                 b = whole.slice(at, ROWS)
-                ids = [encode(t) for t in b.column(text).to_pylist()]
+                ids = encode(b.column(text).to_pylist())
                 ends = np.cumsum([0, *[len(x) // 4 for x in ids]])
                 flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
                 cols = [*b.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))]
