@@ -1,11 +1,12 @@
-"""Column profile of a whole table as one Spark job (H1-H8, H11, H15).
+"""Column profile of a whole table without moving its values (H1-H8, H11, H15).
 
-All columns are unpivoted to (position, text value) and aggregated to one row
-per distinct value (map-side combine, so hot values are cheap); value-level
-probes (number shape, date shape, date parse) run once per distinct value;
-a second aggregate folds the counts per column.  Samples are the five
-smallest distinct non-null values (a row order does not exist in Spark),
-picked with a top-k window that Spark limits per task before the shuffle.
+Three paths, each one scan:
+
+* null, number and date probes and the least value per hash bucket: one aggregate
+  without keys, one row per task;
+* distinct values: 128-bit hashes are grouped, so no value is shuffled;
+* samples, the five smallest distinct non-null values (a row order does not exist in
+  Spark): only values up to a bound that the first path found leave a task.
 
 Fixed values (name patterns, matched from the start of the lower-cased name):
   id:          .*id$  ^id_.*  .*_id$  .*record.*id  .*patient.*id  .*user.*id
@@ -39,6 +40,8 @@ MEASUREMENT_PATTERNS = [r".*amount$", r".*price$", r".*value$", r".*count$", r".
                         r".*score$", r".*ref_.*", r".*_low$", r".*_high$", r".*reference"]
 
 SAMPLE_SIZE = 5
+BUCKETS = 8              # more than SAMPLE_SIZE
+SECOND_SEED = 40503      # of the second half of a value's hash
 
 
 def anchored(patterns: Sequence[str]) -> str:
@@ -62,47 +65,64 @@ def column_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         rows, "position int, column string, physical_type string, typed_numeric boolean, typed_date boolean")
 
 
-def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(position, v, cnt, is_num, has_shape, parses) per distinct value of every column.
+def _values(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [value_text(colref(c), types[c]) for c in columns]
+
+
+def probes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row, ``s``: per column the counts of nulls, values, number-like and date-like values, and the least values.
 
-    Value probes run once per distinct value and only for text columns; for
-    numeric and date/timestamp columns the storage type already answers them.
+    One aggregate without keys: a task passes on one row.  Text probes run for text
+    columns only; the storage type answers them for the others.  ``bound`` is the fifth
+    of the least values of ``BUCKETS`` hash buckets in order, so the five smallest
+    distinct values do not exceed it.
     """
-    cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    pairs = F.array(*[F.struct(F.lit(i).alias("position"), value_text(colref(c), types[c]).alias("v"))
-                      for i, c in enumerate(cols)])
-    per_value = df.select(F.inline(pairs)).groupBy("position", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    numeric = [i for i, c in enumerate(cols) if isinstance(types[c], NUMERIC_TYPES + (T.BooleanType,))]
-    dated = [i for i, c in enumerate(cols) if isinstance(types[c], DATE_TYPES)]
-    pos, v = F.col("position"), F.col("v")
-
-    def probe(test, typed_true):
-        known = pos.isin(numeric + dated) if (numeric or dated) else F.lit(False)
-        truth = pos.isin(typed_true) if typed_true else F.lit(False)
-        return F.when(known, truth).otherwise(test)
-
-    return per_value.select(
-        "position", "v", "cnt",
-        probe(looks_numeric(v), numeric).alias("is_num"),
-        probe(v.rlike(DATE_SHAPE), dated).alias("has_shape"),
-        probe(probe_date(v).isNotNull(), dated).alias("parses"),
-    )
+    fields = []
+    for c, v in zip(columns, _values(df, columns), strict=True):
+        typed = isinstance(types[c], NUMERIC_TYPES + (T.BooleanType,) + DATE_TYPES)
+        dated = isinstance(types[c], DATE_TYPES)
+        none, every = F.lit(0).cast("long"), F.count(v)
+        # Whatever parses as a date starts with a digit; the test spares the three parsers most texts.
+        dateable = v.rlike(r"^\s*[+-]?\d")
+        bucket = F.pmod(F.xxhash64(v), F.lit(BUCKETS))
+        fields.append(F.struct(
+            F.count_if(v.isNull()).alias("null_count"), every.alias("non_null"),
+            ((none if dated else every) if typed else F.count_if(looks_numeric(v))).alias("num_ok"),
+            ((every if dated else none) if typed else F.count_if(v.rlike(DATE_SHAPE))).alias("shape_ok"),
+            ((every if dated else none) if typed else F.count_if(F.when(dateable, probe_date(v)).isNotNull())).alias("date_ok"),
+            # Nulls sort last, so fewer than five filled buckets give no bound.
+            F.get(F.array_sort(F.array(*[F.min(F.when(bucket == b, v)) for b in range(BUCKETS)])), F.lit(SAMPLE_SIZE - 1)).alias("bound")))
+    return df.agg(F.array(*fields).alias("s"))
+
+
+def distinct_by_hash(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(position, unique_count): different non-null values, told apart by 128 bits of hash.
+
+    The shuffle carries a position and two numbers per different value and task, no
+    value: a column of long texts costs what a column of numbers costs.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("position"), F.when(v.isNotNull(), F.xxhash64(v)).alias("a"), F.xxhash64(F.lit(SECOND_SEED), v).alias("b"))
+                      for i, v in enumerate(_values(df, columns))])
+    seen = df.select(F.inline(pairs)).where(F.col("a").isNotNull()).distinct()
+    return seen.groupBy("position").agg(F.count(F.lit(1)).alias("unique_count"))
 
 
-def samples(per_value: DataFrame, k: int = SAMPLE_SIZE) -> DataFrame:
-    """Five smallest distinct non-null values per column from the per-value counts.
+def samples(df: DataFrame, columns: Sequence[str], probed: Column) -> DataFrame:
+    """(position, sample_values): the five smallest distinct non-null values of every column.
 
-    Nulls sort last and are dropped after the window, so the per-value
-    aggregate below stays identical to the one the statistics read and Spark
-    reuses its exchange instead of scanning the table again.
+    Values above the probes' ``bound`` (null in columns of few values: none) are left
+    out, so only a handful of values leaves a task.
     """
-    w = Window.partitionBy("position").orderBy(F.col("v").asc_nulls_last())
-    # ``cnt > 0`` is always true; referencing it keeps the count in the aggregate below.
-    top = per_value.withColumn("rn", F.row_number().over(w)).where(
-        (F.col("rn") <= k) & F.col("v").isNotNull() & (F.col("cnt") > 0))
-    return top.groupBy("position").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rn", "v"))), lambda s: s["v"]).alias("sample_values"))
+    texts = _values(df, columns)
+    none = F.lit(None).cast("struct<position:int,v:string>")
+    pairs = F.array(*[F.when(v.isNotNull() & F.coalesce(v <= F.col("__probes")[i]["bound"], F.lit(True)), F.struct(F.lit(i).alias("position"), v.alias("v"))).otherwise(none)
+                      for i, v in enumerate(texts)])
+    # A plain generator and a null test afterwards: the array expression stays out of the filter.
+    small = df.withColumn("__probes", probed).select(F.explode(pairs).alias("p")).where(F.col("p").isNotNull()).select("p.*").distinct()
+    top = small.withColumn("rn", F.row_number().over(Window.partitionBy("position").orderBy("v"))).where(F.col("rn") <= SAMPLE_SIZE)
+    return top.groupBy("position").agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", "v"))), lambda s: s["v"]).alias("sample_values"))
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, max_unique_ratio: float = 0.1) -> DataFrame:
@@ -110,22 +130,16 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, max_unique_rati
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = [c for c in (columns or df.columns) if not isinstance(types[c], T.BinaryType)]
     meta = column_frame(df, cols)
-    pv = value_counts(df, cols)
-    nn = F.col("v").isNotNull()
-    stats = pv.groupBy("position").agg(
-        F.coalesce(F.sum(F.when(~nn, F.col("cnt"))), F.lit(0)).cast("long").alias("null_count"),
-        F.coalesce(F.sum(F.when(nn, F.col("cnt"))), F.lit(0)).cast("long").alias("non_null"),
-        F.count("v").alias("unique_count"),
-        F.coalesce(F.sum(F.when(nn & F.col("is_num"), F.col("cnt"))), F.lit(0)).alias("num_ok"),
-        F.coalesce(F.sum(F.when(nn & F.col("has_shape"), F.col("cnt"))), F.lit(0)).alias("shape_ok"),
-        F.coalesce(F.sum(F.when(nn & F.col("parses"), F.col("cnt"))), F.lit(0)).alias("date_ok"),
-    )
-    joined = (F.broadcast(meta).join(stats, "position", "left").join(samples(pv), "position", "left"))
+    # Both uses read the same one-row plan whole, so it runs once.
+    one = probes(df, cols).scalar()
+    stats = df.sparkSession.range(1).select(F.posexplode(one).alias("position", "f")).select("position", "f.*")
+    joined = (F.broadcast(meta).join(stats, "position", "left").join(distinct_by_hash(df, cols), "position", "left")
+              .join(samples(df, cols, one), "position", "left"))
     non_null = F.coalesce(F.col("non_null"), F.lit(0))
     total = F.coalesce(F.col("null_count"), F.lit(0)) + non_null
     num_ratio = F.when(F.col("typed_numeric"), F.lit(1.0)).otherwise(F.col("num_ok") / non_null)
     shape_ratio, parse_ratio = F.col("shape_ok") / non_null, F.col("date_ok") / non_null
-    uniq_ratio = F.col("unique_count") / non_null
+    uniq_ratio = F.coalesce(F.col("unique_count"), F.lit(0)) / non_null
     name = F.lower(F.col("column"))
     date_hint = name.rlike(anchored(DATE_PATTERNS))
     is_date = (shape_ratio > 0.5) & (parse_ratio > 0.7)
@@ -161,10 +175,12 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, max_unique_rati
     )
 
 
-def profile_path(spark, path: str, fmt: str | None = None) -> DataFrame:
-    """Profile a stored table, all rows of it."""
-    from lintel.sources.io import read_table
-    return profile(read_table(spark, path, fmt))
+def profile_path(spark, path: str, fmt: str | None = None, preview_rows: int | None = None) -> DataFrame:
+    """Profile a stored table: all rows of it, or a bounded preview (``operators.preview``) if ``preview_rows`` is given."""
+    from lintel.operators.preview import KEY, bottom_k
+    from lintel.sources.io import ensure_not_empty, read_table
+    df = ensure_not_empty(read_table(spark, path, fmt), path)
+    return profile(df if preview_rows is None else bottom_k(df, preview_rows).drop(KEY))
 
 
 def profile_table(prof: DataFrame) -> DataFrame:

@@ -1,21 +1,23 @@
-"""Quartiles for IQR outlier bounds: exact (distributed) or approximate.
+"""Quartiles for IQR outlier bounds: exact in two scans, or approximate.
 
 Exact mode computes linear-interpolated quantiles (position ``p * (n - 1)``,
-as ``percentile``/``quantile_cont``) by narrowing value ranges, so no task ever
-holds a column:
-
-1. ``groupBy(g, x).count()`` collapses repeated values map-side, so a value
-   that fills a third of a column is a single row after the shuffle.
-2. Each rank that is asked for keeps one value range.  A first histogram has a
-   bin per sign and 1/32 of a binary order of magnitude (at most about 135,000
-   per group, however many rows); a running sum over its bins finds the bin that
-   holds the rank.  The next histograms cut that bin evenly into 65,536; three of
-   them use up the 53 bits of a double, so the last bin is one value.
-
-Bins are monotone functions of the value alone, never of where a row lies, so
-every pass and every rerun agrees, whether or not Spark reuses an exchange.  Only
-the kept ranges (groups x ranks, bounded by schema and configuration) are
-broadcast.
+as ``percentile``/``quantile_cont``); no task ever holds a column:
+
+1. One scan fills a quantile sketch per group (``percentile_approx``, whose ranks are
+   off by at most ``1 / ACCURACY`` of the values).  Its values at ``p`` minus and plus
+   twice that error enclose the asked quantile, and few others.
+2. One more scan counts.  Values inside an interval are counted one by one, the
+   values between two intervals together, with their least and greatest.  Both
+   happen map-side, so only about ``4 / ACCURACY`` of the values are shuffled per
+   asked quantile, whatever their number.
+3. The counts hold every exact rank.  A histogram of 65,536 even bins per interval finds
+   the bin of an asked rank, and the values of that bin are put in order.
+
+The result does not depend on the sketch: the counts are exact, and a rank that fell
+outside its interval would stop the query with an error.  Sketches and bins are
+functions of the values and the group, so reruns agree whether or not Spark reuses an
+exchange.  Only intervals and kept bins (groups x ranks, bounded by schema and
+configuration) are broadcast.
 
 Approximate mode is ``percentile_approx`` with accuracy ``1 / relative error``
 (0.05 -> 20, the sketch error of the reviewed application).
@@ -27,57 +29,57 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-FINE = 65_536   # bins of one narrowing step
-STEPS = 3       # 32 bins a binade and three 16-bit steps: all 53 bits
+ACCURACY = 10_000   # the sketch's ranks are off by at most 1 / ACCURACY of the values
+FINE = 65_536       # bins of one interval
 
 
-def _coarse_bin(x: Column) -> Column:
-    """Monotone in ``x``: sign times a 1/32 binade; zero between, infinities and NaN (the greatest) outside."""
-    binade = (F.floor(F.log2(F.least(F.abs(x), F.lit(1e308))) * 32) + 40_000).cast("long")
-    return (F.when(F.isnan(x), 90_001).when(x == float("inf"), 90_000).when(x == float("-inf"), -90_000)
-            .when(x == 0, 0).when(x > 0, binade).otherwise(-binade).cast("long"))
-
-
-def _holding(bins: DataFrame) -> DataFrame:
-    """Of the bins ``(g, k, rank, bin, c, lo, hi)`` of every asked rank, the one that holds it; ``rank`` counts from its start."""
-    before = Window.partitionBy("g", "k").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+def _holding(cells: DataFrame, order: str) -> DataFrame:
+    """Of the cells ``(g, k, rank, c, ..)`` of every asked rank, the one that holds it; ``rank`` counts from its start."""
+    before = Window.partitionBy("g", "k").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("c").over(before), F.lit(0))
-    return (bins.withColumn("start", start).where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("c")))
-            .select("g", "k", (F.col("rank") - F.col("start")).alias("rank"), "part", "lo", "hi", "n"))
-
-
-def exact_quantiles_grouped(long: DataFrame, group: str, x: str, probs: Sequence[float], prefix: str = "q",
-                            weight: str | None = None) -> DataFrame:
-    """Per ``group``: columns ``{prefix}0..`` with the exact quantiles of ``x`` (non-null values).
-
-    ``weight`` names a column of row multiplicities when the input is already counted.
-    """
-    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    values = (long.select(F.col(group).alias("g"), F.col(x).cast("double").alias("x"), w.alias("w"))
-              .where(F.col("x").isNotNull()))
-    distinct = values.groupBy("g", "x").agg(F.sum("w").alias("c")).withColumn("part", _coarse_bin(F.col("x")))
-
-    # The first histogram serves all ranks; each prob asks for two of them (they are often the same).
-    fold = [F.sum("c").alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi")]
-    first = distinct.groupBy("g", "part").agg(*fold).withColumn("n", F.sum("c").over(Window.partitionBy("g")))
+    inside = (F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("c"))
+    return cells.withColumn("start", start).where(inside).withColumn("rank", F.col("rank") - F.col("start"))
+
+
+def exact_quantiles_grouped(long: DataFrame, group: str, x: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
+    """Per ``group``: columns ``{prefix}0..`` with the exact quantiles of ``x`` (non-null values; NaN is the greatest)."""
+    values = long.select(F.col(group).alias("g"), F.col(x).cast("double").alias("x")).where(F.col("x").isNotNull())
+    margin = 2.0 / ACCURACY
+    ends = sorted([max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs])
+    sketch = values.groupBy("g").agg(F.percentile_approx("x", ends, ACCURACY).alias("ends")).select(F.col("g").alias("sg"), "ends")
+
+    # A value's slot is the number of ends below it; the slots of one interval hold its values, the others those between intervals.
+    met = values.join(F.broadcast(sketch), F.col("g").eqNullSafe(F.col("sg")))
+    slot = sum((F.when(F.col("ends")[j] < F.col("x"), 1).otherwise(0) for j in range(len(ends))), F.lit(0))
+    lows = [ends.index(max(0.0, p - margin)) for p in probs]
+    highs = [len(ends) - 1 - ends[::-1].index(min(1.0, p + margin)) for p in probs]
+    asked_for = F.lit(False)
+    for lo, hi in zip(lows, highs, strict=True):
+        asked_for = asked_for | ((F.col("x") >= F.col("ends")[lo]) & (F.col("x") <= F.col("ends")[hi]))
+    low, high = F.get("ends", F.col("slot") - 1), F.get("ends", F.col("slot"))
+    share = F.try_divide(F.col("x") - low, high - low)
+    fine = F.when(share.isNull() | F.isnan(share), 0).otherwise(F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * FINE))
+    met = met.withColumn("slot", slot).withColumn("inside", asked_for)
+    met = met.select("g", "x", F.when(F.col("inside"), F.col("x")).alias("v"),
+                     (F.col("slot").cast("long") * (4 * FINE) + F.when(F.col("inside"), fine + 1).otherwise(0)).alias("bin"))
+    cells = met.groupBy("g", "bin", "v").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+
+    bins = cells.groupBy("g", "bin").agg(F.sum("c").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    bins = bins.withColumn("n", F.sum("c").over(Window.partitionBy("g")))
     at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    # Each prob asks for the ranks around its position; they are often the same.
     asked = F.array(*[F.struct(F.lit(2 * i + up).alias("k"), (F.ceil(pos) if up else F.floor(pos)).cast("long").alias("rank"))
                       for i, pos in enumerate(at) for up in (0, 1)])
-    kept = _holding(first.select("g", "part", F.col("part").alias("bin"), "c", "lo", "hi", "n", F.inline(asked)))
-
-    for _ in range(STEPS):
-        ranges = kept.select(F.col("g").alias("rg"), "k", "rank", F.col("part").alias("rpart"),
-                             F.col("lo").alias("rlo"), F.col("hi").alias("rhi"), "n")
-        # Null-safe on both keys: a plain equality would push a null test below the aggregate in this
-        # branch alone, and the scan would be repeated instead of its exchange reused.
-        inside = distinct.join(F.broadcast(ranges), F.col("g").eqNullSafe(F.col("rg")) & F.col("part").eqNullSafe(F.col("rpart")))
-        inside = inside.where((F.col("x") >= F.col("rlo")) & (F.col("x") <= F.col("rhi")))
-        share = F.try_divide(F.col("x") - F.col("rlo"), F.col("rhi") - F.col("rlo"))
-        fine = F.when(F.col("rhi") > F.col("rlo"), F.floor(share * FINE)).otherwise(0).cast("long")
-        kept = _holding(inside.groupBy("g", "part", "k", "rank", "n", fine.alias("bin")).agg(*fold))
-
-    got = kept.groupBy("g").agg(F.max("n").alias("n"), *[F.max(F.when(F.col("k") == k, F.col("lo"))).alias(f"__r{k}")
-                                                         for k in range(2 * len(probs))])
+    kept = _holding(bins.select("g", "bin", "c", "n", F.inline(asked)), "bin")
+    kept = kept.select(F.col("g").alias("kg"), F.col("bin").alias("kbin"), "k", "rank", "n")
+    # Null-safe on both keys: a plain equality would push a null test below the aggregate in this
+    # branch alone, and the scan would be repeated instead of its exchange reused.
+    within = cells.join(F.broadcast(kept), F.col("g").eqNullSafe(F.col("kg")) & F.col("bin").eqNullSafe(F.col("kbin")))
+    found = _holding(within.select("g", "k", "rank", "n", "c", "lo", "hi"), "lo")
+    missed = F.raise_error(F.lit("a quantile lies outside the interval of its sketch")).cast("double")
+    value = F.when((F.col("rank") == 0) | (F.col("lo") == F.col("hi")), F.col("lo")).when(F.col("rank") == F.col("c") - 1, F.col("hi")).otherwise(missed)
+
+    got = found.groupBy("g").agg(F.max("n").alias("n"), *[F.max(F.when(F.col("k") == k, value)).alias(f"__r{k}") for k in range(2 * len(probs))])
     out = []
     for i, pos in enumerate(at):
         frac, lo, hi = pos - F.floor(pos), F.col(f"__r{2 * i}"), F.col(f"__r{2 * i + 1}")

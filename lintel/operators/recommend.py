@@ -20,8 +20,10 @@ import json
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from lintel.operators.profile import profile as build_profile, value_counts
+from lintel.functions.values import DATE_TYPES, NUMERIC_TYPES, looks_numeric
+from lintel.operators.profile import profile as build_profile, value_text
 from lintel.operators.quantiles import exact_quantiles_grouped
+from lintel.operators.stats import colref
 
 RULE_SCHEMA = ("column string, position int, type string, enabled boolean, threshold_warning long, "
                "threshold_critical long, allow_nulls boolean, check_future boolean, max_age_days int, "
@@ -29,17 +31,19 @@ RULE_SCHEMA = ("column string, position int, type string, enabled boolean, thres
 
 
 def numeric_quartiles(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(position, q0, q1) = exact first and third quartiles of the values that parse as numbers.
-
-    Starts from the profile's per-value counts (the identical plan, so Spark reuses that
-    exchange within the query) instead of scanning and shuffling the table again.
-    """
-    pv = value_counts(df, columns)
-    # x depends on the count column, so its null filter cannot be pushed below the aggregate
-    # (which would make this branch differ from the profile's and lose the exchange reuse).
-    x = F.when(F.col("is_num") & (F.col("cnt") > 0), F.col("v").try_cast("double"))
-    nums = pv.select("position", x.alias("x"), "cnt")
-    return exact_quantiles_grouped(nums, "position", "x", [0.25, 0.75], weight="cnt")
+    """(position, q0, q1) = exact first and third quartiles of the values that parse as numbers (no text is shuffled)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def number(c):
+        if isinstance(types[c], NUMERIC_TYPES):
+            return colref(c).cast("double")
+        text = value_text(colref(c), types[c])
+        return F.when(looks_numeric(text), text.try_cast("double"))
+
+    pairs = [F.struct(F.lit(i).alias("position"), number(c).alias("x")) for i, c in enumerate(columns) if not isinstance(types[c], DATE_TYPES + (T.BooleanType,))]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "position int, q0 double, q1 double")
+    return exact_quantiles_grouped(df.select(F.inline(F.array(*pairs))), "position", "x", [0.25, 0.75])
 
 
 def recommend_rules(df: DataFrame, prof: DataFrame | None = None) -> DataFrame:

@@ -55,7 +55,7 @@ def _cte(name: str, text: str) -> str:
 
 def _pack_issues(df, pack_id: str, keys: list[str], review_date: str):
     rules = packs.get_pack(pack_id)["rules"]
-    return RuleEngine(rules, review_date=review_date, quantiles="exact").issues(df).select(*keys, *ISSUE_COLS)
+    return RuleEngine(rules, review_date=review_date).issues(df).select(*keys, *ISSUE_COLS)
 
 
 def _outlier_sql(keys: str, table: str, column: str, mult: float, rule_id: str, severity: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lintel.operators import domain as D, profile as P, recommend as R
+from lintel.operators import domain as D, preview as V, profile as P, recommend as R
 from lintel.plans import tables
 from lintel.plans.catalog import register
 from lintel.plans.tables import RECORDS_SQL
@@ -159,6 +159,49 @@ def q_profile_summary(spark, sf_dir):
     return P.profile_summary(_rec_profile(spark, sf_dir))
 
 
+DOC_COLS = [("doc_id", True), ("text", False), ("lang", False), ("source", False), ("n_chars", True)]
+PAGE_COLS = [("page_id", True), ("url", False), ("html", False)]
+
+
+@register("profile_documents", profile_sql("", "documents", DOC_COLS) + PROFILE_TABLE_SQL)
+def q_profile_documents(spark, sf_dir):
+    return P.profile_table(P.profile(tables.table(spark, sf_dir, "documents")))
+
+
+@register("profile_pages", profile_sql("", "pages", PAGE_COLS) + PROFILE_TABLE_SQL)
+def q_profile_pages(spark, sf_dir):
+    return P.profile_table(P.profile(tables.table(spark, sf_dir, "pages")))
+
+
+@register("physical_types", """SELECT * FROM (VALUES ('event_id', 0, 'bigint', 'numeric'), ('ts', 1, 'timestamp_ntz', 'date'),
+  ('user_id', 2, 'bigint', 'numeric'), ('event_type', 3, 'string', 'categorical'), ('value', 4, 'double', 'numeric'),
+  ('props', 5, 'string', (SELECT CASE WHEN count(DISTINCT props) / count(props) < 0.1 THEN 'categorical'
+     WHEN count(DISTINCT props) / count(props) > 0.5 THEN 'id' ELSE 'text' END FROM events))) t("column", position, physical_type, inferred_type)""")
+def q_physical_types(spark, sf_dir):
+    return P.profile(tables.table(spark, sf_dir, "events")).select("column", "position", "physical_type", "inferred_type")
+
+
+# ---------------------------------------------------------------- preview
+# The same key in DuckDB: "-" for null, else byte count, colon and value, column after column.
+PREVIEW_KEY_SQL = "md5(" + " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(strlen(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)) END"
+                                       for c, _ in DOC_COLS) + ")"
+
+
+@register("preview_documents", f"""SELECT doc_id, text, lang, source, n_chars, round(least(1.0, 200.0 / (SELECT count(*) FROM documents)), 9) AS preview_fraction
+FROM documents ORDER BY {PREVIEW_KEY_SQL} LIMIT 200""")
+def q_preview_documents(spark, sf_dir):
+    return V.preview(tables.table(spark, sf_dir, "documents"), 200).withColumn(V.FRACTION, F.round(V.FRACTION, 9))
+
+
+@register("preview_row_estimate", """SELECT TRUE AS within_bound, count(*) AS rows FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)""")
+def q_preview_row_estimate(spark, sf_dir):
+    # Six standard errors of a sketch of 400 keys.
+    conv = tables.table(spark, sf_dir, "conversations")
+    guess = V.estimated_rows(V.bottom_k(conv, 400), 400).scalar()
+    rows = conv.distinct().agg(F.count(F.lit(1)).alias("rows"))
+    return rows.select((F.abs(guess - F.col("rows")) <= 6 * F.col("rows") / F.sqrt(F.lit(398.0))).alias("within_bound"), "rows")
+
+
 # ---------------------------------------------------------------- domain
 # Fixed values, written out here so that a wrong keyword in the engine shows.
 KEYWORDS_SQL = """lists(domain, domain_order, keywords) AS (VALUES

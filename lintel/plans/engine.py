@@ -5,8 +5,8 @@ Plan shape for ``RuleEngine(rules).issues(df)``:
 * global statistics, only for rules that need them (row total and blank
   counts, approximate distinct counts and quartile sketches): ONE aggregate
   over the table, read into the row pass as a scalar subquery.  Exact distinct
-  counts add one unpivot aggregate; exact quartiles add one grouped,
-  range-partitioned selection shared by all IQR columns;
+  counts add one unpivot aggregate; exact quartiles add two scans
+  that shuffle a small share of the values, shared by all IQR columns;
 * duplicate counts per duplicate-rule column: partial aggregate + hot/cold
   join-back (``operators.groups``);
 * one row pass: ``concat`` of one ``CASE WHEN violated THEN array(struct(issue))
@@ -41,7 +41,7 @@ ISSUES = "issues"
 @dataclass
 class EngineOptions:
     review_date: str = config.REVIEW_DATE
-    quantiles: str = "approx"           # "approx" (sketch, bounded memory) or "exact"
+    quantiles: str = "exact"            # "exact" (sketch, then exact counts inside its interval) or "approx" (sketch only)
     quantile_error: float = config.APPROX_QUANTILE_ERROR
     distinct: str = "exact"             # "exact" (unpivot aggregate) or "approx" (HLL++)
     distinct_error: float = 0.05
@@ -83,7 +83,7 @@ class RuleEngine:
             if not rule.get("enabled", True):
                 continue
             if rule.get("type") not in SUPPORTED_RULES:
-                logger.warning("unknown rule type skipped: %s", rule.get("type"))
+                logger.warning("no check exists for rule type %r; rule %s is left out", rule.get("type"), rule.get("id"))
                 continue
             out.append(rule)
         return out
