@@ -404,3 +404,4 @@ def oracle_sql() -> dict[str, str]:
 from lintel.plans import catalog_reports  # noqa: E402,F401
 from lintel.plans import catalog_profile  # noqa: E402,F401
 from lintel.plans import catalog_packs  # noqa: E402,F401
+from lintel.plans import catalog_sources  # noqa: E402,F401

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lintel import config
 from lintel.functions.columns import protect_reserved
+from lintel.operators import sketches
 from lintel.operators.groups import DEFAULT_HOT_FRACTION, attach_group_count
 from lintel.operators.quantiles import approx_quantiles, exact_quantiles_grouped
 from lintel.operators.rules import SUPPORTED_RULES, Bindings, Check, RuleCompiler
@@ -45,6 +46,7 @@ class EngineOptions:
     quantile_error: float = config.APPROX_QUANTILE_ERROR
     distinct: str = "exact"             # "exact" (unpivot aggregate) or "approx" (HLL++)
     distinct_error: float = 0.05
+    distinct_state: DataFrame | None = None   # kept sketches (operators.sketches): distinct counts without reading the table
     hot_fraction: float = DEFAULT_HOT_FRACTION
     duplicate_strategy: str = "join"    # "join" (skew-safe) or "window" (one exchange, unskewed keys)
     # Write an expensive input (e.g. a join) once to spark.checkpoint.dir when the rules need more
@@ -121,7 +123,7 @@ class RuleEngine:
         if req.blank:
             glob.append(F.count(F.lit(1)).alias("total"))
             glob += [F.count_if(blank(colref(c), types[c])).alias(f"b{i}") for i, c in enumerate(req.blank)]
-        if req.distinct and opts.distinct == "approx":
+        if req.distinct and opts.distinct == "approx" and opts.distinct_state is None:
             glob += [(F.approx_count_distinct(colref(c), opts.distinct_error)
                       + F.max(colref(c).isNull()).cast("long")).alias(f"d{i}") for i, c in enumerate(req.distinct)]
         xs = [as_double(colref(c), types[c]) for c in req.quantiles]
@@ -136,10 +138,10 @@ class RuleEngine:
             out = out.withColumn(Bindings.STATS, g.select(F.struct(*fields)).scalar())
             helper.append(Bindings.STATS)
         if req.distinct:
-            if opts.distinct == "approx":
+            if opts.distinct == "approx" and opts.distinct_state is None:
                 out = out.withColumn(Bindings.DISTINCT, F.col(Bindings.STATS))
             else:
-                d = distinct_counts(base, req.distinct)
+                d = distinct_counts(base, req.distinct) if opts.distinct_state is None else sketches.distinct_counts(opts.distinct_state, req.distinct)
                 out = out.withColumn(Bindings.DISTINCT, d.select(F.struct(*d.columns)).scalar())
             helper.append(Bindings.DISTINCT)
         if xs:

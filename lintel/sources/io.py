@@ -9,26 +9,36 @@ do not convert become null and are counted by ``schema_conformance``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from lintel.operators.stats import colref
 from lintel.schemas import RECORD_SCHEMA
+from lintel.sources.inference import typed
 
 
 class EmptyInputError(ValueError):
     pass
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None, infer: bool = False) -> DataFrame:
-    """Generic read: Parquet/ORC/JSON as stored; CSV with header (types inferred only if asked)."""
+def read_table(spark: SparkSession, path: str, fmt: str | None = None, infer: bool = False, check_empty: bool = False) -> DataFrame:
+    """Generic read: Parquet/ORC/JSON as stored; CSV with header as text.
+
+    ``infer`` gives text columns the narrowest type that all their values have (``sources.inference``);
+    ``check_empty`` raises on a table without rows, as the review does.
+    """
     fmt = fmt or path.rstrip("/").rsplit(".", 1)[-1].lower()
     if fmt == "csv":
-        return spark.read.option("header", True).option("inferSchema", infer).csv(path)
-    if fmt in ("parquet", "orc", "json"):
-        return spark.read.format(fmt).load(path)
-    return spark.read.parquet(path)
+        df = spark.read.option("header", True).csv(path)
+    elif fmt in ("parquet", "orc", "json"):
+        df = spark.read.format(fmt).load(path)
+    else:
+        df = spark.read.parquet(path)
+    if check_empty:
+        ensure_not_empty(df, path)
+    return typed(df) if infer else df
 
 
 def ensure_not_empty(df: DataFrame, what: str = "input") -> DataFrame:
@@ -73,6 +83,81 @@ def read_records(spark: SparkSession, path: str, fmt: str | None = None,
     return ensure_not_empty(df, path) if check_empty else df
 
 
+MALFORMED = "malformed line"
+REASONS = "reject_reasons"
+LINE = "__line"
+
+
+@dataclass
+class Split:
+    """Rows tagged with why they are rejected (``reject_reasons``, empty for good rows), their raw texts and, for CSV, their line."""
+
+    tagged: DataFrame
+    schema: T.StructType
+
+    def good(self) -> DataFrame:
+        return self.tagged.where(F.size(REASONS) == 0).select(*[colref(f.name) for f in self.schema.fields])
+
+    def bad(self) -> DataFrame:
+        """``reject_reasons``, ``raw`` (the texts as a JSON object) and, for CSV, ``line``."""
+        return self.tagged.where(F.size(REASONS) > 0).select(REASONS, "raw", "line")
+
+    def counts(self) -> DataFrame:
+        """Rows per reason; a row with two reasons counts under both, good rows under ``accepted``."""
+        reasons = F.when(F.size(REASONS) == 0, F.array(F.lit("accepted"))).otherwise(F.col(REASONS))
+        return self.tagged.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+    def write(self, out_dir: str) -> None:
+        """Both tables in one pass over the source: folders ``accepted=true`` and ``accepted=false``."""
+        self.tagged.withColumn("accepted", F.size(REASONS) == 0).write.mode("overwrite").partitionBy("accepted").parquet(out_dir)
+
+
+def split_rows(df: DataFrame, schema: T.StructType = RECORD_SCHEMA, line: str | None = None) -> Split:
+    """Convert ``df`` to ``schema`` by name and tag the rows that do not fit.
+
+    A row is rejected for every filled value that does not convert, for every required
+    column that is null or missing though not nullable, and for a malformed line (``line`` names the
+    column that holds it).  Good and bad rows together are all rows.
+    """
+    raw = [c for c in df.columns if c != line]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    none, reasons, cols = F.array().cast("array<string>"), [], []
+    broken = F.col(f"`{line}`").isNotNull() if line else F.lit(False)
+    reasons.append(F.when(broken, F.array(F.lit(MALFORMED))).otherwise(none))
+    for f in schema.fields:
+        if f.name not in types:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            if not f.nullable:
+                reasons.append(F.array(F.lit(f"no column {f.name}")))
+            continue
+        src = colref(f.name)
+        if types[f.name] == f.dataType:
+            value = src
+        elif isinstance(types[f.name], T.StringType) and isinstance(f.dataType, T.DateType):
+            value = F.try_to_date(src)
+        else:
+            value = src.try_cast(f.dataType)
+        cols.append(value.alias(f.name))
+        # A broken line has shifted values, so only the line itself is the reason.
+        reasons.append(F.when(~broken & src.isNotNull() & value.isNull(), F.array(F.lit(f"{f.name} is no {f.dataType.simpleString()}"))).otherwise(none))
+        if not f.nullable:
+            reasons.append(F.when(~broken & src.isNull(), F.array(F.lit(f"{f.name} is null"))).otherwise(none))
+    text = F.to_json(F.struct(*[colref(c).alias(c) for c in raw]))
+    return Split(df.select(*cols, F.concat(*reasons).alias(REASONS), text.alias("raw"), (F.col(f"`{line}`") if line else F.lit(None).cast("string")).alias("line")), schema)
+
+
+def split_csv(spark: SparkSession, path: str, schema: T.StructType = RECORD_SCHEMA) -> Split:
+    """``split_rows`` of headered CSV files; lines with too few or too many fields keep their text in ``line``.
+
+    Columns are bound by the header's names, whatever their order.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*names, LINE]])
+    # Without pruning every line is parsed whole, so a ragged line shows whatever columns are asked for.
+    raw = spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE).option("columnPruning", False).csv(path)
+    return split_rows(raw, schema, LINE)
+
+
 def schema_conformance(df: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
     """Per required column: present?, non-null source values, values that fail conversion.
 
