@@ -6,6 +6,7 @@ missing value > unit mismatch > duplicate measurement > stale data > out of rang
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -70,27 +71,37 @@ def run_checks_sql(spark: SparkSession, records: DataFrame, review_date: str = c
     return spark.sql(text, args={"review_date": review_date, "stale_days": int(stale_days)}, records=records)
 
 
-def cross_validate_frame(df_result: DataFrame, sql_result: DataFrame) -> DataFrame:
-    """One row: pairs only in the DataFrame result, only in the SQL result, and in both.
+PAIR = ("record_id", "issue_type")
+
 
-    Both sides are stacked with a mark and grouped by (record_id, issue_type): one
-    exchange.  Nothing is collected except this one row.
+def signed_counts(a: DataFrame, b: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
+    """``keys, in_a, in_b``: how often each key occurs on both sides; null keys meet null keys.
+
+    The sides are stacked with a sign and counted in one exchange, map-side first, so a
+    key that fills a third of a side costs one row per task.
     """
-    pairs = [side.select("record_id", "issue_type", F.lit(mark).alias("mark")) for side, mark in ((df_result, 1), (sql_result, 2))]
-    met = pairs[0].unionAll(pairs[1]).groupBy("record_id", "issue_type").agg(F.bit_or("mark").alias("mark"))
-    return met.agg(*[F.count_if(F.col("mark") == mark).alias(name)
-                     for mark, name in ((1, "only_dataframe"), (2, "only_sql"), (3, "in_both"))])
+    marked = [side.select(*keys, F.lit(sign).alias("sign")) for side, sign in ((a, 1), (b, -1))]
+    return marked[0].unionAll(marked[1]).groupBy(*keys).agg(F.count_if(F.col("sign") > 0).alias("in_a"), F.count_if(F.col("sign") < 0).alias("in_b"))
+
+
+def multiset_difference(a: DataFrame, b: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
+    """``keys, surplus``: by how many rows ``a`` has more (negative: fewer) than ``b``; equal counts are left out."""
+    met = signed_counts(a, b, keys)
+    return met.where(F.col("in_a") != F.col("in_b")).select(*keys, (F.col("in_a") - F.col("in_b")).alias("surplus"))
+
+
+def cross_validate_frame(df_result: DataFrame, sql_result: DataFrame) -> DataFrame:
+    """One row: rows only in the DataFrame result, only in the SQL result, and in both, as multisets of (record_id, issue_type)."""
+    a, b, zero = F.col("in_a"), F.col("in_b"), F.lit(0).cast("long")
+    return signed_counts(df_result, sql_result).agg(*[F.coalesce(F.sum(x), zero).alias(name) for x, name in (
+        (F.greatest(a - b, zero), "only_dataframe"), (F.greatest(b - a, zero), "only_sql"), (F.least(a, b), "in_both"))])
 
 
 def cross_validate(df_result: DataFrame, sql_result: DataFrame, show: int = 20) -> bool:
-    """Raise when the two forms disagree, listing up to ``show`` differing pairs."""
-    row = cross_validate_frame(df_result, sql_result).first()
-    if row["only_dataframe"] or row["only_sql"]:
-        a = df_result.select("record_id", "issue_type")
-        b = sql_result.select("record_id", "issue_type")
-        only_a = [tuple(r) for r in a.exceptAll(b).limit(show).collect()]
-        only_b = [tuple(r) for r in b.exceptAll(a).limit(show).collect()]
-        raise AssertionError(
-            f"DataFrame and SQL checks disagree ({row['only_dataframe']} only in DataFrame, "
-            f"{row['only_sql']} only in SQL). Examples only in DataFrame: {only_a}; only in SQL: {only_b}.")
+    """Raise when the two forms disagree, listing up to ``show`` differing pairs with their surplus."""
+    differ = multiset_difference(df_result, sql_result)
+    found = differ.orderBy(*PAIR).limit(show).collect()
+    if found:
+        raise AssertionError("DataFrame and SQL checks disagree; (record, issue, surplus of the DataFrame form), the first ones: "
+                             f"{[tuple(r) for r in found]}")
     return True

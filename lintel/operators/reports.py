@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+def ranked_within(counts: DataFrame, within: str, count: str, out: str) -> DataFrame:
+    """``rank`` of each row inside its ``within`` group by falling ``count``, without a window over the rows.
+
+    A histogram says how many rows have each count; a running sum over its different
+    counts (at most about the square root of twice what was counted) gives each
+    count's rank, which is joined back.
+    """
+    hist = counts.groupBy(F.col(within).alias("__w"), F.col(count).alias("__c")).agg(F.count(F.lit(1)).alias("__n"))
+    above = Window.partitionBy("__w").orderBy(F.col("__c").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = hist.select("__w", "__c", (F.coalesce(F.sum("__n").over(above), F.lit(0)) + 1).cast("int").alias(out))
+    return counts.join(ranks, F.col(within).eqNullSafe(F.col("__w")) & F.col(count).eqNullSafe(F.col("__c"))).drop("__w", "__c")
+
+
 def summary_ranked(flagged: DataFrame) -> DataFrame:
     """Count by (source, severity); rank sources inside each severity by count."""
     counts = flagged.groupBy("source", "severity").agg(F.count(F.lit(1)).alias("flagged_count"))
-    w = Window.partitionBy("severity").orderBy(F.col("flagged_count").desc())
-    return (counts.withColumn("rank_within_severity", F.rank().over(w))
-            .orderBy("severity", F.col("flagged_count").desc()))
+    return ranked_within(counts, "severity", "flagged_count", "rank_within_severity").orderBy("severity", F.col("flagged_count").desc())
 
 
 def summary_generic(flagged: DataFrame) -> DataFrame:
@@ -94,5 +105,6 @@ def rule_hit_coverage(rules: DataFrame, issues: DataFrame) -> DataFrame:
                     F.coalesce(F.col("hits"), F.lit(0)).cast("long").alias("hits")))
 
 
-def rule_type_coverage(rules: DataFrame) -> DataFrame:
-    return rules.groupBy("type", "implemented").agg(F.count(F.lit(1)).alias("rules"))
+def rule_type_coverage(hits: DataFrame) -> DataFrame:
+    """Per (type, implemented): rules and the issues they raised, from ``rule_hit_coverage``."""
+    return hits.groupBy("type", "implemented").agg(F.count(F.lit(1)).alias("rules"), F.sum("hits").alias("hits"))

@@ -15,8 +15,6 @@ REC_COLS = [("record_id", False), ("patient_id", False), ("source", False), ("fi
             ("data_received_date", False)]
 CUSTOMER_COLS = [("c_custkey", True), ("c_name", False), ("c_nationkey", True), ("c_acctbal", True),
                  ("c_mktsegment", False)]
-EVENTS_COLS = [("event_id", True), ("ts", False), ("user_id", True), ("event_type", False), ("value", True),
-               ("props", False)]
 
 # The name patterns of roles, written out apart from the engine's.
 ID_RE = r"^(?:.*id$|^id_.*|.*_id$|.*record.*id|.*patient.*id|.*user.*id|.*customer.*id|.*account.*id|.*code$)"
@@ -217,16 +215,21 @@ KEYWORDS_SQL = """lists(domain, domain_order, keywords) AS (VALUES
 kw AS (SELECT domain, domain_order, unnest(keywords) AS keyword FROM lists)"""
 
 
-def domain_sql(profile_text: str, cols: list[tuple[str, bool]]) -> str:
+def domain_sql(source_cte: str, table: str, cols: list[tuple[str, bool]]) -> str:
     names = ", ".join(f"('{c.lower().replace('-', '_')}')" for c, _ in cols)
-    return profile_text + f""",
+    spaced = "concat(' ', trim(regexp_replace(lower(CAST({} AS VARCHAR)), '[^a-z0-9]+', ' ', 'g')), ' ')"
+    texts = " UNION ALL ".join(f"""SELECT '{c}' AS "column", {spaced.format(c)} AS t FROM {table} WHERE {c} IS NOT NULL""" for c, wordy in cols if wordy)
+    return f"""WITH {source_cte + "," if source_cte else ""}
 {KEYWORDS_SQL},
 names(n) AS (VALUES {names}),
-samples AS (SELECT DISTINCT lower(v) AS s FROM pv WHERE v IS NOT NULL),
+texts AS ({texts}),
+sizes AS (SELECT "column", COUNT(*) AS filled, sum(length(t) - length(replace(t, ' ', '')) - 1) AS words FROM texts GROUP BY 1),
+held AS (SELECT t."column", k.keyword, COUNT(*) AS hits FROM texts t JOIN (SELECT DISTINCT keyword FROM kw) k ON contains(t.t, concat(' ', replace(k.keyword, '_', ' '), ' ')) GROUP BY ALL),
+spoken AS (SELECT DISTINCT keyword FROM held JOIN sizes USING ("column") WHERE hits / filled * least(1.0e0, 8.0e0 * filled / greatest(words, 1)) >= 0.2e0),
 hits AS (
   SELECT domain, domain_order, keyword,
     CASE WHEN EXISTS (SELECT 1 FROM names WHERE contains(n, keyword)) THEN 2
-         WHEN EXISTS (SELECT 1 FROM samples WHERE contains(s, keyword)) THEN 1 ELSE 0 END AS points
+         WHEN keyword IN (SELECT keyword FROM spoken) THEN 1 ELSE 0 END AS points
   FROM kw
 ),
 scores AS (
@@ -237,38 +240,78 @@ scores AS (
 """
 
 
-@register("domain_scores", domain_sql(REC_PROFILE.rstrip(), REC_COLS) +
+# (column, whether its values are words)
+REC_WORDS = [("record_id", True), ("patient_id", True), ("source", True), ("field_name", True), ("value", False), ("unit", True), ("expected_unit", True),
+             ("ref_low", False), ("ref_high", False), ("data_received_date", False)]
+EVENT_WORDS = [("event_id", False), ("ts", False), ("user_id", False), ("event_type", True), ("value", False), ("props", True)]
+DOC_WORDS = [("doc_id", False), ("text", True), ("lang", True), ("source", True), ("n_chars", False)]
+TALK_WORDS = [("conv_id", False), ("turn", False), ("role", True), ("text", True)]
+PAGE_WORDS = [("page_id", False), ("url", True), ("html", True)]
+REC_DOMAIN = domain_sql(RECORDS_SQL, "rec", REC_WORDS)
+
+
+@register("domain_scores", REC_DOMAIN +
           "SELECT domain, score, array_to_string(matched, ' | ') AS matched FROM scores")
 def q_domain_scores(spark, sf_dir):
     sc = D.domain_scores(tables.records(spark, sf_dir))
     return sc.select("domain", "score", F.array_join("matched", " | ").alias("matched"))
 
 
-@register("domain_score_table", domain_sql(REC_PROFILE.rstrip(), REC_COLS) +
+@register("domain_score_table", REC_DOMAIN +
           "SELECT domain, score, array_to_string(matched, ', ') AS matched_signals FROM scores")
 def q_domain_score_table(spark, sf_dir):
     return D.domain_score_table(D.domain_scores(tables.records(spark, sf_dir)))
 
 
-EVENTS_PROFILE = profile_sql("", "events", EVENTS_COLS)
 BEST_SQL = """SELECT CASE WHEN score = 0 THEN 'generic' ELSE domain END AS domain,
        CASE WHEN score = 0 THEN 0.25 ELSE round(score / (SELECT sum(score) FROM scores), 2) END AS confidence,
        CASE WHEN score = 0 THEN '' ELSE array_to_string(matched, ' | ') END AS reason
 FROM scores ORDER BY score DESC, domain_order LIMIT 1"""
 
 
-@register("domain_best", domain_sql(EVENTS_PROFILE.rstrip(), EVENTS_COLS) + BEST_SQL)
+@register("domain_best", domain_sql("", "events", EVENT_WORDS) + BEST_SQL)
 def q_domain_best(spark, sf_dir):
     best = D.best_domain_frame(D.domain_scores(tables.table(spark, sf_dir, "events")))
     return best.withColumn("reason", F.array_join("reason", " | "))
 
 
-@register("domain_best_records", domain_sql(REC_PROFILE.rstrip(), REC_COLS) + BEST_SQL)
+@register("domain_best_records", REC_DOMAIN + BEST_SQL)
 def q_domain_best_records(spark, sf_dir):
     best = D.best_domain_frame(D.domain_scores(tables.records(spark, sf_dir)))
     return best.withColumn("reason", F.array_join("reason", " | "))
 
 
+def _best(spark, sf_dir, name):
+    return D.best_domain_frame(D.domain_scores(tables.table(spark, sf_dir, name))).withColumn("reason", F.array_join("reason", " | "))
+
+
+@register("domain_best_documents", domain_sql("", "documents", DOC_WORDS) + BEST_SQL)
+def q_domain_best_documents(spark, sf_dir):
+    return _best(spark, sf_dir, "documents")
+
+
+@register("domain_best_conversations", domain_sql("", "conversations", TALK_WORDS) + BEST_SQL)
+def q_domain_best_conversations(spark, sf_dir):
+    return _best(spark, sf_dir, "conversations")
+
+
+@register("domain_best_pages", domain_sql("", "pages", PAGE_WORDS) + BEST_SQL)
+def q_domain_best_pages(spark, sf_dir):
+    return _best(spark, sf_dir, "pages")
+
+
+EVENT_KEYWORDS = ("event", "page", "click", "item", "unit", "value", "user", "ref_low", "purchase")
+
+
+@register("domain_evidence", "WITH texts AS (SELECT 'event_type' AS \"column\", concat(' ', trim(regexp_replace(lower(event_type), '[^a-z0-9]+', ' ', 'g')), ' ') AS t FROM events "
+          "UNION ALL SELECT 'props', concat(' ', trim(regexp_replace(lower(props), '[^a-z0-9]+', ' ', 'g')), ' ') FROM events),\n"
+          "sizes AS (SELECT \"column\", COUNT(*) AS filled, CAST(sum(length(t) - length(replace(t, ' ', '')) - 1) AS BIGINT) AS words FROM texts WHERE t IS NOT NULL GROUP BY 1)\n"
+          + "\nUNION ALL ".join(f"""SELECT s."column", '{k}' AS keyword, (SELECT count(*) FROM texts t WHERE t."column" = s."column" AND contains(t.t, ' {k.replace('_', ' ')} ')) AS hits, filled, words FROM sizes s"""
+                                for k in EVENT_KEYWORDS))
+def q_domain_evidence(spark, sf_dir):
+    return D.evidence(tables.table(spark, sf_dir, "events"), list(EVENT_KEYWORDS)).drop("weight")
+
+
 # ---------------------------------------------------------------- recommendations
 @register("recommend_rules", REC_PROFILE.rstrip() + """,
 nums AS (

@@ -214,3 +214,49 @@ def rules_values_sql(rules: list[dict]) -> str:
     MIX_CTE, rules_values_sql(MIX_RULES)))
 def q_rule_hit_coverage(spark, sf_dir):
     return reports.rule_hit_coverage(rules_frame(spark, MIX_RULES), mix_issues(spark, sf_dir))
+
+
+@register("rule_type_coverage", with_rec(
+    "SELECT r.type, r.implemented, COUNT(*) AS rules, CAST(sum(coalesce(h.hits, 0)) AS BIGINT) AS hits "
+    "FROM rules r LEFT JOIN (SELECT rule_id, COUNT(*) AS hits FROM issues GROUP BY rule_id) h ON r.id = h.rule_id GROUP BY ALL",
+    MIX_CTE, rules_values_sql(MIX_RULES)))
+def q_rule_type_coverage(spark, sf_dir):
+    return reports.rule_type_coverage(q_rule_hit_coverage(spark, sf_dir))
+
+
+CLASH_ENC = """src AS (SELECT event_id, event_type AS severity, props AS issue_type, value, user_id AS rule_id FROM events)"""
+
+
+@register("clashing_input_names", f"""WITH {CLASH_ENC}
+SELECT event_id, severity AS input_severity, issue_type AS input_issue_type, rule_id AS input_rule_id, 'outlier_value' AS issue_type, 'cap' AS rule_id,
+       'high' AS severity, value AS metric_value FROM src WHERE value < 0 OR value > 90""")
+def q_clashing_input_names(spark, sf_dir):
+    """Input columns named like results keep their values under new names; results never show them."""
+    ev = tables.table(spark, sf_dir, "events")
+    src = ev.select("event_id", ev.event_type.alias("severity"), ev.props.alias("issue_type"), "value", ev.user_id.alias("rule_id"))
+    rules = [{"id": "cap", "type": "outlier", "column": "value", "lower_bound": 0, "upper_bound": 90, "severity": "critical"}]
+    found = score_rules(RuleEngine(rules, review_date=RD).issues(src))
+    return found.select("event_id", "input_severity", "input_issue_type", "input_rule_id", "issue_type", "rule_id", "severity", "metric_value")
+
+
+@register("cross_validate_differences", with_rec("""
+SELECT record_id, issue_type, COUNT(*) AS surplus FROM (
+  SELECT record_id, issue_type FROM (
+    SELECT rec.*, COUNT(*) OVER (PARTITION BY patient_id, source, field_name) AS n FROM rec) r,
+    LATERAL (SELECT unnest([CASE WHEN value IS NULL THEN 'missing_value' END, CASE WHEN unit <> expected_unit THEN 'unit_mismatch' END,
+      CASE WHEN n > 1 THEN 'duplicate_measurement' END, CASE WHEN date_diff('day', data_received_date, DATE '%s') > %d THEN 'stale_data' END,
+      CASE WHEN ref_low IS NOT NULL AND ref_high IS NOT NULL AND (value < ref_low OR value > ref_high) THEN 'out_of_range' END]) AS issue_type) x
+  WHERE issue_type IS NOT NULL)
+WHERE (record_id, issue_type) NOT IN (SELECT (record_id, issue_type) FROM flagged) GROUP BY ALL""" % (RD, tables.RECORDS_STALE_DAYS), CLINICAL_ORACLE_CTE))
+def q_cross_validate_differences(spark, sf_dir):
+    """Which issues the priority pick leaves out: all issues of every record against the picked ones, as multisets."""
+    rec = tables.records(spark, sf_dir)
+    return clinical.multiset_difference(clinical.run_checks_long(rec, RD, tables.RECORDS_STALE_DAYS), clinical.run_checks_dataframe(rec, RD, tables.RECORDS_STALE_DAYS))
+
+
+@register("sources_ranked", """WITH c AS (SELECT user_id AS source, event_type AS severity, COUNT(*) AS flagged_count FROM events GROUP BY ALL)
+SELECT source, severity, flagged_count, CAST(rank() OVER (PARTITION BY severity ORDER BY flagged_count DESC) AS INTEGER) AS rank_within_severity FROM c""")
+def q_sources_ranked(spark, sf_dir):
+    """The ranked summary over many sources: users as sources, event types as severities."""
+    events = tables.table(spark, sf_dir, "events")
+    return reports.summary_ranked(events.select(events.user_id.alias("source"), events.event_type.alias("severity")))

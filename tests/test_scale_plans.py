@@ -62,9 +62,15 @@ def test_exact_quartiles_do_not_depend_on_exchange_reuse(spark):
     spark.conf.unset("spark.sql.exchange.reuse")
 
 
-def test_domain_reads_every_column_and_value(spark):
+def test_domain_reads_every_column_and_weighs_by_share(spark):
     from lintel.operators.domain import best_domain
-    wide = spark.range(300).select(*[F.lit("zz").alias(f"a{i}") for i in range(30)],
-                                   F.when(F.col("id") == 299, "WAREHOUSE stock").otherwise("aa").alias("a30"))
-    best = best_domain(wide)
+    share = lambda n: spark.range(300).select(*[F.lit("zz").alias(f"a{i}") for i in range(30)],
+                                              F.when(F.col("id") < n, "WAREHOUSE, stock").otherwise("aa").alias("a30"))
+    best = best_domain(share(60))
     assert best["domain"] == "inventory" and best["reason"] == ["stock", "warehouse"]
+    assert best_domain(share(59))["domain"] == "generic"         # fewer than one value of five
+    prose = spark.range(50).select(F.concat_ws(" ", F.lit("the lab gave a result for the patient"), F.lit(" and so on" * 30)).alias("a"))
+    assert best_domain(prose)["domain"] == "generic"             # few of many words
+    part = spark.range(5).select(F.lit("labor stocks multiunit").alias("a"))
+    assert best_domain(part)["domain"] == "generic"              # no whole word
+    assert best_domain(spark.range(3).select(F.lit("Heart-Rate").alias("a")))["reason"] == ["heart_rate"]
