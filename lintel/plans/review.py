@@ -1,18 +1,20 @@
-"""A review run: pick the check path, build lazy outputs, materialise once, export.
-
-``Review(df, ...)`` builds plans only, but for auto mode, which first reads the table once to
-choose its domain.  ``write(out_dir)`` runs them: the
-flagged rows (with their issue arrays) are written once as Parquet, and every
-other output - the long issue export, the summary, totals, metadata - is
-computed from that written table plus a row count of the input, so the
-input and the rule plan are not re-run per output and a lost executor only
-costs the stage it was running.
+"""A review run: pick the check path, build lazy outputs, write them as one version, publish it.
+
+``Review(df, ...)`` builds plans only, but for auto mode, which first reads the table (or a
+bounded preview of it) to choose its domain.  ``write(out_dir)`` runs them into a new
+folder ``versions/<run_id>``: the issue rows are written once, in the format asked for, and
+the summary, the totals and the comparison with the SQL form are computed from what was
+written.  The last step appends one row to ``manifests``, which names all outputs of the
+run.  Readers follow the newest manifest row (``read_back``), so a run whose driver was
+lost leaves the version before it valid, and a rerun leaves exactly one newer one.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import logging
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -21,9 +23,11 @@ from lintel import config, packs
 from lintel.functions.messages import add_drafted_messages
 from lintel.functions.severity import score_clinical, score_rules
 from lintel.operators import clinical, reports
+from lintel.operators.preview import FRACTION, preview
 from lintel.operators.stats import colref
 from lintel.plans.engine import ISSUE_POSITION, ISSUES, RuleEngine, explode_issues
 from lintel.schemas import RECORD_COLUMNS
+from lintel.sources import io
 
 logger = logging.getLogger("lintel")
 
@@ -62,6 +66,8 @@ class Review:
     engine_options: dict = field(default_factory=dict)
     domain: dict | None = None
     cross_check: bool = True                 # clinical path: compare with the SQL form on write
+    input_path: str | None = None            # where the table came from, for the metadata
+    preview_rows: int | None = None          # classify a bounded preview of so many rows instead of the table
 
     def __post_init__(self):
         if self.mode not in ("auto", "clinical", "configurable"):
@@ -73,7 +79,7 @@ class Review:
                                                           and looks_clinical(self.df.columns)))
         if not self.clinical_mode and not self.rules:
             from lintel.operators.domain import best_domain
-            self.domain = self.domain or best_domain(self.df)
+            self.domain = self.domain or best_domain(self.df if self.preview_rows is None else self.preview(self.preview_rows).drop(FRACTION))
             self.pack_id = self.domain["domain"] if self.domain["domain"] in packs.PACK_IDS else "generic"
             self.rules = packs.get_pack(self.pack_id, fallback=True)["rules"]
         else:
@@ -82,6 +88,10 @@ class Review:
         self.engine = None if self.clinical_mode else RuleEngine(self.rules, **opts)
 
     # ------------------------------------------------------------- lazy plans
+    def preview(self, rows: int = 200) -> DataFrame:
+        """At most ``rows`` rows of the input, the same on every run, with the share of all rows that they are."""
+        return preview(self.df, rows)
+
     def annotated(self) -> DataFrame:
         """Configurable path: every input row with its ``issues`` array."""
         if self.clinical_mode:
@@ -132,64 +142,57 @@ class Review:
 
     # ------------------------------------------------------------- execution
     def write(self, out_dir: str, fmt: str = "csv") -> dict:
-        """Run the review once and write flagged rows, summary and metadata under ``out_dir``."""
+        """Run the review once and publish issue rows, summary, rule resolution and metadata as one version under ``out_dir``.
+
+        On the configurable path the issue rows end with ``issue_position``, an issue's place in its row: place 0
+        marks a flagged row, so flagged rows need no row id.
+        """
         spark = self.df.sparkSession
-        base = out_dir.rstrip("/")
-        stage = f"{base}/_flagged_rows"
-        validated = None
+        out = io.Version(spark, out_dir, uuid.uuid4().hex)
         if self.clinical_mode:
-            self.flagged().write.mode("overwrite").parquet(stage)
-            flagged = spark.read.parquet(stage)
-            issue_rows = flagged
-            if self.cross_check:
-                sql = clinical.run_checks_sql(spark, self.df, self.review_date, self.stale_days)
-                validated = clinical.cross_validate(flagged, sql)
+            found = self.flagged()
         else:
-            # Long form with each issue's index in its row: index 0 marks a flagged row.
-            explode_issues(self.annotated(), with_position=True).write.mode("overwrite").parquet(stage)
-            staged = spark.read.parquet(stage)
-            issue_rows = staged.drop(ISSUE_POSITION)
-        scored = self.scored(issue_rows)
-        export = export_projection(scored, self.clinical_mode)
-        writer = (flat_text(export) if fmt == "csv" else export).write.mode("overwrite")
-        if fmt == "csv":
-            writer.option("header", True).csv(f"{base}/flagged_records")
-        else:
-            writer.parquet(f"{base}/flagged_records")
-        summary = self.summary(scored)
-        summary.write.mode("overwrite").option("header", True).csv(f"{base}/summary_report")
+            found = explode_issues(self.annotated(), with_position=True)
+        export = export_projection(self.scored(found), self.clinical_mode)
+        if not self.clinical_mode:
+            export = export.select(*[colref(c) for c in export.columns if c != ISSUE_POSITION], colref(ISSUE_POSITION).alias("issue_position"))
+        rows = out.add("flagged_records", flat_text(export) if fmt == "csv" else export, fmt)
+
+        validated = None
+        if self.clinical_mode and self.cross_check:
+            sql = clinical.run_checks_sql(spark, self.df, self.review_date, self.stale_days)
+            validated = clinical.cross_validate(rows, sql)
+        summary = out.add("summary_report", self.summary(rows), "csv")
         if not self.clinical_mode:
             # Which columns each rule checked, and what was skipped and why (plan-time metadata).
-            (self.engine.resolution(self.df).coalesce(1).write.mode("overwrite")
-             .option("header", True).csv(f"{base}/rule_resolution"))
+            out.add("rule_resolution", self.engine.resolution(self.df).coalesce(1), "csv")
 
-        total = self.df.count()
-        if self.clinical_mode:
-            n_flagged = flagged.count()
-            n_issues = n_flagged
-        else:
-            row = staged.agg(F.count_if(F.col(ISSUE_POSITION) == 0).alias("r"), F.count(F.lit(1)).alias("i")).first()
-            n_flagged, n_issues = int(row["r"]), int(row["i"])
+        total = int(self.df.count())
+        issues = int(summary.agg(F.coalesce(F.sum("flagged_count"), F.lit(0))).first()[0])
+        flagged = issues if self.clinical_mode else int(rows.where(F.col("issue_position") == 0).count())
         meta = {
+            "run_id": out.run_id,
+            "input_path": self.input_path,
             "detected_domain": self.domain,
             "rule_pack": self.pack_id,
             "clinical_mode": self.clinical_mode,
             "clinical_sql_validated": validated,
-            "total_records": int(total),
-            "issues": int(n_issues),
-            "flagged_records": int(n_flagged),
-            "clear_records": int(total - n_flagged),
+            "total_records": total,
+            "issues": issues,
+            "flagged_records": flagged,
+            "clear_records": total - flagged,
         }
-        metadata_frame(spark, meta).coalesce(1).write.mode("overwrite").json(f"{base}/run_metadata")
+        out.add("run_metadata", metadata_frame(spark, meta).coalesce(1), "json")
+        out.publish(dt.datetime.now(dt.timezone.utc).isoformat(timespec="microseconds"))
         return meta
 
 
 def metadata_frame(spark, meta: dict) -> DataFrame:
     """Run metadata as a one-row DataFrame (the domain profile travels as JSON text)."""
     row = {k: (json.dumps(v) if isinstance(v, (dict, list)) else v) for k, v in meta.items()}
-    names = ["detected_domain", "rule_pack", "clinical_mode", "clinical_sql_validated", "total_records",
+    names = ["run_id", "input_path", "detected_domain", "rule_pack", "clinical_mode", "clinical_sql_validated", "total_records",
              "issues", "flagged_records", "clear_records"]
-    schema = ("detected_domain string, rule_pack string, clinical_mode boolean, clinical_sql_validated boolean, "
+    schema = ("run_id string, input_path string, detected_domain string, rule_pack string, clinical_mode boolean, clinical_sql_validated boolean, "
               "total_records long, issues long, flagged_records long, clear_records long")
     return spark.createDataFrame([tuple(row.get(k) for k in names)], schema)
 
@@ -197,3 +200,8 @@ def metadata_frame(spark, meta: dict) -> DataFrame:
 def review(df: DataFrame, rules: list[dict] | None = None, review_date: str = config.REVIEW_DATE, **kw) -> Review:
     """Build a lazy review: ``.issues() .summary() .totals() .queue()``; ``.write(dir)`` runs it."""
     return Review(df, rules=rules, review_date=review_date, **kw)
+
+
+def review_path(spark, path: str, fmt: str | None = None, **kw) -> Review:
+    """Review a stored table; one without rows is an error, on both check paths."""
+    return Review(io.read_table(spark, path, fmt, check_empty=True), input_path=path, **kw)

@@ -8,9 +8,11 @@ do not convert become null and are counted by ``schema_conformance``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -193,19 +195,55 @@ def schema_conformance(df: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> D
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Distributed write; CSV always carries a header so an empty result still reads back."""
     writer = df.write.mode(mode)
-    if fmt == "csv":
-        writer.option("header", True).csv(path)
-    else:
-        writer.format(fmt).save(path)
+    writer.format(fmt).options(**(CSV_OPTIONS if fmt == "csv" else {})).save(path)
+
+
+# Values with quotes, line feeds or back-slashes survive a round trip; an empty text comes back as null, since CSV has one blank for both.
+CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}
+MANIFEST_SCHEMA = "run_id string, published_at string, outputs array<struct<name:string,path:string,format:string,schema:string>>"
+
+
+class Version:
+    """The outputs of one run under ``<base>/versions/<run_id>``; ``publish`` makes them the valid ones."""
+
+    def __init__(self, spark: SparkSession, base: str, run_id: str) -> None:
+        self.spark, self.base, self.run_id = spark, base.rstrip("/"), run_id
+        self.outputs: list[tuple[str, str, str, str]] = []
+
+    def add(self, name: str, df: DataFrame, fmt: str) -> DataFrame:
+        """Write one output and return it as read from there."""
+        path = f"{self.base}/versions/{self.run_id}/{name}"
+        df.write.format(fmt).options(**(CSV_OPTIONS if fmt == "csv" else {})).mode("errorifexists").save(path)
+        self.outputs.append((name, path, fmt, df.schema.json()))
+        return _load(self.spark, path, fmt, df.schema)
+
+    def publish(self, at: str) -> None:
+        """Append the manifest row: one file, which appears whole when its job commits."""
+        self.spark.createDataFrame([(self.run_id, at, self.outputs)], MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(f"{self.base}/manifests")
+
+
+def _load(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None) -> DataFrame:
+    reader = spark.read.format(fmt).options(**(CSV_OPTIONS if fmt == "csv" else {}))
+    return (reader.schema(schema) if schema is not None and fmt != "parquet" else reader).load(path)
+
+
+def published(spark: SparkSession, base: str) -> dict[str, tuple[str, str, T.StructType]] | None:
+    """Outputs of the newest published run by name: path, format, schema; None if nothing was published there."""
+    try:
+        rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{base.rstrip('/')}/manifests")
+        row = rows.orderBy(F.desc("published_at"), F.desc("run_id")).first()
+    except AnalysisException:
+        return None
+    return None if row is None else {o["name"]: (o["path"], o["format"], T.StructType.fromJson(json.loads(o["schema"]))) for o in row["outputs"]}
 
 
 def read_back(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
-    if fmt == "csv":
-        reader = spark.read.option("header", True)
-        return reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
-    if fmt == "json":
-        return spark.read.schema(schema).json(path) if schema is not None else spark.read.json(path)
-    return spark.read.format(fmt).load(path)
+    """Read an output: ``<base>/<name>`` of the newest published run of ``base`` if it has one, else the files at ``path``."""
+    base, _, name = path.rstrip("/").rpartition("/")
+    known = published(spark, base) if base else None
+    if known and name in known:
+        return _load(spark, *known[name])
+    return _load(spark, path, fmt, schema)
 
 
 def text_view(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

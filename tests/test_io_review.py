@@ -56,7 +56,7 @@ def test_clinical_review_run(spark, sample_records, tmp_path):
     back = io.read_back(spark, str(tmp_path / "out" / "flagged_records"), "csv")
     assert back.count() == 14 and back.columns[-1] == "drafted_query"
     assert io.read_back(spark, str(tmp_path / "out" / "summary_report"), "csv").count() == 5
-    saved = spark.read.json(str(tmp_path / "out" / "run_metadata")).first()
+    saved = io.read_back(spark, str(tmp_path / "out" / "run_metadata"), "json").first()
     assert saved["flagged_records"] == 14 and saved["clinical_sql_validated"] is True
 
 
@@ -70,9 +70,11 @@ def test_configurable_review_with_no_flags_still_writes_header(spark, tmp_path):
     review = Review(df, rules=[{"type": "numeric_range", "column": "amount", "min_value": 0}])
     meta = review.write(str(tmp_path / "o2"))
     assert (meta["issues"], meta["flagged_records"], meta["clear_records"]) == (0, 0, 1)
-    back = spark.read.option("header", True).csv(str(tmp_path / "o2" / "flagged_records"))
+    back = io.read_back(spark, str(tmp_path / "o2" / "flagged_records"))
     assert "issue_type" in back.columns and back.count() == 0
-    res = spark.read.option("header", True).csv(str(tmp_path / "o2" / "rule_resolution")).collect()
+    header = spark.read.option("header", True).csv(io.published(spark, str(tmp_path / "o2"))["flagged_records"][0])
+    assert "issue_type" in header.columns and header.count() == 0
+    res = io.read_back(spark, str(tmp_path / "o2" / "rule_resolution")).collect()
     assert [(r["column"], r["status"]) for r in res] == [("amount", "checked")]
 
 
@@ -127,3 +129,66 @@ def test_json_read_back_and_queue(spark, sample_records, tmp_path):
 def test_auto_mode_classification(spark):
     df = spark.createDataFrame([("T1", 10.0), ("T2", -3.0)], "transaction_id string, amount double")
     assert Review(df).pack_id == "financial"
+
+
+def test_a_lost_driver_leaves_one_valid_version(spark, tmp_path, monkeypatch):
+    text = 'line one\nline "two", back\\slash\\'
+    rows = [(1, -5.0, text), (2, 5.0, ""), (3, -1.0, None), (4, -2.0, "d")]
+    df = spark.createDataFrame(rows, "id long, amount double, note string")
+    rules = [{"type": "numeric_range", "column": "amount", "min_value": 0}, {"type": "missing_value", "column": "note"}]
+    out = str(tmp_path / "out")
+    first = Review(df, rules=rules, input_path="somewhere").write(out)
+    assert (first["issues"], first["flagged_records"], first["clear_records"], first["input_path"]) == (5, 4, 0, "somewhere")
+    back = {(r["id"], r["issue_type"]): r for r in io.read_back(spark, f"{out}/flagged_records").collect()}
+    assert len(back) == 5 and back[1, "range_check_amount"]["note"] == text and back[2, "missing_note"]["note"] is None  # CSV has one blank
+    for step in ("rule_resolution", "run_metadata", "publish"):
+        def lost(self, *a, _step=step, _add=io.Version.add, _publish=io.Version.publish):
+            if _step in ("publish", a[0]):
+                raise RuntimeError("driver lost")
+            return _add(self, *a)
+        with monkeypatch.context() as m:
+            m.setattr(io.Version, "publish" if step == "publish" else "add", lost)
+            with pytest.raises(RuntimeError):
+                Review(df.limit(1), rules=rules).write(out)
+        assert io.read_back(spark, f"{out}/run_metadata").first()["run_id"] == first["run_id"]
+        assert io.read_back(spark, f"{out}/flagged_records").count() == 5
+    second = Review(df.where("id > 2"), rules=rules).write(out, fmt="parquet")
+    assert io.read_back(spark, f"{out}/run_metadata").first()["run_id"] == second["run_id"]
+    assert io.read_back(spark, f"{out}/flagged_records").count() == second["issues"] == 3
+    assert not os.path.exists(f"{out}/_flagged_rows")
+
+
+def test_review_of_a_stored_table(spark, tmp_path):
+    from lintel.plans.review import review_path
+    path = str(tmp_path / "t.parquet")
+    spark.range(500).selectExpr("concat('T', id) AS transaction_id", "cast(id AS double) AS amount").write.parquet(path)
+    review = review_path(spark, path, preview_rows=20)
+    assert review.pack_id == "financial" and review.input_path == path
+    assert review.preview(7).count() == 7
+    spark.range(0).write.parquet(str(tmp_path / "e.parquet"))
+    with pytest.raises(io.EmptyInputError):
+        review_path(spark, str(tmp_path / "e.parquet"))
+
+
+def test_unequal_multiplicities_are_differences(spark):
+    from lintel.operators import clinical
+    a = spark.createDataFrame([("R1", "x"), ("R1", "x"), ("R2", "y"), (None, "z"), (None, "z")], "record_id string, issue_type string")
+    b = spark.createDataFrame([("R1", "x"), ("R2", "y"), ("R3", "y"), (None, "z"), (None, "z")], "record_id string, issue_type string")
+    assert clinical.cross_validate_frame(a, b).first().asDict() == {"only_dataframe": 1, "only_sql": 1, "in_both": 4}
+    assert {tuple(r) for r in clinical.multiset_difference(a, b).collect()} == {("R1", "x", 1), ("R3", "y", -1)}
+    assert clinical.cross_validate(a, a) and clinical.cross_validate_frame(a.limit(0), a.limit(0)).first()["in_both"] == 0
+    with pytest.raises(AssertionError, match="R1"):
+        clinical.cross_validate(a, b)
+
+
+def test_ranks_without_a_window_over_rows(spark):
+    from pyspark.sql import functions as F
+    from lintel.operators.reports import ranked_within, summary_ranked
+    df = spark.range(100000).select(F.concat(F.lit("s"), F.col("id") % 40000).alias("source"), F.when(F.col("id") % 3 > 0, "high").alias("severity"))
+    counts = df.groupBy("source", "severity").agg(F.count(F.lit(1)).alias("n"))
+    got = ranked_within(counts, "severity", "n", "r")
+    want = counts.selectExpr("*", "rank() OVER (PARTITION BY severity ORDER BY n DESC) AS r")
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    plan = summary_ranked(df)._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window ["):]
+    assert "source" not in window[:window.index("\n")] and summary_ranked(df.limit(0)).count() == 0
