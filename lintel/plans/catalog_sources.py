@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lintel.operators import sketches
+from lintel.operators.date_formats import date_formats, shapes
 from lintel.operators.stats import distinct_counts
 from lintel.plans import tables
 from lintel.plans.catalog import register
@@ -68,6 +69,49 @@ def q_infer_types_customer(spark, sf_dir):
     return inference.infer_types(io.text_view(tables.table(spark, sf_dir, "customer"))).drop("bits")
 
 
+# ---------------------------------------------------------------- date formats
+DATED_SQL = """dated AS (
+  SELECT strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%d.%m.%Y') AS dotted, strftime(o_orderdate, '%m/%d/%Y') AS slashed,
+         CASE WHEN o_orderkey % 4 = 0 THEN strftime(o_orderdate, '%m/%d/%Y') ELSE strftime(o_orderdate, '%d/%m/%Y') END AS unsure,
+         CASE WHEN o_orderkey % 3 = 0 THEN 'open' ELSE strftime(o_orderdate, '%Y/%m/%d 10:30') END AS timed,
+         strftime(o_orderdate, '03/%m/%Y') AS early, o_orderpriority AS priority, CASE WHEN o_orderkey % 5 < 3 THEN 'n/a' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS few
+  FROM orders)"""
+
+
+def dated(spark, sf_dir):
+    o = tables.table(spark, sf_dir, "orders")
+    k, day = F.col("o_orderkey"), lambda f: F.date_format("o_orderdate", f)
+    return o.select(day("yyyy-MM-dd").alias("iso"), day("dd.MM.yyyy").alias("dotted"), day("MM/dd/yyyy").alias("slashed"),
+                    F.when(k % 4 == 0, day("MM/dd/yyyy")).otherwise(day("dd/MM/yyyy")).alias("unsure"),
+                    F.when(k % 3 == 0, "open").otherwise(day("yyyy/MM/dd '10:30'")).alias("timed"),
+                    day("'03'/MM/yyyy").alias("early"), F.col("o_orderpriority").alias("priority"),
+                    F.when(k % 5 < 3, "n/a").otherwise(day("yyyy-MM-dd")).alias("few"))
+
+
+def _format_sql(column: str, fmt: str | None, order: str | None, shape: str) -> str:
+    text = lambda x: "CAST(NULL AS VARCHAR)" if x is None else f"'{x}'"
+    return (f"""SELECT '{column}' AS "column", {text(fmt)} AS date_format, {text(order)} AS field_order, """
+            f"round(count_if(regexp_full_match({column}, '{shape}')) / count(*), 6) AS share, count(*) AS values FROM dated")
+
+
+_YMD, _DMY = "[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}.*", "[0-9]{2}[./][0-9]{2}[./][0-9]{4}"
+
+
+@register("date_formats", "WITH " + DATED_SQL + "\n" + "\nUNION ALL ".join([
+    _format_sql("iso", "yyyy-M-d", "known", _YMD), _format_sql("dotted", "d.M.yyyy", "known", _DMY), _format_sql("slashed", "M/d/yyyy", "known", _DMY),
+    _format_sql("unsure", "d/M/yyyy", "mixed", _DMY), _format_sql("timed", "yyyy/M/d H:mm", "known", _YMD), _format_sql("early", "M/d/yyyy", "assumed", _DMY),
+    _format_sql("priority", None, None, _YMD), _format_sql("few", None, None, _YMD)]))
+def q_date_formats(spark, sf_dir):
+    return date_formats(dated(spark, sf_dir))
+
+
+@register("date_masks", "WITH " + DATED_SQL + """
+SELECT 'timed' AS "column", regexp_replace(regexp_replace(timed, '[0-9]', '9', 'g'), '[a-z]+', 'a', 'g') AS mask, count(*) AS values,
+  coalesce(count_if(try_cast(substr(timed, 6, 2) AS INTEGER) > 12), 0) AS first_high, coalesce(count_if(try_cast(substr(timed, 9, 2) AS INTEGER) > 12), 0) AS second_high FROM dated GROUP BY 2""")
+def q_date_masks(spark, sf_dir):
+    return shapes(dated(spark, sf_dir), ["timed"])
+
+
 # ---------------------------------------------------------------- rejected rows
 ORDER_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType(), False), T.StructField("o_custkey", T.LongType(), False),
                              T.StructField("o_totalprice", T.DoubleType()), T.StructField("o_orderdate", T.DateType())])

@@ -173,3 +173,21 @@ def test_ragged_lines_and_bad_values_are_kept_apart(spark, tmp_path):
     split.write(str(tmp_path / "out"))
     both = spark.read.parquet(str(tmp_path / "out"))
     assert {(r["accepted"], r["count"]) for r in both.groupBy("accepted").count().collect()} == {("true", 2), ("false", 4)}
+
+
+# ---------------------------------------------------------------- date formats
+def test_formats_follow_all_values(spark):
+    from lintel.operators.date_formats import date_formats, shapes
+    rows = [("1/2/2024", "13.1.2024", "2024-05-06T10:20:30", "2024-13-01", "x", " ", "2024-01-02 " + "z" * 50)] * 3 + [
+        ("25/2/2024", "1.2.2024", "2024-05-06T1:20", "2024-14-01", "2024-01-02", None, "2024-01-02")]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string, g string")
+    got = {r["column"]: (r["date_format"], r["field_order"], r["share"], r["values"]) for r in date_formats(df).collect()}
+    assert got["a"] == ("d/M/yyyy", "known", 1.0, 4)          # the first value alone would have said M/d
+    assert got["b"] == ("d.M.yyyy", "known", 1.0, 4)
+    assert got["c"] == ("yyyy-M-d'T'H:mm", "known", 1.0, 4)
+    assert got["d"] == ("yyyy-d-M", "known", 1.0, 4)
+    assert got["e"] == (None, None, 0.25, 4) and got["g"] == (None, None, 0.25, 4) and "f" not in got
+    assert {r["mask"]: r["values"] for r in shapes(df, ["a"]).collect()} == {"9/9/9999": 3, "99/9/9999": 1}
+    assert date_formats(df.limit(0)).count() == 0 and date_formats(spark.range(3)).count() == 0
+    carried = {f.name() for f in _exchange_columns(shapes(df))}
+    assert "v" not in carried

@@ -74,3 +74,16 @@ def test_domain_reads_every_column_and_weighs_by_share(spark):
     part = spark.range(5).select(F.lit("labor stocks multiunit").alias("a"))
     assert best_domain(part)["domain"] == "generic"              # no whole word
     assert best_domain(spark.range(3).select(F.lit("Heart-Rate").alias("a")))["reason"] == ["heart_rate"]
+
+
+def test_duplicate_counts_run_once_a_column(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(30000).select("id", (F.col("id") % 7000).alias("k"), (F.col("id") % 9000).cast("string").alias("s")).write.parquet(path)
+    df = spark.read.parquet(path)
+    for n in (1, 2):
+        found = RuleEngine([{"id": c, "type": "duplicate", "column": c} for c in ("k", "s")[:n]]).issues(df)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        final = plan[:plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+        # The rows once and the counts of each key once; hot keys, cold keys and the total read the same exchange.
+        assert final.count("FileScan parquet") <= 1 + n, final
