@@ -4,7 +4,8 @@ Three paths, each one scan:
 
 * null, number and date probes and the least value per hash bucket: one aggregate
   without keys, one row per task;
-* distinct values: 128-bit hashes are grouped, so no value is shuffled;
+* distinct values: numbers and times of fixed width, else 128-bit hashes, are grouped, so
+  no text is shuffled;
 * samples, the five smallest distinct non-null values (a row order does not exist in
   Spark): only values up to a bound that the first path found leave a task.
 
@@ -65,64 +66,113 @@ def column_frame(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         rows, "position int, column string, physical_type string, typed_numeric boolean, typed_date boolean")
 
 
-def _values(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+WHOLE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _storage(dtype: T.DataType) -> str:
+    """How a value travels in the distinct path: as a whole number, a double or a time of fixed width, else as its hash."""
+    if isinstance(dtype, WHOLE_TYPES):
+        return "whole"
+    for kind, types in (("flag", T.BooleanType), ("day", T.DateType), ("double", (T.FloatType, T.DoubleType)), ("time", (T.TimestampType, T.TimestampNTZType))):
+        if isinstance(dtype, types):
+            return kind
+    return "hash"
+
+
+def _texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The hashed columns as text ``t<position>`` with their bucket ``b<position>``, the others as they are, ``t<position>``."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    return [value_text(colref(c), types[c]) for c in columns]
+    hashed = [i for i, c in enumerate(columns) if _storage(types[c]) == "hash"]
+    out = df.select(*[(value_text(colref(c), types[c]) if i in hashed else colref(c)).alias(f"t{i}") for i, c in enumerate(columns)])
+    return out.select("*", *[F.pmod(F.hash(f"t{i}"), F.lit(BUCKETS)).alias(f"b{i}") for i in hashed])
 
 
 def probes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row, ``s``: per column the counts of nulls, values, number-like and date-like values, and the least values.
+    """One row, ``s``: per column the counts of nulls, values, number-like and date-like values, and a bound of the least values.
 
     One aggregate without keys: a task passes on one row.  Text probes run for text
-    columns only; the storage type answers them for the others.  ``bound`` is the fifth
-    of the least values of ``BUCKETS`` hash buckets in order, so the five smallest
+    columns only; the storage type answers them for the others.  ``bound`` (text columns) is
+    the fifth of the least values of ``BUCKETS`` hash buckets in order, so the five smallest
     distinct values do not exceed it.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     fields = []
-    for c, v in zip(columns, _values(df, columns), strict=True):
-        typed = isinstance(types[c], NUMERIC_TYPES + (T.BooleanType,) + DATE_TYPES)
-        dated = isinstance(types[c], DATE_TYPES)
-        none, every = F.lit(0).cast("long"), F.count(v)
-        # Whatever parses as a date starts with a digit; the test spares the three parsers most texts.
-        dateable = v.rlike(r"^\s*[+-]?\d")
-        bucket = F.pmod(F.xxhash64(v), F.lit(BUCKETS))
-        fields.append(F.struct(
-            F.count_if(v.isNull()).alias("null_count"), every.alias("non_null"),
-            ((none if dated else every) if typed else F.count_if(looks_numeric(v))).alias("num_ok"),
-            ((every if dated else none) if typed else F.count_if(v.rlike(DATE_SHAPE))).alias("shape_ok"),
-            ((every if dated else none) if typed else F.count_if(F.when(dateable, probe_date(v)).isNotNull())).alias("date_ok"),
+    for i, c in enumerate(columns):
+        v, none, every = F.col(f"t{i}"), F.lit(0).cast("long"), F.count(f"t{i}")
+        numeric, dated = isinstance(types[c], NUMERIC_TYPES + (T.BooleanType,)), isinstance(types[c], DATE_TYPES)
+        if numeric or dated:
+            found = [every if numeric else none, every if dated else none, every if dated else none]
+        else:
+            # Whatever parses as a date starts with a digit; the test spares the three parsers most texts.
+            dateable = v.rlike(r"^\s*[+-]?\d")
+            found = [F.count_if(looks_numeric(v)), F.count_if(v.rlike(DATE_SHAPE)), F.count_if(F.when(dateable, probe_date(v)).isNotNull())]
+        bound = F.lit(None).cast("string")
+        if _storage(types[c]) == "hash":
             # Nulls sort last, so fewer than five filled buckets give no bound.
-            F.get(F.array_sort(F.array(*[F.min(F.when(bucket == b, v)) for b in range(BUCKETS)])), F.lit(SAMPLE_SIZE - 1)).alias("bound")))
-    return df.agg(F.array(*fields).alias("s"))
+            bound = F.get(F.array_sort(F.array(*[F.min(F.when(F.col(f"b{i}") == b, v)) for b in range(BUCKETS)])), F.lit(SAMPLE_SIZE - 1))
+        fields.append(F.struct(F.count_if(v.isNull()).alias("null_count"), every.alias("non_null"),
+                               *[x.alias(n) for x, n in zip(found, ("num_ok", "shape_ok", "date_ok"), strict=True)], bound.alias("bound")))
+    return _texts(df, columns).agg(F.array(*fields).alias("s"))
 
 
-def distinct_by_hash(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(position, unique_count): different non-null values, told apart by 128 bits of hash.
+def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(position, a, b, d, t): the different non-null values, as fixed-width values of their type, else as 128 bits of hash.
 
-    The shuffle carries a position and two numbers per different value and task, no
-    value: a column of long texts costs what a column of numbers costs.
+    The shuffle carries these per different value and task, no text: a column of long
+    texts costs what a column of numbers costs.
     """
-    pairs = F.array(*[F.struct(F.lit(i).alias("position"), F.when(v.isNotNull(), F.xxhash64(v)).alias("a"), F.xxhash64(F.lit(SECOND_SEED), v).alias("b"))
-                      for i, v in enumerate(_values(df, columns))])
-    seen = df.select(F.inline(pairs)).where(F.col("a").isNotNull()).distinct()
-    return seen.groupBy("position").agg(F.count(F.lit(1)).alias("unique_count"))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    empty = {"a": F.lit(0).cast("long"), "b": F.lit(0).cast("long"), "d": F.lit(0.0), "t": F.lit(None).cast("timestamp_ntz")}
+    structs = []
+    for i, c in enumerate(columns):
+        x, kind = colref(c), _storage(types[c])
+        if kind == "hash":
+            text = value_text(x, types[c])
+            own = {"a": F.xxhash64(text), "b": F.xxhash64(F.lit(SECOND_SEED), text)}
+        elif kind == "double":
+            own = {"d": F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double"))}
+        elif kind == "time":
+            own = {"t": x.cast("timestamp_ntz")}
+        else:
+            own = {"a": (F.unix_date(x) if kind == "day" else x.cast("int") if kind == "flag" else x).cast("long")}
+        fields = empty | own
+        structs.append(F.struct(F.when(x.isNotNull(), F.lit(i)).alias("position"), *[fields[n].alias(n) for n in ("a", "b", "d", "t")]))
+    return df.select(F.inline(F.array(*structs))).where(F.col("position").isNotNull()).distinct()
+
+
+def distinct_by_hash(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(position, unique_count)."""
+    return distinct_values(df, columns).groupBy("position").agg(F.count(F.lit(1)).alias("unique_count"))
+
+
+def _smallest(values: DataFrame) -> DataFrame:
+    """(position, sample_values) of different (position, v)."""
+    top = values.withColumn("rn", F.row_number().over(Window.partitionBy("position").orderBy("v"))).where(F.col("rn") <= SAMPLE_SIZE)
+    return top.groupBy("position").agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", "v"))), lambda s: s["v"]).alias("sample_values"))
 
 
 def samples(df: DataFrame, columns: Sequence[str], probed: Column) -> DataFrame:
-    """(position, sample_values): the five smallest distinct non-null values of every column.
+    """(position, sample_values): the five smallest distinct non-null values of every column, in the order of their texts.
 
-    Values above the probes' ``bound`` (null in columns of few values: none) are left
-    out, so only a handful of values leaves a task.
+    Fixed-width values come from the distinct path.  Of texts, those above the probes'
+    ``bound`` (null in columns of few values: none) are left out, so only a handful leaves a task.
     """
-    texts = _values(df, columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    kinds = {i: _storage(types[c]) for i, c in enumerate(columns)}
+    at = lambda kind: F.col("position").isin([i for i, k in kinds.items() if k == kind])
+    fixed = (F.when(at("whole"), F.col("a").cast("string")).when(at("flag"), (F.col("a") == 1).cast("string")).when(at("day"), F.date_from_unix_date(F.col("a").cast("int")).cast("string"))
+             .when(at("double"), F.col("d").cast("string")).when(at("time"), F.col("t").cast("string")))
+    out = _smallest(distinct_values(df, columns).select("position", fixed.alias("v")).where(~at("hash")))
+    hashed = [i for i, kind in kinds.items() if kind == "hash"]
+    if not hashed:
+        return out
     none = F.lit(None).cast("struct<position:int,v:string>")
-    pairs = F.array(*[F.when(v.isNotNull() & F.coalesce(v <= F.col("__probes")[i]["bound"], F.lit(True)), F.struct(F.lit(i).alias("position"), v.alias("v"))).otherwise(none)
-                      for i, v in enumerate(texts)])
+    met = _texts(df, columns).withColumn("__probes", probed)
+    pairs = F.array(*[F.when(F.col(f"t{i}").isNotNull() & F.coalesce(F.col(f"t{i}") <= F.col("__probes")[i]["bound"], F.lit(True)),
+                             F.struct(F.lit(i).alias("position"), F.col(f"t{i}").alias("v"))).otherwise(none) for i in hashed])
     # A plain generator and a null test afterwards: the array expression stays out of the filter.
-    small = df.withColumn("__probes", probed).select(F.explode(pairs).alias("p")).where(F.col("p").isNotNull()).select("p.*").distinct()
-    top = small.withColumn("rn", F.row_number().over(Window.partitionBy("position").orderBy("v"))).where(F.col("rn") <= SAMPLE_SIZE)
-    return top.groupBy("position").agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", "v"))), lambda s: s["v"]).alias("sample_values"))
+    small = met.select(F.explode(pairs).alias("p")).where(F.col("p").isNotNull()).select("p.*").distinct()
+    return out.unionByName(_smallest(small))
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, max_unique_ratio: float = 0.1) -> DataFrame:
