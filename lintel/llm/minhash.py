@@ -309,12 +309,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of every near-duplicate component (the one with the least id); rows of one id collapse to one.
+    """``docs`` with one row of every near-duplicate component: the one with the least id, then the least hash of its text.
 
-    ``key`` is an integer column.  A row without an id gets one from its text, above
-    all ids in use, so it stays unless a document with an id is linked to it.
+    ``key`` is an integer column.  Rows are told apart by id and text: rows that repeat both
+    collapse to one, rows of one id with texts of different components all stay.  Rows without an
+    id come after those with one, so they stay unless a document with an id is linked to them.
     """
     own = fresh("own", docs)
-    named = docs.withColumn(own, F.coalesce(F.col(key).cast("long"), F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 2) + F.lit(2**62)))
+    place = F.lpad((F.col(key).cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
+    named = docs.withColumn(own, F.concat(F.coalesce(place, F.lit("9" * 20)), F.lit(":"), F.hex(F.xxhash64(F.coalesce(F.col(text), F.lit(""))))))
     kept = near_duplicates(named, own, text, shingle, percent).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
     return named.join(kept, named[own] == kept["__kept_id"], "left_semi").dropDuplicates([own]).select(*[F.col(f"`{c}`") for c in docs.columns])
