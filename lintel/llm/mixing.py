@@ -174,13 +174,15 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     if not whole_rows:
         return done.select(F.col("id").alias("doc_id"), F.col("size"), F.col("source_size"), F.col("target"), (times * F.col("size")).cast("long").alias("taken"))
     # Equal (source, size, hash) rows are equal documents: how many of them are taken, and how often, is summed before joining back.
-    taken = done.groupBy("source", "size", "h", "id").agg(F.sum(times).cast("long").alias("sum"), F.count("*").alias("of"))
-    taken = taken.select(F.col("source").alias("ts"), F.col("size").alias("tz"), F.col("h").alias("th"), F.col("id").alias("ti"), "sum", "of")
-    out = rows.join(taken, F.col(names["source"]).eqNullSafe(F.col("ts")) & (F.col(names["size"]) == F.col("tz")) & (F.col(names["h"]) == F.col("th"))
-                    & F.col(key).eqNullSafe(F.col("ti")))
-    lot = Window.partitionBy("ts", "tz", "th", "ti").orderBy(F.lit(1))
-    single = out.where("of = 1").withColumn(names["mark"], F.col("sum"))
-    many = out.where("of > 1").withColumn(names["mark"], F.floor(F.col("sum") / F.col("of")) + (F.row_number().over(lot) <= F.col("sum") % F.col("of")).cast("int"))
+    own = {n: fresh(n, rows) for n in ("s", "z", "hash", "id", "sum", "of")}
+    taken = done.groupBy("source", "size", "h", "id").agg(F.sum(times).cast("long").alias(own["sum"]), F.count("*").alias(own["of"]))
+    taken = taken.withColumnsRenamed({"source": own["s"], "size": own["z"], "h": own["hash"], "id": own["id"]})
+    out = rows.join(taken, F.col(names["source"]).eqNullSafe(F.col(own["s"])) & (F.col(names["size"]) == F.col(own["z"])) & (F.col(names["h"]) == F.col(own["hash"]))
+                    & F.col(key).eqNullSafe(F.col(own["id"])))
+    lot = Window.partitionBy(*[own[n] for n in ("s", "z", "hash", "id")]).orderBy(F.lit(1))
+    whole, of = F.col(own["sum"]), F.col(own["of"])
+    single = out.where(of == 1).withColumn(names["mark"], whole)
+    many = out.where(of > 1).withColumn(names["mark"], F.floor(whole / of) + (F.row_number().over(lot) <= whole % of).cast("int"))
     both = single.unionByName(many).where(F.col(names["mark"]) > 0)
     both = both.withColumn(names["mark"], F.explode(F.sequence(F.lit(1), F.col(names["mark"]).cast("int"))))
     return both.select(*[F.col(f"`{c}`") for c in docs.columns])
