@@ -21,6 +21,10 @@ from pyspark.sql import DataFrame, functions as F
 CAPACITY = 2048
 GROUP_DOCUMENTS = 8192     # documents dealt to a group, on average
 CHUNK_PIECES = 65536       # a group packs in chunks of at most so many pieces
+CHUNK_BYTES = 48 << 20     # and, when ids travel along, of at most so many bytes of them
+CACHE_BYTES = 384 << 20    # estimated size at which a worker forgets encoded words
+CACHE_WITH_IDS = 96 << 20  # the same where the worker also holds ids
+ENTRY_BYTES = 200          # dictionary slot and object headers of one remembered word
 END = 1
 MARKS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
@@ -33,11 +37,10 @@ class Tokens:
     ``<|`` may name special tokens and are encoded whole.
     """
 
-    CACHE = 800_000
-
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, budget: int = CACHE_BYTES) -> None:
         from tokenizers import Tokenizer
         self.model, self.known, self.parts = Tokenizer.from_file(path), {}, {}
+        self.budget, self.held = budget, 0
 
     def _encode(self, found: list[str]) -> list[bytes]:
         """Ids of each string, as bytes: the strings are encoded as the lines of one text, whose offsets tell the lines apart."""
@@ -56,8 +59,10 @@ class Tokens:
         if "<|" in text:
             return np.array([*self.model.encode(text, add_special_tokens=False).ids, END], np.uint32)
         found, known = text.encode("utf-8", "surrogatepass").split(), self.known
-        if len(known) > self.CACHE:
+        if self.held > self.budget:
             known.clear()
+            self.parts.clear()
+            self.held = 0
         got = list(map(known.get, found))
         if None in got:
             # A run of marks after a letter or digit is a token run of its own, so stems are shared; letter case is dropped.
@@ -66,29 +71,29 @@ class Tokens:
                 if ids is None and w not in new:
                     stem = w.rstrip(MARKS)
                     new[w] = (stem.lower(), w[len(stem):]) if stem and stem[-1:].isalnum() and stem.isascii() else (w, b"")
-            if len(self.parts) > self.CACHE:
-                self.parts.clear()
             parts = [p for p in {p for pair in new.values() for p in pair if p} if p not in self.parts]
             self.parts.update(zip(parts, self._encode([p.decode() for p in parts]), strict=True))
+            self.held += sum(ENTRY_BYTES + 5 * len(p) for p in parts)
             for w, (stem, tail) in new.items():
-                known[w] = self.parts[stem] + (self.parts[tail] if tail else b"")
+                known[w] = ids = self.parts[stem] + (self.parts[tail] if tail else b"")
+                self.held += ENTRY_BYTES + len(w) + len(ids)
             got = [known[w] for w in found]
         return np.frombuffer(b"".join(got) + END.to_bytes(4, "little"), "<u4")
 
 
 @functools.lru_cache(2)
-def tokens_of(path: str) -> Tokens:
+def tokens_of(path: str, budget: int = CACHE_BYTES) -> Tokens:
     """One encoder per worker process: its cache serves all tasks that the worker runs.
 
     Tasks are parallel already, so the library's own threads stay off.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokens(path)
+    return Tokens(path, budget)
 
 
 def _pieces(path: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_of(path)
+        tokens = tokens_of(path, CACHE_WITH_IDS if with_ids else CACHE_BYTES)
         for whole in batches:
             for at in range(0, len(whole), 512):
                 b = whole.slice(at, 512)
@@ -103,12 +108,12 @@ def _pieces(path: str, capacity: int, with_ids: bool):
                         crc.append(zlib.crc32(part.tobytes()))
                         total.append(len(t))
                         if with_ids:
-                            ids.append(part)
+                            ids.append(part.tobytes())
                 take = pa.array(row, pa.int64())
                 cols = [b.column("id").take(take), b.column("grp").take(take), *[pa.array(x, pa.int64()) for x in (start, length, crc, total)]]
                 names = ["id", "grp", "start", "length", "ids_crc32", "doc_tokens"]
                 if with_ids:
-                    cols.append(pa.array(ids, pa.list_(pa.int64())))
+                    cols.append(pa.array(ids, pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
     return run
@@ -148,30 +153,44 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
     return bins, offsets
 
 
+def _readable(b: pa.RecordBatch) -> pa.RecordBatch:
+    """Ids as lists of numbers; until here they travel as little-endian unsigned 32-bit bytes."""
+    if "ids" not in b.schema.names:
+        return b
+    at = b.schema.get_field_index("ids")
+    parts = b.column(at).to_pylist()
+    flat = np.frombuffer(b"".join(parts), "<u4").astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *[len(p) // 4 for p in parts]]), pa.int32()), pa.array(flat))
+    return b.set_column(at, "ids", lists)
+
+
 def _pack(capacity: int, names: list[str]):
     """Packs sorted runs of pieces of one group, chunk by chunk; memory is bounded by the chunk whatever the group."""
     def flush(kept: list[pa.RecordBatch], grp: int, first: int) -> tuple[pa.RecordBatch, int]:
         t = pa.Table.from_batches(kept).combine_chunks()
         bins, offsets = first_fit_decreasing(t.column("length").to_numpy(), capacity)
         t = t.append_column("sequence_id", pa.array(grp * 2**32 + first + bins)).append_column("offset", pa.array(offsets))
-        return t.select(names).to_batches(), first + (int(bins.max()) + 1 if len(bins) else 0)
+        return [_readable(b) for b in t.select(names).to_batches(max_chunksize=1024 if "ids" in names else None)], first + (int(bins.max()) + 1 if len(bins) else 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, held, grp, first = [], 0, None, 0
+        kept, held, size, grp, first = [], 0, 0, None, 0
+        with_ids = "ids" in names
         for b in batches:
             if not len(b):
                 continue
             g = b.column("grp").to_numpy(zero_copy_only=False)
             cuts = [0, *(np.nonzero(g[1:] != g[:-1])[0] + 1).tolist(), len(g)]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if kept and (g[lo] != grp or held + hi - lo > CHUNK_PIECES):
+                bulk = 4 * sum(b.column("length")[lo:hi].to_pylist()) if with_ids else 0
+                if kept and (g[lo] != grp or held + hi - lo > CHUNK_PIECES or size + bulk > CHUNK_BYTES):
                     out, first = flush(kept, grp, first)
                     yield from out
-                    kept, held = [], 0
+                    kept, held, size = [], 0, 0
                 first = first if g[lo] == grp else 0
                 grp = int(g[lo])
                 kept.append(b.slice(lo, hi - lo))
                 held += hi - lo
+                size += bulk
         if kept:
             yield from flush(kept, grp, first)[0]
     return run
@@ -190,11 +209,10 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     groups = max(1, -(-docs.count() // group_documents))
     deal = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.xxhash64(F.col(text))), F.lit(groups))
     kind = dict(docs.dtypes)[key]
-    ids = ", ids array<long>" if with_ids else ""
-    cols = f"start long, length long, ids_crc32 long, doc_tokens long{ids}"
+    cols = "start long, length long, ids_crc32 long, doc_tokens long"
     pieces = docs.select(F.col(key).alias("id"), deal.alias("grp"), F.col(text).alias("text")).mapInArrow(
-        _pieces(tokenizer, capacity, with_ids), f"id {kind}, grp long, {cols}")
+        _pieces(tokenizer, capacity, with_ids), f"id {kind}, grp long, {cols}{', ids binary' if with_ids else ''}")
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else []), "sequence_id", "offset"]
     packed = pieces.repartition(groups, "grp").sortWithinPartitions("grp", F.desc("length"), "id", "start", "ids_crc32").mapInArrow(
-        _pack(capacity, names), f"id {kind}, {cols}, sequence_id long, offset long")
+        _pack(capacity, names), f"id {kind}, {cols}{', ids array<int>' if with_ids else ''}, sequence_id long, offset long")
     return packed.withColumnRenamed("id", "doc_id")
