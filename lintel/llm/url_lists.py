@@ -48,13 +48,14 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", at: s
 
     ``decision`` is the action of the most specific entry in force at the fetch time
     (the URL itself, then the host, then parent domains from the longest), or 'none'.
-    Null URLs or times match nothing.  Repeated captures are answered alike; added
+    Null URLs or times match nothing.  Numeric hosts have no parent domains.  Repeated captures are answered alike; added
     columns replace input columns of those names.
     """
-    own, when = fresh("own", captures), fresh("when", captures)
+    own, when, of, then = fresh("own", captures), fresh("when", captures), fresh("of", captures), fresh("then", captures)
     host = host_of(F.col(url))
     labels = F.split(host, r"\.")
-    parents = F.when(F.size(labels) > 2, F.transform(F.sequence(F.lit(2), F.size(labels) - 1), lambda i: F.struct(
+    named = ~host.rlike(r"^[0-9.]+$|^\[")  # addresses have no parent domains
+    parents = F.when(named & (F.size(labels) > 2), F.transform(F.sequence(F.lit(2), F.size(labels) - 1), lambda i: F.struct(
         F.lit(0).alias("rank"), (F.size(labels) - i).alias("depth"), F.lit("domain").alias("kind"),
         F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("pattern"))))
     whole = F.array(F.struct(F.lit(2).alias("rank"), F.lit(0).alias("depth"), F.lit("url").alias("kind"), plain_url(F.col(url)).alias("pattern")),
@@ -68,10 +69,10 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", at: s
     in_force = keys.join(valid, (F.col("kind") == F.col("ik")) & (F.col("pattern") == F.col("ip")) & (F.col("effective_at") <= F.col("t"))
                          & (F.col("until").isNull() | (F.col("t") < F.col("until")))).select("kind", "pattern", "t", "action", "effective_at")
     in_force = in_force.withColumnsRenamed({"kind": "fk", "pattern": "fp", "t": "ft"})
-    best = keyed.join(in_force, (F.col("k.kind") == F.col("fk")) & (F.col("k.pattern") == F.col("fp")) & (F.col("t") == F.col("ft"))).groupBy("u", "t").agg(
-        F.max(F.struct("k.rank", "k.depth", "k.kind", "k.pattern", "action", "effective_at")).alias("best"))
+    best = keyed.join(in_force, (F.col("k.kind") == F.col("fk")) & (F.col("k.pattern") == F.col("fp")) & (F.col("t") == F.col("ft"))).groupBy(F.col("u").alias(of), F.col("t").alias(then)).agg(
+        F.max(F.struct("k.rank", "k.depth", "k.kind", "k.pattern", "action", "effective_at")).alias(own))
     added = ["decision", "matched_kind", "matched_pattern", "effective_at"]
     kept = captures.select(*[F.col(f"`{c}`") for c in captures.columns if c not in added])
-    out = kept.join(best, (kept[url] == F.col("u")) & (kept[at] == F.col("t")), "left")
-    return out.select(*[kept[f"`{c}`"] for c in kept.columns], F.coalesce("best.action", F.lit("none")).alias("decision"), F.col("best.kind").alias("matched_kind"),
-                      F.col("best.pattern").alias("matched_pattern"), F.col("best.effective_at").alias("effective_at"))
+    out = kept.join(best, (kept[f"`{url}`"] == F.col(of)) & (kept[f"`{at}`"] == F.col(then)), "left")
+    return out.select(*[kept[f"`{c}`"] for c in kept.columns], F.coalesce(f"{own}.action", F.lit("none")).alias("decision"), F.col(f"{own}.kind").alias("matched_kind"),
+                      F.col(f"{own}.pattern").alias("matched_pattern"), F.col(f"{own}.effective_at").alias("effective_at"))
