@@ -34,6 +34,8 @@ BATCH = 512
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length 1; the greatest component goes out first, so squares neither overflow nor vanish."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
