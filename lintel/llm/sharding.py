@@ -1,11 +1,13 @@
 """Sharding by balanced label propagation.
 
-Documents with equal texts are linked.  Every document starts in a seeded shard, and
-a linked document wants to be where most of its neighbours are.  Linked documents
-form cliques, so one vote settles a group's wish, and groups move as a whole: in a
-seeded order up to the shard's capacity, which counts all that groups leave behind.
-Groups whose shard is full are dealt, whole, along the room that is left.  Only a
-group that no shard has room for is spread, over as few shards as hold it.
+Documents with equal texts are linked.  Every document starts in a seeded shard.  In
+each round a linked document wishes to be where most of its neighbours' bytes are;
+documents of one group in one shard have the same wish and travel as one piece.  The
+wishes between each two shards are granted in a seeded order up to quotas, found so
+that no shard passes its capacity by what comes in less what leaves.  Rounds end when
+no wish is left or none can be granted.  Groups that are still apart then are dealt,
+whole, along the room that is left.  Only a group that no shard has room for is
+spread, over as few shards as hold it.
 Documents without links then fill the shards to equal sizes, in a seeded order cut
 at the shards' remaining needs.  Only the loads of the shards and groups beyond a
 fixed part of a shard reach the driver; running sums go through bucket totals.
@@ -13,12 +15,13 @@ fixed part of a shard reach the driver; running sums go through bucket totals.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lintel.llm.common import checkpointed
 
 SHARDS = 16
-ROUNDS = 4
+ROUNDS = 8             # of propagation at most
 FULL = 0.97            # linked documents fill a shard so far at first: the others even the shards out
 BIG = 64               # groups above this part of a shard are placed one by one
 BUCKET_ROWS = 20000
@@ -91,13 +94,59 @@ def cut(found: DataFrame, shards: int = SHARDS) -> tuple[int, int, int]:
     return tuple(groups.where("n > 1").agg(total(F.lit(True)), total(apart), total(apart & (F.col("bytes") <= even / 4))).first())
 
 
+def quotas(load: np.ndarray, wished: np.ndarray, caps: np.ndarray) -> np.ndarray:
+    """How much of ``wished[i, j]``, bytes that want from shard i to shard j, may move so that no shard passes its capacity.
+
+    All wishes are granted first; what comes into a shard beyond its capacity is cut
+    in proportion, which lets less leave elsewhere, so cuts repeat until all hold.
+    """
+    granted = wished.astype(float)
+    for _ in range(1000):
+        come = granted.sum(axis=0)
+        may = np.maximum(0.0, caps - load + granted.sum(axis=1))
+        if (come <= may + 0.5).all():
+            return granted
+        granted = granted * np.minimum(1.0, may / np.maximum(come, 1e-9))
+    return granted * 0.0
+
+
+def propagate(pieces: DataFrame, caps: list[float], rounds: int = ROUNDS) -> DataFrame:
+    """Move pieces ``(group_id, origin, shard, bytes, draw, bucket)`` towards the shard that holds most of their group; ``shard`` changes.
+
+    A group has at most one piece per shard it started in.  Of what a round needs only
+    the shards' loads and wishes by pair of shards reach the driver.
+    """
+    shards = len(caps)
+    for _ in range(rounds):
+        here = pieces.groupBy("group_id", "shard", "draw", "bucket").agg(F.sum("bytes").alias("bytes"))
+        wish = here.groupBy(F.col("group_id").alias("g")).agg(F.max_by("shard", F.struct("bytes", F.xxhash64("group_id", "shard"))).alias("wish"))
+        met = checkpointed(here.join(wish, F.col("group_id") == F.col("g")).drop("g"))
+        load, wished = np.zeros(shards), np.zeros((shards, shards))
+        for r in met.groupBy("shard", "wish").agg(F.sum("bytes").alias("b")).collect():
+            load[r["shard"]] += r["b"]
+            if r["shard"] != r["wish"]:
+                wished[r["shard"], r["wish"]] += r["b"]
+        granted = quotas(load, wished, np.array(caps))
+        if granted.sum() < 1:
+            break
+        limit = F.get(F.array(*[F.lit(float(x)) for x in granted.ravel()]), F.col("shard") * shards + F.col("wish"))
+        line = running(met.where("shard <> wish"), ["shard", "wish"], "bucket", ["draw", "group_id"], F.col("bytes"), "ahead")
+        moves = line.where(F.col("ahead") + F.col("bytes") <= limit + 0.5).select(F.col("group_id").alias("g"), F.col("shard").alias("was"), "wish")
+        after = pieces.join(moves, (F.col("group_id") == F.col("g")) & (F.col("shard") == F.col("was")), "left")
+        after = checkpointed(after.withColumn("moved", F.col("wish").isNotNull()).withColumn("shard", F.coalesce("wish", "shard")).drop("g", "was", "wish"))
+        pieces = after.drop("moved")
+        if after.where("moved").isEmpty():
+            break
+    return pieces
+
+
 def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, group_id, shard, slot``.
 
     ``size`` is the text's UTF-8 bytes plus 1 (null text: none); shards come out
     equal in size up to about one document, unless linked documents alone overfill
     some; a group of linked documents lies in one shard unless none has room for it;
-    ``rounds`` is without effect, one vote settles cliques; ``slot`` counts a shard's documents from 0 without gaps.  Null and empty
+    at most ``rounds`` rounds of propagation are run; ``slot`` counts a shard's documents from 0 without gaps.  Null and empty
     texts are one group.  Repeated rows are documents of their own, in the same
     group.  An empty table gives no rows.  Reruns agree.
     """
@@ -108,24 +157,32 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
     count, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     even = total / shards
     buckets = max(1, -(-count // BUCKET_ROWS))
-    start = F.pmod(F.xxhash64(F.lit(seed + 1), "id", "h"), F.lit(shards)).cast("int")
-    votes = rows.groupBy("group_id", start.alias("shard")).agg(F.count("*").alias("n"), F.sum("size").alias("b"))
-    groups = checkpointed(votes.groupBy("group_id").agg(F.sum("n").alias("members"), F.sum("b").alias("bytes"), F.max_by("shard", F.struct("n", F.xxhash64("group_id", "shard"))).alias("goal"))
-                          .where("members > 1").withColumn("draw", F.xxhash64(F.lit(seed), "group_id")).withColumn("bucket", F.pmod("draw", F.lit(buckets))))
-    big = groups.where(F.col("bytes") > even / BIG).select("group_id", "bytes", "goal").collect()  # at most BIG for each shard
+    sizes = rows.groupBy("group_id").agg(F.count("*").alias("members"), F.sum("size").alias("bytes")).where("members > 1")
+    groups = checkpointed(sizes.withColumn("draw", F.xxhash64(F.lit(seed), "group_id")).withColumn("bucket", F.pmod("draw", F.lit(buckets))))
+    goal = F.pmod(F.xxhash64(F.lit(seed + 1), "group_id"), F.lit(shards)).cast("int")
+    big = groups.where(F.col("bytes") > even / BIG).select("group_id", "bytes", goal.alias("goal")).collect()  # at most BIG for each shard
     spread, loads = _big([tuple(r) for r in big], even, shards)
-    lines = rows.sparkSession.createDataFrame([(g, None, line) for g, line in spread.items()], "group_id string, shard int, line array<double>")
-    small = running(groups.where(F.col("bytes") <= even / BIG), ["goal"], "bucket", ["draw", "group_id"], F.col("bytes"), "ahead")
-    room = F.get(F.array(*[F.lit(max(0.0, FULL * even - x)) for x in loads]), F.col("goal"))
-    small = checkpointed(small.withColumn("fits", F.col("ahead") + F.col("bytes") <= room).drop("ahead"))
-    for r in small.where("fits").groupBy("goal").agg(F.sum("bytes").alias("b")).collect():
-        loads[r["goal"]] += r["b"]
+    lines = rows.sparkSession.createDataFrame([(g, line) for g, line in spread.items()], "group_id string, line array<double>")
+    # The others start along the room that the great ones leave, and propagate.
+    small = groups.where(F.col("bytes") <= even / BIG)
+    linked = small.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    needs = [max(0.0, even - x) for x in loads]
+    share = linked / sum(needs) if sum(needs) else 0.0
+    start = _along(_unit(F.lit(seed + 1), F.col("id"), F.col("h")) * sum(needs), needs, 1.0)
+    rows = checkpointed(rows.withColumn("origin", start))
+    pieces = rows.join(small.select("group_id", "draw", "bucket"), "group_id").groupBy("group_id", F.col("origin"), F.col("origin").alias("shard"), "draw", "bucket").agg(F.sum("size").alias("bytes"))
+    moved = propagate(checkpointed(pieces), [max(FULL * n, n * share * 1.005) for n in needs], rounds)
+    ends = moved.groupBy("group_id", "draw", "bucket").agg(F.min("shard").alias("a"), F.max("shard").alias("z"), F.sum("bytes").alias("bytes"))
+    ends = checkpointed(ends)
+    for r in ends.where("a = z").groupBy("a").agg(F.sum("bytes").alias("b")).collect():
+        loads[r["a"]] += r["b"]
     needs = [max(0.0, even - x) for x in loads]
-    rest = small.where("not fits").agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    dealt = running(small.where("not fits"), [], "bucket", ["draw", "group_id"], F.col("bytes"), "ahead")
-    dealt = dealt.withColumn("goal", _along(F.col("ahead") + F.col("bytes") / 2, needs, max(1.0, rest / sum(needs)) if sum(needs) else 0.0))
-    whole = small.where("fits").select("group_id", "goal").unionByName(dealt.select("group_id", "goal"))
-    placed = whole.select("group_id", F.col("goal").alias("shard"), F.lit(None).cast("array<double>").alias("line")).unionByName(lines)
+    rest = ends.where("a <> z").agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    dealt = running(ends.where("a <> z"), [], "bucket", ["draw", "group_id"], F.col("bytes"), "ahead")
+    dealt = dealt.withColumn("a", _along(F.col("ahead") + F.col("bytes") / 2, needs, max(1.0, rest / sum(needs)) if sum(needs) else 0.0))
+    whole = ends.where("a = z").select("group_id", F.col("a").alias("shard")).unionByName(dealt.select("group_id", F.col("a").alias("shard")))
+    placed = whole.select("group_id", "shard", F.lit(None).cast("array<double>").alias("line")).unionByName(lines.select("group_id", F.lit(None).cast("int").alias("shard"), "line"))
+    rows = rows.drop("origin")
     draw = _unit(F.lit(seed), F.col("h"), F.col("id"))
     along = F.least(F.size(F.filter("line", lambda x: x <= draw)), F.lit(shards - 1))
     met = checkpointed(rows.join(placed, "group_id", "left").withColumn("shard", F.when(F.col("line").isNotNull(), along).otherwise(F.col("shard")).cast("int")).drop("line"))
