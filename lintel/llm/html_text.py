@@ -5,8 +5,10 @@ and ids).  A node's importance is the entropy, over the pages that have it, of i
 presentation (the children it shows) and of its content, each relative to the
 greatest possible; nodes that look and read alike on all pages are boilerplate.
 Nodes of low importance are removed from every page of the host, with whatever
-tags or names that mean navigation, notices or adverts.  Plain paragraphs and
-headings of an article are never removed for repeating.
+tags or names that mean navigation, notices or adverts, inline elements included.
+Inside an article a name must say so as a whole; where it only hints at it, the
+node's importance decides, against a higher bar.  Plain paragraphs and headings of an
+article are never removed for repeating.
 """
 
 from __future__ import annotations
@@ -19,11 +21,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lintel.llm.common import fresh
+from lintel.llm.common import checkpointed, fresh
 from lintel.llm.url_lists import host_of
 
-LEAST_PAGES = 8         # pages of a host a node must be on before its entropy counts
+EVIDENCE = 4.0          # a node counts as important on so many pages beside those it was seen on
 LOW = 0.35              # nodes below this importance are removed
+BROADCAST = 32 << 20     # bytes of removed paths that are sent to every task; longer lists meet their pages in a join
+SALTS = 32
+NAMED_LOW = 0.7         # and below this one where a name hints at boilerplate
+TEASER = 4, 400         # an article with this factor less text than the paragraphs beside it, and these have so many characters, is not the whole story
 CONTENT_WEIGHT = 0.8    # weight of content against presentation
 
 HIDDEN = {"script", "style", "noscript", "template", "svg", "iframe", "object", "textarea", "title", "math", "canvas", "audio", "video"}
@@ -35,6 +41,13 @@ NOISE_NAMES = {
     "notice", "notification", "overlay", "pager", "pagination", "popup", "promo", "promoted", "promotion", "recommended", "related", "replies", "reply", "responses", "search", "share", "sharing", "sidebar",
     "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "tags", "teaser", "toc", "toolbar", "widget", "widgets",
 }
+# Parts of names that say where or how something stands, not what it is.
+PLACES = {
+    "area", "articles", "bar", "block", "bottom", "box", "btn", "button", "buttons", "col", "container", "content", "count", "cta", "entry", "float", "form", "group", "heading", "icon", "icons", "inline",
+    "inner", "item", "items", "label", "left", "link", "links", "list", "main", "message", "module", "outer", "page", "panel", "post", "posts", "primary", "region", "right", "row", "secondary", "section", "site",
+    "slot", "small", "tools", "top", "unit", "wide", "wrap", "wrapper", "x",
+}
+TEXT_TAGS = {"p", "li", "blockquote", "td", "dd", "dt", "figcaption", "pre", "em", "strong", "b", "i", "q", "cite", "code"}
 MAIN_TAGS = {"article", "main"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3",
@@ -50,43 +63,50 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "main", "plain", "number")
+    __slots__ = ("tag", "path", "noise", "main", "plain", "hint", "number")
+
+    def __init__(self, tag: str, path: int, noise: bool, main: bool, plain: bool, hint: bool, number: int) -> None:
+        self.tag, self.path, self.noise, self.main, self.plain, self.hint, self.number = tag, path, noise, main, plain, hint, number
 
-    def __init__(self, tag: str, path: int, noise: bool, main: bool, plain: bool, number: int) -> None:
-        self.tag, self.path, self.noise, self.main, self.plain, self.number = tag, path, noise, main, plain, number
 
+_STYLES: dict[tuple, tuple[int, bool, bool, bool, bool]] = {}
 
-_STYLES: dict[tuple, tuple[int, bool, bool, bool]] = {}
 
+def _says_noise(tag: str, names: list[set[str]]) -> bool:
+    """Whether one of the names, as a whole, means boilerplate; elements of running text need all their names to."""
+    whole = [bool(n & NOISE_NAMES) and n <= NOISE_NAMES | PLACES for n in names if n]
+    return bool(whole) and (all(whole) if tag in TEXT_TAGS else any(whole))
 
-def _style(above: Element | None, tag: str, attributes: str) -> tuple[int, bool, bool, bool]:
-    """Path, noise, main and plain of an element; the few styles of a site recur, so they are kept in a bounded table."""
+
+def _style(above: Element | None, tag: str, attributes: str) -> tuple[int, bool, bool, bool, bool]:
+    """Path, noise, main, plain and hint of an element; the few styles of a site recur, so they are kept in a bounded table."""
     key = (above and (above.path, above.noise, above.main, above.plain), tag, attributes)
     if (found := _STYLES.get(key)) is not None:
         return found
-    names: set[str] = set()
+    names: list[set[str]] = []
     styled = ""
     for a in _ATTRIBUTE.finditer(attributes or ""):
         value = a[2] or a[3] or a[4] or ""
         styled += f"{a[1].lower()}={value};"
-        names.update(_NAME.findall(_CAMEL.sub(" ", value).lower()))
+        names += [set(_NAME.findall(_CAMEL.sub(" ", one).lower())) for one in value.split()]
     inside = above is not None and above.main
     heading = len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
     page = tag in ("html", "body")
     path = xxhash.xxh3_64_intdigest(f"{above.path if above else 0}>{tag}[{re.sub('[0-9]+', '0', styled)}]") >> 1
     main = inside or tag in MAIN_TAGS or (not page and "role=main;" in styled)
-    named = not page and not heading and bool(names & NOISE_NAMES)
+    hint = not page and not heading and any(n & NOISE_NAMES for n in names)
+    named = hint and (not inside or _says_noise(tag, names))
     noise = (above is not None and above.noise) or (tag in NOISE_TAGS and not (tag == "header" and inside)) or named
     # Plain: the page, the article itself, and unnamed elements in it.
     plain = page or (tag in MAIN_TAGS and not inside) or (main and not styled and (above is None or above.plain or not inside))
     if len(_STYLES) > 20_000:
         _STYLES.clear()
-    _STYLES[key] = path, noise, main, plain
+    _STYLES[key] = path, noise, main, plain, hint
     return _STYLES[key]
 
 
 def parse(page: str) -> tuple[list[tuple[str, list[Element]]], list[list[int]]]:
-    """Text blocks in page order, each with its open elements, and the child paths of every element.
+    """Text blocks in page order, each with its open elements, and the child paths of every element.  Text inside noise, inline or not, is left out.
 
     Unclosed and stray tags are taken as browsers do: a block start ends an open
     paragraph, a list item ends the one before, an end tag closes what it left open.
@@ -109,9 +129,10 @@ def parse(page: str) -> tuple[list[tuple[str, list[Element]]], list[list[int]]]:
     while at < end:
         m = _TOKEN.search(page, at)
         if not m:
-            text.append(page[at:])
+            if not (stack and stack[-1].noise):
+                text.append(page[at:])
             break
-        if m.start() > at:
+        if m.start() > at and not (stack and stack[-1].noise):
             text.append(page[at:m.start()])
         at = m.end()
         if m[2] is None:
@@ -162,8 +183,8 @@ def parse(page: str) -> tuple[list[tuple[str, list[Element]]], list[list[int]]]:
                     del stack[k:]
                     break
         above = stack[-1] if stack else None
-        path, noise, main, plain = _style(above, tag, m[3])
-        e = Element(tag, path, noise, main, plain, len(children))
+        path, noise, main, plain, hint = _style(above, tag, m[3])
+        e = Element(tag, path, noise, main, plain, hint, len(children))
         children.append([])
         if above:
             children[above.number].append(path)
@@ -183,20 +204,22 @@ def _header_line(elements: list[Element]) -> bool:
 
 
 def main_text(page: str | None, low: set[int]) -> str:
-    """The page's main text without the branches whose paths are in ``low``."""
+    """The page's main text without the branches whose paths are in ``low``; a negative number removes the path only where its name hints at boilerplate."""
     if not page:
         return ""
-    blocks, _ = parse(page)
-    has_main = any(es and es[-1].main and not es[-1].noise for _, es in blocks)
-    out = []
-    for text, elements in blocks:
-        last = elements[-1] if elements else None
-        if last is not None and last.noise or has_main and not (last is not None and last.main):
-            continue
-        if any(not e.plain and e.path in low for e in elements) or _header_line(elements):
+    inside, beside, story = [], [], 0
+    for at, (text, elements) in enumerate(parse(page)[0]):
+        if any(not e.plain and (e.path in low or e.hint and -e.path in low) for e in elements) or _header_line(elements):
             continue
-        out.append(text)
-    return "\n".join(out)
+        if elements and elements[-1].main:
+            inside.append((at, text))
+        else:
+            beside.append((at, text))
+            story += len(text) if elements and elements[-1].tag == "p" else 0
+    factor, least = TEASER
+    if not inside or story >= least and story >= factor * sum(len(t) for _, t in inside):
+        inside = sorted(inside + beside)
+    return "\n".join(t for _, t in inside)
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,12 +258,13 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["host", "page", "path", "look", "content", "n", "lead"])
 
 
-def style_tree(pages: DataFrame, least_pages: int = LEAST_PAGES, content_weight: float = CONTENT_WEIGHT) -> DataFrame:
+def style_tree(pages: DataFrame, evidence: float = EVIDENCE, content_weight: float = CONTENT_WEIGHT) -> DataFrame:
     """``(host, path, seen, importance)`` of every node of the hosts' style trees, from ``(host, html)`` rows.
 
-    Equal pages of a host count once, and a node must be on ``least_pages`` different
-    pages.  With ``seen`` showings of a node, of which n_i show variant i, the entropy
-    is log(seen) - sum(n_i log n_i) / seen; divided by log(seen) it lies in 0 to 1.
+    Equal pages of a host count once.  With ``seen`` showings of a node, of which n_i
+    show variant i, the entropy is log(seen) - sum(n_i log n_i) / seen; divided by
+    log(seen) it lies in 0 to 1.  What few pages say is drawn towards 1: the importance
+    is the mean over the pages that show the node and ``evidence`` more of importance 1.
     """
     nodes = pages.mapInArrow(_nodes, "host string, page long, path long, look long, content long, n long, lead long").dropDuplicates(["host", "page", "path", "look", "content"])
     both = nodes.select("host", "path", "n", "lead", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("look").alias("v")), F.struct(F.lit(1).alias("k"), F.col("content").alias("v")))).alias("x"))
@@ -249,10 +273,11 @@ def style_tree(pages: DataFrame, least_pages: int = LEAST_PAGES, content_weight:
     sums = variants.groupBy("host", "path").agg(
         F.sum(F.when(F.col("k") == 1, F.col("n"))).alias("seen"), F.sum(F.when(F.col("k") == 1, F.col("lead"))).alias("on"),
         F.sum(weight * F.col("n") * F.log(F.col("n").cast("double"))).alias("s"))
-    return sums.where((F.col("on") >= least_pages) & (F.col("seen") > 1)).select("host", "path", "seen", (1 - F.col("s") / F.col("seen") / F.log(F.col("seen").cast("double"))).alias("importance"))
+    entropy = 1 - F.col("s") / F.col("seen") / F.log(F.col("seen").cast("double"))
+    return sums.where("seen > 1").select("host", "path", "seen", ((F.col("on") * entropy + evidence) / (F.col("on") + evidence)).alias("importance"))
 
 
-def extract(pages: DataFrame, url: str = "url", html: str = "html", low: float = LOW, least_pages: int = LEAST_PAGES) -> tuple[DataFrame, str]:
+def extract(pages: DataFrame, url: str = "url", html: str = "html", low: float = LOW, evidence: float = EVIDENCE) -> tuple[DataFrame, str]:
     """``pages`` plus a column with the main text; returns the frame and the column's name.
 
     Null, empty or text-free pages give the empty string.  Pages without a host
@@ -260,10 +285,19 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", low: float =
     tree, so copies change no text.  No page is cut, whatever its length.
     """
     host, bad, name = fresh("host", pages), fresh("low", pages), fresh("main_text", pages)
-    tree = style_tree(pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")), least_pages)
-    poor = tree.where(F.col("importance") < low).groupBy(F.col("host").alias(f"{host}_of")).agg(F.collect_set("path").alias(bad))
+    tree = style_tree(pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")), evidence)
+    signed = F.when(F.col("importance") < low, F.col("path")).otherwise(-F.col("path"))
+    poor = tree.where(F.col("importance") < max(low, NAMED_LOW if low > 0 else low)).groupBy(F.col("host").alias(f"{host}_of")).agg(F.collect_set(signed).alias(bad))
+    poor = checkpointed(poor)
+    listed = poor.agg(F.coalesce(F.sum(F.size(bad) * 8 + F.octet_length(f"{host}_of") + 32), F.lit(0))).first()[0]
     rows = pages.withColumn(host, host_of(F.col(url)))
-    met = rows.join(poor, F.col(host) == F.col(f"{host}_of"), "left").drop(f"{host}_of", host)
+    if listed <= BROADCAST:
+        met = rows.join(F.broadcast(poor), F.col(host) == F.col(f"{host}_of"), "left").drop(f"{host}_of", host)
+    else:  # pages of one host are dealt over several tasks, its list goes to each
+        salt = fresh("salt", pages)
+        rows = rows.withColumn(salt, F.pmod(F.xxhash64(html), F.lit(SALTS)))
+        poor = poor.withColumn(f"{salt}_of", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        met = rows.join(poor, (F.col(host) == F.col(f"{host}_of")) & (F.col(salt) == F.col(f"{salt}_of")), "left").drop(f"{host}_of", host, salt, f"{salt}_of")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

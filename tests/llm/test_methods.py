@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("lintel.llm")
 
-from lintel.llm import embeddings, sharding, url_lists  # noqa: E402
+from lintel.llm import embeddings, html_text, sharding, url_lists  # noqa: E402
 
 
 def test_quotas_keep_capacities_and_never_exceed_wishes():
@@ -86,3 +86,42 @@ def test_url_lists_like_a_scan_of_all_entries(spark):
     assert found == {c[0]: decide(c[1], c[2], entries) for c in captures}
     assert {"none", "allow", "block"} == {v[0] for v in found.values()} and {None, "url", "host", "domain"} == {v[1] for v in found.values()}
     assert url_lists.filter_urls(frame.limit(0), spark.createDataFrame(entries, "kind string, pattern string, action string, effective_at int")).where(F.lit(True)).count() == 0
+
+
+def test_inline_noise_and_hinting_names():
+    page = "<nav><p>Menu</p></nav><article><h1>T</h1><p>One.</p>{}<p>Two.</p></article>"
+    kept = {
+        '<p>in <span class="ad">Buy</span> x <a class="share">S</a><button>B</button><label>L</label> y</p>': "in x y",
+        '<div class="search-tips">Tips</div>': "Tips", '<p class="note legal">Note</p>': "Note", '<div class="ad-slot wide">A</div>': None,
+        '<section class="comments"><p>c</p></section>': None, '<p class="promo">P</p>': None, "": None,
+    }
+    for part, text in kept.items():
+        assert html_text.main_text(page.format(part), set()) == "\n".join(x for x in ("T", "One.", text, "Two.") if x)
+    teaser = "<article><p>teaser</p></article><div><p>" + "story " * 100 + "</p><p>end</p></div>"
+    assert html_text.main_text(teaser, set()).startswith("teaser\nstory")
+    assert html_text.main_text("<article><p>whole</p></article><div>beside</div>", set()) == "whole"
+
+
+def test_style_trees_decide_inside_and_outside_articles(spark, monkeypatch):
+    """Entropy removes what repeats and keeps what varies, by the same rule at every number of pages; brute force of one node's entropy."""
+    r = np.random.default_rng(6)
+    prose = lambda: " ".join(r.choice(["alpha", "beta", "gamma", "delta", "eps"], 12))
+    rows = [(i, f"http://h.example/{i}", f"<article><h1>t{i}</h1><p>{prose()}</p><div class='search-tips'>the same tips</div><p class='note legal'>{prose()}</p>"
+             f"<div class='strip'>follow us</div></article>") for i in range(30)]
+    rows += [(100 + i, f"http://plain.example/{i}", f"<body><div class='a'>site line</div><div class='b'><p>{prose()} {i}</p></div></body>") for i in range(30)]
+    rows += [(200, "http://one.example/", "<div class='a'>site line</div><div class='b'>own text</div>"), (201, None, None), (202, "", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    tree = html_text.style_tree(pages.select(url_lists.host_of(F.col("url")).alias("host"), "html")).where("host = 'h.example'").collect()
+    assert sorted(round(x["importance"], 6) for x in tree)[:2] == [round(4 / 34, 6)] * 2 and len(tree) == 3
+
+    def texts(**options):
+        found, name = html_text.extract(pages, **options)
+        return {x["page_id"]: x[name] for x in found.collect()}
+
+    on, off = texts(), texts(low=0.0)
+    assert all("same tips" not in on[i] and "follow us" not in on[i] and on[i].count("\n") == 2 for i in range(30))
+    assert all("same tips" in off[i] and "follow us" in off[i] for i in range(30))
+    assert all("site line" not in on[100 + i] and "\n" not in on[100 + i] for i in range(30))
+    assert (on[200], on[201], on[202]) == ("site line\nown text", "", "")
+    monkeypatch.setattr(html_text, "BROADCAST", 0)
+    assert texts() == on
