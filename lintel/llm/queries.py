@@ -24,19 +24,22 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dated list entries that the captures themselves give rise to.
 
-    Every month a host is seen its entry is renewed, every quarter its domain's, and
-    a URL with a tracking parameter is listed from its first capture on; the action
-    follows from a hash of what is listed and when.
+    Six hosts of sixteen (by a hash) are listed, renewed with their first capture of
+    every month; eleven domains of sixteen, renewed on the forty-first day of every
+    quarter in which they are seen; a URL with a tracking parameter from its first
+    capture on.  The action follows from a hash of what is listed and when.
     """
     seen = captures(spark, sf_dir).where("url is not null").withColumn("host", url_lists.host_of(F.col("url"))).where("host <> ''")
-    month, quarter = F.trunc("fetched_at", "month"), F.trunc("fetched_at", "quarter")
+    digit = lambda c: F.substring(F.md5(c.cast("binary")), 1, 1)
     domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
-    block = lambda *c: F.when(F.substring(F.md5(F.concat_ws("|", *[x.cast("string") for x in c]).cast("binary")), 1, 1) < "5", "block").otherwise("allow")
-    hosts = seen.select(F.lit("host").alias("kind"), F.col("host").alias("pattern"), month.alias("effective_at")).distinct()
-    domains = seen.select(F.lit("domain").alias("kind"), domain.alias("pattern"), quarter.alias("effective_at")).where("pattern <> ''").distinct()
+    hosts = seen.where(digit(F.col("host")) < "6").groupBy(F.lit("host").alias("kind"), F.col("host").alias("pattern"), F.trunc("fetched_at", "month").alias("m")).agg(
+        F.min("fetched_at").alias("effective_at")).drop("m")
+    domains = seen.select(F.lit("domain").alias("kind"), domain.alias("pattern"), F.date_add(F.trunc("fetched_at", "quarter"), 40).alias("effective_at")).distinct()
+    domains = domains.where((F.col("pattern") != "") & (digit(F.col("pattern")) < "b"))
     urls = seen.where(F.col("url").contains("utm_")).groupBy(F.lit("url").alias("kind"), url_lists.plain_url(F.col("url")).alias("pattern")).agg(F.min("fetched_at").alias("effective_at"))
     every = hosts.unionByName(domains).unionByName(urls)
-    return every.select("kind", "pattern", block(F.col("pattern"), F.col("effective_at")).alias("action"), "effective_at")
+    action = F.when(digit(F.concat_ws("|", "pattern", F.col("effective_at").cast("string"))) < "5", "block").otherwise("allow")
+    return every.select("kind", "pattern", action.alias("action"), "effective_at")
 
 
 def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,5 +185,63 @@ select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path,
 from folded"""
 
 
+_HOST = r"regexp_replace(lower(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#\\]*)', 1), '^.*@|:[0-9]*$', '', 'g')), '\.$', '')"
+_REST = r"regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#\\]*|#.*$', '', 'g')"
+
+URL_SQL = f"""
+with
+seen as (select page_id, url, (date '2024-01-01' + (((page_id * 7919) % 365 + 365) % 365)::int)::date as fetched_at from pages),
+cut as (select distinct url, fetched_at, {_HOST} as host, {_HOST} || case when {_REST} = '' then '/' else {_REST} end as plain from seen where url is not null),
+listed as (
+    select 'host' as kind, host as pattern, min(fetched_at) as effective_at from cut where host <> '' and md5(host)[1] < '6' group by host, date_trunc('month', fetched_at)
+    union all
+    select distinct 'domain', regexp_extract(host, '([^.]+\\.[^.]+)$', 1) as d, (date_trunc('quarter', fetched_at)::date + 40)::date from cut where host <> '' and d <> '' and md5(d)[1] < 'b'
+    union all
+    select 'url', plain, min(fetched_at) from cut where host <> '' and contains(url, 'utm_') group by plain),
+daily as (select kind, pattern, effective_at, max(case when md5(concat_ws('|', pattern, effective_at::varchar))[1] < '5' then 'block' else 'allow' end) as action from listed group by all),
+changes as (select *, lag(action) over (partition by kind, pattern order by effective_at) as b from daily),
+valid as (select *, lead(effective_at) over (partition by kind, pattern order by effective_at) as until from changes where b is null or b <> action),
+labelled as (select *, string_split(host, '.') as l from cut),
+asked as (
+    select url, fetched_at, 2 as rank, 0 as depth, 'url' as kind, plain as pattern from labelled
+    union all select url, fetched_at, 1, 0, 'host', host from labelled
+    union all select url, fetched_at, 0, len(l), 'domain', host from labelled
+    union all select url, fetched_at, 0, len(l) - i, 'domain', array_to_string(list_slice(l, i, len(l)), '.')
+        from (select *, unnest(range(2, len(l))) as i from labelled where not regexp_matches(host, '^[0-9.]+$|^\\['))),
+best as (
+    select a.url, a.fetched_at, a.kind, a.pattern, v.action, v.effective_at, row_number() over (partition by a.url, a.fetched_at order by a.rank desc, a.depth desc) as r
+    from asked a join valid v on a.kind = v.kind and a.pattern = v.pattern and v.effective_at <= a.fetched_at and (v.until is null or a.fetched_at < v.until))
+select s.page_id, s.url, s.fetched_at, coalesce(b.action, 'none') as decision, b.kind as matched_kind, b.pattern as matched_pattern, b.effective_at
+from seen s left join best b on s.url = b.url and s.fetched_at = b.fetched_at and b.r = 1"""
+
+# Links to components: what is reachable by links, from every node.
+_REACHED = """reached as (select a as node, b as other from links union select r.node, l.b from reached r join links l on l.a = r.other)"""
+
+MINHASH_SQL = fr"""
+with recursive
+texts as materialized (select row_number() over () as k, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x20\x09-\x0D]+') as w from documents),
+sets as materialized (select k, doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end as s from texts),
+parts as materialized (select k, len(s) as n, unnest(s) as x from sets),
+links as materialized (select a.k as a, b.k as b from parts a join parts b on a.x = b.x and a.k <> b.k group by a.k, b.k, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+{_REACHED},
+least as (select r.node, min(s.doc_id) as low from reached r join sets s on s.k = r.other group by r.node)
+select s.doc_id, len(s.s)::bigint as n_shingles, case when l.low is null then s.doc_id when s.doc_id is null then l.low else least(s.doc_id, l.low) end as component_id,
+    s.doc_id is not distinct from component_id as kept
+from sets s left join least l on l.node = s.k"""
+
+VECTOR_SQL = f"""
+with recursive
+vectors as materialized (select row_number() over () as k, vec_id, embedding::double[] as v from embeddings),
+usable as materialized (select * from vectors where v is not null and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(v, lambda x: x <> 0)) > 0),
+links as materialized (select a.k as a, b.k as b from usable a join usable b on len(a.v) = len(b.v) and a.k <> b.k where list_cosine_similarity(a.v, b.v) >= 0.95),
+{_REACHED},
+least as (select r.node, min(s.vec_id) as low from reached r join vectors s on s.k = r.other group by r.node),
+counts as (select a, count(*) as n from links group by a)
+select x.vec_id, coalesce(c.n, 0)::bigint as n_links, case when l.low is null then x.vec_id else least(x.vec_id, l.low) end as component_id,
+    x.vec_id is not distinct from component_id as kept
+from vectors x left join least l on l.node = x.k left join counts c on c.a = x.k"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_merkle_proofs": MERKLE_SQL}
+    return {"op1_embedding_groups": VECTOR_SQL, "op2_url_lists": URL_SQL, "op5_minhash_groups": MINHASH_SQL, "op11_merkle_proofs": MERKLE_SQL}
