@@ -170,7 +170,8 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
     share = linked / sum(needs) if sum(needs) else 0.0
     start = _along(_unit(F.lit(seed + 1), F.col("id"), F.col("h")) * sum(needs), needs, 1.0)
     rows = checkpointed(rows.withColumn("origin", start))
-    pieces = rows.join(small.select("group_id", "draw", "bucket"), "group_id").groupBy("group_id", F.col("origin"), F.col("origin").alias("shard"), "draw", "bucket").agg(F.sum("size").alias("bytes"))
+    votes = rows.groupBy("group_id", "origin").agg(F.sum("size").alias("bytes"))  # before the join: a large group is few rows
+    pieces = votes.join(small.select("group_id", "draw", "bucket"), "group_id").withColumn("shard", F.col("origin"))
     moved = propagate(checkpointed(pieces), [max(FULL * n, n * share * 1.005) for n in needs], rounds)
     ends = moved.groupBy("group_id", "draw", "bucket").agg(F.min("shard").alias("a"), F.max("shard").alias("z"), F.sum("bytes").alias("bytes"))
     ends = checkpointed(ends)
@@ -181,11 +182,12 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
     dealt = running(ends.where("a <> z"), [], "bucket", ["draw", "group_id"], F.col("bytes"), "ahead")
     dealt = dealt.withColumn("a", _along(F.col("ahead") + F.col("bytes") / 2, needs, max(1.0, rest / sum(needs)) if sum(needs) else 0.0))
     whole = ends.where("a = z").select("group_id", F.col("a").alias("shard")).unionByName(dealt.select("group_id", F.col("a").alias("shard")))
-    placed = whole.select("group_id", "shard", F.lit(None).cast("array<double>").alias("line")).unionByName(lines.select("group_id", F.lit(None).cast("int").alias("shard"), "line"))
-    rows = rows.drop("origin")
     draw = _unit(F.lit(seed), F.col("h"), F.col("id"))
-    along = F.least(F.size(F.filter("line", lambda x: x <= draw)), F.lit(shards - 1))
-    met = checkpointed(rows.join(placed, "group_id", "left").withColumn("shard", F.when(F.col("line").isNotNull(), along).otherwise(F.col("shard")).cast("int")).drop("line"))
+    along = F.least(F.size(F.filter("line", lambda x: x <= draw)), F.lit(shards - 1)).cast("int")
+    # Great groups, at most BIG for each shard, are sent to the rows; no other group has more than one in BIG parts of a shard.
+    told = rows.drop("origin").join(F.broadcast(lines), "group_id", "left")
+    great = told.where("line is not null").withColumn("shard", along).drop("line")
+    met = checkpointed(told.where("line is null").drop("line").join(whole, "group_id", "left").unionByName(great))
     linked = met.where("shard is not null")
     loads = {r["shard"]: r["b"] for r in linked.groupBy("shard").agg(F.sum("size").alias("b")).collect()}
     needs = [max(0.0, even - loads.get(s, 0)) for s in range(shards)]
