@@ -38,6 +38,21 @@ def fresh(name: str, df: DataFrame) -> str:
     return found
 
 
+HOT = 256               # keys that more than one in HOT rows have are sent to the rows: there are fewer than HOT of them
+
+
+def attach_by_size(rows: DataFrame, side: DataFrame, key: str, of: str, size: str = "size") -> DataFrame:
+    """``rows`` left-joined with a row of ``side`` (a written table) by ``key`` = ``of``; ``size`` says how many rows a key has.
+
+    Keys of very many rows go by broadcast, so none fills a task; rows with a null key meet no join.
+    """
+    total = side.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    hot, cold = (side.where(c).drop(size) for c in (F.col(size) * HOT > total, F.col(size) * HOT <= total))
+    told = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot), F.col(key) == F.col(of), "left")
+    met = told.where(F.col(of).isNull()).select(*rows.columns).join(cold, F.col(key) == F.col(of), "left")
+    return met.unionByName(told.where(F.col(of).isNotNull())).unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lintel.llm.common import checkpointed
+from lintel.llm.common import attach_by_size, checkpointed
 from lintel.llm.components import Forest, components
 
 THRESHOLD = 0.95
@@ -353,10 +353,10 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     counts = found.where("b is null").groupBy(F.col("a").alias("of")).agg(F.sum("n").alias("links"))
     roots = components(found.where("b is not null"))
     node = classes.join(counts, F.col("cls") == F.col("of"), "left").join(roots, F.col("cls") == F.col("node"), "left").select(
-        "v", "least", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root"))
+        "v", "least", "size", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root"))
     least = node.groupBy("root").agg(F.min("least").alias("component"))
-    node = node.join(least, "root").select(F.col("v").alias("w"), "n_links", "component")
-    out = rows.join(node, F.col("v") == F.col("w"), "left")
+    node = checkpointed(node.join(least, "root").select(F.col("v").alias("w"), "size", "n_links", "component"))
+    out = attach_by_size(rows, node, "v", "w")
     component = F.when(F.col("v").isNull(), F.col("id")).otherwise(F.col("component"))
     return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                       F.col("id").eqNullSafe(component).alias("kept"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lintel.llm.common import checkpointed, fresh, word_list
+from lintel.llm.common import attach_by_size, checkpointed, fresh, word_list
 from lintel.llm.components import Forest, components
 
 SHINGLE = 5
@@ -273,8 +273,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     rows = checkpointed(docs.select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("key"), F.col(text).alias("text")).mapInArrow(
         _describe(shingle), f"id {dict(docs.dtypes)[key]}, key long, n long, cls long, sig binary"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"))).alias("first")
-    classes = checkpointed(rows.where("cls is not null").groupBy("cls").agg(first, F.max("sig").alias("sig"))
-                           .select("cls", "first.id", "first.key", "sig"))
+    classes = checkpointed(rows.where("cls is not null").groupBy("cls").agg(first, F.max("sig").alias("sig"), F.count("*").alias("size"))
+                           .select("cls", "first.id", "first.key", "sig", "size"))
     front = classes.select("cls", "sig").mapInArrow(_branch(0, percent), "node long, cls long")
     leaves: list[DataFrame] = []
     for level in range(1, LEVELS + 1):
@@ -299,10 +299,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     sets = fetched.dropDuplicates(["cls"]).mapInArrow(_sets(shingle), "cls long, items binary")
     links = groups.join(sets, "cls").repartition("grp").sortWithinPartitions("grp").mapInArrow(_verify(percent), "a long, b long")
     roots = components(links)
-    part = checkpointed(classes.select("cls", "id").join(roots, F.col("cls") == F.col("node"), "left").select("cls", "id", F.coalesce("root", "cls").alias("root")))
+    part = checkpointed(classes.select("cls", "id", "size").join(roots, F.col("cls") == F.col("node"), "left").select("cls", "id", "size", F.coalesce("root", "cls").alias("root")))
     names = part.groupBy("root").agg(F.min("id").alias("component_id"))
-    where = part.select("cls", "root").join(names, "root").select(F.col("cls").alias("of"), "component_id")
-    out = rows.join(where, F.col("cls") == F.col("of"), "left")
+    where = checkpointed(part.select("cls", "root", "size").join(names, "root").select(F.col("cls").alias("of"), "component_id", "size"))
+    out = attach_by_size(rows.select("id", "n", "cls"), where, "cls", "of")
     component = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), component.alias("component_id"),
                       F.col("id").eqNullSafe(component).alias("kept"))
