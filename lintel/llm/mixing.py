@@ -19,7 +19,8 @@ from lintel.llm.common import NOT_WHITE, checkpointed, fresh
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2
-DP_WORDS = 32768       # the dynamic program covers what is left once it is below this many words
+DP_WORDS = 32768       # sums that the dynamic program tells apart; more words than that are counted in larger units first
+NEAR = 4096
 BUCKET_ROWS = 20000    # ranks are taken in seeded buckets of about so many documents
 SEED = 20
 
@@ -55,51 +56,17 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
     return rows.select("source", "source_size", F.least(F.col("cap"), F.col("reached") * F.col("w")).alias("target"))
 
 
-def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come as near ``budget`` as can be.
-
-    ``lengths`` are distinct and positive.  Proportional parts first, rounded down;
-    then one more of the lengths with the largest fractions while it fits; the rest,
-    below ``DP_WORDS`` unless documents run out, by bounded knapsack (binary
-    splitting), never above the budget.
-    """
+def knapsack(lengths: np.ndarray, spare: np.ndarray, left: int) -> np.ndarray:
+    """How many of each length, at most ``spare``, make the greatest sum up to ``left``; binary splitting."""
     take = np.zeros(len(lengths), np.int64)
-    whole = int((lengths * counts).sum())
-    if budget <= 0 or whole == 0:
-        return take
-    if budget >= whole:
-        return counts.astype(np.int64)
-    exact = counts * (budget / whole)
-    take = np.floor(exact).astype(np.int64)
-    left = budget - int((take * lengths).sum())
-    order = np.argsort(-(exact - take), kind="stable")
-    for i in order:
-        if left < DP_WORDS // 2:
-            break
-        if take[i] < counts[i] and lengths[i] <= left:
-            take[i] += 1
-            left -= int(lengths[i])
-    left = int(left)
-    while left >= DP_WORDS:  # few, long documents: fill from the longest that fits
-        fits = np.nonzero((lengths <= left) & (take < counts))[0]
-        if not len(fits):
-            return take
-        i = fits[np.argmax(lengths[fits])]
-        take[i] += 1
-        left -= int(lengths[i])
-    # A few documents are given back, so that the program has lengths to choose from.
-    for i in np.argsort(lengths, kind="stable").tolist() * 8:
-        if left < DP_WORDS // 8 and take[i] > 0:
-            take[i] -= 1
-            left += int(lengths[i])
     reached = np.zeros(left + 1, bool)
     reached[0] = True
     by = np.full(left + 1, -1, np.int64)     # the item that first reached a sum
     items: list[tuple[int, int]] = []
     for i in np.argsort(lengths, kind="stable"):
-        spare, part = min(int(counts[i] - take[i]), left // int(lengths[i])), 1
-        while spare > 0 and not reached[left]:
-            part = min(part, spare)
+        more, part = min(int(spare[i]), left // int(lengths[i])), 1
+        while more > 0 and not reached[left]:
+            part = min(part, more)
             step = int(lengths[i]) * part
             new = np.zeros(left + 1, bool)
             new[step:] = reached[: left + 1 - step]
@@ -107,7 +74,7 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
             by[new] = len(items)
             reached |= new
             items.append((int(i), part))
-            spare -= part
+            more -= part
             part *= 2
         if reached[left]:
             break
@@ -119,6 +86,59 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     return take
 
 
+def fill(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int) -> np.ndarray:
+    """``take`` and what the dynamic program adds to it, up to ``budget``."""
+    take, left = take.copy(), budget - int((take * lengths).sum())
+    while left >= DP_WORDS:
+        unit = left // DP_WORDS + 1
+        more = knapsack(-(-lengths // unit), counts - take, left // unit)
+        if not more.any():
+            return take
+        take += more
+        left -= int((more * lengths).sum())
+    # A few documents are given back, so that the program has lengths to choose from.
+    for i in np.argsort(lengths, kind="stable").tolist() * 8:
+        if left < DP_WORDS // 8 and take[i] > 0:
+            take[i] -= 1
+            left += int(lengths[i])
+    return take + knapsack(lengths, counts - take, left)
+
+
+def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """How many documents of each length to take so that their words come as near ``budget`` as can be.
+
+    ``lengths`` are distinct and positive.  Proportional parts first, rounded down;
+    then one more of the lengths with the largest fractions while it fits; the rest
+    by bounded knapsack, never above the budget: in units of several words, rounded
+    up, while more than ``DP_WORDS`` are left, then word by word.  While that misses the
+    budget by more than one part in ``NEAR``, half of the first parts are given back.
+    """
+    take = np.zeros(len(lengths), np.int64)
+    whole = int((lengths * counts).sum())
+    if budget <= 0 or whole == 0:
+        return take
+    if budget >= whole:
+        return counts.astype(np.int64)
+    exact = counts * (budget / whole)
+    take = np.floor(exact).astype(np.int64)
+    left = budget - int((take * lengths).sum())
+    order = np.argsort(-(exact - take), kind="stable")
+    for i in order:
+        if left < DP_WORDS // 2:
+            break
+        if take[i] < counts[i] and lengths[i] <= left:
+            take[i] += 1
+            left -= int(lengths[i])
+    best = fill(lengths, counts, take, budget)
+    short = budget - int((best * lengths).sum())
+    while short * NEAR > budget and take.any():
+        take = take // 2
+        other = fill(lengths, counts, take, budget)
+        if (left := budget - int((other * lengths).sum())) < short:
+            best, short = other, left
+    return best
+
+
 def _plan(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("size").reset_index(drop=True)
     lengths, counts = rows["size"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)

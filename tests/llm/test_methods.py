@@ -1,6 +1,7 @@
 """The methods themselves: propagation, style trees, as-of answers and norms, each against a plain version or with the method switched off."""
 
 import collections
+import itertools
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("lintel.llm")
 
-from lintel.llm import embeddings, html_text, sharding, url_lists  # noqa: E402
+from lintel.llm import embeddings, html_text, mixing, sharding, url_lists  # noqa: E402
 
 
 def test_quotas_keep_capacities_and_never_exceed_wishes():
@@ -125,3 +126,32 @@ def test_style_trees_decide_inside_and_outside_articles(spark, monkeypatch):
     assert (on[200], on[201], on[202]) == ("site line\nown text", "", "")
     monkeypatch.setattr(html_text, "BROADCAST", 0)
     assert texts() == on
+
+
+def test_budgets_of_few_long_documents_near_the_best_subset():
+    r = np.random.default_rng(7)
+    for _ in range(40):
+        lengths = np.unique(r.integers(40_000, 2_000_000, 5))
+        counts = r.integers(1, 4, len(lengths))
+        budget = int(r.uniform(0.05, 0.95) * (lengths * counts).sum())
+        sums = np.array([np.dot(lengths, x) for x in itertools.product(*[range(c + 1) for c in counts])])
+        best = int(sums[sums <= budget].max())
+        take = mixing.fit(lengths, counts, budget)
+        got = int((take * lengths).sum())
+        assert (take >= 0).all() and (take <= counts).all() and best - 0.001 * budget <= got <= best
+
+
+def test_targets_by_filling_to_a_level(spark):
+    """Targets again by bisection of the level, for many random sources with a null one."""
+    r = np.random.default_rng(8)
+    for n in (1, 2, 9):
+        sizes = {(None if i == n - 1 else f"s{i}"): int(r.integers(0, 1000)) for i in range(n)}
+        rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {x["source"]: x["target"] for x in mixing.targets(rows).collect()}
+        order = sorted(sizes, key=lambda x: (x is None, x or ""))
+        weight = {x: (3.0, 1.0, 2.0)[i % 3] for i, x in enumerate(order)}
+        lo, hi, budget = 0.0, 1e9, 1.5 * sum(sizes.values())
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if sum(min(2 * sizes[x], mid * weight[x]) for x in sizes) < budget else (lo, mid)
+        assert got == pytest.approx({x: min(2 * sizes[x], hi * weight[x]) for x in sizes}, abs=1e-3)
