@@ -194,11 +194,12 @@ class Graph:
         return np.concatenate(ids), np.concatenate(score)
 
     def audit(self, threshold: float, seed: int = 2) -> None:
-        """Widen the beam until vectors planted at the threshold find their origin often enough.
+        """Widen the beam until vectors planted at the threshold find enough of their links.
 
         A sample of the shard's vectors is disturbed to a cosine at the threshold;
-        brute force says which vectors each must find.  A beam as wide as the
-        shard is as far as widening goes.
+        brute force says which vectors each must find.  Of a vector with more links than half
+        the beam so many must be found: what they hang together with is compared exactly later.
+        A beam as wide as the shard is as far as widening goes.
         """
         r = np.random.default_rng(seed)
         pick = np.sort(r.permutation(len(self.x))[:AUDIT])
@@ -213,9 +214,9 @@ class Graph:
         exact = q @ self.x.T >= threshold
         while True:
             ids, score = self.search(q)
-            hit = ((score >= threshold) & (ids >= 0)).any(axis=1)
-            must = exact.any(axis=1)
-            if not must.any() or (hit & must).sum() >= RECALL * must.sum() or self.beam >= len(self.x):
+            hit = ((score >= threshold) & (ids >= 0)).sum(axis=1)
+            must = np.minimum(exact.sum(axis=1), max(1, self.beam // 2))
+            if np.minimum(hit, must).sum() >= RECALL * must.sum() or self.beam >= len(self.x):
                 return
             self.beam *= 2
 

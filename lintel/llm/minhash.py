@@ -8,8 +8,11 @@ class moves to the child its token names.  A pair at the threshold thus keeps on
 common node per level in expectation.  Nodes of one member end; nodes small enough
 are compared exhaustively, first by signature agreement, then on the full sets of
 the members that still have a partner; larger nodes branch on.  What is still
-large at the last level (many texts alike) is compared block against block, so
-nothing is dropped.  Verified links go to connected components.
+large at the last level (many texts alike) is compared in parts of bounded size, and
+so are candidate groups whose sets hold many bytes: each part with a few seeded
+members of the whole group first, then what hangs together with the group's main
+component only with what does not.  So nothing is dropped, and a group of near
+copies costs about one comparison per member.  Verified links go to connected components.
 """
 
 from __future__ import annotations
@@ -31,7 +34,9 @@ TOKENS = 64           # minwise tokens of a signature
 TREES = 10
 LEVELS = 4
 SMALL = 512           # nodes up to so many members are compared at once
-LARGE = 4096          # block size at the last level
+LARGE = 4096          # members of a larger node that are compared at once, twice as many where two parts meet
+GROUP_BYTES = 64 << 20  # bytes of full sets that are compared at once
+SEEDED = 4            # members of a great group that all its parts are compared with
 SLACK = 0.2           # signature agreement may lie this much below the threshold (over four standard deviations)
 
 _U = np.uint64
@@ -153,26 +158,36 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[objec
         yield last, pa.Table.from_batches(kept)
 
 
-def _partners(percent: int):
-    """Members of a node that agree with another one, by candidate group (named by its members, so equal groups of several trees fold)."""
+def agreeing(sig: np.ndarray, percent: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Which signatures hang together by agreement: a label per row, and a spanning forest of row pairs."""
     least = (percent / 100 - SLACK) * TOKENS
+    label, edges = np.arange(len(sig)), []
+    for i in range(len(sig) - 1):
+        # Rows already in the group of i need no second look for grouping.
+        rest = np.nonzero(label[i + 1:] != label[i])[0] + i + 1
+        if not len(rest):
+            continue
+        near = rest[(sig[rest] == sig[i]).sum(axis=1) >= least]
+        if len(near):
+            parts, at = np.unique(label[near], return_index=True)
+            edges += [(i, j) for j in near[at].tolist()]
+            label[np.isin(label, parts)] = label[i]
+    return label, edges
 
+
+def _signatures(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, TOKENS)
+
+
+def _partners(percent: int):
+    """Members of a node that agree with another one, by candidate group (named by its members, so equal groups of several trees fold)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, members = [], []
         for _, t in _groups(batches, "node"):
             cls = t.column("cls").to_numpy()
             if len(cls) < 2:
                 continue
-            sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, TOKENS)
-            label = np.arange(len(cls))
-            for i in range(len(cls) - 1):
-                # Rows already in the group of i need no second look for grouping.
-                rest = np.nonzero(label[i + 1:] != label[i])[0] + i + 1
-                if not len(rest):
-                    continue
-                near = rest[(sig[rest] == sig[i]).sum(axis=1) >= least]
-                if len(near):
-                    label[np.isin(label, np.unique(label[near]))] = label[i]
+            label, _ = agreeing(_signatures(t.column("sig")), percent)
             for g in np.unique(label):
                 who = np.sort(cls[label == g])
                 if len(who) > 1:
@@ -239,25 +254,60 @@ def links_of(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _verify(percent: int):
-    """Links of each candidate group on full sets."""
+    """Links of full sets."""
+    def links(t: pa.Table) -> list[tuple[int, int]]:
+        return links_of([np.frombuffer(x, np.uint64) for x in t.column("items").to_pylist()], percent)
+    return links
+
+
+def _agree(percent: int):
+    """Links of signatures."""
+    def links(t: pa.Table) -> list[tuple[int, int]]:
+        return agreeing(_signatures(t.column("items")), percent)[1]
+    return links
+
+
+def _linked(members: DataFrame, items: DataFrame, links) -> DataFrame:
+    """Links ``a, b`` within every group of ``members`` (``grp, cls``), each group in one task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in _groups(batches, "grp"):
-            cls = t.column("cls").to_numpy()
-            found = links_of([np.frombuffer(x, np.uint64) for x in t.column("items").to_pylist()], percent)
+            cls, found = t.column("cls").to_numpy(), links(t) if len(t) > 1 else []
             if found:
                 at = np.array(found)
                 yield pa.RecordBatch.from_arrays([pa.array(cls[at[:, 0]]), pa.array(cls[at[:, 1]])], ["a", "b"])
-    return run
+    return members.join(items, "cls").repartition("grp").sortWithinPartitions("grp").mapInArrow(run, "a long, b long")
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    """Nodes too large for one comparison, as pairs of member blocks: every pair of members meets in one of them."""
-    parts = F.ceil(F.col("cnt") / LARGE).cast("int")
-    own = F.pmod(F.xxhash64("cls"), parts).cast("int")
-    other = F.explode(F.sequence(F.lit(0), parts - 1))
-    return (nodes.withColumn("own", own).withColumn("other", other)
-            .where("cnt <= %d or own <> other" % LARGE)
-            .select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "cls"))
+def linked(members: DataFrame, items: DataFrame, links, limit: int) -> DataFrame:
+    """A forest of the links within every group of ``members`` (``grp, cls, bytes``): no task compares more than about ``limit`` bytes at once.
+
+    A greater group is cut into parts of half the limit.  Each part is compared within, together
+    with the group's seeded members.  Members outside the component that then holds most of the
+    group's bytes are compared with all members, part against part; two members of that component
+    hang together already.  So every link joins two members that share a component at the end.
+    """
+    seeded = [F.min(F.struct(F.xxhash64(F.lit(k), "cls"), "cls"))["cls"] for k in range(SEEDED)]
+    great = checkpointed(members.groupBy("grp").agg(F.sum("bytes").alias("total"), F.array_distinct(F.array(*seeded)).alias("seeded")).where(F.col("total") > limit))
+    if great.isEmpty():
+        return _linked(members.select("grp", "cls"), items, links)
+    parts = lambda size: F.ceil(size * 2 / limit)
+    part = lambda count: F.pmod(F.xxhash64("cls"), F.col(count))
+    every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+    small = members.join(great, "grp", "left_anti").select("grp", "cls")
+    large = checkpointed(members.join(great.select("grp", parts(F.col("total")).alias("parts")), "grp").withColumn("part", part("parts")))
+    own = checkpointed(items.join(large.select("cls").distinct(), "cls", "left_semi"))
+    led = great.select("grp", every(parts(F.col("total"))).alias("part"), "seeded").select("grp", "part", F.explode("seeded").alias("cls"))
+    within = large.select("grp", "part", "cls").unionByName(led).distinct().select(F.xxhash64("grp", "part").alias("grp"), "cls")
+    found = checkpointed(_linked(within, own, links))
+    named = large.join(components(found), F.col("cls") == F.col("node"), "left").select("grp", "cls", "bytes", "parts", "part", F.coalesce("root", "cls").alias("root"))
+    named = checkpointed(named)
+    main = named.groupBy("grp", "root").agg(F.sum("bytes").alias("b")).groupBy("grp").agg(F.max(F.struct("b", "root"))["root"].alias("main"), F.sum("b").alias("all"), F.max("b").alias("most"))
+    left = main.where(F.col("all") > F.col("most")).select("grp", "main", parts(F.col("all") - F.col("most")).alias("odd_parts"))
+    open_ = checkpointed(named.join(left, "grp"))
+    odd = open_.where("root <> main").select("grp", part("odd_parts").alias("x"), every(F.col("parts")).alias("y"), "cls")
+    all_ = open_.select("grp", every(F.col("odd_parts")).alias("x"), F.col("part").alias("y"), "cls")
+    across = odd.unionByName(all_).distinct().select(F.xxhash64(F.lit("across"), "grp", "x", "y").alias("grp"), "cls")
+    return found.unionByName(_linked(across, own, links)).unionByName(_linked(small, items, links))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
@@ -273,10 +323,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     rows = checkpointed(docs.select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("key"), F.col(text).alias("text")).mapInArrow(
         _describe(shingle), f"id {dict(docs.dtypes)[key]}, key long, n long, cls long, sig binary"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"))).alias("first")
-    classes = checkpointed(rows.where("cls is not null").groupBy("cls").agg(first, F.max("sig").alias("sig"), F.count("*").alias("size"))
-                           .select("cls", "first.id", "first.key", "sig", "size"))
+    classes = checkpointed(rows.where("cls is not null").groupBy("cls").agg(first, F.max("sig").alias("sig"), F.max("n").alias("n"), F.count("*").alias("size"))
+                           .select("cls", "first.id", "first.key", "sig", "n", "size"))
     front = classes.select("cls", "sig").mapInArrow(_branch(0, percent), "node long, cls long")
     leaves: list[DataFrame] = []
+    crowded = None
     for level in range(1, LEVELS + 1):
         front = checkpointed(front.distinct())
         sizes = front.groupBy("node").agg(F.count("*").alias("cnt")).where("cnt > 1")
@@ -286,19 +337,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         if large.isEmpty():
             break
         if level == LEVELS:
-            leaves.append(_blocks(large))
+            crowded = large.select(F.col("node").alias("grp"), "cls", F.lit(TOKENS * 4).alias("bytes"))
         else:
             front = large.select("node", "cls").join(classes.select("cls", "sig"), "cls").mapInArrow(_branch(level, percent), "node long, cls long")
     leaf = functools.reduce(DataFrame.unionByName, leaves)
     met = leaf.join(classes.select("cls", "sig"), "cls").repartition("node").sortWithinPartitions("node")
-    groups = checkpointed(met.mapInArrow(_partners(percent), "grp long, cls long").distinct())
+    groups = met.mapInArrow(_partners(percent), "grp long, cls long")
+    if crowded is not None:
+        alike = linked(crowded, classes.select("cls", F.col("sig").alias("items")), _agree(percent), 2 * LARGE * TOKENS * 4)
+        groups = groups.unionByName(components(alike).select(F.col("root").alias("grp"), F.col("node").alias("cls")))
+    groups = checkpointed(groups.distinct())
     wanted = groups.select("cls").distinct().join(classes.select("cls", "id", "key"), "cls")
     texts = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("key"), F.col(text).alias("text"))
     fetched = (wanted.withColumnsRenamed({"id": "wid", "key": "wkey"})
                .join(texts, F.col("wid").eqNullSafe(F.col("id")) & (F.col("wkey") == F.col("key"))).select("cls", "text"))
     sets = fetched.dropDuplicates(["cls"]).mapInArrow(_sets(shingle), "cls long, items binary")
-    links = groups.join(sets, "cls").repartition("grp").sortWithinPartitions("grp").mapInArrow(_verify(percent), "a long, b long")
-    roots = components(links)
+    members = groups.join(classes.select("cls", (F.col("n") * 8).alias("bytes")), "cls")
+    roots = components(linked(members, sets, _verify(percent), GROUP_BYTES))
     part = checkpointed(classes.select("cls", "id", "size").join(roots, F.col("cls") == F.col("node"), "left").select("cls", "id", "size", F.coalesce("root", "cls").alias("root")))
     names = part.groupBy("root").agg(F.min("id").alias("component_id"))
     where = checkpointed(part.select("cls", "root", "size").join(names, "root").select(F.col("cls").alias("of"), "component_id", "size"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("lintel.llm")
 
-from lintel.llm import embeddings, html_text, mixing, sharding, url_lists  # noqa: E402
+from lintel.llm import embeddings, html_text, minhash, mixing, sharding, url_lists  # noqa: E402
 
 
 def test_quotas_keep_capacities_and_never_exceed_wishes():
@@ -155,3 +155,107 @@ def test_targets_by_filling_to_a_level(spark):
             mid = (lo + hi) / 2
             lo, hi = (mid, hi) if sum(min(2 * sizes[x], mid * weight[x]) for x in sizes) < budget else (lo, mid)
         assert got == pytest.approx({x: min(2 * sizes[x], hi * weight[x]) for x in sizes}, abs=1e-3)
+
+
+def near_copies(bases=3, copies=650, words=60, seed=9):
+    """Crowds of near copies: texts of a base with up to a sixth of the words replaced by new ones, and texts of their own."""
+    r = np.random.default_rng(seed)
+    texts = []
+    for b in range(bases):
+        base = [f"b{b}w{i}" for i in range(words)]
+        for c in range(copies):
+            t = list(base)
+            start = int(r.integers(0, words))
+            for k in range(int(r.integers(0, words // 6))):
+                t[(start + k) % words] = f"n{b}-{c}-{k}"
+            texts.append(" ".join(t))
+    return texts + [" ".join(f"own{i}-{k}" for k in range(30)) for i in range(200)]
+
+
+def exact_links(texts, width=5, percent=80):
+    """Links of all pairs, through a matrix of shingles."""
+    seen, rows = {}, []
+    for t in texts:
+        w = t.split()
+        rows.append(np.array(sorted({seen.setdefault(tuple(w[i:i + width]), len(seen)) for i in range(len(w) - width + 1)})))
+    has = np.zeros((len(rows), len(seen)), np.float32)
+    for i, x in enumerate(rows):
+        has[i, x] = 1
+    both = has @ has.T
+    size = has.sum(axis=1)
+    link = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+    np.fill_diagonal(link, False)
+    return link
+
+
+def classes_of(link):
+    label = np.arange(len(link))
+    while True:
+        least = np.where(link, label[None, :], len(link)).min(axis=1)
+        new = np.minimum(label, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def test_links_in_crowds_of_near_copies(spark):
+    """With the production parameters, crowds above SMALL are found whole; the share of exact links that lie in one component is the recall."""
+    texts = near_copies()
+    link = exact_links(texts)
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).toPandas().sort_values("doc_id").component_id.to_numpy()
+    a, b = np.nonzero(link)
+    recall = (got[a] == got[b]).mean()
+    print("link recall", recall)
+    assert link.sum() > 50_000 and recall >= 0.99, recall
+    assert (classes_of(link)[got] == classes_of(link)).all()          # none joined without links
+
+
+@pytest.mark.parametrize("limit", [20_000])
+def test_great_groups_in_parts_of_bounded_size(spark, monkeypatch, limit):
+    texts = near_copies(2, 150)
+    monkeypatch.setattr(minhash, "GROUP_BYTES", limit)
+    monkeypatch.setattr(minhash, "SMALL", 16)
+    monkeypatch.setattr(minhash, "LARGE", 32)
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).toPandas().sort_values("doc_id").component_id
+    assert got.tolist() == classes_of(exact_links(texts)).tolist()
+
+
+def test_links_between_parts_are_whole(spark):
+    """Chains, a main component with others beside it, and groups without any link: the forest connects what brute force connects."""
+    r = np.random.default_rng(1)
+    sets = [np.arange(i * 2, i * 2 + 40) for i in range(60)] + [np.r_[5000:5040, 6000 + i] for i in range(60)] + [np.arange(9000 + 50 * i, 9040 + 50 * i) for i in range(30)]
+    order = r.permutation(len(sets))
+    items = spark.createDataFrame([(int(i), sets[i].astype(np.uint64).tobytes()) for i in order], "cls long, items binary")
+    members = items.select(F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("grp"), "cls", F.length("items").alias("bytes"))
+    share = np.array([[len(np.intersect1d(x, y)) / len(np.union1d(x, y)) for y in sets] for x in sets]) >= 0.8
+    np.fill_diagonal(share, False)
+    want = classes_of(share)
+    for limit in (700, 5_000, 10**9):
+        edges = [(r["a"], r["b"]) for r in minhash.linked(members, items, minhash._verify(80), limit).collect()]
+        assert all(share[a, b] for a, b in edges)
+        made = np.zeros_like(share)
+        for a, b in edges:
+            made[a, b] = made[b, a] = True
+        assert (classes_of(made) == want).all()
+
+
+def test_link_recall_of_vectors_in_crowds_over_shards(spark):
+    """Links counted over several shards against brute force, crowds of near copies at the threshold included."""
+    r = np.random.default_rng(3)
+    d = 24
+    base = r.standard_normal((6, d))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    crowd = np.concatenate([b + r.uniform(0.02, 0.08) * r.standard_normal((400, d)) for b in base])
+    x = np.concatenate([crowd, r.standard_normal((600, d))])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = u @ u.T >= 0.95
+    np.fill_diagonal(link, False)
+    got = embeddings.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), shards=4, shard_rows=750)
+    got = got.toPandas().sort_values("vec_id")
+    recall = got.n_links.sum() / link.sum()
+    assert link.sum() > 50_000 and (got.n_links.to_numpy() <= link.sum(axis=1)).all() and recall >= 0.95, recall
+    exact, found = classes_of(link), got.component_id.to_numpy()
+    a, b = np.nonzero(link)
+    assert (exact[found] == exact).all() and (found[a] == found[b]).mean() >= 0.95
+    print("link recall", recall)
