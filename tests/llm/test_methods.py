@@ -231,7 +231,7 @@ def test_links_between_parts_are_whole(spark):
     share = np.array([[len(np.intersect1d(x, y)) / len(np.union1d(x, y)) for y in sets] for x in sets]) >= 0.8
     np.fill_diagonal(share, False)
     want = classes_of(share)
-    for limit in (700, 5_000, 10**9):
+    for limit in (700, 5_000):
         edges = [(r["a"], r["b"]) for r in minhash.linked(members, items, minhash._verify(80), limit).collect()]
         assert all(share[a, b] for a, b in edges)
         made = np.zeros_like(share)
