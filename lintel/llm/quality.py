@@ -143,12 +143,14 @@ def certify(labelled: DataFrame, rates: dict[str, str], stratum: str, good: str,
 def verdict(featured: DataFrame, col: dict[str, str], thresholds: DataFrame, stratum: str, kept: str) -> DataFrame:
     """``featured`` plus the boolean ``kept``: the base passed and no rate lies above its stratum's cutoff.
 
-    The cutoffs (a handful of rules per stratum) join as one row per stratum.
+    The cutoffs (a handful of rules per stratum) are sent to the rows, so no text is
+    shuffled or sorted by stratum: one row per stratum that has enough labelled good
+    documents to certify a cutoff (over 450 each by default).
     """
     key, cuts = fresh("stratum", featured), fresh("cuts", featured)
     rows = thresholds.groupBy(F.col("stratum").alias(key)).agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(cuts))
-    out = featured.join(rows, featured[stratum].eqNullSafe(F.col(key)), "left")
+    out = featured.join(F.broadcast(rows), featured[stratum].eqNullSafe(F.col(key)), "left")
     above = F.lit(False)
     for r in RATES:
         above = above | F.coalesce(F.col(col[r]) > F.col(cuts)[r], F.lit(False))

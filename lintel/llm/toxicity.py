@@ -11,6 +11,7 @@ greatest and the mean window logit.  Training is plain numpy on a bounded sample
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,7 @@ SLOTS = 1 << 15             # hashed character vectors
 LONG = 160                  # longer words, in bytes, are several inputs
 PIECE, OVERLAP = 48, 5      # characters of such an input, and those it shares with the next: all n-grams of 6 stay whole
 TRAIN_TOXIC, TRAIN_CLEAN = 1200, 2000   # bound on the labelled documents that training reads
+PART = 512                  # windows scored in step
 TRAIN_WINDOWS = 2           # windows per document that training reads
 SEEN = 4                    # places a word or character slot must be found in to have a vector
 EPOCHS, BATCH, RATE, DECAY, DROP = 5, 512, 0.03, 1e-4, 0.3
@@ -157,8 +159,8 @@ class Network:
     def logits(self, at: np.ndarray, projected: dict[str, np.ndarray]) -> np.ndarray:
         """Logits of windows; ``at`` (time, batch) indexes words, -1 pads."""
         out = []
-        for lo in range(0, at.shape[1], 2048):
-            part = at[:, lo:lo + 2048]
+        for lo in range(0, at.shape[1], PART):
+            part = at[:, lo:lo + PART]
             keep = (part >= 0)[..., None].astype(np.float32)
             s = np.concatenate([self.states(projected[d][part], keep, d) for d in "fb"], axis=2)
             out.append(self.pool(s, keep)[2])
@@ -257,16 +259,35 @@ def starts(n: int) -> np.ndarray:
 
 
 class Scorer:
-    """Window logits of texts: ``(greatest, mean)`` per text, 0 windows give (0, 0) and are told apart by the count."""
+    """Window logits of texts: ``(greatest, mean)`` per text, 0 windows give (0, 0) and are told apart by the count.
 
-    CACHE = 200_000
+    Memory is bounded whatever the batch: texts are scored about ``WORDS`` words at a time, and of the projected
+    words those that came back are kept when there are more than ``CACHE`` of them.
+    """
+
+    CACHE = 100_000
+    WORDS = 40_000
 
     def __init__(self, net: Network) -> None:
-        self.net, self.names, self.table = net, {}, None
+        self.net, self.names = net, {}
+        self.times = np.zeros(0, np.int64)
+        self.table = {d: np.empty((0, 3 * HIDDEN), np.float32) for d in "fb"}
+
+    def _forget(self) -> None:
+        """Keeps the words that came more than once, at most half as many as the cache holds."""
+        used = self.times[:len(self.names)]
+        rows = np.flatnonzero(used > 1)
+        if len(rows) > self.CACHE // 2:
+            rows = np.sort(rows[np.argsort(-used[rows], kind="stable")[:self.CACHE // 2]])
+        every = list(self.names)
+        self.names = {every[i]: k for k, i in enumerate(rows.tolist())}
+        self.times = np.zeros(len(self.times), np.int64)
+        for t in self.table.values():
+            t[:len(rows)] = t[rows]
 
     def _numbers(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         if len(self.names) > self.CACHE:
-            self.names, self.table = {}, None
+            self._forget()
         names, old = self.names, len(self.names)
         out = []
         for found in texts:
@@ -274,17 +295,28 @@ class Scorer:
                 out.append(np.array([names[w] for w in found], np.int64))
             except KeyError:
                 out.append(np.array([names.setdefault(w, len(names)) for w in found], np.int64))
+        if len(names) > len(self.times):
+            room = max(len(names), 2 * len(self.times) if len(names) < self.CACHE else self.CACHE + self.WORDS)
+            self.times = np.concatenate([self.times, np.zeros(room - len(self.times), np.int64)])
+            for d, t in self.table.items():
+                self.table[d] = np.empty((room, t.shape[1]), t.dtype)
+                self.table[d][:old] = t[:old]
         if len(names) > old:
-            new = self.net.project(self.net.inputs(list(names)[old:]))
-            self.table = new if self.table is None else {d: np.concatenate([self.table[d], new[d]]) for d in "fb"}
+            new = list(itertools.islice(names, old, None))
+            for lo in range(0, len(new), self.WORDS):
+                at = slice(old + lo, old + min(len(new), lo + self.WORDS))
+                for d, x in self.net.project(self.net.inputs(new[lo:lo + self.WORDS])).items():
+                    self.table[d][at] = x
+        for x in out:
+            np.add.at(self.times, x, 1)
         return out
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         count, top, mean = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
         lo = 0
-        while lo < len(texts):  # as many texts at once as make about 200,000 words
+        while lo < len(texts):
             hi, held, some = lo, 0, []
-            while hi < len(texts) and held < 200_000:
+            while hi < len(texts) and held < self.WORDS:
                 some.append(inputs_of(texts[hi]))
                 held += len(some[-1])
                 hi += 1
@@ -296,7 +328,8 @@ class Scorer:
             owner = np.repeat(np.arange(len(some)), [len(f) for f in first])
             if len(begin):
                 flat = np.concatenate(pad)
-                logit = self.net.logits(flat[begin[None, :].astype(np.int64) + np.arange(WINDOW)[:, None]].astype(np.int64), self.table)
+                logit = np.concatenate([self.net.logits(flat[begin[None, k:k + PART].astype(np.int64) + np.arange(WINDOW)[:, None]].astype(np.int64), self.table)
+                                        for k in range(0, len(begin), PART)])
                 n = np.bincount(owner, minlength=len(some))
                 greatest = np.full(len(some), -np.inf)
                 np.maximum.at(greatest, owner, logit)
