@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -26,24 +27,57 @@ CACHE_BYTES = 384 << 20    # estimated size at which a worker forgets encoded wo
 CACHE_WITH_IDS = 96 << 20  # the same where the worker also holds ids
 ENTRY_BYTES = 200          # dictionary slot and object headers of one remembered word
 END = 1
-MARKS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+LETTERS = 0x250            # letters below are Latin: the rules' first step (NFC) leaves them alone, and all versions of Unicode class them alike
+LAST = chr(LETTERS)
+# The rules under which a word of letters stays whole: lower case, then stretches of letters, then names of bytes.
+NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+CUT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
 
 class Tokens:
     """Token ids of a text; words are encoded once and kept in a bounded cache.
 
-    The tokenizer drops white space and encodes each stretch between white space
-    on its own, so a text's ids are those of its words in order.  Texts that hold
-    ``<|`` may name special tokens and are encoded whole.
+    With the rules ``NORMAL`` and ``CUT`` in its file the tokenizer drops white space
+    and encodes each stretch between white space on its own, so a text's ids are those
+    of its words in order, and words of plain letters can go straight to its model.
+    Texts that hold ``<|`` may name special tokens; these, and all texts under other
+    rules, are encoded whole.
     """
 
     def __init__(self, path: str, budget: int = CACHE_BYTES) -> None:
         from tokenizers import Tokenizer
-        self.model, self.known, self.parts = Tokenizer.from_file(path), {}, {}
+        self.model, self.known = Tokenizer.from_file(path), {}
         self.budget, self.held = budget, 0
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        self.whole, self.names = None, {}
+        if rules["normalizer"] == NORMAL and rules["pre_tokenizer"] == CUT and all(w["special"] and not w["normalized"] for w in rules["added_tokens"]):
+            self.whole = self.model.model.tokenize
+            # What the model reads for a letter: the rules' own names of its bytes.
+            self.names = {i: self.model.pre_tokenizer.pre_tokenize_str(chr(i))[0][0] for i in range(128, LETTERS) if chr(i).isalpha()}
+
+    def _plain(self, word: str) -> bool:
+        """Whether the rules leave this lower-case word whole."""
+        return word.isalpha() and word.islower() and (word.isascii() or max(word) < LAST)
 
     def _encode(self, found: list[str]) -> list[bytes]:
-        """Ids of each string, as bytes: the strings are encoded as the lines of one text, whose offsets tell the lines apart."""
+        """Ids of each lower-case string, as bytes."""
+        plain = list(map(self._plain, found))
+        flat, cuts = [], [0]
+        for w, ok in zip(found, plain, strict=True):
+            if ok:
+                flat += [t.id for t in self.whole(w if w.isascii() else w.translate(self.names))]
+                cuts.append(len(flat))
+        ids = np.array(flat, "<u4").tobytes()
+        easy = (ids[4 * a:4 * b] for a, b in itertools.pairwise(cuts))
+        others = iter(self._lines([w for w, ok in zip(found, plain, strict=True) if not ok]))
+        return [next(easy if ok else others) for ok in plain]
+
+    def _lines(self, found: list[str]) -> list[bytes]:
+        """Ids of any strings, as bytes: they are encoded as the lines of one text, whose offsets tell the lines apart."""
         if not found:
             return []
         whole = self.model.encode("\n".join(found), add_special_tokens=False)
@@ -53,31 +87,44 @@ class Tokens:
         ids = np.array(whole.ids, "<u4").tobytes()
         return [ids[a:b] for a, b in itertools.pairwise(cuts)]
 
+    def _learn(self, words: set[bytes]) -> None:
+        # A run of marks after a letter or digit is a token run of its own, so stems are shared; letter case is dropped.
+        known, new, joined = self.known, {}, []
+        for w in words:
+            text = w.decode()
+            stem = text.rstrip(SIGNS)
+            if stem and (low := stem.lower()) and ((stem.isascii() and stem[-1].isalnum()) or self._plain(low)):
+                if low == text:
+                    new[w] = text
+                    continue
+                first, tail = low.encode(), text[len(stem):].encode()
+                joined.append((w, first, tail))
+                if first not in known:
+                    new[first] = low
+                if tail and tail not in known:
+                    new[tail] = text[len(stem):]
+            else:
+                new[w] = text
+        known.update(zip(new, self._encode(list(new.values())), strict=True))
+        for w, first, tail in joined:
+            known[w] = known[first] + known[tail] if tail else known[first]
+        self.held += sum(ENTRY_BYTES + len(w) + len(known[w]) for w in itertools.chain(new, (j[0] for j in joined)))
+
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.array([END], np.uint32)
-        if "<|" in text:
+        if self.whole is None or "<|" in text:
             return np.array([*self.model.encode(text, add_special_tokens=False).ids, END], np.uint32)
-        found, known = text.encode("utf-8", "surrogatepass").split(), self.known
         if self.held > self.budget:
-            known.clear()
-            self.parts.clear()
+            self.known.clear()
             self.held = 0
+        found, known = (text.lower() if text.isascii() else text).encode("utf-8", "surrogatepass").split(), self.known
         got = list(map(known.get, found))
         if None in got:
-            # A run of marks after a letter or digit is a token run of its own, so stems are shared; letter case is dropped.
-            new: dict[bytes, tuple[bytes, bytes]] = {}
-            for w, ids in zip(found, got, strict=True):
-                if ids is None and w not in new:
-                    stem = w.rstrip(MARKS)
-                    new[w] = (stem.lower(), w[len(stem):]) if stem and stem[-1:].isalnum() and stem.isascii() else (w, b"")
-            parts = [p for p in {p for pair in new.values() for p in pair if p} if p not in self.parts]
-            self.parts.update(zip(parts, self._encode([p.decode() for p in parts]), strict=True))
-            self.held += sum(ENTRY_BYTES + 5 * len(p) for p in parts)
-            for w, (stem, tail) in new.items():
-                known[w] = ids = self.parts[stem] + (self.parts[tail] if tail else b"")
-                self.held += ENTRY_BYTES + len(w) + len(ids)
-            got = [known[w] for w in found]
+            places = [i for i, ids in enumerate(got) if ids is None]
+            self._learn({found[i] for i in places})
+            for i in places:
+                got[i] = known[found[i]]
         return np.frombuffer(b"".join(got) + END.to_bytes(4, "little"), "<u4")
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("lintel.llm")
 
-from lintel.llm import quality, toxicity  # noqa: E402
+from lintel.llm import packing, quality, toxicity  # noqa: E402
+from lintel.llm.common import tokenizer_path  # noqa: E402
 
 
 def texts_of(n, seed):
@@ -55,3 +56,36 @@ def test_quality_cutoffs_reach_the_rows_without_a_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(got) == 30 and all(r["kept"] == (not r[2] and (r["lang"] == "en" or r["length"] <= 1.0)) for r in got)
+
+
+def test_words_of_letters_meet_the_model_only():
+    tokens = packing.Tokens(tokenizer_path())
+    whole = lambda t: [*tokens.model.encode(t, add_special_tokens=False).ids, packing.END]
+    calls = []
+    lines = tokens._lines
+    tokens._lines = lambda found: (calls.extend(found), lines(found))[1]
+    text = "The thonre, THONRE! élan Élan, ÉLAN... naïve œuvre straße ÆON ŉa ĳs don't it's 12a3 a1. x2 #tag (note) _a_ 'S l'été d'Ys"
+    for t in (text, text.encode("ascii", "ignore").decode(), text):
+        assert tokens(t).tolist() == whole(t)
+    assert calls and not any(w.isalpha() and w.isascii() or w in ("élan", "naïve", "œuvre", "straße") for w in calls)
+    r = np.random.default_rng(8)
+    letters = [chr(i) for i in range(33, 0x300) if not 127 <= i < 161]
+    for extra in ("", "́̊̇", "ΣςАЯİẞﬁ٣𝐀한글"):
+        for _ in range(300):
+            t = " ".join("".join(r.choice([*letters, *extra], int(r.integers(1, 6)))) for _ in range(12))
+            assert "<|" in t or tokens(t).tolist() == whole(t)
+    for c in map(chr, range(33, 0x250)):  # every letter alone, before and after others, with a mark, and with each common accent
+        t = f"{c} a{c} {c}a {c}. {c}{c}, {c}́ {c}̊ x{c}'s {c}1"
+        assert tokens(t).tolist() == whole(t)
+
+
+def test_other_rules_leave_words_to_the_tokenizer(tmp_path):
+    import json
+    rules = json.load(open(tokenizer_path(), encoding="utf-8"))
+    rules["normalizer"]["normalizers"] = rules["normalizer"]["normalizers"][:2]  # letter case stays
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(rules), encoding="utf-8")
+    tokens = packing.Tokens(str(path))
+    assert tokens.whole is None
+    for t in ("Thonre thonre élan Élan", "ABC abc"):
+        assert tokens(t).tolist() == [*tokens.model.encode(t, add_special_tokens=False).ids, packing.END]
