@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("lintel.llm")
 
-from lintel.llm import packing, quality, toxicity  # noqa: E402
+from lintel.llm import lm, packing, quality, toxicity  # noqa: E402
 from lintel.llm.common import tokenizer_path  # noqa: E402
 
 
@@ -89,3 +89,30 @@ def test_other_rules_leave_words_to_the_tokenizer(tmp_path):
     assert tokens.whole is None
     for t in ("Thonre thonre élan Élan", "ABC abc"):
         assert tokens(t).tolist() == [*tokens.model.encode(t, add_special_tokens=False).ids, packing.END]
+
+
+def test_context_counts_are_asked_for_once(spark, monkeypatch):
+    """Learning and scoring read stored answers; no exchange is run again for either."""
+    seen = []
+    fit = lm._fit
+    monkeypatch.setattr(lm, "_fit", lambda mixer, both: (fit(mixer, both), seen.append(both)))
+    monkeypatch.setattr(lm, "CHUNK", 2000)
+    rows = [(i, " ".join(f"w{(i * k) % 37}" for k in range(60))) for i in range(60)] + [(60, None), (61, "")]
+    assert lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).count() == 62
+    assert "Exchange" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_answers_of_a_chunk_stay_whole():
+    import pyarrow as pa
+    r = np.random.default_rng(2)
+    context = np.sort(r.choice(10**12, 500, replace=False))
+    counts = [r.integers(0, 2**32, int(n), dtype=np.uint32) for n in r.integers(0, 9, 500)]
+    own = [(5, None, None, b"a"), (5, None, None, b"b"), (6, None, None, b"c")]
+    told = [(5, int(c), x.tobytes(), None) for c, x in zip(context, counts, strict=True)]
+    t = pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*own[:2], *told, own[2], strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
+                             ["chunk", "context", "counts", "symbols"])
+    out = pa.Table.from_batches(list(lm._gathered(iter(t.to_batches(max_chunksize=90)))))
+    assert out.column("symbols").to_pylist() == [b"a", b"b", b"c"]
+    got = lm._told(out.slice(0, 2))
+    assert (got[0] == context).all() and (got[1] == np.concatenate(counts)).all()
+    assert [len(x) for x in lm._told(out.slice(2))] == [0, 0]
