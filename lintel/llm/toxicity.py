@@ -30,6 +30,7 @@ LONG = 160                  # longer words, in bytes, are several inputs
 PIECE, OVERLAP = 48, 5      # characters of such an input, and those it shares with the next: all n-grams of 6 stay whole
 TRAIN_TOXIC, TRAIN_CLEAN = 1200, 2000   # bound on the labelled documents that training reads
 PART = 512                  # windows scored in step
+GRAMMED = 8192              # words whose character n-grams are listed together
 TRAIN_WINDOWS = 2           # windows per document that training reads
 SEEN = 4                    # places a word or character slot must be found in to have a vector
 EPOCHS, BATCH, RATE, DECAY, DROP = 5, 512, 0.03, 1e-4, 0.3
@@ -102,8 +103,10 @@ class Network:
         self.vocabulary = {w: i + 1 for i, w in enumerate(sorted(w for w, c in times.items() if c >= SEEN))}
         self.use = np.ones(SLOTS, bool)
         if times:
-            slots, at = grams(list(times))
-            held = np.bincount(slots, np.repeat(np.array(list(times.values()), float), np.diff(at)), minlength=SLOTS)
+            every, often, held = list(times), np.array(list(times.values()), float), np.zeros(SLOTS)
+            for lo in range(0, len(every), GRAMMED):
+                slots, at = grams(every[lo:lo + GRAMMED])
+                held += np.bincount(slots, np.repeat(often[lo:lo + GRAMMED], np.diff(at)), minlength=SLOTS)
             self.use = held >= SEEN
         self.p = {"word": n(len(self.vocabulary) + 1, SIZE, scale=0.1), "char": n(SLOTS, SIZE, scale=0.1),
                   "v": n(2 * HIDDEN, scale=0.3), "w": n(2 * HIDDEN, scale=0.3), "b": np.zeros(1, np.float32)}
@@ -113,10 +116,12 @@ class Network:
 
     def parts(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Word numbers (0: none), used character slots, the word of each, and the weight of a word's character vectors."""
-        slots, at = grams(found)
-        owner = np.repeat(np.arange(len(found)), np.diff(at))
-        ok = self.use[slots]
-        slots, owner = slots[ok], owner[ok]
+        some = []
+        for lo in range(0, max(1, len(found)), GRAMMED):
+            slots, at = grams(found[lo:lo + GRAMMED])
+            ok = self.use[slots]
+            some.append((slots[ok], np.repeat(np.arange(lo, lo + len(at) - 1), np.diff(at))[ok]))
+        slots, owner = (np.concatenate(x) for x in zip(*some, strict=True))
         return (np.array([self.vocabulary.get(w, 0) for w in found], np.int64), slots, owner,
                 (1 / np.sqrt(1.0 + np.bincount(owner, minlength=len(found)))).astype(np.float32))
 

@@ -30,6 +30,27 @@ def test_toxicity_scoring_memory_does_not_follow_the_batch():
     assert peak < 120e6
 
 
+def test_toxicity_grams_are_listed_in_slices(monkeypatch):
+    found = [f"word{i:06d}x".encode() for i in range(60_000)]
+    net = toxicity.Network([found[:64]] * toxicity.SEEN)
+    tracemalloc.start()
+    try:
+        net.parts(found)
+        many = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        again = toxicity.Network([found])
+        least = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert many < 60e6 and least < 60e6   # all at once: over 100 MB each
+    some = found[:3000]
+    sliced = [net.parts(some), toxicity.Network([some] * 2).use]
+    monkeypatch.setattr(toxicity, "GRAMMED", 700)
+    other = [net.parts(some), toxicity.Network([some] * 2).use]
+    assert all(np.array_equal(x, y) for x, y in zip(sliced[0], other[0], strict=True)) and np.array_equal(sliced[1], other[1])
+    assert [len(x) for x in net.parts([])] == [0, 0, 0, 0] and again.use.any()
+
+
 def test_toxicity_words_forgotten_change_no_score(monkeypatch):
     net = toxicity.Network([toxicity.inputs_of(t)[:64] for t in texts_of(20, 1)])
     texts = [None, "", *texts_of(40, 3), "alone", " ".join(texts_of(30, 4))]
