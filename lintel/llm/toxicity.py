@@ -6,12 +6,14 @@ Words of more than ``LONG`` bytes (texts without spaces, joined words) are read
 several inputs that overlap, so that every character n-gram is read.  The network reads windows of ``WINDOW`` words that overlap; the
 states of both directions are pooled by attention to one logit per window.  All
 windows of a text are scored, and a document's score is a logistic function of the
-greatest and the mean window logit.  Training is plain numpy on a bounded sample.
+greatest and the mean window logit.  Training is plain numpy on a bounded sample, in one
+task; the driver holds the finished parameters only.
 """
 
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,8 +135,8 @@ class Network:
         return out * scale[:, None] + self.p["word"][word]
 
     def inputs(self, found: list[bytes]) -> np.ndarray:
-        """The input vector of each word."""
-        return self.vectors(*self.parts(found))
+        """The input vector of each word; their characters' vectors are held for ``GRAMMED`` words at a time."""
+        return np.concatenate([self.vectors(*self.parts(found[lo:lo + GRAMMED])) for lo in range(0, max(1, len(found)), GRAMMED)])
 
     def states(self, x: np.ndarray, keep: np.ndarray, d: str, trace: list | None = None) -> np.ndarray:
         """Gated recurrent states over projected inputs ``x`` (time, batch, 3 H); padded steps keep the state."""
@@ -304,7 +306,7 @@ class Scorer:
             room = max(len(names), 2 * len(self.times) if len(names) < self.CACHE else self.CACHE + self.WORDS)
             self.times = np.concatenate([self.times, np.zeros(room - len(self.times), np.int64)])
             for d, t in self.table.items():
-                self.table[d] = np.empty((room, t.shape[1]), t.dtype)
+                self.table[d] = np.zeros((room, t.shape[1]), t.dtype)  # padded steps read the last row and weigh it by 0, so it must be finite
                 self.table[d][:old] = t[:old]
         if len(names) > old:
             new = list(itertools.islice(names, old, None))
@@ -403,14 +405,21 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     known = docs.select(F.col(key).cast("long").alias("__doc"), F.col(text).alias("text")).join(
         F.broadcast(chosen), F.col("__doc") == F.col("__id")).select(F.col("__id").cast("long").alias("__id"), "text", F.col("__toxic").cast("int").alias("__toxic"))
-    rows = sorted(known.mapInArrow(sample, "words binary, y int, who long").collect(), key=lambda r: (r["who"], bytes(r["words"])))
-    y = np.array([r["y"] for r in rows], np.float32)
-    if not len(y) or y.min() == y.max():
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("who", "words", "y")), strict=True)), key=lambda r: r[:2])
+        y = np.array([r[2] for r in rows], np.float32)
+        if len(y) and y.min() < y.max():
+            share = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9)).astype(np.float32)
+            windows = [r[1].split() for r in rows]
+            net = Network(windows)
+            net.train(windows, y, share)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
+
+    # The sample is bounded, so one task trains on all of it and the driver's memory stays free of it.
+    done = known.mapInArrow(sample, "words binary, y int, who long").repartition(1).mapInArrow(trained, "net binary").collect()
+    if not done:
         return Model(None, np.zeros(3), prior)
-    share = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9)).astype(np.float32)
-    windows = [bytes(r["words"]).split() for r in rows]
-    net = Network(windows)
-    net.train(windows, y, share)
+    net = pickle.loads(done[0]["net"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net)

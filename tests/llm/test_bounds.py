@@ -137,3 +137,54 @@ def test_answers_of_a_chunk_stay_whole():
     got = lm._told(out.slice(0, 2))
     assert (got[0] == context).all() and (got[1] == np.concatenate(counts)).all()
     assert [len(x) for x in lm._told(out.slice(2))] == [0, 0]
+
+
+def test_toxicity_trains_in_a_task_as_on_the_same_windows_here(spark, monkeypatch):
+    texts = [t + (" vile" if i % 3 == 0 else " kind") for i, t in enumerate(texts_of(60, 6))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    rows = []
+    for i, t in enumerate(texts):
+        found = toxicity.inputs_of(t)
+        first = toxicity.starts(len(found))
+        few = np.random.default_rng([toxicity.SEED, i]).permutation(len(first))[:toxicity.TRAIN_WINDOWS]
+        rows += sorted((b" ".join(found[s:s + toxicity.WINDOW]).split() for s in first[few]), key=b" ".join)
+    y = np.repeat([float(i % 3 == 0) for i in range(60)], toxicity.TRAIN_WINDOWS).astype(np.float32)
+    net = toxicity.Network(rows)
+    net.train(rows, y, np.ones(len(y), np.float32))
+
+    def here(*_):
+        raise AssertionError("trained in the driver")
+
+    monkeypatch.setattr(toxicity.Network, "train", here)
+    got = toxicity.fit(docs, labels, trainable=F.lit(True)).net
+    assert got.vocabulary == net.vocabulary and np.array_equal(got.use, net.use)
+    assert all(np.allclose(got.p[k], net.p[k], atol=1e-4) for k in net.p)
+
+
+def test_toxicity_inputs_hold_few_character_vectors(monkeypatch):
+    found = [f"word{i:06d}x".encode() for i in range(40_000)]
+    net = toxicity.Network([found[:64]] * toxicity.SEEN)
+    net.use[:] = True
+    tracemalloc.start()
+    try:
+        net.inputs(found)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60e6   # all at once: 249 MB
+    some = found[:3000]
+    sliced = net.inputs(some)
+    monkeypatch.setattr(toxicity, "GRAMMED", 700)
+    assert np.array_equal(net.inputs(some), sliced) and net.inputs([]).shape == (0, toxicity.SIZE)
+
+
+def test_toxicity_padded_steps_read_no_left_over_memory(monkeypatch):
+    net = toxicity.Network([toxicity.inputs_of(t)[:64] for t in texts_of(20, 1)])
+    calls = [texts_of(3, 7), ["alone", "two words"]]   # the second call makes room for more words than it has
+    plain = [toxicity.Scorer(net)(t) for t in calls]
+    monkeypatch.setattr(np, "empty", lambda shape, dtype=float: np.full(shape, np.nan if np.dtype(dtype).kind == "f" else 0, dtype))
+    again = toxicity.Scorer(net)
+    for texts, expected in zip(calls, plain, strict=True):
+        got = again(texts)
+        assert all(np.isfinite(b).all() and np.allclose(a, b, atol=1e-5) for a, b in zip(expected, got, strict=True))
