@@ -405,6 +405,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     known = docs.select(F.col(key).cast("long").alias("__doc"), F.col(text).alias("text")).join(
         F.broadcast(chosen), F.col("__doc") == F.col("__id")).select(F.col("__id").cast("long").alias("__id"), "text", F.col("__toxic").cast("int").alias("__toxic"))
+
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("who", "words", "y")), strict=True)), key=lambda r: r[:2])
         y = np.array([r[2] for r in rows], np.float32)
