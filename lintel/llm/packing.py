@@ -13,12 +13,14 @@ import itertools
 import json
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lintel.llm.common import releasing
+
 CAPACITY = 2048
 GROUP_DOCUMENTS = 8192     # documents dealt to a group, on average
 CHUNK_PIECES = 65536       # a group packs in chunks of at most so many pieces
@@ -163,7 +165,7 @@ def _pieces(path: str, capacity: int, with_ids: bool):
                     cols.append(pa.array(ids, pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
-    return run
+    return releasing(run)
 
 
 def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -213,15 +215,17 @@ def _readable(b: pa.RecordBatch) -> pa.RecordBatch:
 
 def _pack(capacity: int, names: list[str]):
     """Packs sorted runs of pieces of one group, chunk by chunk; memory is bounded by the chunk whatever the group."""
-    def flush(kept: list[pa.RecordBatch], grp: int, first: int) -> tuple[pa.RecordBatch, int]:
-        t = pa.Table.from_batches(kept).combine_chunks()
+    def flush(kept: list[pa.RecordBatch], grp: int, first: int) -> Generator[pa.RecordBatch, None, int]:
+        t = pa.Table.from_batches(kept)   # of the batches themselves: no second copy of a chunk is made, and ids turn into lists batch by batch
         bins, offsets = first_fit_decreasing(t.column("length").to_numpy(), capacity)
         t = t.append_column("sequence_id", pa.array(grp * 2**32 + first + bins)).append_column("offset", pa.array(offsets))
-        return [_readable(b) for b in t.select(names).to_batches(max_chunksize=1024 if "ids" in names else None)], first + (int(bins.max()) + 1 if len(bins) else 0)
+        yield from map(_readable, t.select(names).to_batches(max_chunksize=1024 if "ids" in names else None))
+        return first + (int(bins.max()) + 1 if len(bins) else 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, held, size, grp, first = [], 0, 0, None, 0
         with_ids = "ids" in names
+        tokens_of.cache_clear()           # all ids are made by now; the encoder's words would stay in this worker
         for b in batches:
             if not len(b):
                 continue
@@ -230,8 +234,7 @@ def _pack(capacity: int, names: list[str]):
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 bulk = 4 * sum(b.column("length")[lo:hi].to_pylist()) if with_ids else 0
                 if kept and (g[lo] != grp or held + hi - lo > CHUNK_PIECES or size + bulk > CHUNK_BYTES):
-                    out, first = flush(kept, grp, first)
-                    yield from out
+                    first = yield from flush(kept, grp, first)
                     kept, held, size = [], 0, 0
                 first = first if g[lo] == grp else 0
                 grp = int(g[lo])
@@ -239,8 +242,8 @@ def _pack(capacity: int, names: list[str]):
                 held += hi - lo
                 size += bulk
         if kept:
-            yield from flush(kept, grp, first)[0]
-    return run
+            yield from flush(kept, grp, first)
+    return releasing(run)
 
 
 def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = True,
@@ -260,6 +263,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     pieces = docs.select(F.col(key).alias("id"), deal.alias("grp"), F.col(text).alias("text")).mapInArrow(
         _pieces(tokenizer, capacity, with_ids), f"id {kind}, grp long, {cols}{', ids binary' if with_ids else ''}")
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else []), "sequence_id", "offset"]
-    packed = pieces.repartition(groups, "grp").sortWithinPartitions("grp", F.desc("length"), "id", "start", "ids_crc32").mapInArrow(
+    # One group a task: by hash several would meet in one, and their ids are sorted there.
+    packed = pieces.repartitionById(groups, F.col("grp").cast("int")).sortWithinPartitions("grp", F.desc("length"), "id", "start", "ids_crc32").mapInArrow(
         _pack(capacity, names), f"id {kind}, {cols}{', ids array<int>' if with_ids else ''}, sequence_id long, offset long")
     return packed.withColumnRenamed("id", "doc_id")

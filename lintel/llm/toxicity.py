@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lintel.llm.common import fresh, remainder, word_list
+from lintel.llm.common import fresh, releasing, remainder, word_list
 from lintel.llm.minhash import mix
 
 WINDOW, STRIDE = 64, 48
@@ -417,7 +417,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
 
     # The sample is bounded, so one task trains on all of it and the driver's memory stays free of it.
-    done = known.mapInArrow(sample, "words binary, y int, who long").repartition(1).mapInArrow(trained, "net binary").collect()
+    done = known.mapInArrow(sample, "words binary, y int, who long").repartition(1).mapInArrow(releasing(trained), "net binary").collect()
     if not done:
         return Model(None, np.zeros(3), prior)
     net = pickle.loads(done[0]["net"])
@@ -428,7 +428,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             n, top, mean = scorer(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("__id"), b.column("__toxic"), pa.array(n), pa.array(top), pa.array(mean)], ["id", "y", "n", "top", "mean"])
 
-    seen = np.array(sorted(tuple(r) for r in known.mapInArrow(whole, "id long, y int, n long, top double, mean double").where("n > 0").collect()), float)
+    seen = np.array(sorted(tuple(r) for r in known.mapInArrow(releasing(whole), "id long, y int, n long, top double, mean double").where("n > 0").collect()), float)
     yy = seen[:, 1]
     if yy.min() == yy.max():
         return Model(None, np.zeros(3), prior)
@@ -452,4 +452,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str | None =
                 s = model.scores(*scorer(texts)) if scorer else np.full(len(texts), min(model.prior, CUTOFF / 2))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], [*b.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())])), name
+    return docs.mapInArrow(releasing(run), StructType([*docs.schema.fields, StructField(name, DoubleType())])), name

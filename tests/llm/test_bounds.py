@@ -188,3 +188,49 @@ def test_toxicity_padded_steps_read_no_left_over_memory(monkeypatch):
     for texts, expected in zip(calls, plain, strict=True):
         got = again(texts)
         assert all(np.isfinite(b).all() and np.allclose(a, b, atol=1e-5) for a, b in zip(expected, got, strict=True))
+
+
+def test_a_task_packs_one_group(spark):
+    docs = spark.createDataFrame([(i, "word " * (i % 90)) for i in range(400)], "doc_id long, text string")
+    out = packing.pack(docs, tokenizer_path(), group_documents=20)
+    got = out.select(F.spark_partition_id().alias("task"), F.shiftright("sequence_id", 32).alias("grp")).distinct().collect()
+    assert len(got) == 20 == len({r["task"] for r in got}) == len({r["grp"] for r in got})  # by hash several groups met in one task
+
+
+def test_packing_holds_a_chunk_once():
+    import pyarrow as pa
+    packing.tokens_of(tokenizer_path(), packing.CACHE_WITH_IDS)("some words")
+    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "offset"]
+
+    def pieces():
+        for at in range(0, 5000, 250):   # 41 MB of ids
+            whole = [pa.array(x, pa.int64()) for x in (range(at, at + 250), [3] * 250, [0] * 250, [2048] * 250, [0] * 250, [2048] * 250)]
+            yield pa.RecordBatch.from_arrays([*whole, pa.array([np.full(2048, i, "<u4").tobytes() for i in range(at, at + 250)], pa.binary())],
+                                             ["id", "grp", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+    base, most, seen = pa.total_allocated_bytes(), 0, 0
+    for b in packing._pack(2048, names)(pieces()):
+        most = max(most, pa.total_allocated_bytes() - base)
+        assert [x[0] for x in b.column("ids").to_pylist()] == b.column("id").to_pylist() and set(b.column("offset").to_pylist()) == {0}
+        assert b.column("sequence_id").to_pylist() == list(range(3 * 2**32 + seen, 3 * 2**32 + seen + len(b)))
+        seen += len(b)
+    assert seen == 5000 and most < 60e6   # copied whole and listed at once: over 120 MB
+    assert packing.tokens_of.cache_info().currsize == 0
+
+
+def test_a_task_gives_its_memory_back():
+    from lintel.llm.common import releasing
+    last = []
+
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    def run(batches):
+        held = [bytes(700) for _ in range(200_000)]
+        last.append(bytes(700))          # lies above them, so the allocator cannot shrink by itself
+        yield from batches
+        assert len(held) == 200_000
+    list(releasing(lambda batches: batches)(iter("")))   # what earlier tests freed is given back first
+    before = resident()
+    assert list(releasing(run)(iter("ab"))) == ["a", "b"]
+    assert resident() - before < 60e6    # 140 MB stay otherwise
