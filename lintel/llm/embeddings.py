@@ -1,8 +1,11 @@
 """Near-duplicate vectors through navigable small-world graphs, one per shard.
 
 Vectors are hashed into shards; each shard builds a hierarchical navigable
-small-world graph.  Every vector is looked up in every shard: the pair of shards
-(i, j) is one task that searches the vectors of one in the graph of the other.
+small-world graph.  Every vector is looked up in every shard: a pair of shards
+(i, j) searches the vectors of one in the graph of the other.  A task meets some
+shards with some others, all pairs of them, so a shard is copied less often than
+there are shards.  Shards travel in rows of at most ``PIECE`` vectors, as they are given;
+unit vectors in double precision are made from them where a pair needs them.
 Beams are widened per graph until an audit against brute force passes.  What a
 search finds is verified by cosine in double precision; found links are closed
 within the pair (all vectors that one linked part brings together are compared),
@@ -19,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lintel.llm.common import attach_by_size, checkpointed
+from lintel.llm.common import attach_by_size, checkpointed, give_back
 from lintel.llm.components import Forest, components
 
 THRESHOLD = 0.95
@@ -31,6 +34,11 @@ BEAM = 24               # first beam tried; doubled until the audit passes
 AUDIT = 200             # audited vectors of a shard (a bound, seeded)
 RECALL = 0.98
 BATCH = 512
+PIECE = 1024            # vectors that travel in one row
+SIDE = 4                # shards at most that a task meets with as many others
+FEW_SIDES = 8           # a task takes one shard of each side while there are fewer than twice so many
+CELLS = 1 << 20         # cosines held at once when all vectors of a linked part are compared
+PAIRS = 8192            # found pairs that are verified together
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -39,6 +47,19 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+class Rows:
+    """Unit vectors in double precision, made from the given ones for the rows that are asked for."""
+
+    def __init__(self, given: np.ndarray) -> None:
+        self.given = given
+
+    def __len__(self) -> int:
+        return len(self.given)
+
+    def __getitem__(self, at) -> np.ndarray:
+        return unit(self.given[at].astype(np.float64))
+
+
 class Graph:
     """A hierarchical navigable small-world graph; searches run for many queries in step.
 
@@ -83,7 +104,7 @@ class Graph:
 
     def _connect(self, links: np.ndarray, batch: np.ndarray, found: np.ndarray) -> None:
         width = links.shape[1]
-        score = np.einsum("bd,bkd->bk", self.x[batch], self.x[np.maximum(found, 0)])
+        score = np.concatenate([np.einsum("bd,bkd->bk", self.x[batch[lo:lo + 64]], self.x[np.maximum(found[lo:lo + 64], 0)]) for lo in range(0, len(batch), 64)])
         score[(found < 0) | (found == batch[:, None])] = -2
         chosen = self._diverse(found, score, width)
         links[batch] = chosen
@@ -221,38 +242,48 @@ class Graph:
             self.beam *= 2
 
     def dump(self) -> bytes:
+        """All but the vectors; of the upper levels only the nodes that lie there."""
         out = io.BytesIO()
-        np.savez(out, x=self.x, beam=self.beam, n=len(self.up), **{f"l{i}": v for i, v in enumerate(self.links)}, **{f"u{i}": v for i, v in enumerate(self.up)})
+        np.savez(out, beam=self.beam, n=len(self.up), l0=self.links[0],
+                 **{f"l{k}": self.links[k][self.up[k]] for k in range(1, len(self.up))}, **{f"u{k}": self.up[k] for k in range(1, len(self.up))})
         return out.getvalue()
 
     @classmethod
-    def load(cls, data: bytes) -> Graph:
+    def load(cls, data: bytes, x: np.ndarray) -> Graph:
         z = np.load(io.BytesIO(data))
-        g = cls(z["x"])
-        g.beam = int(z["beam"])
-        g.links, g.up = [z[f"l{i}"] for i in range(int(z["n"]))], [z[f"u{i}"] for i in range(int(z["n"]))]
+        g = cls(x)
+        g.beam, g.links, g.up = int(z["beam"]), [z["l0"]], [np.arange(len(x))]
+        for k in range(1, int(z["n"])):
+            g.up.append(z[f"u{k}"])
+            g.links.append(np.full((len(x), LINKS), -1, np.int32))
+            g.links[k][g.up[k]] = z[f"l{k}"]
         return g
 
 
-def _doubles(raw: bytes, d: int) -> np.ndarray:
-    return np.frombuffer(raw, np.float64).reshape(-1, d)
+BUILT = "dim int, shard int, piece int, cls binary, size binary, given binary, graph binary"
 
 
 def _build(threshold: float):
-    """One row per shard: its classes, sizes, vectors and graph."""
+    """Rows of a shard: in each some of its classes, sizes and vectors, in the first its graph."""
     def run(key, table):
         order = np.argsort(table.column("cls").to_numpy(), kind="stable")
-        d = table.column("dim")[0].as_py()
-        x = unit(np.array(table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(-1, d)[order].astype(np.float64))
-        g = Graph.build(x)
+        d, shard = table.column("dim")[0].as_py(), table.column("shard")[0].as_py()
+        given = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table.column("v").chunks]).reshape(-1, d)[order]
+        cls, size = (table.column(c).to_numpy()[order] for c in ("cls", "size"))
+        del table
+        g = Graph.build(unit(given.astype(np.float64)))
         g.audit(threshold)
-        return pa.table({"dim": [d], "shard": [table.column("shard")[0].as_py()], "cls": [table.column("cls").to_numpy()[order].tobytes()],
-                         "size": [table.column("size").to_numpy()[order].tobytes()], "x": [x.tobytes()], "graph": [g.dump()], "beam": [g.beam]},
-                        schema=pa.schema([("dim", pa.int32()), ("shard", pa.int32()), ("cls", pa.binary()), ("size", pa.binary()), ("x", pa.binary()), ("graph", pa.binary()), ("beam", pa.int64())]))
+        at = range(0, len(cls), PIECE)
+        cut = lambda v: pa.array([v[lo:lo + PIECE].tobytes() for lo in at], pa.binary())
+        out = pa.table({"dim": pa.array([d] * len(at), pa.int32()), "shard": pa.array([shard] * len(at), pa.int32()), "piece": pa.array(range(len(at)), pa.int32()),
+                        "cls": cut(cls), "size": cut(size), "given": cut(given), "graph": pa.array([g.dump(), *[None] * (len(at) - 1)], pa.binary())})
+        del g, given
+        give_back()
+        return out
     return run
 
 
-def link_pair(a: Graph, xa: np.ndarray, b: Graph | None, xb: np.ndarray, wa: np.ndarray, wb: np.ndarray, threshold: float
+def link_pair(a: Graph, xa: np.ndarray | Rows, b: Graph | None, xb: np.ndarray | Rows, wa: np.ndarray, wb: np.ndarray, threshold: float
               ) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """Links between the vectors of two shards (``b`` None: within one): weighted counts of both sides and a forest.
 
@@ -261,13 +292,18 @@ def link_pair(a: Graph, xa: np.ndarray, b: Graph | None, xb: np.ndarray, wa: np.
     within, shift = b is None, 0 if b is None else len(xa)
     forest = Forest()
     for graph, q, x, mirrored in [(a, xa, xa, False)] if within else [(b, xa, xb, False), (a, xb, xa, True)]:
-        ids, score = graph.search(q.astype(np.float32))
-        row, col = np.nonzero((score >= threshold - 1e-3) & (ids >= 0))
-        other = ids[row, col]
-        sure = (q[row] * x[other]).sum(axis=1) >= threshold if len(row) else np.empty(0, bool)
-        for i, j in zip(row[sure].tolist(), other[sure].tolist(), strict=True):
-            if not (within and i == j):
-                forest.union(*((j, shift + i) if mirrored else (i, shift + j)))
+        for lo in range(0, len(q), BATCH):
+            part = q[lo:lo + BATCH]
+            ids, score = graph.search(part.astype(np.float32))
+            row, col = np.nonzero((score >= threshold - 1e-3) & (ids >= 0))
+            other = ids[row, col]
+            keep = (row + lo != other) | (not within)
+            row, other = row[keep], other[keep]
+            for at in range(0, len(row), PAIRS):
+                i, j = row[at:at + PAIRS], other[at:at + PAIRS]
+                sure = (part[i] * x[j]).sum(axis=1) >= threshold
+                for u, v in zip((i[sure] + lo).tolist(), j[sure].tolist(), strict=True):
+                    forest.union(*((v, shift + u) if mirrored else (u, shift + v)))
     parts: dict[int, list[int]] = {}
     for node in {*forest.up.keys(), *forest.up.values()}:
         parts.setdefault(forest.find(node), []).append(node)
@@ -277,9 +313,11 @@ def link_pair(a: Graph, xa: np.ndarray, b: Graph | None, xb: np.ndarray, wa: np.
         part = np.sort(np.array(part))
         left = part if within else part[part < shift]
         right = part if within else part[part >= shift] - shift
-        for lo in range(0, len(left), 1024):
-            i = left[lo:lo + 1024]
-            near = xa[i] @ xb[right].T >= threshold
+        to = xb[right]
+        step = max(1, min(1024, CELLS // max(1, len(right))))
+        for lo in range(0, len(left), step):
+            i = left[lo:lo + step]
+            near = xa[i] @ to.T >= threshold
             if within:
                 near &= i[:, None] != right[None, :]
             na[i] += near @ wb[right]
@@ -292,37 +330,61 @@ def link_pair(a: Graph, xa: np.ndarray, b: Graph | None, xb: np.ndarray, wa: np.
                 if done.union(u, v):
                     edges.append((u, v))
             # Rows of one block may hang together only through further columns.
-            label = np.array([done.find(int(u)) for u in i])
-            for r in np.nonzero(near.sum(axis=1) > 1)[0]:
-                for c in right[near[r]] + shift:
-                    if done.find(int(c)) != label[r] and done.union(int(i[r]), int(c)):
-                        edges.append((int(i[r]), int(c)))
-                        label = np.array([done.find(int(u)) for u in i])
+            label, ends = (np.array([done.find(u) for u in v.tolist()]) for v in (i, right + shift))
+            for r, c in zip(*np.nonzero(near & (label[:, None] != ends)), strict=True):
+                if done.union(int(i[r]), int(right[c]) + shift):
+                    edges.append((int(i[r]), int(right[c]) + shift))
     return na, nb, edges
 
 
-def _cell(threshold: float):
-    """Counts (b null) and forest edges (n 0) of a pair of shards."""
+FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+
+class Shard:
+    """A shard from its rows: the graph, the vectors, classes and sizes."""
+
+    def __init__(self, table: pa.Table, rows: list[int], kind: type) -> None:
+        told = lambda c, k: np.concatenate([np.frombuffer(table.column(c)[i].as_buffer(), k) for i in rows])
+        self.x = Rows(told("given", kind).reshape(-1, table.column("dim")[0].as_py()))
+        self.graph = Graph.load(table.column("graph")[rows[0]].as_buffer(), self.x[:])
+        self.cls, self.size = told("cls", np.int64), told("size", np.int64)
+
+
+def _pair(one: Shard, two: Shard | None, threshold: float) -> pa.Table:
+    """Counts (b null) and forest edges (n 0) of a pair of shards, or (``two`` None) within one."""
+    other = two or one
+    na, nb, edges = link_pair(one.graph, one.x, two and two.graph, other.x, one.size, other.size, threshold)
+    names = np.concatenate([one.cls, two.cls]) if two else one.cls
+    a, b, n = [], [], []
+    for c, k in [(one.cls, na), *([(two.cls, nb)] if two else [])]:
+        at = np.nonzero(k)[0]
+        a += c[at].tolist()
+        b += [None] * len(at)
+        n += k[at].tolist()
+    for u, v in edges:
+        a.append(int(names[u]))
+        b.append(int(names[v]))
+        n.append(0)
+    return pa.table({"a": a, "b": b, "n": n}, schema=FOUND)
+
+
+def _met(threshold: float, kind: type, side: int):
+    """All pairs of the shards of two sides; within a side also each shard alone."""
     def run(key, table):
-        rows = sorted(table.to_pylist(), key=lambda r: r["shard"])
-        d = rows[0]["dim"]
-        g = [Graph.load(r["graph"]) for r in rows]
-        x = [_doubles(r["x"], d) for r in rows]
-        cls, size = ([np.frombuffer(r[k], np.int64) for r in rows] for k in ("cls", "size"))
-        two = len(rows) == 2
-        na, nb, edges = link_pair(g[0], x[0], g[1] if two else None, x[-1], size[0], size[-1], threshold)
-        names = np.concatenate(cls) if two else cls[0]
-        a, b, n = [], [], []
-        for c, k in [(cls[0], na), *([(cls[1], nb)] if two else [])]:
-            at = np.nonzero(k)[0]
-            a += c[at].tolist()
-            b += [None] * len(at)
-            n += k[at].tolist()
-        for u, v in edges:
-            a.append(int(names[u]))
-            b.append(int(names[v]))
-            n.append(0)
-        return pa.table({"a": a, "b": b, "n": n}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())]))
+        shard, piece = (table.column(c).to_numpy() for c in ("shard", "piece"))
+        order = np.lexsort((piece, shard))
+        rows = {int(s): order[shard[order] == s].tolist() for s in np.unique(shard)}
+        lo, hi = (table.column(c)[0].as_py() for c in ("lo", "hi"))
+        # One side is held, the shards of the other pass by; a side that is empty meets nothing.
+        held = {s: Shard(table, rows[s], kind) for s in rows if s // side == lo}
+        found = [_pair(one, None if s == t else held[t], threshold) for s, one in held.items() for t in held if s <= t] if lo == hi else []
+        for t in [t for t in rows if t // side != lo] if held else []:
+            passing = Shard(table, rows[t], kind)
+            found += [_pair(one, passing, threshold) for one in held.values()]
+        out = pa.concat_tables([FOUND.empty_table(), *found])
+        held = passing = None
+        give_back()
+        return out
     return run
 
 
@@ -337,38 +399,36 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     ``n_links`` of others; their component is the least id linked, null if none.
     """
     finite = F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
-    plain = F.transform(vector, lambda v: v.cast("double") + F.lit(0.0))
+    # Floats stay floats: half the bytes, and the same doubles later.
+    kind = "float" if dict(vectors.dtypes)[vector] == "array<float>" else "double"
+    plain = F.transform(vector, lambda v: (v.cast(kind) + F.lit(0.0)).cast(kind))
     rows = vectors.select(F.col(key).alias("id"), F.when(F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda v: v != 0), plain).alias("v"))
-    # Equal vectors share a class named by their hash; the vector itself decides.
-    classes = rows.where("v is not null").groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("size")).withColumn("cls", F.xxhash64("v"))
-    classes = checkpointed(classes.withColumn("dim", F.size("v")))
+    # Equal vectors share a class named by their hash; the vector itself decides.  Outside the shards 128 bits stand for it.
+    doubles = F.col("v").cast("array<double>")
+    name = F.when(F.col("v").isNotNull(), F.struct(F.xxhash64(doubles).alias("cls"), F.xxhash64(F.lit(2), doubles).alias("check")))
+    classes = rows.where("v is not null").groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("size")).withColumn("name", name)
+    classes = checkpointed(classes.select("name", F.col("name.cls").alias("cls"), "least", "size", "v", F.size("v").alias("dim")))
     total = classes.count()
     n = max(shards, -(-total // shard_rows))
     built = checkpointed(classes.withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "cls"), F.lit(n)).cast("int")).select("dim", "shard", "cls", "size", "v")
-                         .groupBy("dim", "shard").applyInArrow(_build(threshold), "dim int, shard int, cls binary, size binary, x binary, graph binary, beam long"))
-    # Shard s meets every shard: the pair is named by its lesser and greater number.
-    other = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    cells = built.withColumn("other", other).select("*", F.least("shard", "other").alias("lo"), F.greatest("shard", "other").alias("hi"))
-    met = cells.repartition(n * (n + 1) // 2, "dim", "lo", "hi").groupBy("dim", "lo", "hi").applyInArrow(_cell_or_nothing(threshold), "a long, b long, n long")
+                         .groupBy("dim", "shard").applyInArrow(_build(threshold), BUILT))
+    # A shard meets every shard, some with some: the task is named by the lesser and the greater number of the two sides.
+    side = min(SIDE, max(1, n // FEW_SIDES))
+    sides = -(-n // side)
+    mine, other = F.floor(F.col("shard") / side).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(sides - 1)))
+    cells = built.withColumn("other", other).select("*", F.least(mine, "other").alias("lo"), F.greatest(mine, "other").alias("hi")).drop("other")
+    tasks = sides * (sides + 1) // 2
+    task = F.col("hi") * (F.col("hi") + 1) / 2 + F.col("lo") + F.col("dim")
+    met = cells.withColumn("task", F.pmod(task.cast("int"), F.lit(tasks))).repartitionById(tasks, "task").groupBy("task", "dim", "lo", "hi").applyInArrow(
+        _met(threshold, np.float32 if kind == "float" else np.float64, side), "a long, b long, n long")
     found = checkpointed(met)
     counts = found.where("b is null").groupBy(F.col("a").alias("of")).agg(F.sum("n").alias("links"))
     roots = components(found.where("b is not null"))
     node = classes.join(counts, F.col("cls") == F.col("of"), "left").join(roots, F.col("cls") == F.col("node"), "left").select(
-        "v", "least", "size", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root"))
+        "name", "least", "size", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root"))
     least = node.groupBy("root").agg(F.min("least").alias("component"))
-    node = checkpointed(node.join(least, "root").select(F.col("v").alias("w"), "size", "n_links", "component"))
-    out = attach_by_size(rows, node, "v", "w")
-    component = F.when(F.col("v").isNull(), F.col("id")).otherwise(F.col("component"))
+    node = checkpointed(node.join(least, "root").select(F.col("name").alias("of"), "size", "n_links", "component"))
+    out = attach_by_size(rows.select("id", name.alias("name")), node, "name", "of")
+    component = F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("component"))
     return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                       F.col("id").eqNullSafe(component).alias("kept"))
-
-
-def _cell_or_nothing(threshold: float):
-    """A pair of different shards of which one is empty has no links."""
-    cell = _cell(threshold)
-
-    def run(key, table):
-        if table.column("lo")[0].as_py() != table.column("hi")[0].as_py() and len(table) < 2:
-            return pa.table({"a": [], "b": [], "n": []}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())]))
-        return cell(key, table.drop_columns(["lo", "hi", "other"]))
-    return run

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("lintel.llm")
 
-from lintel.llm import lm, packing, quality, toxicity  # noqa: E402
+from lintel.llm import embeddings, lm, packing, quality, toxicity  # noqa: E402
 from lintel.llm.common import tokenizer_path  # noqa: E402
 
 
@@ -65,6 +65,47 @@ def test_toxicity_words_forgotten_change_no_score(monkeypatch):
     assert all(w in few.names for w in [b"w%d" % i for i in range(50)])
 
 
+def crowd(n, seed, d=64):
+    """Vectors around one, nearly all of them linked with each other."""
+    r = np.random.default_rng(seed)
+    return embeddings.unit(np.eye(1, d) + 0.012 * r.standard_normal((n, d)))
+
+
+def test_linked_vectors_are_verified_in_slices():
+    a, b = crowd(3000, 1), crowd(3000, 2)
+    one, two = embeddings.Graph.build(a), embeddings.Graph.build(b)
+    ones = np.ones(3000, np.int64)
+    tracemalloc.start()
+    try:
+        na, nb, edges = embeddings.link_pair(one, a, two, b, ones, ones, 0.95)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60e6                       # all found pairs at once: over 100 MB
+    near = a @ b.T >= 0.95
+    assert (na == near.sum(axis=1)).all() and (nb == near.sum(axis=0)).all() and len(edges) == 5999
+
+
+def test_shards_travel_in_small_rows_without_a_second_copy(spark):
+    x = crowd(2500, 3).astype(np.float32)
+    rows = spark.createDataFrame([(64, 0, i, 1, v.tolist()) for i, v in enumerate(x)], "dim int, shard int, cls long, size long, v array<float>")
+    built = rows.groupBy("dim", "shard").applyInArrow(embeddings._build(0.95), embeddings.BUILT).orderBy("piece").collect()
+    assert max(len(r["given"]) for r in built) <= embeddings.PIECE * 64 * 4
+    assert np.array_equal(np.frombuffer(b"".join(r["given"] for r in built), np.float32).reshape(-1, 64), x)
+    assert sum(len(v) for r in built for v in r if isinstance(v, bytes | bytearray)) < 2500 * (64 * 4 + 16 + 130)   # 950 bytes a vector before
+
+
+def test_sides_of_several_shards_meet_all_others(spark):
+    r = np.random.default_rng(4)
+    x = np.concatenate([embeddings.unit(r.standard_normal((1, 16)) + 0.03 * r.standard_normal((12, 16))) for _ in range(30)])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = embeddings.near_duplicates(frame, shards=35).orderBy("vec_id").collect()   # four shards a side, the last side has three
+    near = x @ x.T >= 0.95
+    assert [g["n_links"] for g in got] == (near.sum(axis=1) - 1).tolist()
+    floats = frame.withColumn("embedding", F.col("embedding").cast("array<float>"))
+    assert [g["n_links"] for g in embeddings.near_duplicates(floats, shards=17).orderBy("vec_id").collect()] == [g["n_links"] for g in got]
+
+
 def test_quality_cutoffs_reach_the_rows_without_a_shuffle(spark):
     docs = spark.createDataFrame([(i, f"text {i} " * 9, "en" if i % 2 else None) for i in range(30)], "doc_id long, text string, lang string")
     cuts = spark.createDataFrame([("en", "shout_rate", 0.0), (None, "word_length", 1.0)], "stratum string, rule string, cutoff double")
