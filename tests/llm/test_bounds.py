@@ -180,6 +180,20 @@ def test_answers_of_a_chunk_stay_whole():
     assert [len(x) for x in lm._told(out.slice(2))] == [0, 0]
 
 
+def test_pairs_of_context_and_symbol_travel_in_few_bytes():
+    import zlib
+
+    import pyarrow as pa
+    r = np.random.default_rng(8)
+    texts = [np.minimum(r.zipf(1.3, 6000), 3999).astype(np.int64) for _ in range(6)]
+    code = lm.Code.build([(b"%d" % i, 1 + 400_000 // i) for i in range(1, 4000)], 1, 4_000_000)
+    rows = pa.table({"chunk": np.arange(6) // 2, "symbols": [zlib.compress(s.astype(np.int32).tobytes()) for s in texts], "train": [True] * 5 + [False]})
+    asks = pa.Table.from_batches(list(lm._counted(0)(iter(rows.to_batches())))).sort_by([("context", "ascending"), ("chunk", "ascending")]).combine_chunks()
+    told = pa.Table.from_batches(list(lm._answered(code)(iter(asks.to_batches()))))
+    pairs = sum(len(set(zip(*[x.tolist() for x in lm.contexts(texts[k:k + 2], 0)], strict=True))) for k in (0, 2, 4))
+    assert asks.nbytes < 5 * pairs and told.nbytes < 8 * pairs   # 31 and 38 bytes a pair before, 2 and 3 after
+
+
 def test_toxicity_trains_in_a_task_as_on_the_same_windows_here(spark, monkeypatch):
     texts = [t + (" vile" if i % 3 == 0 else " kind") for i, t in enumerate(texts_of(60, 6))]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
