@@ -194,6 +194,40 @@ def test_pairs_of_context_and_symbol_travel_in_few_bytes():
     assert asks.nbytes < 5 * pairs and told.nbytes < 8 * pairs   # 31 and 38 bytes a pair before, 2 and 3 after
 
 
+@pytest.mark.parametrize("slice_", [500_000, 40])
+def test_large_counts_come_back_exact(monkeypatch, slice_):
+    """Counts beyond a byte, and beyond 16 bits scaled as before; pairs summed at once and in slices; pairs that training does not hold."""
+    import zlib
+
+    import pyarrow as pa
+    monkeypatch.setattr(lm, "SLICE", slice_)
+    r = np.random.default_rng(9)
+    texts = [np.minimum(r.geometric(0.4, 50_000) - 1, 40).astype(np.int64) for _ in range(5)] + [r.integers(0, 41, 300).astype(np.int64)]
+    code = lm.Code.build([(b"" if i == 1 else b"%d" % i, 1 + 3 ** (12 - i // 4)) for i in range(1, 41)], 5, 10**6)
+    end = code.ids[b""]
+    rows = pa.table({"chunk": np.arange(6) // 2, "symbols": [zlib.compress(s.astype(np.int32).tobytes()) for s in texts], "train": [True] * 5 + [False]})
+    asks = pa.Table.from_batches(list(lm._counted(end)(iter(rows.to_batches())))).sort_by([("context", "ascending"), ("chunk", "ascending")]).combine_chunks()
+    told = pa.Table.from_batches(list(lm._answered(code)(iter(asks.to_batches(max_chunksize=4))))).to_pylist()
+    context, symbol = (np.concatenate(x) for x in zip(*[lm.contexts([s], end) for s in texts[:5]], strict=True))
+    sizes, _, node, bit = code.paths(symbol)
+    names, of = np.unique(np.repeat(context, sizes) * code.nodes + node, return_inverse=True)
+    counts = np.stack([np.bincount(of, bit == v, len(names)) for v in (0, 1)])
+    assert counts.sum(axis=0).max() > 60_000 and (counts > 255).any()
+    counts = lm.halved(counts)
+    for chunk in range(3):
+        both = texts[2 * chunk:2 * chunk + 2]
+        own = sorted((t["context"], t["counts"]) for t in told if t["chunk"] == chunk)
+        m = lm.Mixer(code, *np.zeros((2, code.size()), np.uint16)).meet(np.array([c for c, _ in own]), np.frombuffer(b"".join(x for _, x in own), np.uint32), both)
+        at = np.concatenate(m.places(both))
+        context, symbol = lm.contexts(both, end)
+        sizes, place, node, _ = code.paths(symbol)
+        name = np.repeat(context, sizes) * code.nodes + node
+        to = np.minimum(np.searchsorted(names, name), len(names) - 1)
+        want = counts[:, to] * (names[to] == name)
+        got = np.repeat(at, sizes) + place
+        assert (m.zeros[got] == want[0]).all() and (m.ones[got] == want[1]).all()
+
+
 def test_toxicity_trains_in_a_task_as_on_the_same_windows_here(spark, monkeypatch):
     texts = [t + (" vile" if i % 3 == 0 else " kind") for i, t in enumerate(texts_of(60, 6))]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
